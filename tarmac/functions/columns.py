@@ -1,36 +1,11 @@
-"""Column expressions: missing tokens, safe casts, ratios, routes."""
+"""Column expressions: routes, ratios, predicates."""
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tarmac.schema import CAUSES, NA_TOKENS, NO_FLIGHT_NUMBER
-
-
-def na_to_null(col: Column) -> Column:
-    """NULL for every token that means "missing" in a report."""
-    return F.when(~col.isin(NA_TOKENS), col)
-
-
-def text_to_double(col: Column) -> Column:
-    return col.try_cast("double")
-
-
-def text_to_int(col: Column) -> Column:
-    """``'1.00'`` is 1: through double, truncating; NULL if it is not a number."""
-    return col.try_cast("double").try_cast("int")
-
-
-def zero_if_missing(col: Column) -> Column:
-    return F.coalesce(col, F.lit(0))
-
-
-def flight_number_or_default(col: Column) -> Column:
-    return F.coalesce(col, F.lit(NO_FLIGHT_NUMBER))
+from tarmac.schema import CAUSES
 
 
 def route(origin: str = "origin", dest: str = "dest") -> Column:
@@ -48,4 +23,9 @@ def is_operated() -> Column:
 
 
 def has_delay_cause() -> Column:
-    return reduce(or_, [F.col(c) > 0 for c in CAUSES])
+    return F.expr(" OR ".join(f"{c} > 0" for c in CAUSES))
+
+
+def all_present(columns: list[str]) -> Column:
+    """No column is NULL. Unlike ``dropna``, each test can reach the Parquet scan."""
+    return F.expr(" AND ".join(f"{c} IS NOT NULL" for c in columns))

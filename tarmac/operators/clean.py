@@ -7,7 +7,6 @@ report is one stage without a shuffle.
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +17,8 @@ from tarmac.schema import (
     DOUBLE_COLUMNS,
     FLIGHTS_SCHEMA,
     INT_COLUMNS,
+    NA_TOKENS,
+    NO_FLIGHT_NUMBER,
     RAW_TO_CLEAN,
     REPORT_SCHEMA,
     REQUIRED_FLAGS,
@@ -30,13 +31,19 @@ def select_report_columns(raw: DataFrame, *extra: str) -> DataFrame:
     return raw.select(*RAW_TO_CLEAN, *extra).withColumnsRenamed(RAW_TO_CLEAN)
 
 
-def _parsed(name: str) -> Column:
-    text = C.na_to_null(F.col(name))
+def _present(name: str) -> str:
+    """The text of a field, NULL for every token that means "missing"."""
+    tokens = ", ".join(f"'{token}'" for token in NA_TOKENS)
+    return f"CASE WHEN {name} NOT IN ({tokens}) THEN {name} END"
+
+
+def _parsed(name: str) -> str:
+    """The typed field, NULL if it does not parse. Ints go through double: ``'1.00'`` is 1."""
     if name in INT_COLUMNS:
-        return C.text_to_int(text)
+        return f"try_cast(try_cast({_present(name)} AS double) AS int)"
     if name in DOUBLE_COLUMNS:
-        return C.text_to_double(text)
-    return text
+        return f"try_cast({_present(name)} AS double)"
+    return _present(name)
 
 
 def row_is_bad() -> Column:
@@ -46,27 +53,31 @@ def row_is_bad() -> Column:
     parse, or (column ``_overflow`` of the report reader) more fields than the
     header has.
     """
-    missing_flag = [_parsed(c).isNull() for c in REQUIRED_FLAGS]
+    missing_flag = [f"{_parsed(c)} IS NULL" for c in REQUIRED_FLAGS]
     unparsable = [
-        C.na_to_null(F.col(c)).isNotNull() & _parsed(c).isNull()
-        for c in [*INT_COLUMNS, *DOUBLE_COLUMNS]
+        f"({_present(c)} IS NOT NULL AND {_parsed(c)} IS NULL)" for c in [*INT_COLUMNS, *DOUBLE_COLUMNS]
     ]
-    overflow = [F.col("_overflow").isNotNull()]
-    return reduce(or_, missing_flag + unparsable + overflow)
+    return F.expr(" OR ".join([*missing_flag, *unparsable, "_overflow IS NOT NULL"]))
 
 
 def parse_text_rows(text: DataFrame) -> DataFrame:
     """Typed columns from the all-string report columns; other columns are kept."""
-    return text.withColumns({c: _parsed(c) for c in REPORT_SCHEMA.names})
+    others = [c for c in text.columns if c not in REPORT_SCHEMA.names]
+    return text.selectExpr(*others, *[f"{_parsed(c)} AS {c}" for c in REPORT_SCHEMA.names])
+
+
+def _filled(name: str, sql_type: str) -> str:
+    if name in ZERO_FILLED:
+        return f"CAST(coalesce({name}, 0) AS {sql_type}) AS {name}"
+    if name == "flight_number":
+        return f"CAST(coalesce({name}, {NO_FLIGHT_NUMBER}) AS {sql_type}) AS {name}"
+    return f"CAST({name} AS {sql_type}) AS {name}"
 
 
 def fill_missing(flights: DataFrame) -> DataFrame:
-    """Missing delays become zero *before* any average is taken; ints become ints."""
-    filled = {c: C.zero_if_missing(F.col(c)) for c in ZERO_FILLED}
-    filled["flight_number"] = C.flight_number_or_default(F.col("flight_number"))
-    types = {f.name: f.dataType for f in REPORT_SCHEMA.fields}
-    casts = {c: filled.get(c, F.col(c)).cast(types[c]) for c in REPORT_SCHEMA.names}
-    return flights.withColumns(casts)
+    """Missing delays become zero *before* any average is taken; flags become ints."""
+    others = [c for c in flights.columns if c not in REPORT_SCHEMA.names]
+    return flights.selectExpr(*others, *[_filled(f.name, f.dataType.simpleString()) for f in REPORT_SCHEMA.fields])
 
 
 def add_route(flights: DataFrame) -> DataFrame:

@@ -19,20 +19,26 @@ CONFUSION_COLUMNS = {0: "Predicted On Time", 1: "Predicted Delayed"}
 def roc_auc(scored: DataFrame, label: str, score: str) -> DataFrame:
     """``(roc_auc)``: chance that a late flight scores above a punctual one, ties counting half.
 
-    The evaluator combines equal scores before it sorts them across partitions,
-    so neither a common score nor a large class ends up in one task. Without
-    binning it is exact. NULL if there is only one class.
+    Equal scores are counted before they are shuffled, and the evaluator sorts
+    the counts across partitions, so neither a common score nor a large class
+    ends up in one task. Without binning it is exact. NULL if there is only one
+    class.
     """
-    spark = scored.sparkSession
-    rows = scored.select(F.col(label).cast("double").alias("label"), F.col(score).cast("double").alias("score"))
-    classes = rows.select("label").distinct().count()
-    value = None
-    if classes == 2:
-        evaluator = BinaryClassificationEvaluator(
-            labelCol="label", rawPredictionCol="score", metricName="areaUnderROC", numBins=0
-        )
-        value = evaluator.evaluate(rows)
-    return spark.createDataFrame([(value,)], "roc_auc double")
+    counted = (
+        scored.select(F.col(label).cast("double").alias("label"), F.col(score).cast("double").alias("score"))
+        .groupBy("label", "score")
+        .agg(F.count("*").cast("double").alias("n"))
+        .persist()
+    )
+    evaluator = BinaryClassificationEvaluator(
+        labelCol="label", rawPredictionCol="score", weightCol="n", metricName="areaUnderROC", numBins=0
+    )
+    try:
+        both = counted.select("label").distinct().count() == 2
+        value = evaluator.evaluate(counted) if both else None
+    finally:
+        counted.unpersist()
+    return scored.sparkSession.createDataFrame([(value,)], "roc_auc double")
 
 
 def _outcomes(predicted: DataFrame, label: str, prediction: str) -> DataFrame:

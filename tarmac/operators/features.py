@@ -21,7 +21,7 @@ def airline_month_features(flights: DataFrame) -> DataFrame:
     monthly = (
         operated(flights)
         .select(*KEYS, "dep_delay", "arr_delay", "arr_del15")
-        .dropna(subset=KEYS)
+        .where(C.all_present(KEYS))
         .groupBy(*KEYS)
         .agg(
             F.count("arr_delay").alias("n_flights"),

@@ -45,14 +45,10 @@ def flights_base(flights: DataFrame) -> DataFrame:
 def flight_measures(flights: DataFrame) -> DataFrame:
     """One measure row per flight. Averages skip NULLs, so each sum has its own count."""
     averaged = ["dep_delay", "arr_delay", *CAUSES]
-    measures = {
-        "flights": F.lit(1).cast("long"),
-        "late": F.col("arr_del15").cast("long"),
-        **{f"{c}_sum": F.col(c) for c in averaged},
-        **{f"{c}_n": F.col(c).isNotNull().cast("long") for c in averaged},
-    }
+    sums = [f"{c} AS {c}_sum" for c in averaged]
+    counts = [f"bigint({c} IS NOT NULL) AS {c}_n" for c in averaged]
     keyed = flights.withColumn("has_cause", C.has_delay_cause())
-    return keyed.select(*SUMMARY_KEYS, *[m.alias(name) for name, m in measures.items()])
+    return keyed.selectExpr(*SUMMARY_KEYS, "1L AS flights", "bigint(arr_del15) AS late", *sums, *counts)
 
 
 def month_summary(flights: DataFrame) -> DataFrame:
@@ -63,7 +59,7 @@ def month_summary(flights: DataFrame) -> DataFrame:
 
 
 def _mean(name: str) -> Column:
-    return C.ratio(F.sum(f"{name}_sum"), F.sum(f"{name}_n"))
+    return F.expr(f"try_divide(sum({name}_sum), double(sum({name}_n)))")
 
 
 # --- grouped views ----------------------------------------------------------

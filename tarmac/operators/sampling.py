@@ -4,12 +4,13 @@ Rows are ordered by a seeded hash; the first rows of each class, up to its
 exact share, form the test part. Sorting a class to find that position would
 put most of the data in one window, so the position is found from counts:
 
-1. a histogram of the first hash digits per class (4,096 counts per class), and
-   the same again inside the one prefix that holds the cut;
-2. within the longer prefix, counts per hash value;
+1. counts of the first three hash digits per class (at most 4,096 per class), and
+   the same again for six digits inside the one prefix that holds the position;
+2. counts per full hash inside the longer prefix, which gives the cut of a class;
 3. every row is then compared with the cut of its class.
 
-Only copies of one row can share the cut itself. They are collapsed to a count
+Rows that share the cut share the key; a second hash, of the whole row, decides
+among them. What still ties are copies of one row. They are collapsed to a count
 before any shuffle and dealt to both parts by number, so that the sizes stay
 exact however many copies there are.
 """
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-_PREFIXES = [3, 6]  # hex digits of the histograms
+_DIGITS = [3, 6, 32]  # hex digits compared, coarse to complete
 _COPIES_PER_ROW = 100_000  # copies that one row expands to
 
 
@@ -35,12 +36,14 @@ class Split:
     sizes: dict  # class -> (train rows, test rows)
 
 
-def split_order(seed: int, key: Sequence[str], columns: Sequence[str]) -> Column:
-    """Hash by which rows are ordered: the key decides, the whole row breaks ties."""
-    row = F.md5(F.concat_ws(":", F.lit(seed), F.to_json(F.struct(*columns))))
-    if not key:
-        return row
-    return F.concat(F.md5(F.concat_ws(":", F.lit(seed), *key)), row)
+def key_hash(seed: int, key: Sequence[str]) -> Column:
+    """MD5 of seed and key: the same order in any engine."""
+    return F.md5(F.concat_ws(":", F.lit(seed), *key))
+
+
+def row_hash(seed: int, columns: Sequence[str]) -> Column:
+    """64-bit hash of the whole row, without turning its columns into text."""
+    return F.lpad(F.hex(F.xxhash64(F.lit(seed), *columns)), 16, "0")
 
 
 def class_sizes(counts: dict, test_size: float) -> dict:
@@ -71,12 +74,14 @@ def _per_class(label: str, values: dict) -> Column:
     return column
 
 
-def _locate(counts: DataFrame, label: str, by: str, wanted: dict) -> dict:
-    """class -> (value of ``by`` that holds the wanted position, rows before it, its rows)."""
-    running = F.sum("n").over(W.partitionBy(label).orderBy(by))
-    target = _per_class(label, wanted)
-    hit = counts.withColumn("upto", running).where((F.col("upto") >= target) & (F.col("upto") - F.col("n") < target))
-    return {r[label]: (r[by], r["upto"] - r["n"], r["n"]) for r in hit.collect()}
+def _locate(rows: DataFrame, label: str, value: Column, position: dict) -> dict:
+    """class -> (value that holds the class's position, rows before it, rows that share it)."""
+    counts = rows.groupBy(label, value.alias("value")).agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(W.partitionBy(label).orderBy("value"))
+    target = _per_class(label, position)
+    holds = (F.col("upto") >= target) & (F.col("upto") - F.col("n") < target)
+    hits = counts.withColumn("upto", upto).where(holds).collect()
+    return {r[label]: (r["value"], r["upto"] - r["n"], r["n"]) for r in hits}
 
 
 def stratified_split(
@@ -87,41 +92,40 @@ def stratified_split(
     ``key`` names columns that identify a row; without it the whole row does.
     ``df`` is read several times, so pass a stored table.
     """
-    columns = df.columns
-    keyed = df.withColumn("_order", split_order(seed, key, columns))
     sizes = class_sizes(class_counts(df, label), test_size)
-    wanted = {c: test for c, (_, test) in sizes.items() if test > 0}
-
-    rows, position = keyed, wanted
-    for digits in _PREFIXES:
-        prefix = F.substring("_order", 1, digits)
-        histogram = rows.groupBy(label, prefix.alias("prefix")).agg(F.count("*").alias("n"))
-        found = _locate(histogram, label, "prefix", position)
-        position = {c: position[c] - found[c][1] for c in found}
-        rows = keyed.where(prefix == _per_class(label, {c: value for c, (value, _, _) in found.items()}))
-    values = rows.groupBy(label, "_order").agg(F.count("*").alias("n"))
-    cuts = _locate(values, label, "_order", position)
-
-    cut = _per_class(label, {c: value for c, (value, _, _) in cuts.items()})
-    before = F.coalesce(F.col("_order") < cut, F.lit(False))
-    after = F.coalesce(F.col("_order") > cut, F.lit(True))
-    test = keyed.where(before).select(*columns)
-    train = keyed.where(after).select(*columns)
-
-    # rows that share the cut: `take` of their `n` copies go to the test part
-    take = {c: position[c] - rows_before for c, (_, rows_before, _) in cuts.items()}
-    if all(take[c] == n for c, (_, _, n) in cuts.items()):
-        at_cut = F.coalesce(F.col("_order") <= cut, F.lit(False))
-        test = keyed.where(at_cut).select(*columns)
-    else:
-        tied = keyed.where(F.col("_order") == cut).groupBy(*columns).agg(F.count("*").alias("_n"))
-        w = W.partitionBy(label).orderBy(*columns).rowsBetween(W.unboundedPreceding, W.currentRow)
-        earlier = F.sum("_n").over(w) - F.col("_n")
-        to_test = F.least(F.greatest(_per_class(label, take) - earlier, F.lit(0)), F.col("_n"))
-        dealt = tied.withColumn("_test", to_test)
-        test = test.unionByName(_copies(dealt, F.col("_test"), columns))
-        train = train.unionByName(_copies(dealt, F.col("_n") - F.col("_test"), columns))
-    return Split(train, test, sizes)
+    position = {c: test for c, (_, test) in sizes.items() if test > 0}
+
+    before, tied = F.lit(False), F.col(label).isin(list(position))
+    hashes = [key_hash(seed, key)] if key else []
+    hashes.append(row_hash(seed, df.columns))
+    for hashed in hashes:
+        rows = df.where(tied)
+        undecided = rows
+        for digits in _DIGITS:
+            prefix = F.substring(hashed, 1, digits)
+            found = _locate(undecided, label, prefix, position)
+            position = {c: position[c] - skipped for c, (_, skipped, _) in found.items()}
+            cut = _per_class(label, {c: value for c, (value, _, _) in found.items()})
+            undecided = rows.where(prefix == cut)
+        before = before | (tied & (hashed < cut))
+        tied = tied & (hashed == cut)
+        if all(position[c] == n for c, (_, _, n) in found.items()):
+            in_test = F.coalesce(before | tied, F.lit(False))
+            return Split(df.where(~in_test), df.where(in_test), sizes)
+
+    # the first `position` copies of the row at the cut belong to the test part
+    columns = df.columns
+    copies = df.where(tied).groupBy(*columns).agg(F.count("*").alias("_n"))
+    w = W.partitionBy(label).orderBy(*columns).rowsBetween(W.unboundedPreceding, W.currentRow)
+    earlier = F.sum("_n").over(w) - F.col("_n")
+    to_test = F.least(F.greatest(_per_class(label, position) - earlier, F.lit(0)), F.col("_n"))
+    dealt = copies.withColumn("_test", to_test)
+    after = ~F.coalesce(before | tied, F.lit(False))
+    return Split(
+        train=df.where(after).unionByName(_copies(dealt, F.col("_n") - F.col("_test"), columns)),
+        test=df.where(F.coalesce(before, F.lit(False))).unionByName(_copies(dealt, F.col("_test"), columns)),
+        sizes=sizes,
+    )
 
 
 def _copies(rows: DataFrame, n: Column, columns: list[str]) -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac.functions import columns as C
 from tarmac.operators.marts import operated
 from tarmac.schema import BASE_FEATURES, CATEGORICAL_FEATURES, OPTIONAL_FEATURES, TARGET
 
@@ -30,7 +31,7 @@ def training_rows(flights: DataFrame, year: int | None = None, keep: tuple[str,
     if year is not None:
         rows = rows.where(F.col("year") == year)
     columns = [*available_features(flights), TARGET]
-    return rows.select(*keep, *columns).dropna(subset=columns)
+    return rows.select(*keep, *columns).where(C.all_present(columns))
 
 
 def balanced_weights(counts: dict) -> dict:
@@ -46,14 +47,23 @@ def weight_column(weights: dict, label: str = TARGET) -> Column:
     return column
 
 
-def split_summary(train: DataFrame, test: DataFrame, label: str = TARGET) -> DataFrame:
-    """One row: sizes of both parts and the share of late flights."""
-    both = train.select(F.lit(1).alias("is_train"), label).unionByName(test.select(F.lit(0).alias("is_train"), label))
-    return both.agg(
-        F.coalesce(F.sum("is_train"), F.lit(0)).alias("train_size"),
-        F.coalesce(F.sum(1 - F.col("is_train")), F.lit(0)).alias("test_size"),
-        F.avg(label).alias("delay_rate"),
-    )
+def split_summary(spark: SparkSession, sizes: dict) -> DataFrame:
+    """One row: sizes of both parts and the share of late flights.
+
+    ``sizes`` are the exact (train, test) rows per class that the split was cut
+    to, so nothing has to be read again.
+    """
+    train, test = (sum(size[i] for size in sizes.values()) for i in (0, 1))
+    late = sum(sizes.get(1, (0, 0)))
+    rate = late / (train + test) if train + test else None
+    return spark.createDataFrame([(train, test, rate)], "train_size long, test_size long, delay_rate double")
+
+
+def class_weights(spark: SparkSession, counts: dict, label: str = TARGET) -> DataFrame:
+    """``(<label>, n_rows, weight)``: one row per class."""
+    weights = balanced_weights(counts)
+    rows = [(cls, n, weights[cls]) for cls, n in sorted(counts.items())]
+    return spark.createDataFrame(rows, f"{label} int, n_rows long, weight double")
 
 
 def model_inputs(features: list[str]) -> list[str]:
@@ -65,6 +75,12 @@ def assemble(encoded: DataFrame, features: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=model_inputs(features), outputCol="features").transform(encoded)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Few partitions (a small table) are spread over all cores; many stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def fit_forest(
     train: DataFrame,
     encoder: StringIndexerModel,
@@ -89,7 +105,8 @@ def fit_forest(
         seed=seed,
         maxMemoryInMB=1024,
     )
-    return forest.fit(train.withColumn("_weight", weight_column(weights)))
+    weighted = train.select("features", TARGET, weight_column(weights).alias("_weight"))
+    return forest.fit(spread(weighted))
 
 
 def predict(model: RandomForestClassificationModel, rows: DataFrame, features: list[str]) -> DataFrame:
@@ -107,12 +124,12 @@ def predict(model: RandomForestClassificationModel, rows: DataFrame, features: l
     )
 
 
-def feature_importance(model: RandomForestClassificationModel, features: list[str]) -> DataFrame:
+def feature_importance(
+    spark: SparkSession, model: RandomForestClassificationModel, features: list[str]
+) -> DataFrame:
     """``(feature, importance)``, most important first; one row per feature."""
-    from pyspark.sql import SparkSession
-
     rows = [(name, float(value)) for name, value in zip(features, model.featureImportances.toArray())]
-    df = SparkSession.active().createDataFrame(rows, "feature string, importance double")
+    df = spark.createDataFrame(rows, "feature string, importance double")
     return df.orderBy(F.desc("importance"), "feature")
 
 

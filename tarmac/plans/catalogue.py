@@ -20,7 +20,7 @@ from tarmac.plans import pipeline, views
 from tarmac.plans.ingest import ingest, load_reports
 from tarmac.plans.train import Evaluation, train_and_evaluate
 from tarmac.schema import ADDED_COLUMNS, FLIGHTS_SCHEMA, RAW_TO_CLEAN, TARGET
-from tarmac.session import scratch_path
+from tarmac.session import scratch_path, stored
 from tarmac.sources import archives, reports
 from tarmac.sources import tpch_flights as T
 from tarmac.sources.warehouse import Warehouse
@@ -97,7 +97,7 @@ def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def month_axis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected reports from the first month shipped to the month before the last shipping date."""
-    ends = T.read_table(spark, sf_dir, "lineitem", "l_shipdate").agg(
+    ends = T.read_table(spark, sf_dir, "lineitem").select("l_shipdate").agg(
         F.min(F.to_date("l_shipdate")).alias("first"),
         calendar.previous_month(F.max(F.to_date("l_shipdate"))).alias("last"),
     )
@@ -107,7 +107,7 @@ def month_axis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A load log with one attempt per day of the data; about a third of them failed."""
-    lineitem = T.read_table(spark, sf_dir, "lineitem", "l_shipdate")
+    lineitem = T.read_table(spark, sf_dir, "lineitem").select("l_shipdate")
     day = lineitem.groupBy(F.to_date("l_shipdate").alias("day")).agg(F.count("*").alias("n"))
     failed = (F.day("day") * 7 + F.month("day")) % 3 == 0
     return day.select(
@@ -158,9 +158,7 @@ def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _all_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training rows of all years, stored once: the operators below read them repeatedly."""
-    path = scratch_path(spark, "training-rows")
-    training.training_rows(T.flights(spark, sf_dir), keep=KEY).write.parquet(path)
-    return spark.read.parquet(path)
+    return stored(training.training_rows(T.flights(spark, sf_dir), keep=KEY), "training-rows")
 
 
 def label_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,14 +175,13 @@ def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = training.training_rows(T.flights(spark, sf_dir))
-    weights = training.balanced_weights(sampling.class_counts(rows, TARGET))
-    counts = rows.groupBy(TARGET).agg(F.count("*").alias("n_rows"))
-    return rounded(counts.withColumn("weight", training.weight_column(weights)))
+    return rounded(training.class_weights(spark, sampling.class_counts(rows, TARGET)))
 
 
 def split_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split = sampling.stratified_split(_all_training_rows(spark, sf_dir), TARGET, key=KEY)
-    return rounded(training.split_summary(split.train, split.test))
+    rows = training.training_rows(T.flights(spark, sf_dir))
+    sizes = sampling.class_sizes(sampling.class_counts(rows, TARGET), test_size=0.2)
+    return rounded(training.split_summary(spark, sizes))
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,11 +203,7 @@ def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _forest(spark: SparkSession, sf_dir: str) -> Evaluation:
-    return train_and_evaluate(T.flights(spark, sf_dir), n_trees=FOREST_TREES, max_depth=FOREST_DEPTH)
-
-
-FOREST_TREES = 20
-FOREST_DEPTH = 8
+    return train_and_evaluate(T.flights(spark, sf_dir))
 
 
 def delay_forest_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

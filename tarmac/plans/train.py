@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from tarmac.operators import encoding, evaluation, sampling, training
 from tarmac.plans.views import export_csv
 from tarmac.schema import TARGET
-from tarmac.session import scratch_path
+from tarmac.session import stored
 
 
 @dataclass(frozen=True)
@@ -53,20 +53,18 @@ def train_and_evaluate(
 ) -> Evaluation:
     """Fits on a stratified part of the operated flights and scores the rest.
 
-    The rows are written to the shared folder once: the split and the forest
-    read them several times, and a lost executor then re-reads a file instead of
-    repeating the joins behind it. ``encode_on="train"`` fits the codes on the
-    training part only and gives unseen values a code of their own.
+    The rows, both parts and the predictions are written to the shared folder: split,
+    forest and reports read them several times, and a lost executor then re-reads a file
+    instead of repeating what came before. ``encode_on="train"`` fits the codes
+    on the training part only and gives unseen values a code of their own.
     """
     spark = flights.sparkSession
     features = training.available_features(flights, pre_departure)
-    stored = scratch_path(spark, "training-rows")
-    training.training_rows(flights, year, tuple(key)).write.parquet(stored)
-    rows = spark.read.parquet(stored)
-
+    rows = stored(training.training_rows(flights, year, tuple(key)), "training-rows")
     split = sampling.stratified_split(rows, TARGET, test_size, seed, key)
+    train, test = stored(split.train, "train"), stored(split.test, "test")
     if encode_on == "train":
-        encoder = encoding.fit_encoder(split.train, on_unseen="keep")
+        encoder = encoding.fit_encoder(train, on_unseen="keep")
     else:
         encoder = encoding.fit_encoder(rows)
 
@@ -74,11 +72,11 @@ def train_and_evaluate(
         return training.assemble(encoding.encode(part, encoder), features)
 
     weights = training.balanced_weights({c: train for c, (train, _) in split.sizes.items() if train})
-    model = training.fit_forest(prepared(split.train), encoder, weights, n_trees, max_depth, seed)
+    model = training.fit_forest(prepared(train), encoder, weights, n_trees, max_depth, seed)
     return Evaluation(
         model=model,
         encoder=encoder,
-        predictions=training.predict(model, prepared(split.test), features),
-        importance=training.feature_importance(model, features),
-        summary=training.split_summary(split.train, split.test),
+        predictions=stored(training.predict(model, prepared(test), features), "predictions"),
+        importance=training.feature_importance(spark, model, features),
+        summary=training.split_summary(spark, split.sizes),
     )

@@ -127,6 +127,6 @@ def validate_rows(text: DataFrame) -> DataFrame:
     Reads every report once; rows are counted on the map side, so the shuffle
     holds a few rows per report.
     """
-    counts = [F.count("*").alias("n_rows"), F.count_if("bad").alias("n_bad")]
     typed = clean.parse_text_rows(text.withColumn("bad", clean.row_is_bad()))
+    counts = [F.expr("count(*) AS n_rows"), F.expr("count_if(bad) AS n_bad")]
     return typed.groupBy("source_file", "year", "month").agg(*counts)

@@ -7,7 +7,7 @@ hot key of a sort-merge join is split by AQE.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.schema import CAUSES, FLIGHTS_SCHEMA, RAW_TO_CLEAN, REPORT_SCHEMA
@@ -16,67 +16,65 @@ from tarmac.operators import clean
 
 ROW_KEY = "row_key"
 
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
+#: columns read of each table; a declared schema saves reading footers up front
+TABLES = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "part": "p_partkey bigint, p_brand string",
+}
+
+_MIX = "(l_orderkey * 7 + l_linenumber * 31 + l_partkey * 3)"
+_DEP = f"CASE WHEN {_MIX} % 100 < 18 THEN 10 + (l_orderkey * 17 + l_partkey) % 127 ELSE {_MIX} % 31 - 20 END"
+_ARR = "dep + (l_suppkey * 13 + l_linenumber) % 21 - 10"
+_CANCELLED = "l_orderkey % 41 = 0"
+_DIVERTED = "l_orderkey % 211 = 1"
+_NO_ARRIVAL = f"({_CANCELLED} OR {_DIVERTED})"
+
+#: expression of each report column over the joined tables
+_COLUMNS = {
+    "year": "year(l_shipdate)",
+    "month": "month(l_shipdate)",
+    "day": "day(l_shipdate)",
+    "day_of_week": "weekday(l_shipdate) + 1",
+    "flight_date": "date_format(l_shipdate, 'yyyy-MM-dd')",
+    "airline": "p_brand",
+    "flight_number": "CAST(CASE WHEN l_orderkey % 97 != 0 THEN l_orderkey END AS double)",
+    "origin": "concat('N', lpad(CAST(s_nationkey AS string), 2, '0'))",
+    "dest": "concat('N', lpad(CAST(c_nationkey AS string), 2, '0'))",
+    "distance": "CAST(100 + 137 * abs(s_nationkey - c_nationkey) AS double)",
+    "dep_delay": f"CAST(CASE WHEN NOT {_CANCELLED} THEN dep END AS double)",
+    "arr_delay": f"CAST(CASE WHEN NOT {_NO_ARRIVAL} THEN arr END AS double)",
+    "arr_del15": f"CAST(CASE WHEN NOT {_NO_ARRIVAL} THEN int(arr >= 15) END AS double)",
+    "cancelled": f"CAST({_CANCELLED} AS double)",
+    "diverted": f"CAST({_DIVERTED} AND NOT {_CANCELLED} AS double)",
+    **{
+        cause: f"CAST(CASE WHEN NOT {_NO_ARRIVAL} AND arr >= 15 "
+        f"THEN CASE WHEN l_linenumber % 5 = {i} THEN arr ELSE 0 END END AS double)"
+        for i, cause in enumerate(CAUSES)
+    },
+}
+_ROW_KEY = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS int))"
 
 
-def _null_or(null_if: Column, value: Column | int) -> Column:
-    return F.when(~null_if, value).cast("double")
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Uncleaned flights: missing delays are NULL. Minutes are whole numbers."""
-    lineitem = read_table(
-        spark, sf_dir, "lineitem",
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate",
-    )
-    orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
-    customer = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
-    supplier = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
-    part = read_table(spark, sf_dir, "part", "p_partkey", "p_brand")
-
-    order, line, item, supp = (F.col(c) for c in ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
-    ship, s_nation, c_nation = F.col("l_shipdate"), F.col("s_nationkey"), F.col("c_nationkey")
-    mix = order * 7 + line * 31 + item * 3
-
+    lineitem, orders, customer, supplier, part = (read_table(spark, sf_dir, name) for name in TABLES)
     joined = (
-        lineitem.join(orders, order == F.col("o_orderkey"))
-        .join(customer, F.col("c_custkey") == F.col("o_custkey"))
-        .join(supplier, F.col("s_suppkey") == supp)
-        .join(part, F.col("p_partkey") == item)
-        .withColumn("dep", F.when(mix % 100 < 18, 10 + (order * 17 + item) % 127).otherwise(mix % 31 - 20))
-        .withColumn("arr", F.col("dep") + (supp * 13 + line) % 21 - 10)
+        lineitem.join(orders, F.expr("o_orderkey = l_orderkey"))
+        .join(customer, F.expr("c_custkey = o_custkey"))
+        .join(supplier, F.expr("s_suppkey = l_suppkey"))
+        .join(part, F.expr("p_partkey = l_partkey"))
+        .selectExpr("*", f"{_DEP} AS dep")
+        .selectExpr("*", f"{_ARR} AS arr")
     )
-    dep, arr = F.col("dep"), F.col("arr")
-    cancelled = order % 41 == 0
-    diverted = order % 211 == 1
-    no_arrival = cancelled | diverted
-    on_time = arr < 15
-    causes = {
-        cause: _null_or(no_arrival | on_time, F.when(line % 5 == i, arr).otherwise(0))
-        for i, cause in enumerate(CAUSES)
-    }
-    values = {
-        "year": F.year(ship),
-        "month": F.month(ship),
-        "day": F.day(ship),
-        "day_of_week": F.weekday(ship) + 1,
-        "flight_date": F.date_format(ship, "yyyy-MM-dd"),
-        "airline": F.col("p_brand"),
-        "flight_number": _null_or(order % 97 == 0, order),
-        "origin": F.concat(F.lit("N"), F.lpad(s_nation.cast("string"), 2, "0")),
-        "dest": F.concat(F.lit("N"), F.lpad(c_nation.cast("string"), 2, "0")),
-        "distance": (100 + 137 * F.abs(s_nation - c_nation)).cast("double"),
-        "dep_delay": _null_or(cancelled, dep),
-        "arr_delay": _null_or(no_arrival, arr),
-        "arr_del15": _null_or(no_arrival, (arr >= 15).cast("int")),
-        "cancelled": cancelled.cast("double"),
-        "diverted": (diverted & ~cancelled).cast("double"),
-        **causes,
-    }
-    key = F.concat_ws("-", order, line, item, supp, F.col("l_quantity").cast("int"))
-    return joined.select(key.alias(ROW_KEY), *[values[c].alias(c) for c in REPORT_SCHEMA.names])
+    return joined.selectExpr(f"{_ROW_KEY} AS {ROW_KEY}", *[f"{_COLUMNS[c]} AS {c}" for c in REPORT_SCHEMA.names])
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,8 +88,8 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with the headers of a monthly report, plus the report's name."""
     raw = raw_flights(spark, sf_dir)
-    renamed = [F.col(clean_name).alias(raw_name) for raw_name, clean_name in RAW_TO_CLEAN.items()]
-    return raw.select(*renamed, report_name(F.col("year"), F.col("month")).alias("file_name"))
+    headed = raw.withColumn("file_name", report_name(F.col("year"), F.col("month"))).drop(ROW_KEY)
+    return headed.withColumnsRenamed({clean_name: raw_name for raw_name, clean_name in RAW_TO_CLEAN.items()})
 
 
 def write_reports(spark: SparkSession, sf_dir: str, landing: str, **options) -> None:
