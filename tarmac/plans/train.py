@@ -71,7 +71,7 @@ def train_and_evaluate(
     def prepared(part: DataFrame) -> DataFrame:
         return training.assemble(encoding.encode(part, encoder), features)
 
-    weights = training.balanced_weights({c: train for c, (train, _) in split.sizes.items() if train})
+    weights = training.balanced_weights({c: n for c, (n, _) in split.sizes.items() if n})
     model = training.fit_forest(prepared(train), encoder, weights, n_trees, max_depth, seed)
     return Evaluation(
         model=model,
