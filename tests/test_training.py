@@ -1,6 +1,5 @@
 import pytest
 from conftest import make_flights
-from pyspark.errors import PySparkException
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import functions as F
 
@@ -72,7 +71,7 @@ def test_codes_follow_sorted_values_and_can_be_reused(spark, tmp_path):
     again = StringIndexerModel.load(str(tmp_path / "encoder"))
     new = spark.createDataFrame([("C", "y", "q")], df.schema)
     assert encoding.encode(new, again).first().airline_code == 2.0
-    with pytest.raises(PySparkException):
+    with pytest.raises(Exception, match="Unseen label"):
         encoding.encode(spark.createDataFrame([("Z", "y", "q")], df.schema), again).collect()
     keep = encoding.fit_encoder(df, on_unseen="keep")
     assert encoding.encode(spark.createDataFrame([("Z", "y", "q")], df.schema), keep).first().airline_code == 3.0
