@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tarmac.functions import columns as C
 from tarmac.operators.marts import operated
 from tarmac.schema import BASE_FEATURES, CATEGORICAL_FEATURES, OPTIONAL_FEATURES, TARGET
+from tarmac.session import spread
 
 #: features known before departure: no delay and no cause of it
 PRE_DEPARTURE = ["distance", "month", "day_of_week"]
@@ -75,12 +76,6 @@ def assemble(encoded: DataFrame, features: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=model_inputs(features), outputCol="features").transform(encoded)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Few partitions (a small table) are spread over all cores; many stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def fit_forest(
     train: DataFrame,
     encoder: StringIndexerModel,

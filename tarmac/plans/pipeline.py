@@ -1,4 +1,4 @@
-"""Reports to marts: load, refresh what changed, export."""
+"""Reports to marts: load, then publish views and exports."""
 
 from __future__ import annotations
 
@@ -11,9 +11,8 @@ from tarmac.sources import archives
 from tarmac.sources.warehouse import Warehouse
 
 
-def refresh(warehouse: Warehouse, loaded: LoadResult, export_folder: str | None = None, overwrite: bool = True) -> None:
-    """Brings the summary of the changed months up to date, then the views and exports."""
-    warehouse.refresh_summary(loaded.periods, loaded.shrunk)
+def publish(warehouse: Warehouse, export_folder: str | None = None, overwrite: bool = True) -> None:
+    """Points tables and views at the current files, and exports the marts if a folder is given."""
     register_views(warehouse)
     if export_folder:
         export_marts(warehouse, export_folder, overwrite)
@@ -33,7 +32,7 @@ def run(
     """One incremental run over a month range."""
     loaded = ingest(warehouse, landing, start, end, rerun, dry_run, aliases)
     if not dry_run:
-        refresh(warehouse, loaded, export_folder, overwrite_exports)
+        publish(warehouse, export_folder, overwrite_exports)
     return loaded
 
 

@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.schema import CAUSES, FLIGHTS_SCHEMA, RAW_TO_CLEAN, REPORT_SCHEMA
 from tarmac.functions.calendar import report_name
 from tarmac.operators import clean
+from tarmac.schema import CAUSES, FLIGHTS_SCHEMA, RAW_TO_CLEAN, REPORT_SCHEMA
+from tarmac.session import spread
 
 ROW_KEY = "row_key"
 
@@ -67,7 +68,7 @@ def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Uncleaned flights: missing delays are NULL. Minutes are whole numbers."""
     lineitem, orders, customer, supplier, part = (read_table(spark, sf_dir, name) for name in TABLES)
     joined = (
-        lineitem.join(orders, F.expr("o_orderkey = l_orderkey"))
+        spread(lineitem).join(orders, F.expr("o_orderkey = l_orderkey"))
         .join(customer, F.expr("c_custkey = o_custkey"))
         .join(supplier, F.expr("s_suppkey = l_suppkey"))
         .join(part, F.expr("p_partkey = l_partkey"))

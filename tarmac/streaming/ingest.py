@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tarmac.plans.ingest import load_reports
-from tarmac.plans.pipeline import refresh
+from tarmac.plans.pipeline import publish
 from tarmac.sources.reports import collect_reports, reports_of_files
 from tarmac.sources.warehouse import Warehouse
 
@@ -27,8 +27,9 @@ def stream_reports(
     micro-batch reads its reports by column name, which a CSV stream cannot do:
     it binds columns by position. The checkpoint remembers which files were
     seen. A batch replayed after a crash replaces the partitions it wrote, so
-    each report counts once. Marts are refreshed per batch from the months that
-    changed, because their row windows are not defined on a stream.
+    each report counts once. Marts are batch queries over the summary, of which a
+    batch recomputes the months it changed: their row windows are not defined on
+    a stream.
     """
     files = (
         warehouse.spark.readStream.format("binaryFile")
@@ -41,8 +42,8 @@ def stream_reports(
     )
 
     def load_batch(batch: DataFrame, _: int) -> None:
-        loaded = load_reports(warehouse, collect_reports(reports_of_files(batch)), aliases)
-        refresh(warehouse, loaded, export_folder)
+        load_reports(warehouse, collect_reports(reports_of_files(batch)), aliases)
+        publish(warehouse, export_folder)
 
     return (
         files.writeStream.foreachBatch(load_batch)

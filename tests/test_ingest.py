@@ -127,19 +127,21 @@ def test_dry_run_writes_nothing(warehouse, landing):
     assert fingerprint(warehouse.flights()) == before and warehouse.load_log().count() == log
 
 
-def test_crash_between_rows_and_log_does_not_duplicate(warehouse, landing, monkeypatch):
+@pytest.mark.parametrize("step", ["refresh_summary", "append_log"])
+def test_crash_before_the_log_does_not_duplicate(warehouse, landing, monkeypatch, step):
     write_report(landing, 2025, 1, month_rows(3))
 
-    def crash(self, rows):
+    def crash(self, *args):
         raise RuntimeError("lost the driver")
 
     with monkeypatch.context() as patch:
-        patch.setattr(type(warehouse), "append_log", crash)
+        patch.setattr(type(warehouse), step, crash)
         with pytest.raises(RuntimeError):
             ingest(warehouse, landing, JAN, JAN)
     assert per_month(warehouse) == {JAN: 3} and warehouse.ledger().count() == 0
     ingest(warehouse, landing, JAN, JAN)
     assert per_month(warehouse) == {JAN: 3} and warehouse.ledger().count() == 1
+    assert marts.monthly_delays(warehouse.summary()).first().n_flights == 3
 
 
 def test_rows_of_another_month_do_not_touch_that_month(warehouse, landing):
