@@ -45,6 +45,20 @@ def pending(candidates: DataFrame, ledger: DataFrame) -> DataFrame:
     return candidates.join(loaded_files(ledger), "file_name", "left_anti")
 
 
+def load_plan(expected: DataFrame, listed: DataFrame, ledger: DataFrame) -> DataFrame:
+    """``(file_name, year, month, path, loaded)`` per expected report.
+
+    ``path`` is NULL if there is no such report yet; a report that lies in
+    several places has a row for each.
+    """
+    loaded = loaded_files(ledger).withColumn("loaded", F.lit(True))
+    return (
+        expected.join(listed.select("file_name", "path"), "file_name", "left")
+        .join(loaded, "file_name", "left")
+        .fillna(False, "loaded")
+    )
+
+
 def is_loaded(ledger: DataFrame, file_name: str) -> bool:
     hit = (F.col("file_name") == file_name) & (F.col("status") == STATUS_SUCCESS)
     return not ledger.where(hit).isEmpty()

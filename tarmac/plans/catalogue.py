@@ -233,6 +233,22 @@ def csv_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(warehouse)
 
 
+def dry_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What loading the reports would do, month by month, without loading them."""
+    landing = scratch_path(spark, "landing")
+    T.write_reports(spark, sf_dir, landing)
+    result = ingest(_new_warehouse(spark), landing, **MONTHS, dry_run=True)
+    return result.report().select("file_name", "year", "month", "status", "n_rows")
+
+
+def mart_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Route statistics exported as CSV and read back."""
+    view = marts.route_delay_stats(marts.flight_measures(T.flights(spark, sf_dir)))
+    folder = scratch_path(spark, "export")
+    views.export_csv(view, folder, single_file=True)
+    return rounded(spark.read.schema(view.schema).option("header", True).csv(folder))
+
+
 def marts_from_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loaded reports to airline statistics, by way of the stored summary."""
     landing = scratch_path(spark, "landing")
@@ -312,7 +328,9 @@ QUERIES: dict[str, Query] = {
     "preview": preview,
     "quality_report": quality_report,
     "csv_ingest_roundtrip": csv_ingest_roundtrip,
+    "dry_run_report": dry_run_report,
     "marts_from_summary": marts_from_summary,
+    "mart_exports": mart_exports,
     "zip_ingest": zip_ingest,
     "stream_ingest": stream_ingest,
     "delay_forest_predictions": delay_forest_predictions,

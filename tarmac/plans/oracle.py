@@ -151,6 +151,19 @@ _LOADED = _over_flights("SELECT * EXCLUDE (row_key) FROM flights")
 
 _AIRLINE_STATS = _over_flights(f"SELECT airline, {_STATS} FROM flights WHERE cancelled = 0 GROUP BY airline")
 
+_ROUTE_STATS = _over_flights(
+    f"SELECT route, origin, dest, {_STATS} FROM flights WHERE cancelled = 0 GROUP BY route, origin, dest"
+)
+
+# every month of 1995 to 2001; one without rows has no report
+_LOAD_REPORT = _over_flights(
+    "SELECT file_name, year, month, CASE WHEN n IS NULL THEN 'missing' ELSE 'success' END AS status, "
+    "coalesce(n, 0) AS n_rows FROM asked LEFT JOIN counted ON source_file = file_name",
+    "counted AS (SELECT source_file, count(*) AS n FROM flights GROUP BY source_file)",
+    "asked AS (SELECT CAST(y AS INT) AS year, CAST(m AS INT) AS month, printf('%d_%02d_Report.csv', y, m) AS file_name "
+    "FROM range(1995, 2002) years(y), range(1, 13) months(m))",
+)
+
 _CHECKS = """
 c AS (SELECT count(*) AS n,
   count(*) FILTER (dep_delay IS NULL OR arr_delay IS NULL OR arr_del15 IS NULL OR carrier_delay IS NULL
@@ -196,9 +209,7 @@ ORACLE_SQL: dict[str, str] = {
         + ", ".join(f"round(avg({c}), 6) AS avg_{c}" for c in CAUSES)
         + f" FROM flights WHERE cancelled = 0 AND {_ANY_CAUSE} GROUP BY airline"
     ),
-    "route_delay_stats": _over_flights(
-        f"SELECT route, origin, dest, {_STATS} FROM flights WHERE cancelled = 0 GROUP BY route, origin, dest"
-    ),
+    "route_delay_stats": _ROUTE_STATS,
     "airport_delay_stats": _over_flights(
         "SELECT origin AS airport, count(*) AS n_departures, round(avg(dep_delay), 6) AS avg_dep_delay, "
         "round(CAST(sum(arr_del15) AS DOUBLE) / count(*), 6) AS pct_arr_del15, "
@@ -304,7 +315,9 @@ UNION ALL SELECT 'routes have both ends', routed = both_ends, routed FROM c""",
         _CHECKS,
     ),
     "csv_ingest_roundtrip": _LOADED,
+    "dry_run_report": _LOAD_REPORT,
     "marts_from_summary": _AIRLINE_STATS,
+    "mart_exports": _ROUTE_STATS,
     "zip_ingest": _LOADED,
     "stream_ingest": _LOADED,
 }

@@ -61,10 +61,6 @@ def reports_of_files(files: DataFrame) -> DataFrame:
     return calendar.with_report_period(paths)
 
 
-def missing_reports(expected: DataFrame, listed: DataFrame) -> DataFrame:
-    return expected.join(listed.select("file_name"), "file_name", "left_anti")
-
-
 def collect_reports(reports: DataFrame) -> list[Report]:
     """At most one entry per month and landing path."""
     rows = reports.select("path", "file_name", "year", "month").orderBy("year", "month", "path").collect()

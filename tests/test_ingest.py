@@ -182,6 +182,15 @@ def test_header_aliases(warehouse, landing):
     assert warehouse.flights().first().airline == "AA"
 
 
+def test_two_reports_of_one_name_are_not_both_loaded(warehouse, landing):
+    write_report(landing + "/a", 2025, 1, month_rows(2))
+    write_report(landing + "/b", 2025, 1, month_rows(3))
+    write_report(landing + "/b", 2025, 2, month_rows(1))
+    ingest(warehouse, landing, JAN, FEB)
+    assert per_month(warehouse) == {FEB: 1}
+    assert ledger_rows(warehouse) == {"2025_01_Report.csv": ("failed", 0), "2025_02_Report.csv": ("success", 1)}
+
+
 def test_reset_empties_everything(warehouse, landing):
     write_report(landing, 2025, 1, month_rows(3))
     pipeline.run(warehouse, landing, JAN, JAN)
