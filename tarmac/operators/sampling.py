@@ -74,9 +74,12 @@ def _per_class(label: str, values: dict) -> Column:
     return column
 
 
-def _locate(rows: DataFrame, label: str, value: Column, position: dict) -> dict:
+def _counts(rows: DataFrame, label: str, value: Column) -> DataFrame:
+    return rows.groupBy(label, value.alias("value")).agg(F.count("*").alias("n"))
+
+
+def _locate(counts: DataFrame, label: str, position: dict) -> dict:
     """class -> (value that holds the class's position, rows before it, rows that share it)."""
-    counts = rows.groupBy(label, value.alias("value")).agg(F.count("*").alias("n"))
     upto = F.sum("n").over(W.partitionBy(label).orderBy("value"))
     target = _per_class(label, position)
     holds = (F.col("upto") >= target) & (F.col("upto") - F.col("n") < target)
@@ -92,24 +95,32 @@ def stratified_split(
     ``key`` names columns that identify a row; without it the whole row does.
     ``df`` is read several times, so pass a stored table.
     """
-    sizes = class_sizes(class_counts(df, label), test_size)
-    position = {c: test for c, (_, test) in sizes.items() if test > 0}
-
-    before, tied = F.lit(False), F.col(label).isin(list(position))
     hashes = [key_hash(seed, key)] if key else []
     hashes.append(row_hash(seed, df.columns))
+
+    coarse = _counts(df, label, F.substring(hashes[0], 1, _DIGITS[0])).persist()
+    try:
+        totals = coarse.groupBy(label).agg(F.sum("n").alias("n")).collect()
+        sizes = class_sizes({r[label]: r["n"] for r in totals}, test_size)
+        position = {c: test for c, (_, test) in sizes.items() if test > 0}
+        found = _locate(coarse, label, position)
+    finally:
+        coarse.unpersist()
+
+    before, tied = F.lit(False), F.col(label).isin(list(position))
     for hashed in hashes:
-        rows = df.where(tied)
-        undecided = rows
+        rows = undecided = df.where(tied)
         for digits in _DIGITS:
             prefix = F.substring(hashed, 1, digits)
-            found = _locate(undecided, label, prefix, position)
+            if found is None:
+                found = _locate(_counts(undecided, label, prefix), label, position)
             position = {c: position[c] - skipped for c, (_, skipped, _) in found.items()}
+            sharing = {c: n for c, (_, _, n) in found.items()}
             cut = _per_class(label, {c: value for c, (value, _, _) in found.items()})
-            undecided = rows.where(prefix == cut)
+            undecided, found = rows.where(prefix == cut), None
         before = before | (tied & (hashed < cut))
         tied = tied & (hashed == cut)
-        if all(position[c] == n for c, (_, _, n) in found.items()):
+        if position == sharing:
             in_test = F.coalesce(before | tied, F.lit(False))
             return Split(df.where(~in_test), df.where(in_test), sizes)
 
