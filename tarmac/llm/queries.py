@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tarmac.llm import bpe
+from tarmac.llm import bpe, decontaminate, language, line_quality, simhash_vp, token_store
+from tarmac.session import scratch_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -21,6 +23,46 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents written as Re-Pair blocks, read back from the files."""
+    path = scratch_path(spark, "token-store")
+    token_store.write_store(_table(spark, sf_dir, "documents"), path, VOCABULARY, end_id=2)
+    return token_store.read_store(spark, path)
+
+
+def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality measures and verdict of every document."""
+    return line_quality.judge(_table(spark, sf_dir, "documents"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash_vp.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from four of five folds."""
+    docs = _table(spark, sf_dir, "documents")
+    model = language.train(docs.where(~language.held_out()))
+    folds = docs.select("doc_id", "text", language.held_out().alias("held_out"))
+    said = language.predict(folds.select(F.struct("doc_id", "held_out").alias("row"), "text"), model, id_col="row")
+    return said.select("row.doc_id", "row.held_out", "lang_pred", "score", "ambiguous")
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    found = decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op4_token_store": op4_token_store,
+    "op5_line_quality": op5_line_quality,
+    "op6_simhash": op6_simhash,
+    "op7_language": op7_language,
+    "op8_decontamination": op8_decontamination,
 }
