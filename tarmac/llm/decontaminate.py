@@ -288,8 +288,8 @@ def report(
     """Per document ``id_col``, ``n_words``, ``n_hit``, ``items`` (ids as sorted strings), ``spans`` (start, stop) and ``contaminated``."""
     kept = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     found = _measured(matched(kept, items, "text", item_id, item_text, window, portion_words).drop("text"), coverage)
-    pairs = F.transform(F.sequence(F.lit(0), F.size("__spans") / 2 - 1), lambda i: F.struct(F.get("__spans", (2 * i).cast("int")).alias("start"), F.get("__spans", (2 * i + 1).cast("int")).alias("stop")))
-    spans = F.when(F.size("__spans") > 0, pairs).otherwise(F.array().cast("array<struct<start:bigint,stop:bigint>>"))
+    pair = lambda x, i: F.when(i % 2 == 0, F.struct(x.alias("start"), F.get("__spans", i + 1).alias("stop")))
+    spans = F.filter(F.transform("__spans", pair), lambda span: span.isNotNull())
     return found.select(
         F.col("id").alias(id_col), F.col("__n_words").alias("n_words"), F.col("__n_hit").alias("n_hit"), F.col("__items").alias("items"),
         spans.alias("spans"), F.col("__contaminated").alias("contaminated"),

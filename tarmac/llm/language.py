@@ -148,7 +148,7 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang",
         model = Model(languages, x, np.array([k for _, k in found], int))
         return pd.DataFrame({"model": [pickle.dumps(model)]})
 
-    fitted = sample.groupBy(F.lit(0)).applyInPandas(fit, "model binary").first()
+    fitted = sample.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(fit, "model binary").first()
     return pickle.loads(bytes(fitted[0])) if fitted else Model(languages, np.zeros((0, DIM), np.float32), np.zeros(0, int))
 
 

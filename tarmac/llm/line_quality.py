@@ -127,6 +127,11 @@ def clean(
     docs: DataFrame, text_col: str = "text", least_words: int = LEAST_WORDS,
     most_repeated: float = MOST_REPEATED, most_lost: float = MOST_LOST, window: int = WINDOW,
 ) -> DataFrame:
-    """The rows of ``docs`` that are kept, as they are."""
-    frame = _measured(docs, F.col(f"`{text_col}`"), window)
-    return _verdicts(frame, least_words, most_repeated, most_lost).where("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` that are kept, as they are.
+
+    The row number in the projection under the filter keeps Catalyst from moving the filter below
+    it: there the measures would be expressions inside one another, computed again for every element.
+    """
+    frame = _verdicts(_measured(docs, F.col(f"`{text_col}`"), window), least_words, most_repeated, most_lost)
+    frame = frame.withColumn("__fence", F.monotonically_increasing_id())
+    return frame.where(F.col("__kept") & (F.col("__fence") >= 0)).select(*[F.col(f"`{c}`") for c in docs.columns])
