@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, decontaminate, language, line_quality, simhash_vp, token_store
+from tarmac.llm import bpe, decontaminate, html_text, language, license_scan, line_quality, simhash_vp, token_store, url_rules
 from tarmac.session import scratch_path
 
+#: fixed values: verdicts and rules of the URL list
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -23,6 +25,28 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document.
+
+    The table has no paths, so they are made: source, language, hundreds of the id; every
+    tenth document is its directory's licence file, and of every thousand one that of its parent.
+    """
+    docs = _table(spark, sf_dir, "documents")
+    folder = F.concat_ws("/", "source", "lang", (F.col("doc_id") / 1000).cast("long"))
+    deep = F.concat_ws("/", folder, (F.col("doc_id") / 100).cast("long"))
+    path = (
+        F.when(F.col("doc_id") % 1000 < 10, F.concat(folder, F.lit("/LICENSE-"), F.col("doc_id")))
+        .when(F.col("doc_id") % 10 == 0, F.concat(deep, F.lit("/LICENSE-"), F.col("doc_id")))
+        .otherwise(F.concat(deep, F.lit("/"), F.col("doc_id"), F.lit(".txt")))
+    )
+    return license_scan.scan(docs.select("doc_id", "text", path.alias("path")), "doc_id")
+
+
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL by the rule list, else by rules mined from the labels."""
+    return url_rules.judge(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"), URL_RULES)
+
+
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents written as Re-Pair blocks, read back from the files."""
     path = scratch_path(spark, "token-store")
@@ -58,11 +82,19 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_license_scan": op2_license_scan,
+    "op3_url_rules": op3_url_rules,
     "op4_token_store": op4_token_store,
     "op5_line_quality": op5_line_quality,
     "op6_simhash": op6_simhash,
     "op7_language": op7_language,
     "op8_decontamination": op8_decontamination,
+    "op10_html_text": op10_html_text,
 }
