@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, decontaminate, html_text, language, license_scan, line_quality, simhash_vp, token_store, url_rules
+from tarmac.llm import bpe, decontaminate, html_text, language, license_scan, line_quality, pseudo_likelihood, simhash_vp, token_store, url_rules
 from tarmac.session import scratch_path
 
 #: fixed values: verdicts and rules of the URL list
@@ -82,6 +82,12 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudo-likelihood of every document under a network trained on the corpus."""
+    docs = _table(spark, sf_dir, "documents")
+    return pseudo_likelihood.score(docs, pseudo_likelihood.fit(docs))
+
+
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_text.extract(_table(spark, sf_dir, "pages"))
@@ -96,5 +102,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
     "op7_language": op7_language,
     "op8_decontamination": op8_decontamination,
+    "op9_pseudo_likelihood": op9_pseudo_likelihood,
     "op10_html_text": op10_html_text,
 }
