@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.llm.rows import text_of, wrapped
 from tarmac.session import stored
 
 #: words of a window, words of items in one automaton
@@ -225,39 +226,36 @@ def _portions(items: DataFrame, id_col: str, text_col: str, window: int, portion
 
 
 def matched(
-    docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
-    window: int = WINDOW, portion_words: int = PORTION_WORDS,
+    docs: DataFrame, items: DataFrame, item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, portion_words: int = PORTION_WORDS,
 ) -> DataFrame:
-    """``docs`` with ``__n_words``, ``__spans`` (merged hit spans, as start, stop, start, ...) and ``__items``."""
-    spark = docs.sparkSession
-    frame = docs.withColumns({
-        "__n_words": F.lit(0).cast("long"), "__spans": F.array().cast("array<bigint>"), "__items": F.array().cast("array<string>")
-    })
+    """``docs``, of which ``text`` is a string, with ``n_words``, ``spans`` (merged hit spans, as start, stop, start, ...) and ``items``."""
+    frame = docs.withColumns({"n_words": F.lit(0).cast("long"), "spans": F.array().cast("array<bigint>"), "items": F.array().cast("array<string>")})
     for packed, last in _portions(items, item_id, item_text, window, portion_words):
-        frame = _pass(frame, spark.sparkContext.broadcast(packed), text_col)
+        frame = _pass(frame, docs.sparkSession.sparkContext.broadcast(packed))
         if not last:
             frame = stored(frame, "decontamination")
     return frame
 
 
-def _pass(frame: DataFrame, shared, text_col: str) -> DataFrame:
+def _pass(frame: DataFrame, shared) -> DataFrame:
+    """Adds the hits of one portion to those of earlier ones."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton, cache = _automaton(shared.value)
         for batch in batches:
+            names = batch.schema.names
             sizes, spans, items = [], [], []
-            text = batch.column(batch.schema.names.index(text_col)).cast(pa.binary())
-            before = [batch.column(batch.schema.names.index(c)).to_pylist() for c in ("__spans", "__items")]
-            for cell, old_spans, old_items in zip(text, *before):
+            text, *before = (batch.column(names.index(c)) for c in ("text", "spans", "items"))
+            for cell, old_spans, old_items in zip(text.cast(pa.binary()), *(c.to_pylist() for c in before)):
                 words = words_of(cell.as_py())
                 found, hit = automaton.match(words, cache)
                 sizes.append(len(words))
                 spans.append(merged(old_spans, found))
                 items.append(sorted({*old_items, *(automaton.names[i] for i in hit)} - {None}))
             new = [pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-3], *new], names=batch.schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-3], *new], names=names)
 
-    text = F.col(f"`{text_col}`").cast("string").alias(text_col)
-    return frame.select(*[text if c == text_col else F.col(f"`{c}`") for c in frame.columns]).mapInArrow(run, frame.withColumn(text_col, text).schema)
+    return frame.mapInArrow(run, frame.schema)
 
 
 def merged(old: list[int], found: list[tuple[int, int]]) -> list[int]:
@@ -274,11 +272,10 @@ def merged(old: list[int], found: list[tuple[int, int]]) -> list[int]:
 
 
 def _measured(frame: DataFrame, coverage: tuple[int, int]) -> DataFrame:
-    """Adds ``__n_hit`` and ``__contaminated``."""
-    spans = F.col("__spans")
-    n_hit = F.aggregate(F.transform(spans, lambda x, i: F.when(i % 2 == 1, x).otherwise(-x)), F.lit(0).cast("long"), lambda a, x: a + x)
-    frame = frame.withColumn("__n_hit", n_hit)
-    return frame.withColumn("__contaminated", (F.col("__n_hit") > 0) & (F.col("__n_hit") * coverage[1] >= F.col("__n_words") * coverage[0]))
+    """Adds ``n_hit`` and ``contaminated``."""
+    ends = F.transform("spans", lambda x, i: F.when(i % 2 == 1, x).otherwise(-x))
+    frame = frame.withColumn("n_hit", F.aggregate(ends, F.lit(0).cast("long"), lambda a, x: a + x))
+    return frame.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * coverage[1] >= F.col("n_words") * coverage[0]))
 
 
 def report(
@@ -286,14 +283,11 @@ def report(
     window: int = WINDOW, coverage: tuple[int, int] = COVERAGE, portion_words: int = PORTION_WORDS,
 ) -> DataFrame:
     """Per document ``id_col``, ``n_words``, ``n_hit``, ``items`` (ids as sorted strings), ``spans`` (start, stop) and ``contaminated``."""
-    kept = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    found = _measured(matched(kept, items, "text", item_id, item_text, window, portion_words).drop("text"), coverage)
-    pair = lambda x, i: F.when(i % 2 == 0, F.struct(x.alias("start"), F.get("__spans", i + 1).alias("stop")))
-    spans = F.filter(F.transform("__spans", pair), lambda span: span.isNotNull())
-    return found.select(
-        F.col("id").alias(id_col), F.col("__n_words").alias("n_words"), F.col("__n_hit").alias("n_hit"), F.col("__items").alias("items"),
-        spans.alias("spans"), F.col("__contaminated").alias("contaminated"),
-    )
+    kept = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
+    found = _measured(matched(kept, items, item_id, item_text, window, portion_words).drop("text"), coverage)
+    pair = lambda x, i: F.when(i % 2 == 0, F.struct(x.alias("start"), F.get("spans", i + 1).alias("stop")))
+    spans = F.filter(F.transform("spans", pair), lambda span: span.isNotNull())
+    return found.select(F.col("id").alias(id_col), "n_words", "n_hit", "items", spans.alias("spans"), "contaminated")
 
 
 def cut(text: str, spans: list[int]) -> str:
@@ -316,17 +310,17 @@ def decontaminate(
     window: int = WINDOW, coverage: tuple[int, int] = COVERAGE, cut_spans: bool = True, portion_words: int = PORTION_WORDS,
 ) -> DataFrame:
     """``docs`` without contaminated rows; hits below the coverage limit are cut out of the others if ``cut_spans``."""
-    found = _measured(matched(docs, items, text_col, item_id, item_text, window, portion_words), coverage).where("not __contaminated")
-    if cut_spans:
-        shape = found.schema
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                at = batch.schema.names.index(text_col)
-                texts = batch.column(at).to_pylist()
-                spans = batch.column(batch.schema.names.index("__spans")).to_pylist()
-                new = pa.array([t if t is None else cut(t, s) for t, s in zip(texts, spans)], pa.string())
-                yield pa.RecordBatch.from_arrays([new if i == at else c for i, c in enumerate(batch.columns)], names=batch.schema.names)
-
-        found = found.mapInArrow(run, shape)
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
+    frame = wrapped(docs, text=text_of(text_col))
+    found = _measured(matched(frame, items, item_id, item_text, window, portion_words), coverage).where("not contaminated")
+    if not cut_spans:
+        return found.select("doc.*")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, spans = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            new = pa.array([t if t is None else cut(t, s) for t, s in zip(texts, spans)], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), new, batch.column(2)], names=["doc", "text", "spans"])
+
+    found = found.select("doc", "text", "spans")
+    done = found.mapInArrow(run, found.schema)
+    return done.select(*[F.col("text").alias(c) if c == text_col else F.col(f"doc.`{c}`") for c in docs.columns])

@@ -33,6 +33,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tarmac.llm.rows import text_of, wrapped
+
 #: expected texts of the training sample
 TRAIN_DOCS = 3000
 #: longest n-gram in bytes, hash buckets
@@ -152,8 +154,8 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang",
     return pickle.loads(bytes(fitted[0])) if fitted else Model(languages, np.zeros((0, DIM), np.float32), np.zeros(0, int))
 
 
-def _predicted(docs: DataFrame, model: Model, text_col: str, margin: float, names: tuple[str, str, str]) -> DataFrame:
-    """All columns of ``docs`` and the three of the prediction."""
+def _predicted(docs: DataFrame, model: Model, margin: float) -> DataFrame:
+    """``docs``, the last column of which is the text, with ``lang_pred``, ``score`` and ``ambiguous`` in its place."""
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
     state: dict[str, Model] = {}
 
@@ -164,7 +166,7 @@ def _predicted(docs: DataFrame, model: Model, text_col: str, margin: float, name
         for batch in batches:
             n = batch.num_rows
             label, score, unsure = [UNKNOWN] * n, np.zeros(n), np.zeros(n, bool)
-            texts = batch.column(batch.schema.names.index(text_col))
+            texts = batch.columns[-1]
             for at in range(0, n if model.languages else 0, 512):
                 found = [(at + i, f) for i, cell in enumerate(texts.slice(at, 512)) if (f := features(cell.as_py())) is not None]
                 if not found:
@@ -173,27 +175,23 @@ def _predicted(docs: DataFrame, model: Model, text_col: str, margin: float, name
                 said, score[rows], unsure[rows] = model.decide(np.stack([f for _, f in found]), margin)
                 for i, language in zip(rows.tolist(), said):
                     label[i] = language
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(label, pa.string()), pa.array(score, pa.float64()), pa.array(unsure, pa.bool_())],
-                names=[*batch.schema.names, *names],
-            )
+            new = [pa.array(label, pa.string()), pa.array(score, pa.float64()), pa.array(unsure, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *new], names=[*batch.schema.names[:-1], "lang_pred", "score", "ambiguous"])
 
-    kinds = (T.StringType(), T.DoubleType(), T.BooleanType())
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(n, k) for n, k in zip(names, kinds))]))
+    new = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())]
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields[:-1], *new]))
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", margin: float = MARGIN) -> DataFrame:
     """``id_col``, ``lang_pred``, ``score`` (0 to 1) and ``ambiguous`` of every row."""
-    kept = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    said = _predicted(kept, model, "text", margin, ("lang_pred", "score", "ambiguous"))
-    return said.select(F.col("id").alias(id_col), "lang_pred", "score", "ambiguous")
+    kept = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
+    return _predicted(kept, model, margin).withColumnRenamed("id", id_col)
 
 
 def keep_known(docs: DataFrame, model: Model, text_col: str = "text", margin: float = MARGIN) -> DataFrame:
     """``docs`` without rows that have no language or an ambiguous one."""
-    kept = docs.withColumn(text_col, F.col(f"`{text_col}`").cast("string"))
-    said = _predicted(kept, model, text_col, margin, ("__lang", "__score", "__ambiguous"))
-    return said.where((F.col("__lang") != UNKNOWN) & ~F.col("__ambiguous")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    said = _predicted(wrapped(docs, text=text_of(text_col)), model, margin)
+    return said.where((F.col("lang_pred") != UNKNOWN) & ~F.col("ambiguous")).select("doc.*")
 
 
 def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:

@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.llm.rows import text_of, wrapped
+
 #: words a document needs; its largest share of words in repeated windows; words of a window
 LEAST_WORDS, MOST_REPEATED, WINDOW = 50, 0.5, 3
 #: largest share of words that removed lines may take
@@ -62,14 +64,13 @@ def line_fails(line: Column) -> Column:
     )
 
 
-def _measured(docs: DataFrame, text: Column, window: int) -> DataFrame:
-    """``docs`` with the working columns ``__*``.
+def _measured(docs: DataFrame, window: int) -> DataFrame:
+    """``docs`` with its column ``text`` replaced by working columns ``__*``.
 
     The steps are separate projections on purpose: an array that a lambda refers to must be
     a column by then, or it would be computed again for every element.
     """
-    text = F.coalesce(text.cast("string"), F.lit(""))
-    frame = docs.withColumn("__text", text).withColumns({"__words": words_of(F.col("__text")), "__lines": F.split("__text", "\n", -1)})
+    frame = docs.withColumn("text", F.coalesce("text", F.lit(""))).withColumnRenamed("text", "__text").withColumns({"__words": words_of(F.col("__text")), "__lines": F.split("__text", "\n", -1)})
     w = F.col("__words")
     parts = lambda x, i: F.xxhash64(x, *[F.get(w, i + k) for k in range(1, window)])
     frame = frame.withColumns({
@@ -112,12 +113,12 @@ def judge(
 ) -> DataFrame:
     """Per row ``id_col``, the base measures, ``base_failed``, ``kept``, counts of lines; ``cleaned`` (the text
     without failed lines) if ``with_text``."""
-    kept = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__given"))
-    frame = _verdicts(_measured(kept, F.col("__given"), window), least_words, most_repeated, most_lost)
+    kept = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
+    frame = _verdicts(_measured(kept, window), least_words, most_repeated, most_lost)
     measures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lost_words"]
     cleaned = F.array_join(F.filter("__lines", lambda l: ~l.rlike(r"[^\x20\x09-\x0D]") | ~line_fails(l)), "\n")
     return frame.select(
-        F.col("__id").alias(id_col), *[F.col(f"__{m}").alias(m) for m in measures],
+        F.col("id").alias(id_col), *[F.col(f"__{m}").alias(m) for m in measures],
         F.size("__full").cast("long").alias("n_lines"), F.size("__failed").cast("long").alias("n_failed_lines"),
         *([cleaned.alias("cleaned")] if with_text else []),
     )
@@ -132,6 +133,6 @@ def clean(
     The row number in the projection under the filter keeps Catalyst from moving the filter below
     it: there the measures would be expressions inside one another, computed again for every element.
     """
-    frame = _verdicts(_measured(docs, F.col(f"`{text_col}`"), window), least_words, most_repeated, most_lost)
+    frame = _verdicts(_measured(wrapped(docs, text=text_of(text_col)), window), least_words, most_repeated, most_lost)
     frame = frame.withColumn("__fence", F.monotonically_increasing_id())
-    return frame.where(F.col("__kept") & (F.col("__fence") >= 0)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return frame.where(F.col("__kept") & (F.col("__fence") >= 0)).select("doc.*")

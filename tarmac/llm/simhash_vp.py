@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.llm.components import connected_components
+from tarmac.llm.rows import text_of, wrapped
 from tarmac.session import stored
 
 BITS = 64
@@ -70,7 +71,7 @@ def simhash(text: bytes | None, shingle_words: int, seed: int) -> int:
 
 
 def with_fingerprints(docs: DataFrame, text_col: str, name: str, shingle_words: int = 3, seed: int = 42) -> DataFrame:
-    """``docs`` with the fingerprint of ``text_col`` as a signed long, ``name``."""
+    """``docs`` with the fingerprint of its string column ``text_col`` as a signed long, ``name``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -78,7 +79,6 @@ def with_fingerprints(docs: DataFrame, text_col: str, name: str, shingle_words:
             found = np.array([simhash(cell.as_py(), shingle_words, seed) for cell in texts], np.uint64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.view(np.int64))], names=[*batch.schema.names, name])
 
-    docs = docs.withColumn(text_col, F.col(f"`{text_col}`").cast("string"))
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
 
 
@@ -234,7 +234,7 @@ def near_duplicates(
     shingle_words: int = 3, seed: int = 42, max_bits: int = 3, blocks: int = 4, shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
     """Per row ``id_col``, ``fingerprint`` (16 hex digits) and ``component_id`` (the smallest id reachable over links)."""
-    kept = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    kept = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
     prints = stored(with_fingerprints(kept, "text", "fp", shingle_words, seed).select("id", "fp"), "simhash")
     distinct = stored(prints.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
     rooted = classes(distinct, max_bits, blocks, shard_rows)
@@ -254,10 +254,11 @@ def drop_near_duplicates(
     Rows get numbers when they are first written, so repeated rows can be told apart and every
     component keeps exactly one.
     """
-    numbered = with_fingerprints(docs, text_col, "__fp", shingle_words, seed).withColumn("__row", F.monotonically_increasing_id())
+    given = wrapped(docs, id=F.col(f"`{id_col}`"), text=text_of(text_col))
+    numbered = with_fingerprints(given, "text", "fp", shingle_words, seed).drop("text").withColumn("row", F.monotonically_increasing_id())
     kept = stored(numbered, "simhash-rows")
-    place = F.struct(F.col(f"`{id_col}`").isNull().alias("unnamed"), F.col(f"`{id_col}`").alias("id"), F.col("__row").alias("row"))
-    distinct = stored(kept.groupBy(F.col("__fp").alias("fp")).agg(F.min(place).alias("first")), "simhash-distinct")
+    place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "row")
+    distinct = stored(kept.groupBy("fp").agg(F.min(place).alias("first")), "simhash-distinct")
     firsts = classes(distinct, max_bits, blocks, shard_rows).groupBy("root").agg(F.min("first").alias("first"))
-    chosen = stored(firsts.select(F.col("first.row").alias("__row")), "simhash-chosen")
-    return kept.join(chosen, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    chosen = stored(firsts.select("first.row"), "simhash-chosen")
+    return kept.join(chosen, "row", "left_semi").select("doc.*")

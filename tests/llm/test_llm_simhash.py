@@ -1,0 +1,119 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from llm_rows import ODD_ROWS
+from tarmac.llm import simhash_vp
+from tarmac.llm.components import connected_components
+
+
+def plain_print(text, n=3):
+    words = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
+    shingles = [b" ".join(words[i : i + n]) for i in range(len(words) - n + 1)] if len(words) >= n else [b" ".join(words)] if words else []
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(prints, max_bits=3):
+    """For every index the set of indices reachable."""
+    groups, left = {}, set(range(len(prints)))
+    while left:
+        front, part = [left.pop()], set()
+        while front:
+            i = front.pop()
+            part.add(i)
+            near = {j for j in left if (prints[i] ^ prints[j]).bit_count() <= max_bits}
+            left -= near
+            front += near
+        groups.update(dict.fromkeys(part, frozenset(part)))
+    return [groups[i] for i in range(len(prints))]
+
+
+def near_copies(seed):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(400)]
+    rows = []
+    for base in range(12):
+        words = [rng.choice(vocabulary) for _ in range(rng.randint(3, 220))]
+        for _ in range(rng.choice([1, 1, 2, 9])):
+            copy = list(words)
+            for _ in range(rng.choice([0, 0, 1, 2])):
+                copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+            rows.append((len(rows), " ".join(copy).upper() if rng.random() < 0.3 else "  ".join(copy)))
+    return rows
+
+
+def test_fingerprints_and_components(docs_of):
+    rows = near_copies(1) + [(1000 + i, t) for i, (_, t) in enumerate(ODD_ROWS)]
+    found = {r[0]: (r[1], r[2]) for r in simhash_vp.near_duplicates(docs_of(rows), shard_rows=8).collect()}
+    prints = [plain_print(t) for _, t in rows]
+    want = {i: (format(p, "016x"), min(rows[j][0] for j in part)) for (i, _), p, part in zip(rows, prints, plain_components(prints))}
+    assert found == want
+    assert len(set(c for _, c in found.values())) < len(rows)
+
+
+def test_null_and_repeated_ids(docs_of):
+    found = simhash_vp.near_duplicates(docs_of(ODD_ROWS)).collect()
+    assert len(found) == len(ODD_ROWS)
+    empty = {r[0]: r[2] for r in found if r[1] == "0" * 16}
+    assert empty == {2: 2, 3: 2, 4: 2, None: 2}
+
+
+@pytest.mark.parametrize("blocks", [1, 2, 4])
+@pytest.mark.parametrize("max_bits", [0, 3, 5])
+def test_trees_lose_no_link(blocks, max_bits, monkeypatch):
+    monkeypatch.setattr(simhash_vp, "COMPARED", 8)
+    rng = np.random.default_rng(blocks * 10 + max_bits)
+    points = []
+    for centre in rng.integers(0, 2**63, 12, dtype=np.uint64):
+        for _ in range(rng.integers(1, 40)):
+            point = int(centre)
+            for bit in rng.integers(0, 64, rng.integers(0, 6)):
+                point ^= 1 << int(bit)
+            points.append(point)
+    points = np.unique(np.array(points, np.uint64))
+    parent = {int(p): int(p) for p in points}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for metrics in simhash_vp.block_metrics(max_bits, blocks):
+        tree = simhash_vp.grow(rng.choice(points, min(len(points), 60)), metrics, 4)
+        rows, leaves = simhash_vp.visit(points, tree)
+        assert set(rows) == set(range(len(points)))
+        for leaf in np.unique(leaves):
+            for us, vs in simhash_vp.links(points[rows[leaves == leaf]], metrics, max_bits):
+                for u, v in zip(us.tolist(), vs.tolist()):
+                    parent[max(root(u), root(v))] = min(root(u), root(v))
+    parts = plain_components([int(p) for p in points], max_bits)
+    assert [root(int(p)) for p in points] == [min(int(points[j]) for j in part) for part in parts]
+
+
+def test_one_row_of_each_component_stays(docs_of):
+    rows = near_copies(2) + ODD_ROWS
+    docs = docs_of(rows)
+    kept = simhash_vp.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    parts = plain_components([plain_print(t) for _, t in rows])
+    want = sorted(min((i for j in part if (i := rows[j][0]) is not None), default=-1) for part in set(parts))
+    assert sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in kept.collect()) == want
+
+
+def test_empty_table(docs_of):
+    assert simhash_vp.near_duplicates(docs_of([])).count() == 0
+    assert simhash_vp.drop_near_duplicates(docs_of([])).count() == 0
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    edges = [(i, i + 1) for i in range(1, 60)] + [(100, x) for x in range(101, 130)] + [(200, 201), (201, 200), (201, 202), (300, 300)]
+    random.Random(0).shuffle(edges)
+    edges = [(b, a) if i % 2 else (a, b) for i, (a, b) in enumerate(edges)] + [(None, 5)]
+    found = dict(map(tuple, connected_components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()))
+    want = {i: 1 for i in range(2, 61)} | {x: 100 for x in range(101, 130)} | {201: 200, 202: 200}
+    assert found == want
+    assert connected_components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
