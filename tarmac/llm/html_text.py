@@ -53,6 +53,8 @@ DROPPED = set(
     "nav footer aside form script style head title template noscript iframe svg math object select button textarea "
     "canvas audio video dialog menu applet frameset".split()
 )
+#: dropped ones that stand inside a line of text and do not end its block
+INLINE_DROPPED = set("script style template noscript iframe svg math object select button textarea canvas audio video".split())
 RAW = set("script style textarea title noembed noframes xmp iframe".split())
 IN_HEAD = set("base link meta title style script noscript template".split())
 CLOSES_ITSELF = {
@@ -97,86 +99,107 @@ def _furniture(name: str, attributes: str) -> tuple[bool, bool, bool]:
     return ("header" in words and name not in HEADINGS), "header" in words, role == "main"
 
 
-def blocks(html: str | None) -> tuple[list[str], list[int]]:
-    """Texts and kinds of a page's blocks, in page order."""
-    html = html or ""
-    open_names: list[str] = []
-    states: list[tuple[bool, bool, bool, bool]] = []  # furniture, only by a header, in article, in main
-    found: list[tuple[str, tuple[bool, bool, bool, bool], bool]] = []
-    buffer: list[str] = []
-    heading = 0
-
-    def flush() -> None:
-        if buffer:
-            text = " ".join("".join(buffer).split())
-            buffer.clear()
+class _Reader:
+    """The open elements of a page and the block that is being read.
+
+    An element's state is whether its text is furniture, whether only a header makes it so, whether it is in an
+    article, whether it is in a main element, and whether it is furniture inside a line, which says nothing at all.
+    """
+
+    def __init__(self):
+        self.names: list[str] = []
+        self.states: list[tuple[bool, bool, bool, bool, bool]] = []
+        self.found: list[tuple[str, tuple, bool]] = []
+        self.buffer: list[str] = []
+        self.headings = 0
+        self.begun: tuple = ()
+
+    def state(self) -> tuple[bool, bool, bool, bool, bool]:
+        return self.states[-1] if self.states else (False,) * 5
+
+    def text(self, text: str) -> None:
+        if not self.state()[4]:
+            if not self.buffer:
+                self.begun = (self.state(), self.headings > 0)
+            self.buffer.append(text)
+
+    def flush(self) -> None:
+        if self.buffer:
+            text = " ".join("".join(self.buffer).split())
+            self.buffer.clear()
             if text:
-                found.append((text, states[-1] if states else (False, False, False, False), heading > 0))
+                self.found.append((text, *self.begun))
+
+    def close(self, place: int) -> None:
+        if self.names[place] not in INLINE and self.names[place] not in INLINE_DROPPED:
+            self.flush()
+        self.headings -= sum(n in HEADINGS for n in self.names[place:])
+        del self.names[place:], self.states[place:]
+
+    def end(self, name: str) -> None:
+        inline = name in INLINE or name in INLINE_DROPPED
+        for place in range(len(self.names) - 1, -1, -1):
+            if self.names[place] == name:
+                self.close(place)
+                return
+            if inline and self.names[place] not in INLINE and self.names[place] not in INLINE_DROPPED:
+                return
+
+    def start(self, name: str, attributes: str) -> None:
+        inline = name in INLINE or name in INLINE_DROPPED
+        if not inline:
+            self.flush()
+        if self.names and self.names[-1] == "head" and name not in IN_HEAD:
+            self.close(len(self.names) - 1)
+        if name == "p" or name in CLOSES_ITSELF:
+            for place in range(len(self.names) - 1, -1, -1):
+                if self.names[place] == name:
+                    self.close(place)
+                    break
+                if self.names[place] in CLOSES_ITSELF.get(name, ()) or (name == "p" and self.names[place] not in INLINE):
+                    break
+        outer = self.state()
+        furniture, header, role_main = _furniture(name, attributes)
+        by_header = outer[1] and not (furniture and not header) if outer[0] else furniture and header
+        self.names.append(name)
+        self.states.append((
+            outer[0] or furniture, by_header, outer[2] or name == "article", outer[3] or name == "main" or role_main, outer[4] or (furniture and inline)
+        ))
+        self.headings += name in HEADINGS
 
-    def close(to: int) -> None:
-        nonlocal heading
-        flush()
-        heading -= sum(n in HEADINGS for n in open_names[to:])
-        del open_names[to:], states[to:]
 
-    at = 0
+def blocks(html: str | None) -> tuple[list[str], list[int]]:
+    """Texts and kinds of a page's blocks, in page order."""
+    html, page, at = html or "", _Reader(), 0
     while at < len(html):
         token = _TOKEN.search(html, at)
         text = html[at : token.start() if token else len(html)]
         if text:
-            buffer.append(unescape(text))
+            page.text(unescape(text))
         if token is None:
             break
         at = token.end()
         if token[2] is None:
             continue
-        name, ending = token[2].lower(), bool(token[1])
+        name = token[2].lower()
         if name == "br":
-            buffer.append(" ")
-        elif ending:
-            for place in range(len(open_names) - 1, -1, -1):
-                if open_names[place] == name:
-                    if name in INLINE and not any(states[place][k] != states[-1][k] for k in (0, 2)):
-                        del open_names[place], states[place]
-                    else:
-                        close(place)
-                    break
-                if name in INLINE and open_names[place] not in INLINE:
-                    break
-        elif name in VOID:
-            if name == "hr":
-                flush()
-        else:
-            if name not in INLINE:
-                flush()
-            if open_names and open_names[-1] == "head" and name not in IN_HEAD:
-                close(len(open_names) - 1)
-            if name == "p" or name in CLOSES_ITSELF:
-                for place in range(len(open_names) - 1, -1, -1):
-                    if open_names[place] == name:
-                        close(place)
-                        break
-                    if open_names[place] in CLOSES_ITSELF.get(name, ()) or (name == "p" and open_names[place] not in INLINE):
-                        break
-            outer = states[-1] if states else (False, False, False, False)
-            furniture, header, role_main = _furniture(name, token[3])
-            by_header = (furniture and header and not outer[0]) or (outer[0] and outer[1] and not (furniture and not header))
-            state = (outer[0] or furniture, by_header, outer[2] or name == "article", outer[3] or name == "main" or role_main)
-            if name in INLINE and state[0] != outer[0]:
-                flush()
+            page.text(" ")
+        elif token[1]:
+            page.end(name)
+        elif name == "hr":
+            page.flush()
+        elif name not in VOID:
+            page.start(name, token[3])
             if name in RAW:
                 stop = re.compile(f"</{re.escape(name)}", re.I).search(html, at)
                 at = stop.start() if stop else len(html)
-            open_names.append(name)
-            states.append(state)
-            heading += name in HEADINGS
-    flush()
-    inside = 2 if any(s[2] for _, s, _ in found) else 3
+    page.flush()
+    inside = 2 if any(state[2] for _, state, _ in page.found) else 3
     kinds = []
-    for _, state, in_heading in found:
+    for _, state, in_heading in page.found:
         kept_heading = state[1] and in_heading and state[inside]
         kinds.append(FURNITURE if state[0] and not kept_heading else ARTICLE if state[inside] else OPEN)
-    return [t for t, _, _ in found], kinds
+    return [t for t, _, _ in page.found], kinds
 
 
 # --- alignment ----------------------------------------------------------------------------------------------------

@@ -19,7 +19,7 @@ training, but as often as they occur in the counts. Without any training text th
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from zlib import crc32
 
 import numpy as np
@@ -88,14 +88,14 @@ class Network:
             found[at : at + PIECE] = right - np.log(np.exp(logits).sum(1) + 1e-30) + self.inside[own]
         return found
 
-    def train(self, docs: list[np.ndarray], seed: int) -> int:
+    def train(self, docs: list[np.ndarray], seed: int, batch: int = BATCH) -> int:
         """One pass of AdaGrad over all tokens in shuffled batches; returns their number."""
         ids, places = joined(docs)
         np.random.default_rng(seed).shuffle(places)
         w = self.weights
         memory = {k: np.full(v.shape if k != "embed" else (len(v), 1), 0.1, np.float32) for k, v in w.items()}
-        for at in range(0, len(places), BATCH):
-            some = places[at : at + BATCH]
+        for at in range(0, len(places), batch):
+            some = places[at : at + batch]
             around = self._around(ids, some)
             seen = w["embed"][around]
             hidden = np.tanh((seen * w["scale"]).sum(1) + w["hidden"])
@@ -138,7 +138,7 @@ def bucket_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return counts
 
 
-def fit(docs: DataFrame, text_col: str = "text", share: int = SHARE, rounds: int = ROUNDS, trainer_bytes: int = TRAINER_BYTES) -> Network:
+def fit(docs: DataFrame, text_col: str = "text", share: int = SHARE, rounds: int = ROUNDS, trainer_bytes: int = TRAINER_BYTES, batch: int = BATCH) -> Network:
     """A network trained on one of ``share`` texts, with the counts of all documents."""
     network = Network(bucket_counts(docs, text_col))
     text = F.col(text_col).cast("string").alias("text")
@@ -152,14 +152,8 @@ def fit(docs: DataFrame, text_col: str = "text", share: int = SHARE, rounds: int
     for round_ in range(rounds):
         shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(network))
 
-        def work(texts: pd.DataFrame, round_=round_, shared=shared) -> pd.DataFrame:
-            own: Network = pickle.loads(shared.value)
-            trainer = int(texts["trainer"].iloc[0])
-            tokens = own.train([token_ids(t.encode()) for t in sorted(texts["text"])], seed=1000 * trainer + round_)
-            return pd.DataFrame({"trainer": [trainer], "tokens": [tokens], "weights": [pickle.dumps(own.weights)]})
-
         shape = "trainer bigint, tokens bigint, weights binary"
-        found, left = stored(dealt.groupBy("trainer").applyInPandas(work, shape), "lm-weights"), trainers
+        found, left = stored(dealt.groupBy("trainer").applyInPandas(trainer(shared, round_, batch), shape), "lm-weights"), trainers
         while left > 1:
             found = found.withColumn("trainer", F.floor(F.col("trainer") / AVERAGED)).groupBy("trainer").applyInPandas(averaged, shape)
             found, left = stored(found, "lm-weights"), -(-left // AVERAGED)
@@ -167,6 +161,18 @@ def fit(docs: DataFrame, text_col: str = "text", share: int = SHARE, rounds: int
     return network
 
 
+def trainer(shared, round_: int, batch: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """What trains the broadcast network on the texts of one trainer."""
+
+    def work(texts: pd.DataFrame) -> pd.DataFrame:
+        own: Network = pickle.loads(shared.value)
+        number = int(texts["trainer"].iloc[0])
+        tokens = own.train([token_ids(t.encode()) for t in sorted(texts["text"])], seed=1000 * number + round_, batch=batch)
+        return pd.DataFrame({"trainer": [number], "tokens": [tokens], "weights": [pickle.dumps(own.weights)]})
+
+    return work
+
+
 def averaged(some: pd.DataFrame) -> pd.DataFrame:
     """The mean of up to ``AVERAGED`` weights by their tokens."""
     some = some.sort_values(["tokens", "weights"])

@@ -1,0 +1,78 @@
+import zlib
+
+import numpy as np
+import pytest
+
+from llm_rows import ODD_ROWS
+from tarmac.llm import language
+
+WORDS = {
+    "en": "the and of that with which there house water people would about other their time".split(),
+    "fr": "le la les des que avec pour dans maison peuple être temps leurs quand toujours".split(),
+    "de": "der die das und nicht mit für haus wasser leute würde über andere ihre zeit".split(),
+}
+
+
+def labelled(n=40):
+    rng = np.random.default_rng(0)
+    return [(100 * k + i, " ".join(rng.choice(w, 30)), lang) for k, (lang, w) in enumerate(sorted(WORDS.items())) for i in range(n)]
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return language.train(spark.createDataFrame(labelled(), "doc_id bigint, text string, lang string"))
+
+
+def test_held_out_accuracy(spark, docs_of, model):
+    rng = np.random.default_rng(7)
+    rows = [(i, " ".join(rng.choice(WORDS[lang], 25)), lang) for i, lang in enumerate(sorted(WORDS) * 20)]
+    found = {r["doc_id"]: r for r in language.predict(docs_of(rows), model).collect()}
+    assert np.mean([found[i]["lang_pred"] == lang for i, _, lang in rows]) > 0.95
+    assert all(0 <= r["score"] <= 1 for r in found.values())
+
+
+def test_odd_rows(docs_of, model):
+    found = language.predict(docs_of(ODD_ROWS), model).collect()
+    assert len(found) == len(ODD_ROWS)
+    unknown = sorted(str(r["doc_id"]) for r in found if r["lang_pred"] == "und")
+    assert unknown == sorted(["2", "3", "4", "None"]) and all(r["score"] == 0 for r in found if r["lang_pred"] == "und")
+    digits = language.predict(docs_of([(1, "123 -- ?!"), (2, "²")]), model).collect()
+    assert [r["lang_pred"] for r in digits] == ["und", "und"]
+
+
+def test_mixed_text_is_less_sure(docs_of, model):
+    mixed = " ".join(a + " " + b for a, b in zip(WORDS["en"], WORDS["fr"]))
+    rows = {r["doc_id"]: r for r in language.predict(docs_of([(1, mixed), (2, " ".join(WORDS["en"] * 2))]), model, margin=3.0).collect()}
+    assert rows[1]["score"] < rows[2]["score"] and rows[1]["ambiguous"]
+
+
+def test_known_rows_stay_as_they_are(docs_of, model):
+    docs = docs_of([*labelled(2), (900, None), (901, "12"), *labelled(1)])
+    kept = language.keep_known(docs, model)
+    assert kept.columns == docs.columns and kept.count() == 9
+
+
+def test_few_labels(docs_of):
+    none = language.train(docs_of([(1, "text", None), (2, None, "en")]))
+    assert {r["lang_pred"] for r in language.predict(docs_of([(1, "some text")]), none).collect()} == {"und"}
+    one = language.train(docs_of([(1, "the house", "en"), (2, "", "en")]))
+    assert [(r["lang_pred"], r["ambiguous"]) for r in language.predict(docs_of([(1, "any text"), (2, None)]), one).collect()] == [("en", False), ("und", False)]
+    assert language.predict(docs_of([]), one).count() == 0
+    assert language.train(docs_of([])).languages == []
+
+
+@pytest.mark.parametrize("classes", [2, 3, 4, 6, 12])
+def test_codewords_differ(classes):
+    code = language.codewords(classes)
+    apart = [(code[i] != code[j]).sum() for i in range(classes) for j in range(i)]
+    assert min(apart) >= (1 if classes == 2 else 2) and all(abs(c.sum()) < classes for c in code.T)
+
+
+def test_long_text_equals_its_repetition():
+    once, often = language.features("ab cd " * 1000), language.features("ab cd " * 300_000)
+    assert np.abs(once - often).max() < 0.01
+
+
+def test_held_out_fold(spark):
+    df = spark.createDataFrame([(i,) for i in range(200)] + [(None,)], "doc_id bigint").withColumn("h", language.held_out())
+    assert all(h == (i is not None and zlib.crc32(str(i).encode()) % 5 == 0) for i, h in df.collect())

@@ -1,0 +1,73 @@
+import numpy as np
+import pytest
+
+from llm_rows import ODD_ROWS
+from tarmac.llm import pseudo_likelihood as pl
+
+
+def sentences(n, seed=0):
+    """Texts whose words follow one another by rule: even places from one list, odd ones from another."""
+    rng = np.random.default_rng(seed)
+    first, second = [f"aa{i}" for i in range(12)], [f"bb{i}" for i in range(12)]
+    return [" ".join((first if j % 2 else second)[(rng.integers(0, 2) + i) % 12] for j in range(60)) for i in range(n)]
+
+
+@pytest.fixture(scope="module")
+def network(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(sentences(300))], "doc_id bigint, text string")
+    return pl.fit(docs, share=1, rounds=3, trainer_bytes=50_000, batch=32)
+
+
+def test_order_counts(spark, network):
+    rng = np.random.default_rng(1)
+    real = sentences(20, seed=5)
+    mixed = [" ".join(rng.permutation(t.split())) for t in real]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(real + mixed)], "doc_id bigint, text string")
+    found = {r["doc_id"]: r["mean_log"] for r in pl.score(docs, network).collect()}
+    assert np.mean([found[i] for i in range(20)]) > np.mean([found[i] for i in range(20, 40)]) + 0.1
+
+
+def test_probabilities_sum_to_one(network):
+    ids, places = pl.joined([pl.token_ids(b"aa1 bb2 aa3 bb4 aa5")])
+    every = []
+    for bucket in range(pl.BUCKETS):
+        ids[places[2]] = bucket
+        every.append(network.log_probabilities(ids, places[2:3])[0])
+    assert np.exp(every).sum() == pytest.approx(1, abs=1e-3)
+
+
+def test_own_token_is_masked(network):
+    ids, places = pl.joined([pl.token_ids(b"aa1 bb2 aa3 bb4 aa5")])
+    before = network.log_probabilities(ids, places)
+    # a token beyond the window changes nothing
+    ids[places[4]] = 5
+    assert network.log_probabilities(ids, places)[:2] == pytest.approx(before[:2])
+
+
+def test_odd_rows_and_pieces(spark, docs_of, network, monkeypatch):
+    found = pl.score(docs_of(ODD_ROWS), network).collect()
+    got = sorted((str(r["doc_id"]), r["n_tokens"], round(r["log_likelihood"], 2)) for r in found)
+    want = []
+    for doc_id, text in ODD_ROWS:
+        ids, places = pl.joined([pl.token_ids((text or "").encode())])
+        want.append((str(doc_id), len(places), round(float(network.log_probabilities(ids, places).sum()), 2)))
+    assert [g[:2] for g in got] == [w[:2] for w in sorted(want)]
+    assert all(abs(g[2] - w[2]) <= 0.02 + 1e-4 * abs(w[2]) for g, w in zip(got, sorted(want)))
+    assert all((r["mean_log"] is None) == (r["n_tokens"] == 0) for r in found)
+
+
+def test_counts_cover_everything(spark, docs_of):
+    counts = pl.bucket_counts(docs_of(ODD_ROWS))
+    assert counts.sum() == sum(len(pl.token_ids((t or "").encode())) for _, t in ODD_ROWS)
+
+
+def test_weights_do_not_depend_on_partitions(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(sentences(60))], "doc_id bigint, text string")
+    a, b = (pl.fit(d, share=1, rounds=1, trainer_bytes=4_000).weights for d in (docs.repartition(2), docs.repartition(5)))
+    assert all(np.array_equal(a[k], b[k]) for k in a)
+
+
+def test_empty_table(docs_of):
+    network = pl.fit(docs_of([]))
+    assert pl.score(docs_of([]), network).count() == 0
+    assert pl.score(docs_of([(1, "a b")]), network).first()["n_tokens"] == 2
