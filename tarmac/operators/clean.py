@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions import columns as C
@@ -31,6 +31,12 @@ def select_report_columns(raw: DataFrame, *extra: str) -> DataFrame:
     return raw.select(*RAW_TO_CLEAN, *extra).withColumnsRenamed(RAW_TO_CLEAN)
 
 
+#: a decimal number, with an exponent or not; Java's parser alone would also take ``5d`` or ``0x1p3``
+NUMBER = r"^\\s*[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?\\s*$"
+
+NUMERIC = [*INT_COLUMNS, *DOUBLE_COLUMNS]
+
+
 def _present(name: str) -> str:
     """The text of a field, NULL for every token that means "missing"."""
     tokens = ", ".join(f"'{token}'" for token in NA_TOKENS)
@@ -38,32 +44,30 @@ def _present(name: str) -> str:
 
 
 def _parsed(name: str) -> str:
-    """The typed field, NULL if it does not parse. Ints go through double: ``'1.00'`` is 1."""
-    if name in INT_COLUMNS:
-        return f"try_cast(try_cast({_present(name)} AS double) AS int)"
-    if name in DOUBLE_COLUMNS:
-        return f"try_cast({_present(name)} AS double)"
-    return _present(name)
+    """The number that a present text spells, NULL if it spells none. Ints go through double: ``'1.00'`` is 1."""
+    number = f"CASE WHEN {name} RLIKE '{NUMBER}' THEN try_cast({name} AS double) END"
+    return f"try_cast({number} AS int)" if name in INT_COLUMNS else number
 
 
-def row_is_bad() -> Column:
-    """True where a text row cannot be loaded: its whole report is then rejected.
+def parse_text_rows(text: DataFrame, bad: str | None = None) -> DataFrame:
+    """Typed columns from the all-string report columns; other columns are kept.
 
-    That is a flag which must be present but is not, a number that does not
-    parse, or (column ``_overflow`` of the report reader) more fields than the
-    header has.
+    ``bad`` names a flag to add: true where a row cannot be loaded, so that its whole report
+    is rejected. That is a flag which must be present but is not, a number that does not
+    parse, or (column ``_overflow`` of the report reader) more fields than the header
+    has. Present texts, numbers and the flag are three projections, each field being looked
+    at once in each.
     """
-    missing_flag = [f"{_parsed(c)} IS NULL" for c in REQUIRED_FLAGS]
-    unparsable = [
-        f"({_present(c)} IS NOT NULL AND {_parsed(c)} IS NULL)" for c in [*INT_COLUMNS, *DOUBLE_COLUMNS]
-    ]
-    return F.expr(" OR ".join([*missing_flag, *unparsable, "_overflow IS NOT NULL"]))
-
-
-def parse_text_rows(text: DataFrame) -> DataFrame:
-    """Typed columns from the all-string report columns; other columns are kept."""
     others = [c for c in text.columns if c not in REPORT_SCHEMA.names]
-    return text.selectExpr(*others, *[f"{_parsed(c)} AS {c}" for c in REPORT_SCHEMA.names])
+    present = text.selectExpr(*others, *[f"{_present(c)} AS {c}" for c in REPORT_SCHEMA.names])
+    texts = [c for c in REPORT_SCHEMA.names if c not in NUMERIC]
+    typed = present.selectExpr(*others, *texts, *[f"{_parsed(c)} AS {c}" for c in NUMERIC], *[f"{c} IS NOT NULL AS _given_{c}" for c in NUMERIC if bad])
+    columns = [*others, *REPORT_SCHEMA.names]
+    if bad is None:
+        return typed.select(columns)
+    missing_flag = [f"{c} IS NULL" for c in REQUIRED_FLAGS]
+    unparsable = [f"(_given_{c} AND {c} IS NULL)" for c in NUMERIC]
+    return typed.selectExpr(*columns, f"{' OR '.join([*missing_flag, *unparsable, '_overflow IS NOT NULL'])} AS {bad}")
 
 
 def _filled(name: str, sql_type: str) -> str:

@@ -45,6 +45,13 @@ def pending(candidates: DataFrame, ledger: DataFrame) -> DataFrame:
     return candidates.join(loaded_files(ledger), "file_name", "left_anti")
 
 
+def without_lost_success(results: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Results without the failures of files whose earlier load is still in the table."""
+    kept = loaded_files(ledger).withColumn("kept", F.lit(True))
+    joined = results.join(kept, "file_name", "left")
+    return joined.where((F.col("status") == STATUS_SUCCESS) | F.col("kept").isNull()).drop("kept")
+
+
 def load_plan(expected: DataFrame, listed: DataFrame, ledger: DataFrame) -> DataFrame:
     """``(file_name, year, month, path, loaded)`` per expected report.
 

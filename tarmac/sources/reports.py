@@ -1,14 +1,16 @@
 """Monthly CSV reports: listing, header check, reading by column name.
 
 There is one report per month, so lists of reports are bounded by the number of
-months, not by the data; rows never reach the driver.
+months, lists of parts by the number of files; rows never reach the driver.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import csv
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,12 +20,15 @@ from tarmac.functions import calendar
 from tarmac.operators import clean
 from tarmac.schema import RAW_TO_CLEAN, REPORT_SCHEMA
 
+#: names of report files and parts; parts that come from archives are written as text
+PART_FILES = "*.{csv,txt}"
+
 CSV_OPTIONS = {"header": True, "escape": '"'}
 
 
 @dataclass(frozen=True)
 class Report:
-    """One monthly report: a CSV file, or a folder of CSV parts with equal headers."""
+    """One monthly report: a CSV file, or a folder of CSV parts, each with a header of its own."""
 
     path: str
     file_name: str
@@ -31,28 +36,31 @@ class Report:
     month: int
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+#: the header of every part of some reports, by the part's path
+Headers = dict[str, tuple[str, ...]]
+
+
+def unless_missing(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` gives, None if its path does not exist; the path is listed once."""
     try:
-        spark.read.format("binaryFile").load(path)
-        return True
+        return read()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return False
+            return None
         raise
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return unless_missing(lambda: spark.read.format("binaryFile").load(path)) is not None
+
+
 def list_reports(spark: SparkSession, landing: str) -> DataFrame:
     """``(path, file_name, year, month)`` of the reports below a folder; contents are not read."""
-    if not path_exists(spark, landing):
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", PART_FILES)
+    files = unless_missing(lambda: reader.load(landing))
+    if files is None:
         return spark.createDataFrame([], "path string, file_name string, year int, month int")
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .load(landing)
-        .select("path")
-    )
-    return reports_of_files(files)
+    return reports_of_files(files.select("path"))
 
 
 def reports_of_files(files: DataFrame) -> DataFrame:
@@ -67,22 +75,40 @@ def collect_reports(reports: DataFrame) -> list[Report]:
     return [Report(**row.asDict()) for row in rows]
 
 
-def read_header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names of a report; reads the first line only."""
-    return tuple(spark.read.options(**CSV_OPTIONS).csv(path).columns)
+#: makes every part a scan task of its own: no split, and no second part beside it
+_ONE_PART_PER_TASK = {"spark.sql.files.maxPartitionBytes": "1p", "spark.sql.files.openCostInBytes": "1p"}
+
+
+def read_headers(spark: SparkSession, reports: list[Report]) -> Headers:
+    """The first line of every part, split into names; one job, of which a task reads the beginning of one part.
 
+    The driver holds one header per part. Empty parts have none.
+    """
+    if not reports:
+        return {}
+
+    def first_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
 
-def read_headers(spark: SparkSession, reports: list[Report]) -> dict[Report, tuple[str, ...] | Exception]:
-    """The header of each report, or the exception that reading it raised."""
+    before = {key: spark.conf.get(key) for key in _ONE_PART_PER_TASK}
+    try:
+        for key, value in _ONE_PART_PER_TASK.items():
+            spark.conf.set(key, value)
+        lines = spark.read.option("pathGlobFilter", PART_FILES).text([report.path for report in reports]).select("_metadata.file_path", "value")
+        rows = lines.mapInArrow(first_row, "file_path string, value string").collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    return {row["file_path"]: tuple(next(csv.reader([row["value"].removeprefix("\ufeff")]), ())) for row in rows}
 
-    def peek(report: Report):
-        try:
-            return read_header(spark, report.path)
-        except Exception as error:  # any failure rejects this report, not the run
-            return error
 
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        return dict(zip(reports, pool.map(peek, reports)))
+def headers_of(report: Report, headers: Headers) -> Headers:
+    """The parts of one report."""
+    own = report.path.rstrip("/").rpartition(":")[2].lstrip("/")
+    return {path: h for path, h in headers.items() if (p := path.rpartition(":")[2].lstrip("/")) == own or p.startswith(own + "/")}
 
 
 def missing_columns(header: tuple[str, ...], aliases: dict[str, str]) -> list[str]:
@@ -90,19 +116,17 @@ def missing_columns(header: tuple[str, ...], aliases: dict[str, str]) -> list[st
     return [name for name in RAW_TO_CLEAN if name not in present]
 
 
-def read_text_rows(
-    spark: SparkSession, headers: dict[Report, tuple[str, ...]], aliases: dict[str, str] | None = None
-) -> DataFrame:
-    """The report columns of many reports as text, with ``source_file``.
+def read_text_rows(spark: SparkSession, headers: Headers, aliases: dict[str, str] | None = None) -> DataFrame:
+    """The report columns of many parts as text, with ``source_file``.
 
-    CSV columns are bound by position, so reports are read in groups of equal
+    CSV columns are bound by position, so parts are read in groups of equal
     headers, each with its own schema, and appended by name. ``_overflow`` is
     the first field beyond the header, if a row has one.
     """
     aliases = aliases or {}
     groups: dict[tuple[str, ...], list[str]] = {}
-    for report, header in headers.items():
-        groups.setdefault(header, []).append(report.path)
+    for path, header in headers.items():
+        groups.setdefault(header, []).append(path)
 
     frames = []
     for header, paths in groups.items():
@@ -123,6 +147,6 @@ def validate_rows(text: DataFrame) -> DataFrame:
     Reads every report once; rows are counted on the map side, so the shuffle
     holds a few rows per report.
     """
-    typed = clean.parse_text_rows(text.withColumn("bad", clean.row_is_bad()))
+    typed = clean.parse_text_rows(text, bad="bad")
     counts = [F.expr("count(*) AS n_rows"), F.expr("count_if(bad) AS n_bad")]
     return typed.groupBy("source_file", "year", "month").agg(*counts)

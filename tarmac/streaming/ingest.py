@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tarmac.plans.ingest import load_reports
+from tarmac.functions import calendar
+from tarmac.plans.ingest import LoadResult, load_reports
 from tarmac.plans.pipeline import publish
-from tarmac.sources.reports import collect_reports, reports_of_files
+from tarmac.schema import STATUS_FAILED
+from tarmac.sources.reports import PART_FILES, collect_reports, list_reports, reports_of_files
 from tarmac.sources.warehouse import Warehouse
 
+#: the file source forgets files older than this, in comparison with the newest one
+NO_AGE_LIMIT = "36500d"
+
 _FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -21,28 +27,41 @@ def stream_reports(
     aliases: dict[str, str] | None = None,
     max_files: int = 1000,
 ) -> StreamingQuery:
-    """Loads every report that landed since the last run, then stops.
+    """Loads every report that landed since the last run, whatever its age, then stops.
+
+    Before that, reports whose last load failed are tried again, as a repaired file at
+    the same path is not new to the stream.
 
     The stream carries file paths only (contents are pruned from the scan); each
     micro-batch reads its reports by column name, which a CSV stream cannot do:
     it binds columns by position. The checkpoint remembers which files were
-    seen. A batch replayed after a crash replaces the partitions it wrote, so
-    each report counts once. Marts are batch queries over the summary, of which a
+    seen. A report is loaded whole, with all its parts in the landing folder, by the first batch that has one of them;
+    later batches of the run load it again only for parts that were not there then. A batch replayed after a crash
+    replaces the partitions it wrote, so each report counts once. Marts are batch queries over the summary, of which a
     batch recomputes the months it changed: their row windows are not defined on
     a stream.
     """
+    retry_failed(warehouse, landing, export_folder, aliases)
     files = (
         warehouse.spark.readStream.format("binaryFile")
         .schema(_FILE_SCHEMA)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", PART_FILES)
         .option("maxFilesPerTrigger", max_files)
+        .option("maxFileAge", NO_AGE_LIMIT)
         .load(landing)
         .select("path")
     )
+    read: dict[str, set[str]] = {}
 
     def load_batch(batch: DataFrame, _: int) -> None:
-        load_reports(warehouse, collect_reports(reports_of_files(batch)), aliases)
+        parts = batch.select("path", calendar.report_name_of(F.col("path")).alias("file_name")).where("file_name != ''").collect()  # max_files at most
+        new = {row["file_name"] for row in parts if _place(row["path"]) not in read.get(row["file_name"], ())}
+        reports = [report for report in collect_reports(reports_of_files(batch)) if report.file_name in new]
+        if not reports:
+            return
+        result = load_reports(warehouse, reports, aliases)
+        read.update({name: {_place(path) for path in paths} for name, paths in result.parts.items()})
         publish(warehouse, export_folder)
 
     return (
@@ -51,3 +70,19 @@ def stream_reports(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def retry_failed(warehouse: Warehouse, landing: str, export_folder: str | None = None, aliases: dict[str, str] | None = None) -> LoadResult | None:
+    """Loads the reports in the landing folder whose last result is a failure."""
+    failed = warehouse.ledger().where(F.col("status") == STATUS_FAILED).select("file_name")
+    reports = collect_reports(list_reports(warehouse.spark, landing).join(failed, "file_name", "left_semi"))
+    if not reports:
+        return None
+    result = load_reports(warehouse, reports, aliases)
+    publish(warehouse, export_folder)
+    return result
+
+
+def _place(path: str) -> str:
+    """A path without its scheme, of which listings differ."""
+    return path.rpartition(":")[2].lstrip("/")

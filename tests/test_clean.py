@@ -53,16 +53,21 @@ def test_text_that_is_not_a_token_stays(spark):
         ({"OP_CARRIER_FL_NUM": ""}, False),
         ({"OP_CARRIER_FL_NUM": "12X"}, True),
         ({"DEP_DELAY": " 5.00"}, False),
+        ({"DEP_DELAY": "5d"}, True),
+        ({"OP_CARRIER_FL_NUM": "12f"}, True),
+        ({"DISTANCE": "0x1p3"}, True),
+        ({"DISTANCE": "1e2"}, False),
+        ({"DEP_DELAY": "-.5"}, False),
     ],
 )
 def test_bad_rows(spark, change, bad):
     rows = text_rows(spark, [raw_row(**change)])
-    assert rows.select(clean.row_is_bad().alias("bad")).first().bad is bad
+    assert clean.parse_text_rows(rows, bad="bad").first().bad is bad
 
 
 def test_more_fields_than_the_header_is_bad(spark):
     rows = text_rows(spark, [raw_row()], overflow="x")
-    assert rows.select(clean.row_is_bad().alias("bad")).first().bad
+    assert clean.parse_text_rows(rows, bad="bad").first().bad
 
 
 def test_route_is_added_or_backfilled(spark):

@@ -2,6 +2,7 @@ import random
 
 import pytest
 from conftest import month_rows, raw_row, write_report
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tarmac.operators import ledger, marts
@@ -94,16 +95,45 @@ def test_an_unreadable_report_fails_alone(warehouse, landing, monkeypatch):
 
     def broken(spark, headers, aliases=None):
         text = real(spark, headers, aliases)
-        if any(r.month == 1 for r in headers):
-            text = text.withColumn("year", F.expr("CASE WHEN month = '1' THEN raise_error('unreadable') ELSE year END"))
+        if any("2025_01" in path for path in headers):
+            text = text.withColumn("year", F.expr(f"CASE WHEN month = '1' THEN raise_error('{message}') ELSE year END"))
         return text
 
     monkeypatch.setattr(R, "read_text_rows", broken)
+    message = "a lost executor"
+    with pytest.raises(PySparkException, match=message):
+        ingest(warehouse, landing, JAN, FEB)
+    assert warehouse.load_log().count() == 0
+    message = "FAILED_READ_FILE"
     result = statuses(ingest(warehouse, landing, JAN, FEB))
     assert result == {"2025_01_Report.csv": ("failed", 0), "2025_02_Report.csv": ("success", 2)}
     assert per_month(warehouse) == {FEB: 2}
 
 
+def test_parts_are_read_by_their_own_headers(spark, warehouse, landing):
+    columns = list(RAW_TO_CLEAN)
+    swapped = [{"ORIGIN": "DEST", "DEST": "ORIGIN"}.get(c, c) for c in columns]
+    folder = f"{landing}/2025_01_Report.csv"
+    write_report(folder, 2025, 1, month_rows(2), columns, name="part-0.csv")
+    write_report(folder, 2025, 1, month_rows(3), swapped, name="part-1.csv")
+    open(f"{folder}/part-2.csv", "w").close()
+    ingest(warehouse, landing, JAN, JAN)
+    assert {(r.route, r["count"]) for r in warehouse.flights().groupBy("route").count().collect()} == {("JFK-LAX", 5)}
+    write_report(f"{landing}/2025_02_Report.csv", 2025, 2, month_rows(2), columns, name="part-0.csv")
+    write_report(f"{landing}/2025_02_Report.csv", 2025, 2, month_rows(2), [c for c in columns if c != "DEST"], name="part-1.csv")
+    headers = R.read_headers(spark, R.collect_reports(R.list_reports(spark, landing)))
+    assert len(headers) == 4
+    assert statuses(ingest(warehouse, landing, FEB, FEB)) == {"2025_02_Report.csv": ("failed", 0)}
+
+
+def test_a_failed_rerun_keeps_the_loaded_rows_and_their_log(warehouse, landing):
+    write_report(landing, 2025, 1, month_rows(3))
+    ingest(warehouse, landing, JAN, JAN)
+    write_report(landing, 2025, 1, [raw_row(CANCELLED="")])
+    assert statuses(ingest(warehouse, landing, JAN, JAN, rerun=True)) == {"2025_01_Report.csv": ("failed", 0)}
+    assert per_month(warehouse) == {JAN: 3} and ledger_rows(warehouse)["2025_01_Report.csv"] == ("success", 3)
+
+
 def test_rerun_replaces_only_its_months(warehouse, landing):
     write_report(landing, 2025, 1, month_rows(3))
     write_report(landing, 2025, 2, month_rows(4))

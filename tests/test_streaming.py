@@ -1,14 +1,17 @@
+import os
 import random
+import time
 
 from conftest import month_rows, raw_row, write_report
 
 from tarmac.operators.quality import fingerprint
 from tarmac.schema import RAW_TO_CLEAN
+from tarmac.streaming import ingest as streaming
 from tarmac.streaming.ingest import stream_reports
 
 
-def run(warehouse, landing, checkpoint):
-    query = stream_reports(warehouse, landing, checkpoint)
+def run(warehouse, landing, checkpoint, **options):
+    query = stream_reports(warehouse, landing, checkpoint, **options)
     query.awaitTermination()
     assert query.exception() is None
 
@@ -41,3 +44,39 @@ def test_a_replayed_batch_changes_nothing(warehouse, landing, tmp_path):
     before = fingerprint(warehouse.flights())
     run(warehouse, landing, str(tmp_path / "two"))  # a lost checkpoint sees every file again
     assert fingerprint(warehouse.flights()) == before
+
+
+def test_old_files_count(warehouse, landing, tmp_path):
+    checkpoint = str(tmp_path / "checkpoint")
+    write_report(landing, 2025, 1, month_rows(1))
+    run(warehouse, landing, checkpoint)
+    for month, days in ((2, 8), (3, 400)):
+        path = write_report(landing, 2025, month, month_rows(month))
+        then = time.time() - days * 86400
+        os.utime(path, (then, then))
+    run(warehouse, landing, checkpoint)
+    assert warehouse.flights().count() == 6
+
+
+def test_a_repaired_report_is_tried_again(warehouse, landing, tmp_path):
+    checkpoint = str(tmp_path / "checkpoint")
+    write_report(landing, 2025, 1, [raw_row(CANCELLED="")])
+    run(warehouse, landing, checkpoint)
+    assert warehouse.ledger().first().status == "failed"
+    write_report(landing, 2025, 1, month_rows(4))
+    run(warehouse, landing, checkpoint)
+    assert warehouse.flights().count() == 4 and warehouse.ledger().first().status == "success"
+
+
+def test_a_report_in_parts_is_loaded_once(warehouse, landing, tmp_path, monkeypatch):
+    loads = []
+    real = streaming.load_reports
+    monkeypatch.setattr(streaming, "load_reports", lambda w, reports, *a, **k: loads.append([r.file_name for r in reports]) or real(w, reports, *a, **k))
+    folder, checkpoint = f"{landing}/2025_01_Report.csv", str(tmp_path / "checkpoint")
+    for part in range(5):
+        write_report(folder, 2025, 1, month_rows(2), name=f"part-{part}.csv")
+    run(warehouse, landing, checkpoint, max_files=2)
+    assert loads == [["2025_01_Report.csv"]] and warehouse.flights().count() == 10
+    write_report(folder, 2025, 1, month_rows(2), name="part-9.csv")
+    run(warehouse, landing, checkpoint, max_files=2)
+    assert len(loads) == 2 and warehouse.flights().count() == 12
