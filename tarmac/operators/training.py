@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from tarmac.functions import columns as C
 from tarmac.operators.marts import operated
 from tarmac.schema import BASE_FEATURES, CATEGORICAL_FEATURES, OPTIONAL_FEATURES, TARGET
-from tarmac.session import spread
+
+#: partitions that a forest's rows are dealt into
+FOREST_PARTITIONS = 32
 
 #: features known before departure: no delay and no cause of it
 PRE_DEPARTURE = ["distance", "month", "day_of_week"]
@@ -78,15 +80,20 @@ def assemble(encoded: DataFrame, features: list[str]) -> DataFrame:
 
 def fit_forest(
     train: DataFrame,
+    features: list[str],
     encoder: StringIndexerModel,
     weights: dict,
     n_trees: int = 100,
     max_depth: int = 10,
     seed: int = 42,
+    partitions: int = FOREST_PARTITIONS,
 ) -> RandomForestClassificationModel:
     """A class-weighted random forest over assembled rows.
 
-    A nominal feature needs a bin per value, so ``maxBins`` follows the encoder.
+    A nominal feature needs a bin per value, so ``maxBins`` follows the encoder. Spark draws the
+    bootstrap per partition, so rows are dealt into ``partitions`` by their values and sorted: the same rows
+    and seed give one forest whatever the cores, files or row order. ``partitions`` belongs
+    to the model like ``seed``; raise it with the number of rows.
     """
     bins = max(32, max(len(labels) for labels in encoder.labelsArray) + 1)
     forest = RandomForestClassifier(
@@ -100,8 +107,9 @@ def fit_forest(
         seed=seed,
         maxMemoryInMB=1024,
     )
-    weighted = train.select("features", TARGET, weight_column(weights).alias("_weight"))
-    return forest.fit(spread(weighted))
+    values = [*model_inputs(features), TARGET]
+    dealt = train.repartition(partitions, *values).sortWithinPartitions(*values)
+    return forest.fit(dealt.select("features", TARGET, weight_column(weights).alias("_weight")))
 
 
 def predict(model: RandomForestClassificationModel, rows: DataFrame, features: list[str]) -> DataFrame:

@@ -29,7 +29,6 @@ from tarmac.streaming.ingest import stream_reports
 Query = Callable[[SparkSession, str], DataFrame]
 
 DIGITS = 6
-MONTHS = {"start": (1995, 1), "end": (2001, 12)}
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -82,7 +81,7 @@ def schema_evolution_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``day_of_week`` comes out as a double: clients disagree on integers with gaps.
     """
-    flights = T.flights(spark, sf_dir)
+    flights = stored(T.flights(spark, sf_dir).select("row_key", "year", *ADDED_COLUMNS), "flights")
     old = flights.where("year < 1998").drop(*ADDED_COLUMNS)
     both = clean.union_by_name([flights.where("year >= 1998"), old])
     rows = clean.add_missing_columns(both).select("row_key", "year", *ADDED_COLUMNS)
@@ -90,7 +89,8 @@ def schema_evolution_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.preview(T.flights(spark, sf_dir))
+    flights = T.flights(spark, sf_dir)
+    return views.preview(flights.orderBy(*flights.columns))
 
 
 # --- months and the load log ------------------------------------------------
@@ -139,7 +139,7 @@ def ledger_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ledger_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected reports that are there and were not loaded successfully yet."""
-    current = ledger.current_ledger(load_events(spark, sf_dir).where("seq <= 28"))
+    current = ledger.current_ledger(load_events(spark, sf_dir))
     return ledger.pending(month_axis(spark, sf_dir), current).select("file_name", "year", "month")
 
 
@@ -162,7 +162,8 @@ def _all_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def label_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _all_training_rows(spark, sf_dir).select("row_key", "airline", "origin", "dest")
+    columns = ["row_key", "airline", "origin", "dest"]
+    rows = stored(training.training_rows(T.flights(spark, sf_dir), keep=KEY).select(*columns), "training-codes")
     encoded = encoding.encode(rows, encoding.fit_encoder(rows))
     return encoded.withColumns({f"{c}_code": F.col(f"{c}_code").cast("int") for c in ["airline", "origin", "dest"]})
 
@@ -174,8 +175,10 @@ def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of the classes in the training part."""
     rows = training.training_rows(T.flights(spark, sf_dir))
-    return rounded(training.class_weights(spark, sampling.class_counts(rows, TARGET)))
+    sizes = sampling.class_sizes(sampling.class_counts(rows, TARGET), test_size=0.2)
+    return rounded(training.class_weights(spark, {c: n for c, (n, _) in sizes.items()}))
 
 
 def split_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,6 +213,19 @@ def delay_forest_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_forest(spark, sf_dir).predictions)
 
 
+def forest_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold for any forest: one row."""
+    result = _forest(spark, sf_dir)
+    seen = result.predictions.agg(
+        F.count("*").alias("test_rows"),
+        F.coalesce(F.sum("actual_arr_del15"), F.lit(0)).cast("long").alias("late_rows"),
+        F.expr("count_if(delay_probability between 0 and 1)").alias("in_range"),
+        F.expr("count_if(predicted_arr_del15 = cast(delay_probability > 0.5 as int) or delay_probability = 0.5)").alias("consistent"),
+    )
+    ranked = result.importance.agg(F.count("*").alias("features"), F.round(F.sum("importance"), 6).alias("importance_sum"))
+    return seen.join(ranked).join(result.roc_auc().select((F.col("roc_auc") > 0.9).alias("auc_above_0_9")))
+
+
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_forest(spark, sf_dir).importance)
 
@@ -220,24 +236,35 @@ def _table(warehouse: Warehouse) -> DataFrame:
     return warehouse.flights().select(*FLIGHTS_SCHEMA.names)
 
 
+def _months(spark: SparkSession, sf_dir: str) -> dict[str, tuple[int, int]]:
+    """First and last month shipped, as the range to load."""
+    shipped = T.read_table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("day"))
+    first, last = shipped.agg(F.min("day"), F.max("day")).first()
+    return {"start": (first.year, first.month), "end": (last.year, last.month)}
+
+
+def _loaded(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, str, dict]:
+    """A warehouse into which the reports of all rows were loaded, their folder and the months asked for."""
+    landing, warehouse, months = scratch_path(spark, "landing"), _new_warehouse(spark), _months(spark, sf_dir)
+    T.write_reports(spark, sf_dir, landing)
+    ingest(warehouse, landing, **months)
+    return warehouse, landing, months
+
+
 def _new_warehouse(spark: SparkSession) -> Warehouse:
     return Warehouse(spark, scratch_path(spark, "warehouse"))
 
 
 def csv_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows written as monthly CSV reports and loaded back."""
-    landing = scratch_path(spark, "landing")
-    T.write_reports(spark, sf_dir, landing)
-    warehouse = _new_warehouse(spark)
-    ingest(warehouse, landing, **MONTHS)
-    return _table(warehouse)
+    return _table(_loaded(spark, sf_dir)[0])
 
 
 def dry_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What loading the reports would do, month by month, without loading them."""
     landing = scratch_path(spark, "landing")
     T.write_reports(spark, sf_dir, landing)
-    result = ingest(_new_warehouse(spark), landing, **MONTHS, dry_run=True)
+    result = ingest(_new_warehouse(spark), landing, **_months(spark, sf_dir), dry_run=True)
     return result.report().select("file_name", "year", "month", "status", "n_rows")
 
 
@@ -254,7 +281,7 @@ def marts_from_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = scratch_path(spark, "landing")
     T.write_reports(spark, sf_dir, landing)
     warehouse = _new_warehouse(spark)
-    pipeline.run(warehouse, landing, **MONTHS)
+    pipeline.run(warehouse, landing, **_months(spark, sf_dir))
     return rounded(views.select(spark, "SELECT * FROM v_airline_delay_stats"))
 
 
@@ -274,9 +301,9 @@ def _zip_each(csv_files: DataFrame) -> DataFrame:
 
 
 def zip_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows written as reports, zipped, unpacked into a landing folder and loaded."""
+    """Rows written as reports of one part, zipped, unpacked into a landing folder and loaded."""
     csv_folder, landing = scratch_path(spark, "reports"), scratch_path(spark, "landing")
-    T.write_reports(spark, sf_dir, csv_folder, maxRecordsPerFile=200_000)
+    T.write_reports(spark, sf_dir, csv_folder, one_part=True)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
     archives.land(_zip_each(files.load(csv_folder)), landing)
     warehouse = _new_warehouse(spark)
@@ -293,6 +320,91 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(warehouse)
 
 
+def load_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load log, without its time, after reports of which those of March miss a flag on the first day."""
+    landing, warehouse = scratch_path(spark, "landing"), _new_warehouse(spark)
+    broken = F.when((F.col("MONTH") == 3) & (F.col("DAY_OF_MONTH") == 1), None).otherwise(F.col("CANCELLED"))
+    T.write_reports(spark, sf_dir, landing, change=lambda rows: rows.withColumn("CANCELLED", broken))
+    ingest(warehouse, landing, **_months(spark, sf_dir))
+    return warehouse.ledger().select("file_name", "year", "month", "n_rows", "status")
+
+
+def rerun_replaces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per report after those of the first year were rerun with the first half of each month alone."""
+    warehouse, _, months = _loaded(spark, sf_dir)
+    again, year = scratch_path(spark, "landing"), months["start"][0]
+    T.write_reports(spark, sf_dir, again, change=lambda rows: rows.where("DAY_OF_MONTH <= 15"))
+    ingest(warehouse, again, months["start"], (year, 12), rerun=True)
+    return ledger.file_row_counts(warehouse.flights())
+
+
+def reset_then_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows appended, the tables emptied, and the rows appended again."""
+    warehouse, rows = _new_warehouse(spark), stored(T.flights(spark, sf_dir).drop("row_key"), "flights")
+    warehouse.create_tables()
+    warehouse.append_flights(rows)
+    warehouse.reset()
+    warehouse.append_flights(rows)
+    return _table(warehouse)
+
+
+def ledger_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected reports with a successful load, by the log and by a query with a bound status."""
+    current = ledger.current_ledger(load_events(spark, sf_dir))
+    current.createOrReplaceTempView("load_events_log")
+    asked = views.select(spark, "SELECT file_name, n_rows FROM load_events_log WHERE status = :status", {"status": "success"})
+    known = ledger.already_loaded(month_axis(spark, sf_dir), current).select("file_name", "year", "month")
+    newest = month_axis(spark, sf_dir).agg(F.max("file_name")).first()[0]
+    return known.join(asked, "file_name").withColumn("newest_is_loaded", F.lit(ledger.is_loaded(current, newest)))
+
+
+def ledger_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last ten reports of the log."""
+    log = _as_date(ledger.current_ledger(load_events(spark, sf_dir)))
+    return views.preview(log.orderBy(F.desc("file_name")).select("file_name", "year", "month", "ingested_at", "n_rows", "status"))
+
+
+def repeat_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a second run and a dry rerun did to each report, and whether they left the table as it was."""
+    warehouse, landing, months = _loaded(spark, sf_dir)
+    pipeline.publish(warehouse)
+    before = quality.fingerprint(warehouse.flights())
+    again = ingest(warehouse, landing, **months).report().select("file_name", F.col("status").alias("second_run"))
+    after = quality.fingerprint(warehouse.flights())
+    dry = ingest(warehouse, landing, **months, rerun=True, dry_run=True).report()
+    tables = quality.tables_exist(spark, ["flights", "ingested_files"])
+    same = before == after == quality.fingerprint(warehouse.flights())
+    return again.join(dry.select("file_name", F.col("status").alias("dry_rerun"), "n_rows"), "file_name").withColumns({
+        "unchanged": F.lit(same), "tables_exist": F.lit(all(tables.values())),
+    })
+
+
+def all_mart_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every exported mart; a second export that keeps what is there changes nothing."""
+    warehouse, folder = _new_warehouse(spark), scratch_path(spark, "export")
+    warehouse.create_tables()
+    warehouse.append_flights(T.flights(spark, sf_dir))
+    months = warehouse.flights().select("year", "month").distinct().collect()
+    warehouse.refresh_summary({(row["year"], row["month"]) for row in months})
+    views.export_marts(warehouse, folder)
+    warehouse.reset()
+    views.export_marts(warehouse, folder, overwrite=False)
+    counts = [
+        spark.read.option("header", True).csv(f"{folder}/{name.removeprefix('v_')}").agg(F.count("*").alias("n_rows")).withColumn("mart", F.lit(name))
+        for name in marts.MEASURE_VIEWS
+    ]
+    return clean.union_by_name(counts).select("mart", "n_rows")
+
+
+def stream_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly delays after two runs of the stream: the odd months land first, then the others."""
+    landing, warehouse, checkpoint = scratch_path(spark, "landing"), _new_warehouse(spark), scratch_path(spark, "stream")
+    for odd in (1, 0):
+        T.write_reports(spark, sf_dir, f"{landing}/{odd}", change=lambda rows, odd=odd: rows.where(f"MONTH % 2 = {odd}"))
+        stream_reports(warehouse, landing, checkpoint).awaitTermination()
+    return rounded(views.select(spark, "SELECT * FROM v_monthly_delays"))
+
+
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.flight_checks(T.flights(spark, sf_dir), list(RAW_TO_CLEAN.values()))
 
@@ -335,4 +447,13 @@ QUERIES: dict[str, Query] = {
     "stream_ingest": stream_ingest,
     "delay_forest_predictions": delay_forest_predictions,
     "feature_importance": feature_importance,
+    "forest_checks": forest_checks,
+    "load_failures": load_failures,
+    "rerun_replaces": rerun_replaces,
+    "reset_then_load": reset_then_load,
+    "ledger_loaded": ledger_loaded,
+    "ledger_preview": ledger_preview,
+    "repeat_runs": repeat_runs,
+    "all_mart_exports": all_mart_exports,
+    "stream_marts": stream_marts,
 }

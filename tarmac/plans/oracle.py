@@ -155,13 +155,14 @@ _ROUTE_STATS = _over_flights(
     f"SELECT route, origin, dest, {_STATS} FROM flights WHERE cancelled = 0 GROUP BY route, origin, dest"
 )
 
-# every month of 1995 to 2001; one without rows has no report
+# every month from the first to the last shipped; one without rows has no report
 _LOAD_REPORT = _over_flights(
     "SELECT file_name, year, month, CASE WHEN n IS NULL THEN 'missing' ELSE 'success' END AS status, "
     "coalesce(n, 0) AS n_rows FROM asked LEFT JOIN counted ON source_file = file_name",
     "counted AS (SELECT source_file, count(*) AS n FROM flights GROUP BY source_file)",
-    "asked AS (SELECT CAST(y AS INT) AS year, CAST(m AS INT) AS month, printf('%d_%02d_Report.csv', y, m) AS file_name "
-    "FROM range(1995, 2002) years(y), range(1, 13) months(m))",
+    "asked AS (SELECT CAST(year(m) AS INT) AS year, CAST(month(m) AS INT) AS month, "
+    "printf('%d_%02d_Report.csv', year(m), month(m)) AS file_name FROM (SELECT unnest(generate_series("
+    "date_trunc('month', min(l_shipdate)), date_trunc('month', max(l_shipdate)), INTERVAL 1 MONTH)) AS m FROM lineitem))",
 )
 
 _CHECKS = """
@@ -178,6 +179,19 @@ c AS (SELECT count(*) AS n,
   count(*) FILTER (origin IS NOT NULL AND dest IS NOT NULL) AS both_ends
   FROM flights)""".replace("ANY_CAUSE", _ANY_CAUSE)
 
+_MONTHLY_DELAYS = _over_flights(
+    "SELECT year, month, round(avg(arr_delay), 6) AS avg_arr_delay, count(*) AS n_flights "
+    "FROM flights WHERE cancelled = 0 GROUP BY year, month"
+)
+
+_MARTS = {
+    "v_airline_delay_stats": "airline",
+    "v_monthly_delays": "year, month",
+    "v_airline_rolling_metrics": "year, month, airline",
+    "v_airline_vs_month_avg": "year, month, airline",
+    "v_route_delay_stats": "route, origin, dest",
+}
+
 ORACLE_SQL: dict[str, str] = {
     "clean_flights": _over_flights("SELECT * FROM flights"),
     "flights_base": _over_flights(
@@ -185,10 +199,7 @@ ORACLE_SQL: dict[str, str] = {
         "cancelled, diverted, route FROM flights WHERE cancelled = 0"
     ),
     "airline_delay_stats": _AIRLINE_STATS,
-    "monthly_delays": _over_flights(
-        "SELECT year, month, round(avg(arr_delay), 6) AS avg_arr_delay, count(*) AS n_flights "
-        "FROM flights WHERE cancelled = 0 GROUP BY year, month"
-    ),
+    "monthly_delays": _MONTHLY_DELAYS,
     "airline_month_base": _over_flights(
         "SELECT year, month, airline, round(a, 6) AS avg_arr_delay, n AS n_flights FROM airline_month", _AIRLINE_MONTH
     ),
@@ -237,7 +248,7 @@ m AS (SELECT year, month, airline, count(arr_delay) AS n_flights, avg(arr_delay)
     ),
     "month_axis": f"WITH {_AXIS.strip()} SELECT year, month, file_name, n_months FROM axis",
     "ledger_pending": (
-        f"WITH {_AXIS.strip()}, {_EVENTS.strip()}, {_newest('seq <= 28').strip()} "
+        f"WITH {_AXIS.strip()}, {_EVENTS.strip()}, {_newest().strip()} "
         "SELECT file_name, year, month FROM axis WHERE NOT EXISTS "
         "(SELECT 1 FROM ledger WHERE ledger.file_name = axis.file_name AND status = 'success')"
     ),
@@ -272,8 +283,9 @@ m AS (SELECT year, month, airline, count(arr_delay) AS n_flights, avg(arr_delay)
     "class_weights": _over_flights(
         "SELECT arr_del15, count(*) AS n_rows, "
         "round(CAST(sum(count(*)) OVER () AS DOUBLE) / (count(*) OVER () * count(*)), 6) AS weight "
-        "FROM t GROUP BY arr_del15",
+        "FROM split WHERE part = 'train' GROUP BY arr_del15",
         _TRAINING,
+        _SPLIT,
     ),
     "split_summary": _over_flights(
         "SELECT count(*) FILTER (part = 'train') AS train_size, count(*) FILTER (part = 'test') AS test_size, "
@@ -320,4 +332,42 @@ UNION ALL SELECT 'routes have both ends', routed = both_ends, routed FROM c""",
     "mart_exports": _ROUTE_STATS,
     "zip_ingest": _LOADED,
     "stream_ingest": _LOADED,
+    "forest_checks": _over_flights(
+        "SELECT count(*) AS test_rows, CAST(sum(arr_del15) AS BIGINT) AS late_rows, count(*) AS in_range, count(*) AS consistent, "
+        "CAST(12 AS BIGINT) AS features, CAST(1 AS DOUBLE) AS importance_sum, TRUE AS auc_above_0_9 FROM split WHERE part = 'test'",
+        _TRAINING,
+        _SPLIT,
+    ),
+    "load_failures": _over_flights(
+        "SELECT source_file AS file_name, year, month, CASE WHEN bad THEN 0 ELSE n END AS n_rows, "
+        "CASE WHEN bad THEN 'failed' ELSE 'success' END AS status FROM "
+        "(SELECT source_file, year, month, count(*) AS n, bool_or(month = 3 AND day = 1) AS bad FROM flights GROUP BY ALL) r"
+    ),
+    "rerun_replaces": _over_flights(
+        "SELECT source_file, count(*) AS n_rows FROM flights WHERE year > (SELECT min(year) FROM flights) OR day <= 15 "
+        "OR source_file NOT IN (SELECT source_file FROM flights WHERE day <= 15) GROUP BY source_file"
+    ),
+    "reset_then_load": _LOADED,
+    "ledger_loaded": (
+        f"WITH {_AXIS.strip()}, {_EVENTS.strip()}, {_newest().strip()} "
+        "SELECT axis.file_name, axis.year, axis.month, CAST(n_rows AS BIGINT) AS n_rows, "
+        "(SELECT max(file_name) FROM axis) IN (SELECT file_name FROM ledger WHERE status = 'success') AS newest_is_loaded "
+        "FROM axis JOIN ledger ON ledger.file_name = axis.file_name WHERE status = 'success'"
+    ),
+    "ledger_preview": (
+        f"WITH {_EVENTS.strip()}, {_newest().strip()} SELECT {_LEDGER_COLUMNS} FROM ledger ORDER BY file_name DESC LIMIT 10"
+    ),
+    "repeat_runs": _LOAD_REPORT.replace(
+        "SELECT file_name, year, month, CASE WHEN n IS NULL THEN 'missing' ELSE 'success' END AS status, ",
+        "SELECT file_name, CASE WHEN n IS NULL THEN 'missing' ELSE 'skipped' END AS second_run, "
+        "CASE WHEN n IS NULL THEN 'missing' ELSE 'success' END AS dry_rerun, TRUE AS unchanged, TRUE AS tables_exist, ",
+    ),
+    "all_mart_exports": _over_flights(
+        " UNION ALL ".join(
+            [f"SELECT '{mart}' AS mart, count(*) AS n_rows FROM (SELECT DISTINCT {keys} FROM flights WHERE cancelled = 0) x" for mart, keys in _MARTS.items()]
+            + ["SELECT 'v_airport_delay_stats' AS mart, count(DISTINCT origin) AS n_rows FROM flights",
+               f"SELECT 'v_delay_causes_by_airline' AS mart, count(DISTINCT airline) AS n_rows FROM flights WHERE cancelled = 0 AND {_ANY_CAUSE}"]
+        )
+    ),
+    "stream_marts": _MONTHLY_DELAYS,
 }

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 
 from tarmac.operators import encoding, evaluation, sampling, training
 from tarmac.plans.views import export_csv
-from tarmac.schema import TARGET
+from tarmac.schema import CATEGORICAL_FEATURES, TARGET
 from tarmac.session import stored
 
 
@@ -35,8 +35,9 @@ class Evaluation:
         return evaluation.confusion_matrix(self.predictions, "actual_arr_del15", "predicted_arr_del15")
 
     def export(self, folder: str) -> None:
-        """Predictions grow with the data and stay in as many parts as there are tasks."""
-        export_csv(self.predictions, f"{folder}/delay_predictions")
+        """The published columns. Predictions grow with the data and stay in as many parts as there are tasks."""
+        own = [f"{c}_value" for c in CATEGORICAL_FEATURES]
+        export_csv(self.predictions.drop(*own), f"{folder}/delay_predictions")
         export_csv(self.importance, f"{folder}/feature_importance", single_file=True)
 
 
@@ -72,7 +73,7 @@ def train_and_evaluate(
         return training.assemble(encoding.encode(part, encoder), features)
 
     weights = training.balanced_weights({c: n for c, (n, _) in split.sizes.items() if n})
-    model = training.fit_forest(prepared(train), encoder, weights, n_trees, max_depth, seed)
+    model = training.fit_forest(prepared(train), features, encoder, weights, n_trees, max_depth, seed)
     return Evaluation(
         model=model,
         encoder=encoder,

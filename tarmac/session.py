@@ -33,16 +33,21 @@ _own_dirs: dict[str, str] = {}
 
 
 def local_session(cpus: str | int = "*", app: str = "tarmac", memory: str = "8g") -> SparkSession:
-    """A session for tests and benches on one machine."""
-    builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
-    for key, value in BASE_CONF.items():
-        builder = builder.config(key, value)
+    """A session for tests and benches on one machine, with a shared folder of its own."""
+    builder = SparkSession.builder.master(f"local[{cpus}]").appName(app).config(map=BASE_CONF)
     builder = builder.config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", memory)
+    builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tarmac-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+def cluster_session(app: str, checkpoint_dir: str, **conf: str) -> SparkSession:
+    """A session of the cluster that ``spark-submit`` names, with the settings for one; ``conf`` overrides them."""
+    settings = {**BASE_CONF, **CLUSTER_CONF, "spark.checkpoint.dir": checkpoint_dir, **conf}
+    return SparkSession.builder.appName(app).config(map=settings).getOrCreate()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as named by ``spark.checkpoint.dir``.
 
@@ -70,9 +75,3 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Few partitions (a small table) are spread over all cores; many stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

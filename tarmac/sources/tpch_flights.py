@@ -7,13 +7,14 @@ hot key of a sort-merge join is split by AQE.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions.calendar import report_name
 from tarmac.operators import clean
 from tarmac.schema import CAUSES, FLIGHTS_SCHEMA, RAW_TO_CLEAN, REPORT_SCHEMA
-from tarmac.session import spread
 
 ROW_KEY = "row_key"
 
@@ -67,10 +68,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Uncleaned flights: missing delays are NULL. Minutes are whole numbers."""
     lineitem, orders, customer, supplier, part = (read_table(spark, sf_dir, name) for name in TABLES)
-    # customers join the orders first, so that the larger line items move one time less
+    # customers join the orders first, so that the larger line items move one time less; those are dealt by
+    # the key of that join, which a small table in one file needs to be read by more than one task
     destinations = orders.join(customer, F.expr("c_custkey = o_custkey")).select("o_orderkey", "c_nationkey")
     joined = (
-        spread(lineitem)
+        lineitem.repartition("l_orderkey")
         .join(destinations, F.expr("o_orderkey = l_orderkey"))
         .join(supplier, F.expr("s_suppkey = l_suppkey"))
         .join(part, F.expr("p_partkey = l_partkey"))
@@ -95,16 +97,19 @@ def raw_report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return headed.withColumnsRenamed({clean_name: raw_name for raw_name, clean_name in RAW_TO_CLEAN.items()})
 
 
-def write_reports(spark: SparkSession, sf_dir: str, landing: str, **options) -> None:
-    """Writes the rows as CSV reports, one folder of parts per month.
+def write_reports(
+    spark: SparkSession, sf_dir: str, landing: str, change: Callable[[DataFrame], DataFrame] = lambda rows: rows, one_part: bool = False
+) -> None:
+    """Writes the rows, after ``change``, as CSV reports, one folder of parts per month.
 
-    ``rebalance`` lets AQE split a month that holds far more rows than others.
+    ``rebalance`` lets AQE split a month that holds far more rows than others, unless
+    a month has to be ``one_part``.
     """
+    rows = change(raw_report_rows(spark, sf_dir))
+    dealt = rows.repartition("file_name") if one_part else rows.hint("rebalance", "file_name")
     (
-        raw_report_rows(spark, sf_dir)
-        .hint("rebalance", "file_name")
-        .write.mode("overwrite")
-        .options(header=True, escape='"', **options)
+        dealt.write.mode("overwrite")
+        .options(header=True, escape='"')
         .partitionBy("file_name")
         .csv(landing)
     )

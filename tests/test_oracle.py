@@ -1,5 +1,7 @@
 """Every query with SQL gives the same rows in DuckDB, over whole tables."""
 
+from pathlib import Path
+
 import duckdb
 import pandas as pd
 import pytest
@@ -7,14 +9,13 @@ import pytest
 import __spark_entry__ as entry_points
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["lineitem", "orders", "customer", "supplier", "part"]
 
 
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for name in TABLES:
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{SF}/{name}.parquet')")
+    for table in Path(SF).iterdir():
+        con.execute(f"CREATE VIEW {table.stem} AS SELECT * FROM read_parquet('{table}')")
     return con
 
 
