@@ -14,7 +14,7 @@ A symbol paired with itself takes part in no other pair of its round, and runs o
 are paired from their start.
 
 Rows: a null text is empty and holds the end id alone; documents with null ids come
-first; rows of equal id are ordered by their text, and equal rows stay separate. An
+first; rows of equal id are ordered by a hash of their text, then by it, and equal rows stay separate. An
 empty table makes an empty store. A document longer than a block has a block of its
 own. Other columns are ignored.
 """
@@ -24,7 +24,10 @@ from __future__ import annotations
 import hashlib
 import os
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import compress as compress_list
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +40,9 @@ from tokenizers import Tokenizer
 #: ids a block holds before it is closed, unless one document has more
 BLOCK_TOKENS = 1 << 20
 #: rounds of replacement, pairs replaced in a round, and the least count of a replaced pair
-ROUNDS, PAIRS, LEAST = 8, 4096, 8
+ROUNDS, PAIRS, LEAST = 5, 8192, 8
 #: pieces of text kept encoded per task
-CACHE_PIECES = 1 << 18
+CACHE_PIECES = 1 << 19
 
 MAGIC, VERSION = 0x52505231, 1
 
@@ -51,8 +54,9 @@ class Encoder:
     """The ``tokenizers`` library over whole texts, asked once for each piece between single spaces.
 
     A space between two other characters always begins a pre-token of byte-level BPE,
-    so such pieces can be encoded apart. Texts with special tokens, or with white
-    space beside such a space, are given to the library as they are.
+    so a piece with the space before it can be encoded apart, and many such pieces in one text.
+    The ids of one piece are told from the next by the bytes they stand for. Texts with special
+    tokens, or with other white space beside such a space, are given to the library whole.
     """
 
     def __init__(self, spec: str):
@@ -60,30 +64,57 @@ class Encoder:
         self.library = Tokenizer.from_str(spec)
         self.library.no_truncation()
         self.library.no_padding()
-        added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.special = added
-        self.known: dict[str, np.ndarray] = {}
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.by_pieces = not any(" " in s for s in self.special)
+        # in byte-level vocabularies every letter stands for a byte
+        self.bytes = np.array([len(self.library.id_to_token(i) or "") for i in range(self.library.get_vocab_size())])
+        self._forget()
+
+    def _forget(self) -> None:
+        """``known`` numbers pieces as they come; piece k has ``ids[starts[k] : starts[k + 1]]``, unless it can't be encoded apart."""
+        self.known: defaultdict[str, int] = defaultdict()
+        self.known.default_factory = self.known.__len__
+        self.starts, self.ids, self.apart = np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0, bool)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.int32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def pieces(self, text: str) -> list[str] | None:
-        first, *rest = text.split(" ")
-        if any(s in text for s in self.special) or (first and first[-1].isspace()):
-            return None
-        if any(not p or p[0].isspace() or p[-1].isspace() for p in rest):
-            return None
-        return [first, *(" " + p for p in rest)] if first else [" " + p for p in rest]
+    def _learn(self) -> None:
+        """Encodes the pieces that were numbered since the last call."""
+        pieces = list(islice(reversed(self.known), len(self.known) - len(self.apart)))[::-1]
+        apart = [bool(p) and not p[0].isspace() and not p[-1].isspace() for p in pieces]
+        alone = list(compress_list(pieces, apart))
+        ids = np.concatenate([self.ids[:0], *self.whole(["".join(" " + p for p in alone[at : at + 128]) for at in range(0, len(alone), 128)])])
+        sizes = np.zeros(len(pieces), np.int64)
+        sizes[apart] = np.fromiter((len(p.encode()) + 1 for p in alone), np.int64, len(alone))
+        read, ends = np.cumsum(self.bytes[ids]), np.cumsum(sizes)
+        stops = np.searchsorted(read, ends)
+        stops[ends > 0] += 1
+        if not np.array_equal(np.concatenate(([0], read))[stops], ends) or (len(stops) and stops[-1] != len(ids)):
+            raise ValueError("the library joined pieces of text")
+        self.starts = np.concatenate([self.starts, len(self.ids) + stops])
+        self.ids = np.concatenate([self.ids, ids])
+        self.apart = np.concatenate([self.apart, np.array(apart, bool)])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.pieces(t) for t in texts]
+        """The ids of every text."""
         if len(self.known) > CACHE_PIECES:
-            self.known.clear()
-        new = list({p for pieces in split if pieces for p in pieces if p not in self.known})
-        self.known.update(zip(new, self.whole(new)))
-        apart = iter(self.whole([t for t, pieces in zip(texts, split) if pieces is None]))
-        empty = [np.zeros(0, np.int32)]
-        return [next(apart) if pieces is None else np.concatenate([*map(self.known.__getitem__, pieces)] or empty) for pieces in split]
+            self._forget()
+        split = [t.split(" ") if self.by_pieces and not any(s in t for s in self.special) else None for t in texts]
+        numbers = [pieces and np.fromiter(map(self.known.__getitem__, pieces[1:]), np.int64, len(pieces) - 1) for pieces in split]
+        self._learn()
+        begin = iter(self.whole([pieces[0] for pieces in split if pieces]))
+        out: list[np.ndarray | None] = []
+        for pieces, at in zip(split, numbers):
+            ahead = next(begin) if pieces else None
+            if pieces is None or (len(at) and (pieces[0][-1:].isspace() or not self.apart[at].all())):
+                out.append(None)
+                continue
+            sizes = self.starts[at + 1] - self.starts[at]
+            shift = np.repeat(self.starts[at] - np.cumsum(sizes) + sizes, sizes)
+            out.append(np.concatenate([ahead, self.ids[shift + np.arange(len(shift))]]))
+        rest = iter(self.whole([t for t, ids in zip(texts, out) if ids is None]))
+        return [next(rest) if ids is None else ids for ids in out]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -112,11 +143,13 @@ def _disjoint(lefts: np.ndarray, rights: np.ndarray, symbols: int) -> np.ndarray
     return taken
 
 
-def _from_run_start(seq: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Of the places of pairs, those that are no self-pair or an even number of places after their run's start."""
-    starts = np.concatenate(([True], seq[1:] != seq[:-1]))
-    offset = at - np.maximum.accumulate(np.where(starts, np.arange(len(seq)), 0))[at]
-    return (seq[at] != seq[at + 1]) | (offset % 2 == 0)
+def _from_run_start(at: np.ndarray, double: np.ndarray) -> np.ndarray:
+    """Of the sorted places of pairs, those that are no self-pair or an even number of places after their run's start."""
+    keep = np.ones(len(at), bool)
+    self_at = at[double]
+    starts = np.concatenate(([True], np.diff(self_at) != 1))
+    keep[double] = (self_at - np.maximum.accumulate(np.where(starts, self_at, 0))) % 2 == 0
+    return keep
 
 
 def compress(ids: np.ndarray, base: int, rounds: int = ROUNDS, pairs: int = PAIRS, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
@@ -142,8 +175,9 @@ def compress(ids: np.ndarray, base: int, rounds: int = ROUNDS, pairs: int = PAIR
         rule = np.searchsorted(found, keys[may])
         hit = found[np.minimum(rule, len(found) - 1)] == keys[may]
         at, rule = may[hit], rule[hit]
-        if (found >> 32 == found & 0xFFFFFFFF).any():
-            first = _from_run_start(seq, at)
+        double = seq[at] == seq[at + 1]
+        if double.any():
+            first = _from_run_start(at, double)
             at, rule = at[first], rule[first]
         seq[at] = top + rule
         keep = np.ones(len(seq), bool)
@@ -191,11 +225,11 @@ class Block:
         if magic != MAGIC or version != VERSION or len(words) != 6 + 3 * n_rules + n_seq:
             raise ValueError("not a block of this format")
         self.rules = words[6 : 6 + 2 * n_rules].reshape(-1, 2)
-        lengths = words[6 + 2 * n_rules : 6 + 3 * n_rules]
+        self.lengths = words[6 + 2 * n_rules : 6 + 3 * n_rules]
         self.seq = words[6 + 3 * n_rules :]
         widths = np.ones(n_seq, np.int64)
         made = self.seq >= self.base
-        widths[made] = lengths[self.seq[made] - self.base]
+        widths[made] = self.lengths[self.seq[made] - self.base]
         self.ends = np.cumsum(widths)
 
     def ids(self, start: int = 0, stop: int | None = None) -> np.ndarray:
@@ -205,7 +239,14 @@ class Block:
             return np.zeros(0, np.int64)
         first, last = np.searchsorted(self.ends, start, "right"), np.searchsorted(self.ends, stop, "left")
         before = int(self.ends[first - 1]) if first else 0
-        return expand(self.seq[first : last + 1], self.rules, self.base)[start - before : stop - before]
+        seq = self.seq[first : last + 1]
+        # symbol s stands for flat[begin[s] :][: width[s]]: ids for themselves, then all rules' expansions
+        flat = np.concatenate([np.arange(self.base), expand(np.arange(self.base, self.base + len(self.rules)), self.rules, self.base)])
+        width = np.concatenate([np.ones(self.base, np.int64), self.lengths])
+        begin = np.cumsum(width) - width
+        sizes = width[seq]
+        shift = np.repeat(begin[seq] - np.cumsum(sizes) + sizes, sizes)
+        return flat[shift + np.arange(len(shift))][start - before : stop - before]
 
 
 # --- store --------------------------------------------------------------------------------------------------------
@@ -224,7 +265,8 @@ def write_store(
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
     base = max(Tokenizer.from_str(spec.value).get_vocab_size(), end_id + 1)
     shards = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    kept = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    kept = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("mark"))
     kind = kept.schema["id"].dataType.simpleString()
     names = ["shard", "block", "n_tokens", "ids", "sizes", "payload"]
 
@@ -253,7 +295,7 @@ def write_store(
             yield closed()
 
     (
-        kept.repartitionByRange(shards, "id", "text").sortWithinPartitions("id", "text")
+        kept.repartitionByRange(shards, "id", "mark").sortWithinPartitions("id", "mark", "text")
         .mapInArrow(run, f"shard int, block int, n_tokens bigint, ids array<{kind}>, sizes array<bigint>, payload binary")
         .write.parquet(path)
     )
