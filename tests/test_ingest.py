@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tarmac.operators import ledger, marts
 from tarmac.operators.quality import fingerprint
 from tarmac.plans import pipeline
+from tarmac.plans import ingest as load
 from tarmac.plans.ingest import ingest
 from tarmac.schema import FLIGHTS_SCHEMA, RAW_TO_CLEAN
 from tarmac.sources import reports as R
@@ -126,6 +127,13 @@ def test_parts_are_read_by_their_own_headers(spark, warehouse, landing):
     assert statuses(ingest(warehouse, landing, FEB, FEB)) == {"2025_02_Report.csv": ("failed", 0)}
 
 
+def test_a_report_of_too_many_months_is_rejected(warehouse, landing, monkeypatch):
+    monkeypatch.setattr(load, "MOST_MONTHS", 3)
+    write_report(landing, 2025, 1, [raw_row(_month=m) for m in range(1, 6)])
+    write_report(landing, 2025, 2, [raw_row(_month=m) for m in (2, 3, 4)])
+    assert statuses(ingest(warehouse, landing, JAN, FEB)) == {"2025_01_Report.csv": ("failed", 0), "2025_02_Report.csv": ("success", 3)}
+
+
 def test_a_failed_rerun_keeps_the_loaded_rows_and_their_log(warehouse, landing):
     write_report(landing, 2025, 1, month_rows(3))
     ingest(warehouse, landing, JAN, JAN)
