@@ -220,6 +220,8 @@ def _portions(items: DataFrame, id_col: str, text_col: str, window: int, portion
     kept = items.select(F.col(id_col).cast("string").alias("id"), text.alias("text")).distinct()
     total = kept.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // (4 * portion_words)))
+    if n > 1:
+        kept = stored(kept, "items")
     for part in range(n):
         rows = kept.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == part).orderBy("id", "text").collect()
         yield pickle.dumps(([(r[0], words_of(r[1].encode())) for r in rows], window)), part == n - 1
