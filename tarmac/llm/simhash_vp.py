@@ -261,4 +261,5 @@ def drop_near_duplicates(
     distinct = stored(kept.groupBy("fp").agg(F.min(place).alias("first")), "simhash-distinct")
     firsts = classes(distinct, max_bits, blocks, shard_rows).groupBy("root").agg(F.min("first").alias("first"))
     chosen = stored(firsts.select("first.row"), "simhash-chosen")
-    return kept.join(chosen, "row", "left_semi").select("doc.*")
+    # always dealt by row, also where the chosen rows are few enough for a broadcast
+    return kept.join(chosen.hint("merge"), "row", "left_semi").select("doc.*")
