@@ -63,11 +63,11 @@ CLOSES_ITSELF = {
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 #: fixed values: words of class, id and role that name furniture
 FURNITURE_ROLES = set("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
-FURNITURE_WORDS = set(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr "
-    "notice notices sidebar menu nav navbar navigation breadcrumb breadcrumbs masthead footer comment comments disqus "
-    "share sharing social related recommended newsletter subscribe subscription popup modal overlay widget toolbar "
-    "pagination pager login signup search".split()
+FURNITURE_WORDS = re.compile(
+    "ad|ads|adbox|adslot|adunit|adsense|advert.*|sponsor|sponsors|sponsored|promo|promos|promotion|banner|cookie.*|consent|gdpr|"
+    "notice|notices|alert|alerts|.*sidebar|.*menu|.*nav|nav.*|breadcrumb.*|masthead|.*footer|footer.*|"
+    "comments?|comment(list|form|box|area|section|thread)s?|disqus|share|sharing|sharebar|social|related|recommended|recommendations|"
+    "newsletter.*|subscribe|subscription|popup|modal|overlay|widget|widgets|toolbar|pagination|pager|login|signup|search|searchform"
 )
 
 _TOKEN = re.compile(
@@ -94,7 +94,7 @@ def _furniture(name: str, attributes: str) -> tuple[bool, bool, bool]:
         return False, False, False
     named = re.findall(r"[a-z]+", f"{given.get('class', '')} {given.get('id', '')}".lower())
     words = {*named, *map("".join, zip(named, named[1:]))}
-    if words & FURNITURE_WORDS:
+    if any(map(FURNITURE_WORDS.fullmatch, words)):
         return True, False, False
     return ("header" in words and name not in HEADINGS), "header" in words, role == "main"
 

@@ -31,6 +31,7 @@ def test_alignment_is_a_longest_common_subsequence(bits, monkeypatch):
     ("<article><header><h1>Title</h1><p>by line</p></header><p>text</article>", ["Title", "text"]),
     ("<article>a<div class='cookie-notice'>c<div>d</div></div>b<section id=comments><p>no</p></section></article>", ["a", "b"]),
     ("<article><div class='side-bar'>s</div><p title='a>b'>x</p><div hidden>h</div><p style='display: none'>n</p></article>", ["x"]),
+    ("<article>a<ol class=commentlist><li>c</ol><div class='cookiebar'>k</div><p class=commentary>b</p><ul class=topnav><li>n</ul></article>", ["a", "b"]),
     ("<main><article class=comment>bad</article><article>good</article></main>", ["good"]),
     ("<article>a<script>if (1<2) '</p>'</script><style>p{}</style><!-- c --><template>t</template>b</article>", ["ab"]),
     ("<article><ul><li>one<li>two</ul><table><tr><td>x<td>y</table></article>", ["one", "two", "x", "y"]),
