@@ -26,8 +26,8 @@ import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, islice
 from itertools import compress as compress_list
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +40,11 @@ from tokenizers import Tokenizer
 #: ids a block holds before it is closed, unless one document has more
 BLOCK_TOKENS = 1 << 20
 #: rounds of replacement, pairs replaced in a round, and the least count of a replaced pair
-ROUNDS, PAIRS, LEAST = 5, 8192, 8
-#: pieces of text kept encoded per task
-CACHE_PIECES = 1 << 19
+ROUNDS, PAIRS, LEAST = 8, 4096, 8
+#: pieces of text kept encoded per task, pieces given to the library at once
+CACHE_PIECES, JOINED = 1 << 20, 16
+#: marks the piece that begins a text
+FIRST = "\0"
 
 MAGIC, VERSION = 0x52505231, 1
 
@@ -71,50 +73,60 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        """``known`` numbers pieces as they come; piece k has ``ids[starts[k] : starts[k + 1]]``, unless it can't be encoded apart."""
+        """``known`` numbers pieces as they come; piece k has ``ids[begin[k] :][: size[k]]``, unless it can't be encoded apart."""
         self.known: defaultdict[str, int] = defaultdict()
         self.known.default_factory = self.known.__len__
-        self.starts, self.ids, self.apart = np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0, bool)
+        self.begin, self.size, self.ids, self.apart = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, bool)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.int32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self) -> None:
-        """Encodes the pieces that were numbered since the last call."""
+        """Encodes the pieces that were numbered since the last call: ``FIRST`` and the beginning of a text, or what follows a space."""
         pieces = list(islice(reversed(self.known), len(self.known) - len(self.apart)))[::-1]
-        apart = [bool(p) and not p[0].isspace() and not p[-1].isspace() for p in pieces]
-        alone = list(compress_list(pieces, apart))
-        ids = np.concatenate([self.ids[:0], *self.whole(["".join(" " + p for p in alone[at : at + 128]) for at in range(0, len(alone), 128)])])
-        sizes = np.zeros(len(pieces), np.int64)
-        sizes[apart] = np.fromiter((len(p.encode()) + 1 for p in alone), np.int64, len(alone))
-        read, ends = np.cumsum(self.bytes[ids]), np.cumsum(sizes)
-        stops = np.searchsorted(read, ends)
-        stops[ends > 0] += 1
-        if not np.array_equal(np.concatenate(([0], read))[stops], ends) or (len(stops) and stops[-1] != len(ids)):
+        first = np.array([p[:1] == FIRST for p in pieces], bool)
+        after = [bool(p) and not p[0].isspace() and not p[-1].isspace() and p[0] != FIRST for p in pieces]
+        begun = [p[1:] for p in pieces if p[:1] == FIRST]
+        alone = list(compress_list(pieces, after))
+        heads = self.whole(begun)
+        ids = np.concatenate([self.ids[:0], *self.whole(["".join(" " + p for p in alone[at : at + JOINED]) for at in range(0, len(alone), JOINED)])])
+        read, ends = np.cumsum(self.bytes[ids]), np.cumsum(np.fromiter((len(p.encode()) + 1 for p in alone), np.int64, len(alone)))
+        stops = np.searchsorted(read, ends) + 1
+        if len(ends) and (stops[-1] != len(ids) or not np.array_equal(read[stops - 1], ends)):
             raise ValueError("the library joined pieces of text")
-        self.starts = np.concatenate([self.starts, len(self.ids) + stops])
-        self.ids = np.concatenate([self.ids, ids])
-        self.apart = np.concatenate([self.apart, np.array(apart, bool)])
+        begin, size = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        size[after], size[first] = np.diff(stops, prepend=0), [len(h) for h in heads]
+        begin[after] = len(self.ids) + stops - size[after]
+        begin[first] = len(self.ids) + len(ids) + np.cumsum(size[first]) - size[first]
+        self.begin, self.size = np.concatenate([self.begin, begin]), np.concatenate([self.size, size])
+        self.ids = np.concatenate([self.ids, ids, *heads])
+        self.apart = np.concatenate([self.apart, first | np.array(after, bool)])
+
+    def _pieces(self, text: str) -> list[str] | None:
+        if not self.by_pieces or any(s in text for s in self.special):
+            return None
+        pieces = text.split(" ")
+        if len(pieces) > 1 and pieces[0][-1:].isspace():
+            return None
+        pieces[0] = FIRST + pieces[0]
+        return pieces
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of every text."""
         if len(self.known) > CACHE_PIECES:
             self._forget()
-        split = [t.split(" ") if self.by_pieces and not any(s in t for s in self.special) else None for t in texts]
-        numbers = [pieces and np.fromiter(map(self.known.__getitem__, pieces[1:]), np.int64, len(pieces) - 1) for pieces in split]
+        split = [self._pieces(t) for t in texts]
+        counts = np.array([len(pieces or ()) for pieces in split], np.int64)
+        number = np.fromiter(map(self.known.__getitem__, chain.from_iterable(p for p in split if p)), np.int64, int(counts.sum()))
         self._learn()
-        begin = iter(self.whole([pieces[0] for pieces in split if pieces]))
-        out: list[np.ndarray | None] = []
-        for pieces, at in zip(split, numbers):
-            ahead = next(begin) if pieces else None
-            if pieces is None or (len(at) and (pieces[0][-1:].isspace() or not self.apart[at].all())):
-                out.append(None)
-                continue
-            sizes = self.starts[at + 1] - self.starts[at]
-            shift = np.repeat(self.starts[at] - np.cumsum(sizes) + sizes, sizes)
-            out.append(np.concatenate([ahead, self.ids[shift + np.arange(len(shift))]]))
-        rest = iter(self.whole([t for t, ids in zip(texts, out) if ids is None]))
-        return [next(rest) if ids is None else ids for ids in out]
+        bad = np.concatenate([[0], np.cumsum(~self.apart[number])])
+        ends = np.cumsum(counts)
+        given = (counts == 0) | (bad[ends] > bad[ends - counts])
+        size = self.size[number]
+        ids = self.ids[np.repeat(self.begin[number] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+        places = np.concatenate([[0], np.cumsum(size)])
+        rest = iter(self.whole(list(compress_list(texts, given))))
+        return [next(rest) if whole else ids[places[end - n] : places[end]] for whole, n, end in zip(given.tolist(), counts.tolist(), ends.tolist())]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -169,12 +181,15 @@ def compress(ids: np.ndarray, base: int, rounds: int = ROUNDS, pairs: int = PAIR
         found = np.sort(found[_disjoint(found >> 32, found & 0xFFFFFFFF, top)])
         if not len(found):
             break
-        is_left, is_right = np.zeros(top, bool), np.zeros(top, bool)
-        is_left[found >> 32], is_right[found & 0xFFFFFFFF] = True, True
-        may = np.flatnonzero(is_left[seq[:-1]] & is_right[seq[1:]])
-        rule = np.searchsorted(found, keys[may])
-        hit = found[np.minimum(rule, len(found) - 1)] == keys[may]
-        at, rule = may[hit], rule[hit]
+        # the rule of (left, right), plus one, in a table of the symbols that are a part of any rule
+        lefts, rights = np.unique(found >> 32), np.unique(found & 0xFFFFFFFF)
+        row, column = np.zeros(top, np.int32), np.zeros(top, np.int32)
+        row[lefts], column[rights] = np.arange(1, len(lefts) + 1) * (len(rights) + 1), np.arange(1, len(rights) + 1)
+        table = np.zeros((len(lefts) + 1) * (len(rights) + 1), np.int32)
+        table[row[found >> 32] + column[found & 0xFFFFFFFF]] = np.arange(1, len(found) + 1)
+        hit = table[row[seq[:-1]] + column[seq[1:]]]
+        at = np.flatnonzero(hit)
+        rule = hit[at] - 1
         double = seq[at] == seq[at + 1]
         if double.any():
             first = _from_run_start(at, double)
