@@ -7,7 +7,7 @@ sum of the log probabilities of all its tokens.
 
 1. Counts of all buckets over all documents, summed within tasks before they are shuffled. Buckets in order
    of frequency are cut into classes of equal mass.
-2. Training: all different texts whose hash falls in one of ``SHARE`` parts, so the material grows with the corpus. They are dealt by
+2. Training: all different texts (``SHARE`` = 1; a larger one trains on those whose hash falls in one of so many parts). They are dealt by
    hash to trainers of about ``TRAINER_BYTES`` each; every trainer starts a round from the common weights, and the results are averaged in
    groups of ``AVERAGED`` until one is left. Weights depend neither on the number of cores nor on the order of rows.
 3. Scoring: one pass over all documents without a shuffle, in pieces of bounded size, so a long text needs no more memory.
@@ -33,8 +33,8 @@ from tarmac.session import stored
 
 #: hash buckets of words (a power of two), classes, width of the hidden layer, tokens to each side
 BUCKETS, CLASSES, WIDTH, SIDE = 1 << 14, 256, 32, 2
-#: one of so many texts is trained on; bytes of text per trainer; trainers averaged at once; rounds
-SHARE, TRAINER_BYTES, AVERAGED, ROUNDS = 64, 4 << 20, 16, 2
+#: one of so many texts is trained on (1: every text); bytes of text per trainer; trainers averaged at once; rounds
+SHARE, TRAINER_BYTES, AVERAGED, ROUNDS = 1, 4 << 20, 16, 2
 BATCH, STEP = 1024, 0.15
 #: places scored at once
 PIECE = 2048
@@ -78,14 +78,16 @@ class Network:
         w = self.weights
         scaled = [w["embed"] * scale for scale in w["scale"]]
         found = np.empty(len(places))
+        wide = np.empty((min(PIECE, len(places)), CLASSES), np.float32)
         for at in range(0, len(places), PIECE):
             some = places[at : at + PIECE]
             hidden = w["hidden"] + sum(table[column] for table, column in zip(scaled, self._around(ids, some).T))
-            logits = np.tanh(hidden) @ w["out"] + w["bias"]
+            logits = np.matmul(np.tanh(hidden), w["out"], out=wide[: len(some)])
+            logits += w["bias"]
             logits -= logits.max()
             own = ids[some]
             right = logits[np.arange(len(some)), self.class_of[own]]
-            found[at : at + PIECE] = right - np.log(np.exp(logits).sum(1) + 1e-30) + self.inside[own]
+            found[at : at + PIECE] = right - np.log(np.exp(logits, out=logits).sum(1) + 1e-30) + self.inside[own]
         return found
 
     def train(self, docs: list[np.ndarray], seed: int, batch: int = BATCH) -> int:
@@ -94,25 +96,32 @@ class Network:
         np.random.default_rng(seed).shuffle(places)
         w = self.weights
         memory = {k: np.full(v.shape if k != "embed" else (len(v), 1), 0.1, np.float32) for k, v in w.items()}
+        # memory that all batches share
+        wide, near, moved = (np.empty((batch, *shape), np.float32) for shape in ((CLASSES,), (2 * SIDE, WIDTH), (2 * SIDE, WIDTH)))
         for at in range(0, len(places), batch):
             some = places[at : at + batch]
+            n = len(some)
             around = self._around(ids, some)
-            seen = w["embed"][around]
-            hidden = np.tanh((seen * w["scale"]).sum(1) + w["hidden"])
-            logits = hidden @ w["out"] + w["bias"]
-            slope = np.exp(logits - logits.max(1, keepdims=True))
+            seen = np.take(w["embed"], around, 0, out=near[:n], mode="clip")
+            hidden = np.tanh(np.einsum("nkw,kw->nw", seen, w["scale"]) + w["hidden"])
+            slope = np.matmul(hidden, w["out"], out=wide[:n])
+            slope += w["bias"]
+            slope -= slope.max(1, keepdims=True)
+            np.exp(slope, out=slope)
             slope /= slope.sum(1, keepdims=True)
-            slope[np.arange(len(some)), self.class_of[ids[some]]] -= 1
+            slope[np.arange(n), self.class_of[ids[some]]] -= 1
             back = (slope @ w["out"].T) * (1 - hidden * hidden)
-            grads = {"out": hidden.T @ slope / len(some), "bias": slope.mean(0), "hidden": back.mean(0), "scale": (seen * back[:, None]).mean(0)}
+            grads = {"out": hidden.T @ slope / n, "bias": slope.mean(0), "hidden": back.mean(0), "scale": np.einsum("nkw,nw->kw", seen, back) / n}
             for name, grad in grads.items():
                 memory[name] += grad * grad
                 w[name] -= STEP * grad / np.sqrt(memory[name])
-            order = np.argsort(around.ravel(), kind="stable")
+            # 16 bits hold all ids, and numpy sorts those by radix
+            order = np.argsort(around.ravel().astype(np.uint16), kind="stable")
             sorted_ids = around.ravel()[order]
             starts = np.flatnonzero(np.concatenate(([True], sorted_ids[1:] != sorted_ids[:-1])))
             to = sorted_ids[starts]
-            sums = np.add.reduceat((back[:, None] * w["scale"]).reshape(-1, WIDTH)[order], starts)
+            np.multiply(back[:, None], w["scale"], out=moved[:n])
+            sums = np.add.reduceat(np.take(moved[:n].reshape(-1, WIDTH), order, 0, out=near[:n].reshape(-1, WIDTH), mode="clip"), starts)
             real = to < BUCKETS
             to, sums = to[real], sums[real]
             memory["embed"][to] += (sums * sums).mean(1, keepdims=True)
@@ -139,7 +148,7 @@ def bucket_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
 
 def fit(docs: DataFrame, text_col: str = "text", share: int = SHARE, rounds: int = ROUNDS, trainer_bytes: int = TRAINER_BYTES, batch: int = BATCH) -> Network:
-    """A network trained on one of ``share`` texts, with the counts of all documents."""
+    """A network trained on one of ``share`` different texts, with the counts of all documents."""
     network = Network(bucket_counts(docs, text_col))
     text = F.col(text_col).cast("string").alias("text")
     chosen = docs.select(text).where(F.col("text").isNotNull() & (F.pmod(F.xxhash64("text", F.lit("share")), F.lit(share)) == 0)).distinct()

@@ -71,3 +71,12 @@ def test_empty_table(docs_of):
     network = pl.fit(docs_of([]))
     assert pl.score(docs_of([]), network).count() == 0
     assert pl.score(docs_of([(1, "a b")]), network).first()["n_tokens"] == 2
+
+
+def test_every_text_is_trained_on(spark):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"t{i}w{j}" for j in rng.permutation(8)) for i in range(40)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    trained, start = pl.fit(docs).weights["embed"], pl.Network(pl.bucket_counts(docs)).weights["embed"]
+    seen = np.unique(np.concatenate([pl.token_ids(t.encode()) for t in texts]))
+    assert (trained[seen] != start[seen]).any(1).all()
