@@ -1,16 +1,19 @@
 """Masked pseudo-likelihood: a bidirectional window network predicts every token from both sides.
 
-Tokens are words (as in ``decontaminate``), hashed into ``BUCKETS``. From the two tokens before and the two after a place, and not
+Tokens are words (as in ``decontaminate``). From the two tokens before and the two after a place, and not
 its own, the network (in numpy) computes a hidden layer and the probabilities of ``CLASSES`` classes of tokens. A
-token's probability is its class's times its share of the class in the whole corpus. A document's score is the
-sum of the log probabilities of all its tokens.
+token's probability is its class's times the word's own share of the class in the whole corpus. A document's score is the
+sum of the log probabilities of all its tokens. Words are hashed into ``BUCKETS`` only to say which embedding and which class
+they have; every word has its own count, so no word gets the probability of another.
 
-1. Counts of all buckets over all documents, summed within tasks before they are shuffled. Buckets in order
-   of frequency are cut into classes of equal mass.
+1. Counts of all words over all documents, summed within tasks before they are shuffled. Buckets in order
+   of frequency are cut into classes of equal mass. A word that the corpus lacks shares half a count with all such words of its bucket.
 2. Training: all different texts (``SHARE`` = 1; a larger one trains on those whose hash falls in one of so many parts). They are dealt by
    hash to trainers of about ``TRAINER_BYTES`` each; every trainer starts a round from the common weights, and the results are averaged in
    groups of ``AVERAGED`` until one is left. Weights depend neither on the number of cores nor on the order of rows.
-3. Scoring: one pass over all documents without a shuffle, in pieces of bounded size, so a long text needs no more memory.
+3. Scoring: one pass over all documents, in pieces of bounded size, so a long text needs no more memory. Counts of
+   the most frequent words, ``FREQUENT`` at most, are broadcast. Where the corpus has more, the other words of each document, none of which
+   is frequent, are joined with their counts, and sums by row joined with the rows; texts are not shuffled.
 
 Rows: a null text, or one without words, has no tokens, score 0 and no mean. Repeated rows are scored alike and count once in
 training, but as often as they occur in the counts. Without any training text the class shares alone score. Empty tables give empty tables. Other columns are ignored.
@@ -19,7 +22,10 @@ training, but as often as they occur in the counts. Without any training text th
 from __future__ import annotations
 
 import pickle
+from collections import Counter
 from collections.abc import Callable, Iterator
+from hashlib import md5
+from itertools import repeat
 from zlib import crc32
 
 import numpy as np
@@ -38,13 +44,23 @@ SHARE, TRAINER_BYTES, AVERAGED, ROUNDS = 1, 4 << 20, 16, 2
 BATCH, STEP = 1024, 0.15
 #: places scored at once
 PIECE = 2048
+#: words whose counts are broadcast at most, bytes of a word that stands for itself, words a task counts before it passes them on
+FREQUENT, KEY_BYTES, COUNTED = 1 << 17, 32, 1 << 17
 
 
 def token_ids(text: bytes | None) -> np.ndarray:
-    words = words_of(text)
+    return _buckets(words_of(text))
+
+
+def _buckets(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(crc32, words), np.int64, len(words)) & (BUCKETS - 1)
 
 
+def _key(word: bytes) -> bytes:
+    """The word itself, or its digest if it is long; 0xff occurs in no text."""
+    return word if len(word) <= KEY_BYTES else b"\xff" + md5(word).digest()
+
+
 def joined(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """All ids with ``SIDE`` pads (``BUCKETS``) before, between and after documents, and the places of real tokens."""
     pad = np.full(SIDE, BUCKETS, np.int64)
@@ -53,7 +69,15 @@ def joined(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Network:
-    """Embeddings, a scale per place of the window, hidden bias, output weights and bias."""
+    """Embeddings, a scale per place of the window, hidden bias, output weights and bias.
+
+    ``words`` is the table of word counts (``word_counts``) behind the counts of buckets; it stays with the driver.
+    """
+
+    words: DataFrame | None = None
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "words"}
 
     def __init__(self, counts: np.ndarray):
         rng = np.random.default_rng(0)
@@ -64,6 +88,7 @@ class Network:
         self.class_of[order] = np.minimum((ahead * CLASSES).astype(np.int64), CLASSES - 1)
         mass = np.bincount(self.class_of, counts + 0.5, CLASSES)
         self.inside = np.log((counts + 0.5) / mass[self.class_of])
+        self.log_counts = np.log(counts + 0.5)
         self.weights = {
             "embed": np.concatenate([rng.normal(0, 0.3, (BUCKETS, WIDTH)), np.zeros((1, WIDTH))]).astype(np.float32),
             "scale": np.ones((2 * SIDE, WIDTH), np.float32), "hidden": np.zeros(WIDTH, np.float32),
@@ -129,27 +154,65 @@ class Network:
         return len(places)
 
 
-def bucket_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """How often each bucket occurs in all documents; the driver gets one number per bucket."""
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``word`` (its key), ``bucket`` and ``n``: how often each word occurs in all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS, np.int64)
+        seen: Counter = Counter()
+
+        def out() -> pa.RecordBatch:
+            words, n = list(seen), list(seen.values())
+            seen.clear()
+            columns = [pa.array(map(_key, words), pa.binary()), pa.array(_buckets(words)), pa.array(n, pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, ["word", "bucket", "n"])
+
         for batch in batches:
             for cell in batch.column(0).cast(pa.binary()):
-                total += np.bincount(token_ids(cell.as_py()), minlength=BUCKETS)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["bucket", "n"])
+                seen.update(words_of(cell.as_py()))
+                if len(seen) >= COUNTED:
+                    yield out()
+        yield out()
+
+    parts = docs.select(F.col(text_col).cast("string")).mapInArrow(count, "word binary, bucket bigint, n bigint")
+    return parts.groupBy("word", "bucket").agg(F.sum("n").alias("n"))
+
 
-    parts = docs.select(F.col(text_col).cast("string")).mapInArrow(count, "bucket bigint, n bigint")
+def _by_bucket(words: DataFrame) -> np.ndarray:
     counts = np.zeros(BUCKETS, np.int64)
-    for bucket, n in parts.groupBy("bucket").agg(F.sum("n")).collect():
+    for bucket, n in words.groupBy("bucket").agg(F.sum("n")).collect():
         counts[bucket] = n
     return counts
 
 
+def bucket_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+    """How often each bucket occurs in all documents; the driver gets one number per bucket."""
+    return _by_bucket(word_counts(docs, text_col))
+
+
+def frequent_words(words: DataFrame, most: int) -> tuple[dict[bytes, float], bool]:
+    """Logs of the counts of the most frequent words, at most ``most``, and whether those are all words.
+
+    Words are taken from a least count on, found from numbers of words by steps of their count's logarithm.
+    """
+    step = F.floor(F.log2("n") * 16).cast("long")
+    steps = sorted(words.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect(), reverse=True)
+    total, least = 0, None
+    for at, n in steps:
+        total += n
+        if total > most:
+            break
+        least = at
+    if least is None:
+        return {}, not steps
+    found = words.where(step >= least).select("word", "n").collect()
+    return {bytes(word): float(np.log(n)) for word, n in found}, total <= most
+
+
 def fit(docs: DataFrame, text_col: str = "text", share: int = SHARE, rounds: int = ROUNDS, trainer_bytes: int = TRAINER_BYTES, batch: int = BATCH) -> Network:
     """A network trained on one of ``share`` different texts, with the counts of all documents."""
-    network = Network(bucket_counts(docs, text_col))
+    words = stored(word_counts(docs, text_col), "lm-words")
+    network = Network(_by_bucket(words))
+    network.words = words
     text = F.col(text_col).cast("string").alias("text")
     chosen = docs.select(text).where(F.col("text").isNotNull() & (F.pmod(F.xxhash64("text", F.lit("share")), F.lit(share)) == 0)).distinct()
     chosen = stored(chosen, "lm-texts")
@@ -195,31 +258,56 @@ def averaged(some: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"trainer": [int(some["trainer"].iloc[0])], "tokens": [n], "weights": [pickle.dumps(mean)]})
 
 
-def score(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, ``n_tokens``, ``log_likelihood`` (sum over tokens) and ``mean_log`` of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(network))
-    state: dict[str, Network] = {}
+def score(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text", most: int = FREQUENT) -> DataFrame:
+    """``id_col``, ``n_tokens``, ``log_likelihood`` (sum over tokens) and ``mean_log`` of every row; counts of up to ``most`` words are broadcast."""
+    table, whole = frequent_words(network.words, most)
+    shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps((network, table)))
+    state: dict[str, tuple[Network, dict[bytes, float]]] = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network = state.setdefault("network", None) or pickle.loads(shared.value)
-        state["network"] = network
+        network, table = state.get("network") or state.setdefault("network", pickle.loads(shared.value))
         for batch in batches:
-            sizes, sums = [], []
-            texts = batch.column(1).cast(pa.binary())
+            sizes, sums, rare, times = [], [], [], []
+            texts = batch.column(2).cast(pa.binary())
             for at in range(0, batch.num_rows, 64):
-                tokens = [token_ids(cell.as_py()) for cell in texts.slice(at, 64)]
-                ids, places = joined(tokens)
+                words = [words_of(cell.as_py()) for cell in texts.slice(at, 64)]
+                ids, places = joined([_buckets(w) for w in words])
                 logs = network.log_probabilities(ids, places)
-                ends = np.cumsum([len(t) for t in tokens])
-                whole = np.concatenate(([0.0], np.cumsum(logs)))
-                sizes += [len(t) for t in tokens]
-                sums += (whole[ends] - whole[ends - np.array(sizes[at:])]).tolist()
-            means = [s / n if n else None for s, n in zip(sums, sizes)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64()), pa.array(means, pa.float64())],
-                ["id", "n_tokens", "log_likelihood", "mean_log"],
-            )
-
-    kept = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = kept.schema["id"].dataType.simpleString()
-    return kept.mapInArrow(run, f"id {kind}, n_tokens bigint, log_likelihood double, mean_log double").withColumnRenamed("id", id_col)
+                # a word's share of its bucket, or the share of all words that the corpus lacks
+                own = np.fromiter((x for w in words for x in map(table.get, w, repeat(np.nan))), np.float64, len(places))
+                missing = np.isnan(own)
+                for i in {i for i, w in enumerate(words) for x in w if len(x) > KEY_BYTES}:
+                    start = sum(map(len, words[:i]))
+                    for j, x in enumerate(words[i], start):
+                        if len(x) > KEY_BYTES and (n := table.get(_key(x))) is not None:
+                            own[j], missing[j] = n, False
+                own[missing] = np.log(0.5) if whole else 0
+                logs += own - network.log_counts[ids[places]]
+                ends = np.cumsum([len(w) for w in words])
+                total = np.concatenate(([0.0], np.cumsum(logs)))
+                sizes += [len(w) for w in words]
+                sums += (total[ends] - total[ends - np.array(sizes[at:])]).tolist()
+                if not whole:
+                    for w, end in zip(words, ends):
+                        left = Counter(_key(w[j]) for j in np.flatnonzero(missing[end - len(w) : end]))
+                        rare.append(list(left))
+                        times.append(list(left.values()))
+            columns = [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())]
+            if not whole:
+                columns += [pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    kept = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    shape = f"row bigint, id {kept.schema['id'].dataType.simpleString()}, n_tokens bigint, log_likelihood double"
+    shape += "" if whole else ", words array<binary>, times array<bigint>"
+    names = [part.split()[0] for part in shape.split(", ")]
+    scored = kept.mapInArrow(run, shape)
+    if not whole:
+        scored = stored(scored, "lm-scores")
+        each = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", "w.words", "w.times").withColumnRenamed("words", "word")
+        # decimals add up to the same sum in any order
+        log = F.log(F.coalesce(F.col("n").cast("double"), F.lit(0.5))) * F.col("times")
+        sums = each.join(network.words.select("word", "n"), "word", "left").groupBy("row").agg(F.sum(log.cast("decimal(28,9)")).alias("more"))
+        scored = scored.drop("words", "times").join(sums, "row", "left").withColumn("log_likelihood", F.col("log_likelihood") + F.coalesce(F.col("more").cast("double"), F.lit(0.0)))
+    mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
+    return scored.select(F.col("id").alias(id_col), "n_tokens", "log_likelihood", mean.alias("mean_log"))

@@ -80,3 +80,29 @@ def test_every_text_is_trained_on(spark):
     trained, start = pl.fit(docs).weights["embed"], pl.Network(pl.bucket_counts(docs)).weights["embed"]
     seen = np.unique(np.concatenate([pl.token_ids(t.encode()) for t in texts]))
     assert (trained[seen] != start[seen]).any(1).all()
+
+
+@pytest.mark.parametrize("most", [pl.FREQUENT, 30, 0])
+def test_words_of_one_bucket_have_their_own_counts(spark, most):
+    first, at = {}, 0
+    while (bucket := pl.token_ids(b"w%d" % at)[0]) not in first:
+        first[bucket] = at
+        at += 1
+    often, seldom = f"w{first[bucket]}", f"w{at}"
+    long = "x" * 100
+    texts = [*sentences(20), *[f"{often} {long}"] * 9, seldom, "", None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    network = pl.fit(docs, rounds=1)
+    found = {r["text"]: r for r in pl.score(docs.union(docs), network, id_col="doc_id", most=most).join(docs, "doc_id").collect()}
+    counts = {}
+    for t in texts:
+        for w in (t or "").split():
+            counts[w] = counts.get(w, 0) + 1
+    for t in {x for x in texts if x}:
+        ids, places = pl.joined([pl.token_ids(t.encode())])
+        want = network.log_probabilities(ids, places).sum()
+        for w, b in zip(t.split(), ids[places]):
+            want += np.log(counts[w]) - np.log(sum(n for x, n in counts.items() if pl.token_ids(x.encode())[0] == b) + 0.5)
+        assert found[t]["log_likelihood"] == pytest.approx(want, abs=1e-3)
+    assert found[seldom]["log_likelihood"] < -np.log(9) and found[None]["mean_log"] is None
+    assert pl.score(docs.union(docs), network, most=most).count() == 2 * len(texts)
