@@ -1,8 +1,11 @@
 """Licence scans: sparse TF-IDF cosine to templates, then inheritance from the nearest directory with a licence file.
 
-A header is a line with a word that licences use (``CUE``). Its words' TF-IDF vector, with document frequencies over the
+A header is a line, a run of neighbouring lines (up to one without letters and digits) or a sentence of such a run, with a word that licences use (``CUE``).
+Its words' TF-IDF vector, with document frequencies over the
 templates, is compared with every template that shares a word with it; the best template of a file's headers is the file's
-own licence if the cosine reaches ``LEAST_COSINE``. Files called LICENSE, LICENCE, COPYING or UNLICENSE (with any
+own licence if the cosine reaches ``LEAST_COSINE``. Two rules go before the cosine: a reservation of all rights counts only where no licence is named, and a whole
+text that reaches ``LEAST_FULL`` beside the full text of a short licence (``FULL_TEXTS``) counts most. Whole texts are those of licence files, and in other files
+the runs from the first to the last one with a cue, if they hold a grant (``GRANT``). Long licences are known by their titles and headers. Files called LICENSE, LICENCE, COPYING or UNLICENSE (with any
 ending) pass theirs to the files of their directory and below that have none: the nearest directory
 above counts, in it the file with the best cosine.
 
@@ -24,9 +27,10 @@ from pyspark.sql import functions as F
 
 from tarmac.session import stored
 
-LEAST_COSINE = 0.5
+LEAST_COSINE, LEAST_FULL = 0.5, 0.8
 #: fixed values: words that make a line a header, names of licence files
 CUE = "(licen[sc]e|copyright|copying|permission is|permitted|warrant|spdx|rights reserved|public domain)"
+GRANT = "(permission (is|to)|redistribution|public domain|free software)"
 LICENSE_FILE = "^(licen[sc]e|copying|unlicen[sc]e)([^a-z].*)?$"
 
 #: fixed values: licence names and the words of their usual headers
@@ -37,13 +41,20 @@ TEMPLATES = [
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "SPDX-License-Identifier: MIT"),
+    ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met."),
     ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License, version 3."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"),
+    ("GPL-3.0", "GNU General Public License, Version 3, 29 June 2007"),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "GNU Affero General Public License, Version 3, 19 November 2007"),
+    ("LGPL-3.0", "GNU Lesser General Public License, Version 3, 29 June 2007"),
     ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License, CC BY 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "To the extent possible under law, the author has dedicated this work to the public domain under CC0 1.0."),
@@ -51,36 +62,93 @@ TEMPLATES = [
     ("proprietary", "Copyright. All rights reserved."),
 ]
 
+_BSD = (
+        'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are '
+        'met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. '
+        'Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the '
+        'documentation and/or other materials provided with the distribution. '
+)
+_BSD_NAMES = (
+        '3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this '
+        'software without specific prior written permission. '
+)
+_BSD_AS_IS = (
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT '
+        'LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT '
+        'HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT '
+        'LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY '
+        'THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF '
+        'THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE. '
+)
+#: fixed values: short licences in full
+FULL_TEXTS = [
+    ("BSD-2-Clause", _BSD + _BSD_AS_IS),
+    ("BSD-3-Clause", _BSD + _BSD_NAMES + _BSD_AS_IS),
+    ("MIT", (
+        'MIT License. Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation '
+        'files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, '
+        'publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, '
+        'subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial '
+        'portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO '
+        'THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS '
+        'BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN '
+        'CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. '
+    )),
+    ("ISC", (
+        'ISC License. Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, '
+        'provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR '
+        'DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE '
+        'AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR '
+        'PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE '
+        'OF THIS SOFTWARE. '
+    )),
+    ("Unlicense", (
+        'This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or '
+        'distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any '
+        'means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the '
+        'software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and '
+        'successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software '
+        'under copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
+        'WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, '
+        'DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR '
+        'THE USE OR OTHER DEALINGS IN THE SOFTWARE. For more information, please refer to unlicense.org '
+    )),
+]
+
 
 def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("([a-z0-9]+)"), 1)
 
 
-def templates(spark: SparkSession) -> DataFrame:
+def templates(spark: SparkSession, known: list[tuple[str, str]]) -> DataFrame:
     """Rows of ``template`` (number), ``license``, ``word``, ``weight``: unit vectors; and each word's ``idf``."""
-    rows = [(i, name, text) for i, (name, text) in enumerate(TEMPLATES)]
+    rows = [(i, name, text) for i, (name, text) in enumerate(known)]
     words = spark.createDataFrame(rows, "template int, license string, text string").select("template", "license", F.explode(_words(F.col("text"))).alias("word"))
     tf = words.groupBy("template", "license", "word").agg(F.count("*").alias("tf"))
-    idf = tf.groupBy("word").agg((F.log((1.0 + len(TEMPLATES)) / (1.0 + F.count("*"))) + 1.0).alias("idf"))
+    idf = tf.groupBy("word").agg((F.log((1.0 + len(known)) / (1.0 + F.count("*"))) + 1.0).alias("idf"))
     raw = tf.join(idf, "word").withColumn("w", F.col("tf") * F.col("idf"))
     norms = raw.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     return raw.join(norms, "template").select("template", "license", "word", (F.col("w") / F.col("norm")).alias("weight"), "idf")
 
 
-def score_headers(headers: DataFrame) -> DataFrame:
-    """The best template of every distinct ``header``: ``header``, ``license``, ``score`` (cosine, 6 digits)."""
-    vectors = stored(templates(headers.sparkSession), "license-templates")
-    rare = 1.0 + math.log(1.0 + len(TEMPLATES))
+def cosines(texts: DataFrame, known: list[tuple[str, str]]) -> DataFrame:
+    """``key``, ``license``, ``score`` (cosine, 6 digits) of every distinct ``key`` (with its ``text``) and licence that share a word."""
+    vectors = stored(templates(texts.sparkSession, known), "license-templates")
+    rare = 1.0 + math.log(1.0 + len(known))
     idf = vectors.select("word", "idf").distinct()
-    words = headers.select("header").distinct().select("header", F.explode(_words(F.col("header"))).alias("word"))
-    tf = words.groupBy("header", "word").agg(F.count("*").alias("tf"))
+    tf = texts.select("key", F.explode(_words(F.col("text"))).alias("word")).groupBy("key", "word").agg(F.count("*").alias("tf"))
     weighed = tf.join(idf, "word", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(rare)))
-    norms = weighed.groupBy("header").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = weighed.where("idf is not null").join(vectors.select("word", "template", "license", "weight"), "word").groupBy("header", "template", "license").agg(
+    norms = weighed.groupBy("key").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    dots = weighed.where("idf is not null").join(vectors.select("word", "template", "license", "weight"), "word").groupBy("key", "template", "license").agg(
         F.sum(F.col("w") * F.col("weight")).alias("dot")
     )
-    cosine = dots.join(norms, "header").select("header", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
-    best = cosine.groupBy("header", "license").agg(F.max("score").alias("score"))
+    cosine = dots.join(norms, "key").select("key", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
+    return cosine.groupBy("key", "license").agg(F.max("score").alias("score"))
+
+
+def score_headers(headers: DataFrame) -> DataFrame:
+    """The best template of every distinct ``header``: ``header``, ``license``, ``score`` (cosine, 6 digits)."""
+    best = cosines(headers.select(F.col("header").alias("key"), F.col("header").alias("text")).distinct(), TEMPLATES).withColumnRenamed("key", "header")
     return best.groupBy("header").agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("b")).select(
         "header", F.col("b.license").alias("license"), (-F.col("b.minus")).alias("score")
     )
@@ -90,17 +158,34 @@ def scan(files: DataFrame, id_col: str, path_col: str = "path", text_col: str =
     """Per file ``id_col``, ``license``, ``score``, ``origin`` (own, inherited or null), ``from_dir`` (of an inherited licence)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     # rows get a number of their own, written down, as neither ids nor paths need be distinct
-    cues = F.array_distinct(F.filter(F.split(text, "\n", -1), lambda l: F.lower(l).rlike(CUE)))
-    slim = stored(files.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(path_col).cast("string").alias("path"), cues.alias("headers")), "license-headers")
-    lines = slim.where("size(headers) > 0").select("row", F.explode("headers").alias("header"))
-    scored = score_headers(lines).where(F.col("score") >= least_cosine)
-    own = lines.join(scored, "header").groupBy("row").agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("b")).select(
-        "row", F.col("b.license").alias("own"), (-F.col("b.minus")).alias("own_score")
+    has_cue = lambda t: F.lower(t).rlike(CUE)
+    lines = F.filter(F.split(text, "\n", -1), has_cue)
+    runs = F.transform(F.split(text, r"\n[^a-zA-Z0-9]*\n", -1), lambda t: F.regexp_replace(F.regexp_replace(t, r"\n[^a-zA-Z0-9\n]*", " "), "[ \\t\\r]+", " "))
+    row, path = F.monotonically_increasing_id().alias("row"), F.col(path_col).cast("string").alias("path")
+    slim = files.select(row, F.col(id_col).alias("id"), path, text.alias("text"), lines.alias("lines"), runs.alias("runs"))
+    # the row number in the projection under it keeps Catalyst from computing the arrays anew for each use
+    slim = slim.withColumn("cued", F.filter("runs", has_cue)).where("row >= 0")
+    sentences = F.filter(F.flatten(F.transform("cued", lambda t: F.split(t, r"(?<=[.!?]) (?=[^a-z])", -1))), has_cue)
+    at = F.filter(F.transform("runs", lambda t, i: F.when(has_cue(t), i + 1)), lambda i: i.isNotNull())
+    region = F.array_join(F.slice("runs", F.array_min(at), F.array_max(at) - F.array_min(at) + 1), " ")
+    is_license = F.lower(F.substring_index("path", "/", -1)).rlike(LICENSE_FILE)
+    whole = F.when(F.coalesce(is_license, F.lit(False)), F.col("text")).when((F.size("cued") > 0) & F.lower(region).rlike(GRANT), region)
+    headers = F.array_distinct(F.concat("lines", "cued", sentences))
+    slim = stored(slim.select("row", "id", "path", headers.alias("headers"), whole.alias("whole")), "license-headers")
+    # texts meet the templates by their digests, once each
+    lines = slim.where("size(headers) > 0").select("row", F.explode("headers").alias("text")).withColumn("key", F.md5("text"))
+    named = cosines(lines.select("key", "text").dropDuplicates(["key"]), TEMPLATES).where(F.col("score") >= least_cosine)
+    named = lines.select("row", "key").join(named, "key").select("row", F.when(F.col("license") == "proprietary", 2).otherwise(1).alias("level"), "license", "score")
+    full = slim.where("whole is not null").select("row", F.col("whole").alias("text")).withColumn("key", F.md5("text"))
+    like = cosines(full.select("key", "text").dropDuplicates(["key"]), FULL_TEXTS).where(F.col("score") >= LEAST_FULL)
+    like = full.select("row", "key").join(like, "key").select("row", F.lit(0).alias("level"), "license", "score")
+    own = named.union(like).groupBy("row").agg(F.min(F.struct("level", (-F.col("score")).alias("minus"), "license")).alias("b")).select(
+        "row", F.col("b.level").alias("level"), F.col("b.license").alias("own"), (-F.col("b.minus")).alias("own_score")
     )
     base, directory = F.substring_index("path", "/", -1), F.regexp_replace("path", "/?[^/]*$", "")
     known = stored(slim.select("row", "id", base.alias("base"), directory.alias("dir")).join(own, "row", "left"), "license-own")
     givers = known.where(F.col("own").isNotNull() & F.lower("base").rlike(LICENSE_FILE)).groupBy("dir").agg(
-        F.min(F.struct((-F.col("own_score")).alias("minus"), F.col("base"), F.col("own"))).alias("g")
+        F.min(F.struct("level", (-F.col("own_score")).alias("minus"), F.col("base"), F.col("own"))).alias("g")
     ).select(F.col("dir").alias("above"), F.col("g.own").alias("given"), (-F.col("g.minus")).alias("given_score"))
     parts = F.split("dir", "/", -1)
     ancestors = F.concat(F.array(F.lit("")), F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/")))

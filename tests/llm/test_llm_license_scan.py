@@ -60,3 +60,25 @@ def test_cosine_equals_plain_python(spark, header):
 
 def test_empty_table(spark):
     assert ls.scan(spark.createDataFrame([], "id int, path string, text string"), "id").count() == 0
+
+
+MPL = """// This Source Code Form is subject to the terms of the Mozilla Public
+// License, v. 2.0. If a copy of the MPL was not distributed with this
+// file, You can obtain one at http://mozilla.org/MPL/2.0/."""
+BSD = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n"
+AGPL = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU Affero General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version."
+
+
+@pytest.mark.parametrize("path,text,license", [
+    ("a.c", MPL, "MPL-2.0"),
+    ("a.c", "Copyright 2014 The Authors. All rights reserved.\n\n" + BSD, "BSD"),
+    ("a.txt", "word " * 20 + "ends here. Released under the MIT License. And " + "more " * 15 + "follows.", "MIT"),
+    ("a.py", AGPL, "AGPL-3.0"),
+    ("LICENSE", "Copyright (c) 2020, Some One\nAll rights reserved.\n\n" + dict(ls.FULL_TEXTS)["BSD-2-Clause"], "BSD-2-Clause"),
+    ("LICENSE", "Copyright (c) 2020, Some One\nAll rights reserved.\n\n" + dict(ls.FULL_TEXTS)["BSD-3-Clause"].replace(". ", ".\n\n"), "BSD-3-Clause"),
+    ("x/COPYING", "Copyright (c) 2020 Some One\n\n" + dict(ls.FULL_TEXTS)["ISC"], "ISC"),
+    ("a.py", "Copyright 2020 Some One. All rights reserved.", "proprietary"),
+])
+def test_headers_of_many_lines_and_whole_texts(spark, path, text, license):
+    row = ls.scan(spark.createDataFrame([(1, path, text)], "id int, path string, text string"), "id").first()
+    assert row["license"].startswith(license) and row["origin"] == "own"
