@@ -43,8 +43,8 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdict on every page's URL by the rule list, else by rules mined from the labels."""
-    return url_rules.judge(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"), URL_RULES)
+    """Verdict on every page's URL by the rule list, else by rules of any length mined from the labels."""
+    return url_rules.judge(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"), URL_RULES, most_tokens=None)
 
 
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,9 +4,9 @@ A listed rule such as ``example.net/en/`` fits its host and all subdomains if th
 path; the longest fitting rule decides. For other URLs the association rules do:
 
 1. Every URL becomes a set of tokens: parts of its host, path and query, each marked with where it stands.
-2. Spark's FP-growth mines token combinations of up to ``MOST_TOKENS`` tokens that are frequent among the URLs labelled bad.
+2. Spark's FP-growth mines token combinations that are frequent among the URLs labelled bad, of up to ``most_tokens`` tokens, or of any length if that is None.
 3. Combinations are pruned by support (bad URLs that have them) and by confidence (their share among all labelled
-   URLs that have them).
+   URLs that have them). Of three tokens and more only those count that contain no shorter rule, which would block the same URLs.
 4. An inverted index from each combination's rarest token finds the candidates of a URL; one that has all
    tokens of a combination is blocked.
 
@@ -26,12 +26,14 @@ from pyspark.sql import functions as F
 
 from tarmac.session import stored
 
-#: smallest share of the bad URLs, smallest number of them, smallest confidence, most tokens of a combination
+#: smallest share of the bad URLs, smallest number of them, smallest confidence, most tokens of a combination (None: any number)
 SUPPORT, LEAST_URLS, CONFIDENCE, MOST_TOKENS = 0.01, 10, 0.6, 2
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: fixed values: patterns in a syntax that Java and RE2 share
 HOST, PATH, QUERY = "^([^/?#]*)", "^[^/?#]*([^?#]*)", r"^[^?#]*\?([^#]*)"
+#: fixed value: letters and digits of all scripts make tokens
+LETTERS = r"[\p{L}\p{M}\p{N}_]+"
 
 
 def _rest(url: Column) -> Column:
@@ -60,12 +62,12 @@ def fitting_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> tu
 
 def tokens(url: Column) -> Column:
     """Sorted distinct tokens: parts of the host (``h:``), path (``p:``) and names in the query (``q:``), in lower case."""
-    rest = F.translate(_rest(url), _UPPER, _LOWER)
+    rest = F.lower(_rest(url))
     parts = lambda pattern, mark: F.transform(
-        F.regexp_extract_all(F.regexp_extract(rest, pattern, 1), F.lit("([a-z0-9_]+)"), 1), lambda t: F.concat(F.lit(mark), t)
+        F.regexp_extract_all(F.regexp_extract(rest, pattern, 1), F.lit(f"({LETTERS})"), 1), lambda t: F.concat(F.lit(mark), t)
     )
     names = F.transform(
-        F.regexp_extract_all(F.concat(F.lit("&"), F.regexp_extract(rest, QUERY, 1)), F.lit("&([a-z0-9_]+)"), 1), lambda t: F.concat(F.lit("q:"), t)
+        F.regexp_extract_all(F.concat(F.lit("&"), F.regexp_extract(rest, QUERY, 1)), F.lit(f"&({LETTERS})"), 1), lambda t: F.concat(F.lit("q:"), t)
     )
     return F.array_sort(F.array_distinct(F.concat(parts(HOST, "h:"), parts(PATH, "p:"), names)))
 
@@ -78,7 +80,7 @@ def _matches(sets: DataFrame, combinations: DataFrame) -> DataFrame:
 
 
 def mine(
-    labelled: DataFrame, support: float = SUPPORT, least_urls: int = LEAST_URLS, confidence: float = CONFIDENCE, most_tokens: int = MOST_TOKENS,
+    labelled: DataFrame, support: float = SUPPORT, least_urls: int = LEAST_URLS, confidence: float = CONFIDENCE, most_tokens: int | None = MOST_TOKENS,
 ) -> DataFrame:
     """Rules ``items``, ``rarest``, ``bad_urls``, ``all_urls`` from rows of ``tokens`` and ``bad``."""
     sets = stored(labelled.select("tokens", "bad"), "url-labels")
@@ -91,7 +93,7 @@ def mine(
     # just under the least count, as FP-growth rounds the product up again
     model = FPGrowth(itemsCol="tokens", minSupport=(least - 0.5) / n_bad).fit(bad)
     frequent = model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").alias("bad_urls"))
-    frequent = stored(frequent.where(F.size("items") <= most_tokens), "url-combinations")
+    frequent = stored(frequent if most_tokens is None else frequent.where(F.size("items") <= most_tokens), "url-combinations")
     alone = frequent.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), F.col("bad_urls").alias("n"))
     rarest = (
         frequent.select("items", "bad_urls", F.explode("items").alias("token")).join(alone, "token")
@@ -101,7 +103,10 @@ def mine(
     counted = sets.groupBy("tokens").count().withColumn("key", F.array_join("tokens", " "))
     have = _matches(counted, rarest).join(counted.select("key", "count"), "key").groupBy("items").agg(F.sum("count").alias("all_urls"))
     rules = rarest.join(have, "items").where(F.col("bad_urls") >= F.lit(confidence) * F.col("all_urls"))
-    return stored(rules.select("items", "rarest", "bad_urls", "all_urls"), "url-rules")
+    rules = stored(rules.select("items", "rarest", "bad_urls", "all_urls"), "url-rules").withColumn("key", F.array_join("items", " "))
+    inside = _matches(rules.where("size(items) > 2").select("key", F.col("items").alias("tokens")), rules)
+    implied = inside.where(F.array_join("items", " ") != F.col("key")).select("key").distinct()
+    return stored(rules.join(implied, "key", "left_anti").drop("key"), "url-minimal-rules")
 
 
 def judge(

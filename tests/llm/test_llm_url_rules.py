@@ -79,3 +79,21 @@ def test_empty_tables(spark):
     pages = spark.createDataFrame([], "page_id bigint, url string")
     labels = spark.createDataFrame([(1, 0, 0)], "doc_id bigint, quality int, toxic int")
     assert ur.judge(pages, labels, URL_RULES).count() == 0
+
+
+def test_three_tokens_together(spark):
+    # each pair of the three is as common among good URLs
+    bad = [f"http://shop.x/{i}/b?c=1" for i in range(30)]
+    good = [u for i in range(30) for u in (f"http://shop.x/{i}/b", f"http://shop.x/{i}/d?c=1", f"http://news.x/{i}/b?c=1")]
+    rows = list(enumerate(bad + good + ["http://shop.x/new/b?c=2", "http://shop.x/new/b"]))
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    labels = spark.createDataFrame([(i, int(i >= 30), 0) for i in range(120)], "doc_id bigint, quality int, toxic int")
+    found = {r["url"]: (r["verdict"], r["n_mined"]) for r in ur.judge(pages, labels, [], most_tokens=None).join(pages, "page_id").collect()}
+    # one rule: those of four tokens and more contain it
+    assert all(found[u] == ("block", 1) for u in [*bad, "http://shop.x/new/b?c=2"])
+    assert all(found[u] == ("allow", 0) for u in [*good, "http://shop.x/new/b"])
+
+
+def test_letters_of_all_scripts(spark):
+    row = spark.createDataFrame([("http://Ä1.de/é/東京?ü=1&b=2",)], "u string").select(ur.tokens(F.col("u"))).first()
+    assert set(row[0]) == {"h:ä1", "h:de", "p:é", "p:東京", "q:ü", "q:b"}
