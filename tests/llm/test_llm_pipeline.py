@@ -69,3 +69,11 @@ def test_odd_tables_pass_through(spark, docs_of, tmp_path, rows):
 
 def test_names_of_stages():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "quality_rules", "simhash_near_dedup", "benchmark_decontamination", "bpe"]
+
+
+def test_passages_below_the_limit_are_cut(spark, docs_of):
+    item = next(r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect() if 13 <= len(decontaminate.words_of((r["text"] or "").encode())) <= 60)
+    rest = " ".join(f"own{i}" for i in range(2000))
+    found = corpus_pipeline.benchmark_decontamination(spark, docs_of([(1, f"{rest} {item} end"), (2, item), (3, rest)]), SF).collect()
+    words = {r["doc_id"]: decontaminate.words_of(r["text"].encode()) for r in found}
+    assert words == {1: [*rest.encode().split(), b"end"], 3: rest.encode().split()}
