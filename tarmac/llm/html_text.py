@@ -76,46 +76,52 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 
-def _furniture(name: str, attributes: str) -> tuple[bool, bool, bool]:
-    """Whether an element is furniture, whether it is a header (whose headings may stay), and whether it has role main."""
+def _furniture(name: str, attributes: str) -> tuple[bool, bool, bool, bool]:
+    """Whether an element is furniture, whether it is a header (whose headings may stay), whether it has role main, and
+    whether only a class word or being a form makes it furniture."""
     if name == "header":
-        return True, True, False
+        return True, True, False, False
     if not attributes.strip(" /\t\r\n"):
-        return name in DROPPED, False, False
+        return name in DROPPED, False, False, name == "form"
     given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
-    if name in DROPPED or "hidden" in given or given.get("aria-hidden") == "true":
-        return True, False, False
+    if (name in DROPPED and name != "form") or "hidden" in given or given.get("aria-hidden") == "true":
+        return True, False, False, False
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", given.get("style", ""), re.I):
-        return True, False, False
+        return True, False, False, False
     role = given.get("role", "").lower()
     if role in FURNITURE_ROLES:
-        return True, False, False
+        return True, False, False, False
+    if name == "form":
+        return True, False, False, True
     if name in ("html", "body"):
-        return False, False, False
+        return False, False, False, False
     named = re.findall(r"[a-z]+", f"{given.get('class', '')} {given.get('id', '')}".lower())
     words = {*named, *map("".join, zip(named, named[1:]))}
     if any(map(FURNITURE_WORDS.fullmatch, words)):
-        return True, False, False
-    return ("header" in words and name not in HEADINGS), "header" in words, role == "main"
+        return True, False, role == "main", True
+    return ("header" in words and name not in HEADINGS), "header" in words, role == "main", False
 
 
 class _Reader:
     """The open elements of a page and the block that is being read.
 
     An element's state is whether its text is furniture, whether only a header makes it so, whether it is in an
-    article, whether it is in a main element, and whether it is furniture inside a line, which says nothing at all.
+    article, whether it is in a main element, whether it is furniture inside a line, which says nothing at all, whether it is
+    furniture by more than class words or forms, and how many of those two are around it outside articles. With ``lenient``, an article or main element is
+    not furniture because of such wrappers.
     """
 
-    def __init__(self):
+    def __init__(self, lenient: bool):
+        self.lenient = lenient
         self.names: list[str] = []
-        self.states: list[tuple[bool, bool, bool, bool, bool]] = []
+        self.states: list[tuple[bool, bool, bool, bool, bool, bool, int]] = []
         self.found: list[tuple[str, tuple, bool]] = []
         self.buffer: list[str] = []
         self.headings = 0
         self.begun: tuple = ()
 
-    def state(self) -> tuple[bool, bool, bool, bool, bool]:
-        return self.states[-1] if self.states else (False,) * 5
+    def state(self) -> tuple[bool, bool, bool, bool, bool, bool, int]:
+        return self.states[-1] if self.states else (False, False, False, False, False, False, 0)
 
     def text(self, text: str) -> None:
         if not self.state()[4]:
@@ -159,18 +165,37 @@ class _Reader:
                 if self.names[place] in CLOSES_ITSELF.get(name, ()) or (name == "p" and self.names[place] not in INLINE):
                     break
         outer = self.state()
-        furniture, header, role_main = _furniture(name, attributes)
-        by_header = outer[1] and not (furniture and not header) if outer[0] else furniture and header
+        furniture, header, role_main, weak = _furniture(name, attributes)
+        opens = (name == "article" and not outer[2]) or ((name == "main" or role_main) and not outer[3])
+        above = outer[0] and not (self.lenient and opens and not outer[5])
+        by_header = outer[1] and not (furniture and not header) if above else furniture and header
         self.names.append(name)
         self.states.append((
-            outer[0] or furniture, by_header, outer[2] or name == "article", outer[3] or name == "main" or role_main, outer[4] or (furniture and inline)
+            above or furniture, by_header, outer[2] or name == "article", outer[3] or name == "main" or role_main, outer[4] or (furniture and inline),
+            outer[5] or (furniture and not weak), outer[6] + (furniture and weak and not outer[2]),
         ))
         self.headings += name in HEADINGS
 
 
 def blocks(html: str | None) -> tuple[list[str], list[int]]:
-    """Texts and kinds of a page's blocks, in page order."""
-    html, page, at = html or "", _Reader(), 0
+    """Texts and kinds of a page's blocks, in page order.
+
+    If no article or main element is left beside the furniture, those in wrappers that only a class word or a form makes furniture count:
+    the ones with the fewest such wrappers.
+    """
+    page = _read(html or "", False)
+    kinds = _kinds(page)
+    in_main = any(state[3] and k != FURNITURE for (_, state, _), k in zip(page.found, kinds))
+    if ARTICLE not in kinds and not in_main and any((state[2] or state[3]) and state[6] and not state[5] for _, state, _ in page.found):
+        page = _read(html or "", True)
+        kinds = _kinds(page)
+        least = min((state[6] for (_, state, _), k in zip(page.found, kinds) if k == ARTICLE), default=0)
+        kinds = [FURNITURE if k == ARTICLE and state[6] > least else k for (_, state, _), k in zip(page.found, kinds)]
+    return [t for t, _, _ in page.found], kinds
+
+
+def _read(html: str, lenient: bool) -> _Reader:
+    page, at = _Reader(lenient), 0
     while at < len(html):
         token = _TOKEN.search(html, at)
         text = html[at : token.start() if token else len(html)]
@@ -194,12 +219,16 @@ def blocks(html: str | None) -> tuple[list[str], list[int]]:
                 stop = re.compile(f"</{re.escape(name)}", re.I).search(html, at)
                 at = stop.start() if stop else len(html)
     page.flush()
+    return page
+
+
+def _kinds(page: _Reader) -> list[int]:
     inside = 2 if any(state[2] for _, state, _ in page.found) else 3
     kinds = []
     for _, state, in_heading in page.found:
         kept_heading = state[1] and in_heading and state[inside]
         kinds.append(FURNITURE if state[0] and not kept_heading else ARTICLE if state[inside] else OPEN)
-    return [t for t, _, _ in page.found], kinds
+    return kinds
 
 
 # --- alignment ----------------------------------------------------------------------------------------------------
@@ -289,43 +318,51 @@ def _common(a: str, b: str) -> int:
 
 def neighbours(pages: DataFrame) -> DataFrame:
     """``id``, ``mark`` of every distinct page (columns id, mark, host, path) that has a neighbour on its host, and its
-    nearest one's ``near_id``, ``near_mark``."""
+    nearest one's ``near_id``, ``near_mark``. Pages of equal ``content``, a column that may be missing or null, are no neighbours.
+
+    In order of paths, pages of one host and content that follow each other are a run; the nearest page is the last one of
+    the run before or the first one of the run after.
+    """
     spark = pages.sparkSession
     kind = pages.schema["id"].dataType.simpleString()
     order = ["host", "path", "id", "mark"]
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    row = f"struct<host:string,path:string,id:{kind},mark:bigint>"
+    row = f"struct<host:string,path:string,id:{kind},mark:bigint,content:bigint>"
+    if "content" not in pages.columns:
+        pages = pages.withColumn("content", F.lit(None).cast("bigint"))
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, last = TaskContext.get().partitionId(), None
-        held = None
+        part, last, run = TaskContext.get().partitionId(), None, -1
         for batch in batches:
+            runs = []
+            for host, content in zip(batch.column(0).to_pylist(), batch.column(4).to_pylist()):
+                if content is None or (host, content) != last:
+                    run += 1
+                last = (host, content)
+                runs.append(run)
             rows = batch.to_struct_array()
-            if held is not None:
-                yield out(part, held, last, rows.slice(0, 1))
-                last = held
-            if batch.num_rows > 1:
-                before = pa.concat_arrays([last if last is not None else pa.nulls(1, rows.type), rows.slice(0, batch.num_rows - 2)])
-                yield out(part, rows.slice(0, batch.num_rows - 1), before, rows.slice(1))
-                last = rows.slice(batch.num_rows - 2, 1)
-            held = rows.slice(batch.num_rows - 1, 1)
-        if held is not None:
-            yield out(part, held, last, None)
-
-    def out(part, rows, before, after) -> pa.RecordBatch:
-        none = pa.nulls(len(rows), rows.type)
-        return pa.RecordBatch.from_arrays(
-            [rows, none if before is None else before, none if after is None else after], ["row", "before", "after"]
-        )
+            yield pa.RecordBatch.from_arrays([pa.array([part] * len(rows), pa.int32()), pa.array(runs, pa.int64()), rows], ["part", "run", "row"])
 
     ranked = stored(
-        pages.select(order).repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(rank, f"row {row}, before {row}, after {row}"), "url-order"
+        pages.select(*order, "content").repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(rank, f"part int, run bigint, row {row}"), "url-order"
     )
-    at_end = F.col("before").isNull() | F.col("after").isNull()
-    # two rows per sorted partition at most: their missing neighbours are in the partitions beside
-    whole = Window.orderBy("row.host", "row.path", "row.id", "row.mark")
-    ends = ranked.where(at_end).select(
-        "row", F.coalesce("before", F.lag("row").over(whole)).alias("before"), F.coalesce("after", F.lead("row").over(whole)).alias("after")
+    of_part = Window.partitionBy("part")
+    runs = ranked.groupBy("part", "run").agg(F.min("row").alias("first"), F.max("row").alias("last"))
+    runs = stored(runs.withColumn("final", F.max("run").over(of_part)), "url-runs")
+    # four runs per sorted partition at most: neighbours that its first and last run miss are in the partitions beside
+    edges: dict[int, list] = {}
+    for edge in sorted(runs.where("run <= 1 or run >= final - 1").collect(), key=lambda r: (r["part"], r["run"])):
+        edges.setdefault(edge["part"], []).append(edge)
+    same_run = lambda a, b: a["content"] is not None and (a["host"], a["content"]) == (b["host"], b["content"])
+    missing, part_kind = [], f"part int, edge_before {row}, edge_after {row}"
+    for part, own in edges.items():
+        before = next((x["last"] for p in sorted((p for p in edges if p < part), reverse=True) for x in reversed(edges[p]) if not same_run(x["last"], own[0]["first"])), None)
+        after = next((x["first"] for p in sorted(p for p in edges if p > part) for x in edges[p] if not same_run(x["first"], own[-1]["last"])), None)
+        missing.append((part, before, after))
+    by_run = of_part.orderBy("run")
+    beside = runs.join(F.broadcast(spark.createDataFrame(missing, part_kind)), "part").select(
+        "part", "run", F.when(F.col("run") == 0, F.col("edge_before")).otherwise(F.lag("last").over(by_run)).alias("before"),
+        F.when(F.col("run") == F.col("final"), F.col("edge_after")).otherwise(F.lead("first").over(by_run)).alias("after"),
     )
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,7 +379,7 @@ def neighbours(pages: DataFrame) -> DataFrame:
                 [pa.array(c, k) for c, k in zip(columns, (ids, pa.int64(), ids, pa.int64()))], ["id", "mark", "near_id", "near_mark"]
             )
 
-    return ranked.where(~at_end).union(ends).mapInArrow(choose, f"id {kind}, mark bigint, near_id {kind}, near_mark bigint")
+    return ranked.join(beside, ["part", "run"]).select("row", "before", "after").mapInArrow(choose, f"id {kind}, mark bigint, near_id {kind}, near_mark bigint")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -354,10 +391,14 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     def outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             places = [host_and_path(u) for u in batch.column(1).to_pylist()]
-            lines = [_line_hashes(blocks(h)[0]) for h in batch.column(2).to_pylist()]
+            pairs = [blocks(h) for h in batch.column(2).to_pylist()]
+            lines = [_line_hashes(texts) for texts, _ in pairs]
+            # copies say nothing about each other's open lines; pages without such lines are compared with any other
+            opens = [[x for x, k in zip(found, kinds) if k == OPEN] for found, (_, kinds) in zip(lines, pairs)]
+            contents = [xxhash.xxh64_intdigest(np.array(o, np.int64).tobytes()) - (1 << 63) if o else None for o in opens]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(3), pa.array([p[0] for p in places], pa.string()), pa.array([p[1] for p in places], pa.string()), pa.array(lines, pa.list_(pa.int64()))],
-                ["id", "mark", "host", "path", "lines"],
+                [batch.column(0), batch.column(3), pa.array([p[0] for p in places], pa.string()), pa.array([p[1] for p in places], pa.string()), pa.array(lines, pa.list_(pa.int64())), pa.array(contents, pa.int64())],
+                ["id", "mark", "host", "path", "lines", "content"],
             )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -368,7 +409,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 ["id", "url", "mark", "texts", "kinds"],
             )
 
-    outlines = stored(given.mapInArrow(outline, f"id {kind}, mark bigint, host string, path string, lines array<bigint>"), "page-lines")
+    outlines = stored(given.mapInArrow(outline, f"id {kind}, mark bigint, host string, path string, lines array<bigint>, content bigint"), "page-lines")
     distinct = outlines.dropDuplicates(["id", "mark"])
     near = neighbours(distinct)
     lines = distinct.select(F.col("id").alias("near_id"), F.col("mark").alias("near_mark"), F.col("lines").alias("near_lines"))
@@ -385,6 +426,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             for texts, kinds, near_lines in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))):
                 shared = set(shared_lines(_line_hashes(texts), near_lines)) if near_lines else set()
                 kept = [t for i, (t, k) in enumerate(zip(texts, kinds)) if k == ARTICLE or (k == OPEN and i not in shared)]
+                # a page whose lines are all part of another page keeps them
+                kept = kept or [t for t, k in zip(texts, kinds) if k == OPEN]
                 text = "\n".join(kept)
                 rows.append((text, len(text), len(texts), len(shared)))
             columns = list(zip(*rows)) or [()] * 4

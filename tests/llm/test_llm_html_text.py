@@ -91,3 +91,32 @@ def test_nearest_neighbours_equal_brute_force(spark):
 
 def test_empty_table(spark):
     assert ht.extract(pages(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("wrapper", ["div class='no-sidebar'", "div id=navy", "form action='/x'", "form class='y'"])
+def test_wrappers_of_an_article_are_no_furniture(wrapper):
+    html = f"<body><nav>m</nav><{wrapper}><p>t</p><article><header><h1>T</h1>by</header><p>a</p><div class=ad>d</div></article><div class=related><article>r</article></div></{wrapper.split()[0]}>"
+    texts, kinds = ht.blocks(html)
+    assert [t for t, k in zip(texts, kinds) if k == ht.ARTICLE] == ["T", "a"]
+    kept = ht.blocks("<main><p>m</p></main><div class=related><article>r</article></div>")
+    assert [t for t, k in zip(*kept) if k != ht.FURNITURE] == ["m"]
+
+
+@pytest.mark.parametrize("partitions", ["1", "3", "20"])
+def test_copies_without_article_keep_their_text(spark, partitions):
+    def body(n):
+        return f"<body><p>Shared top line</p><p>Own text {n}</p><p>Shared bottom</p></body>"
+
+    # two groups of copies, their neighbours, a page whose lines another page has, and copies alone on a host
+    rows = [(i, f"http://a.example/m/{i:02}?x={i}", body(1)) for i in range(12)] + [(i, f"http://a.example/n/{i:02}", body(2)) for i in range(20, 26)]
+    rows += [(40, "http://a.example/o", "<p>Shared top line</p>"), (50, "http://b.example/1", body(3)), (51, "http://b.example/1", body(3))]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        found = {r["page_id"]: r["text"] for r in ht.extract(pages(spark, rows)).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert all(found[i] == "Own text 1" for i in range(12))
+    assert found[20] == "Own text 2" and found[40] == "Shared top line"
+    assert found[50] == found[51] == "Shared top line\nOwn text 3\nShared bottom"
+    assert all(found[i] in ("Own text 2", "Own text 2\nShared bottom") for i in range(20, 26))
