@@ -2,7 +2,7 @@ import io
 
 import pandas as pd
 import pytest
-from conftest import raw_row
+from flight_rows import raw_row
 from pyspark.sql import functions as F
 
 from tarmac.operators import clean

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import month_rows, raw_row, write_report
+from flight_rows import month_rows, raw_row, write_report
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

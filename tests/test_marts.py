@@ -2,7 +2,7 @@ import math
 import statistics
 
 import pytest
-from conftest import make_flights
+from flight_rows import make_flights
 
 from tarmac.operators import marts
 from tarmac.operators.features import airline_month_features

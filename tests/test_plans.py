@@ -1,7 +1,7 @@
 """Physical plans: what reaches the scan, and what must not appear."""
 
 import pytest
-from conftest import month_rows, write_report
+from flight_rows import month_rows, write_report
 
 from tarmac.operators import marts, training
 from tarmac.operators.features import airline_month_features

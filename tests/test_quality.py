@@ -1,4 +1,4 @@
-from conftest import make_flights, month_rows, write_report
+from flight_rows import make_flights, month_rows, write_report
 
 from tarmac.operators import quality
 from tarmac.plans import pipeline, views

@@ -2,7 +2,7 @@ import os
 import random
 import time
 
-from conftest import month_rows, raw_row, write_report
+from flight_rows import month_rows, raw_row, write_report
 
 from tarmac.operators.quality import fingerprint
 from tarmac.schema import RAW_TO_CLEAN

@@ -1,5 +1,5 @@
 import pytest
-from conftest import make_flights
+from flight_rows import make_flights
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import functions as F
 
