@@ -114,8 +114,28 @@ SELECT doc_id, len(w) AS n_words, coalesce(c.n, 0) AS n_hit, coalesce(m.n, 0) AS
 FROM docs LEFT JOIN covered c ON c.row = docs.row LEFT JOIN named m ON m.row = docs.row"""
 
 
+def _search_sql() -> str:
+    terms = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, {terms} AS w FROM documents),
+sums AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM docs),
+found AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(w) AS term FROM docs) x GROUP BY row, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS weight
+  FROM (SELECT term, count(*) AS df FROM found GROUP BY term) x, sums),
+sized AS (SELECT row, doc_id, 10 + (90 * len(w) * n_docs) // n_terms AS m FROM docs, sums WHERE len(w) > 0),
+items AS (SELECT row_number() OVER () AS item, item_id, {terms} AS w FROM (SELECT DISTINCT item_id, text FROM benchmark) x),
+asked AS (SELECT DISTINCT item, item_id, unnest(w) AS term FROM items),
+scored AS (
+  SELECT item, item_id, row, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN found USING (term) JOIN weights USING (term) JOIN sized USING (row) GROUP BY item, item_id, row, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scored WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 10"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op3_url_rules": _url_sql(),
     "op5_line_quality": _quality_sql(),
     "op8_decontamination": _benchmark_sql(),
+    "op12_ranked_search": _search_sql(),
 }

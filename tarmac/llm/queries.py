@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, decontaminate, html_text, language, license_scan, line_quality, pseudo_likelihood, simhash_vp, token_store, url_rules
+from tarmac.llm import bpe, decontaminate, html_text, language, license_scan, line_quality, pseudo_likelihood, ranked_search, simhash_vp, token_store, url_rules
 from tarmac.session import scratch_path
 
 #: fixed values: verdicts and rules of the URL list
@@ -93,6 +93,11 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return ranked_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_license_scan": op2_license_scan,
@@ -104,4 +109,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_pseudo_likelihood": op9_pseudo_likelihood,
     "op10_html_text": op10_html_text,
+    "op12_ranked_search": op12_ranked_search,
 }
