@@ -94,7 +94,7 @@ def test_blocks_are_skipped(spark):
     (_, portion), = R._portions(spark.createDataFrame([(1, "rare common")], "item_id bigint, text string"), "item_id", "text")
     weights = np.array([{b"rare": 5000, b"common": 1}[t] for t in sorted(portion.vocabulary)])
     best = R.Best(portion, weights, 10)
-    for shard in R.shards(batches(spark, docs, portion), weights, 2000, 12000, np.ones((2, 16), np.float32)):
+    for shard in R.shards(batches(spark, docs, portion), weights, 2000, 12000, np.random.default_rng(0).choice(np.float32([-1, 1]), (2, 16))):
         best.search(shard)
     assert best.keys[0].tolist() == list(range(10)) and best.scored < 100
 
