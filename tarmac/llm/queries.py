@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, decontaminate, html_text, language, license_scan, line_quality, pseudo_likelihood, ranked_search, simhash_vp, token_store, url_rules
+from tarmac.llm import bpe, decontaminate, html_text, language, license_scan, line_quality, pseudo_likelihood, ranked_search, simhash_vp, token_store, url_rules, whitening
 from tarmac.session import scratch_path
 
 #: fixed values: verdicts and rules of the URL list
@@ -98,6 +98,11 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the first four components, whitened."""
+    return whitening.whiten(_table(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_license_scan": op2_license_scan,
@@ -110,4 +115,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pseudo_likelihood": op9_pseudo_likelihood,
     "op10_html_text": op10_html_text,
     "op12_ranked_search": op12_ranked_search,
+    "op13_whitening": op13_whitening,
 }

@@ -1,0 +1,113 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tarmac.llm import whitening as H
+
+
+def brute_force(vectors):
+    """n, S, eigenvalues, eigenvectors and whitened rows by dense numpy, in extended exactness where it matters."""
+    x = np.floor(256 * np.array(vectors, float)).astype(np.int64)
+    fit = np.unique(x, axis=0)
+    n, s = len(fit), fit.sum(0)
+    z = (n * fit - s) / n
+    values, components = np.linalg.eigh(z.T @ z / n)
+    return x, n, s, values[::-1], components[:, ::-1]
+
+
+def table(spark, vectors, **extra):
+    rows = [(i, v) for i, v in enumerate(vectors)]
+    return spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").withColumns({k: F.lit(v) for k, v in extra.items()}).repartition(3)
+
+
+def check(found, vectors, components=4):
+    x, n, s, values, components_ = brute_force(vectors)
+    by_id = {(r.vec_id, r.component): r for r in found}
+    k = min(components, int((values > len(values) * 1e-12 * values[0]).sum()))
+    assert sorted(by_id) == [(i, c) for i in range(len(x)) for c in range(1, k + 1)]
+    whitened = ((n * x - s) / n) @ components_[:, :k] / np.sqrt(values[:k])
+    ours = np.array([[by_id[i, c].whitened for c in range(1, k + 1)] for i in range(len(x))])
+    signs = np.sign((ours * whitened).sum(0))
+    assert np.allclose(ours, whitened * signs, rtol=1e-8, atol=1e-9)
+    for (i, c), r in by_id.items():
+        assert r.n == n and int(r.deviation) == int(((n * x[i] - s).astype(object) ** 2).sum())
+        assert r.explained == pytest.approx(values[c - 1] / values.sum(), rel=1e-9) and r.identity_error < 1e-9
+
+
+def test_like_dense_algebra(spark):
+    rng = np.random.default_rng(0)
+    vectors = (rng.normal(size=(300, 12)) * np.linspace(3, 0.2, 12) + 5).astype(np.float32)
+    vectors = [*vectors.tolist(), *[vectors[7].tolist()] * 150]  # a third are copies
+    check(H.whiten(table(spark, vectors)).collect(), vectors)
+
+
+def test_a_large_common_offset_costs_no_accuracy(spark):
+    rng = np.random.default_rng(1)
+    vectors = ((1 << 16) + rng.integers(-9, 10, (200, 6)) / 256.0 * np.array([9, 5, 3, 2, 1, 1])).astype(np.float32).tolist()
+    check(H.whiten(table(spark, vectors)).collect(), vectors)
+
+
+def test_dependent_dimensions_have_fewer_components(spark):
+    rng = np.random.default_rng(2)
+    a = rng.integers(-50, 50, (80, 2)) / 256.0
+    vectors = np.column_stack([a, a[:, 0], -2 * a[:, 1], np.ones(80)]).astype(np.float32).tolist()
+    found = H.whiten(table(spark, vectors)).collect()
+    assert {r.component for r in found} == {1, 2}
+    check(found, vectors)
+
+
+def test_odd_rows(spark):
+    good = [[0.5, 0.25], [-0.5, 0.75], [0.1, -0.9], [0.7, 0.7], [-0.0, 0.0]]
+    bad = [None, [None, 1.0], [float("nan"), 1.0], [float("inf"), 1.0], [1.0], [], [1.0, 2.0, 3.0], [float("-inf"), 0.0]]
+    rows = [(i, v) for i, v in enumerate([*good, *bad])] + [(None, good[0]), (0, good[0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    df = df.withColumns({c: F.lit("extra") for c in ["x", "id", "n", "whitened", "component", "part"]})
+    found = H.whiten(df, components=2).collect()
+    assert sorted((r.vec_id is None, r.vec_id or 0, r.component) for r in found) == sorted([(False, i, c) for i in [0, 0, 1, 2, 3, 4] for c in (1, 2)] + [(True, 0, 1), (True, 0, 2)])
+    check([r for r in found if r.vec_id is not None], good, 2)
+    first = {(r.component, r.whitened) for r in found if r.vec_id in (None, 0)}
+    assert len(first) == 2
+
+
+@pytest.mark.parametrize("vectors", [[], [None], [[1.0, 2.0]], [[1.0, 2.0]] * 5, [[]]])
+def test_nothing_to_whiten(spark, vectors):
+    found = H.whiten(table(spark, vectors))
+    assert found.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"] and found.collect() == []
+
+
+def test_huge_entries_stay_exact(spark):
+    vectors = [[3.0e15, 1.0], [-2.0e15, 2.0], [1.0e15, -4.0], [5.0, 9.0]]
+    found = {(r.vec_id, r.component): r for r in H.whiten(table(spark, vectors)).collect()}
+    x = [[int(np.float32(v)) * 256 for v in row] for row in vectors]
+    s = [sum(c) for c in zip(*x)]
+    assert [int(found[i, 1].deviation) if found[i, 1].deviation is not None else None for i in range(4)] == [
+        v if (v := sum((4 * a - b) ** 2 for a, b in zip(row, s))) < 10**38 else None for row in x
+    ]
+
+
+def test_the_factors(spark):
+    rng = np.random.default_rng(3)
+    for d, rank in [(1, 1), (5, 5), (9, 4), (30, 30), (7, 0)]:
+        b = rng.normal(size=(d, rank)) * np.logspace(0, -5, rank)
+        a = b @ b.T
+        factor = H.pivoted_cholesky(a)
+        assert factor.shape[1] <= d and np.allclose(factor @ factor.T, a, atol=1e-13 * max(1, np.abs(a).max()))
+        order = [int(np.flatnonzero(c)[0]) if c.any() else 0 for c in (factor != 0).T]
+        assert len(order) == factor.shape[1]
+        values, vectors = H.one_sided_jacobi(factor)
+        assert np.allclose(vectors.T @ vectors, np.eye(len(values)), atol=1e-12) and np.all(np.diff(values) <= 0)
+        assert np.allclose(vectors * values @ vectors.T, a, atol=1e-12)
+
+
+def test_the_pairs_of_a_sweep():
+    for n in (1, 2, 3, 6, 7):
+        pairs = [tuple(sorted(p)) for i, j in H._rounds(n) for p in zip(i.tolist(), j.tolist())]
+        assert sorted(pairs) == [(a, b) for a in range(n) for b in range(a + 1, n)]
+        assert all(len({*i, *j}) == 2 * len(i) for i, j in H._rounds(n))
+
+
+def test_strips_and_groups_add_up(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(90, 7)).astype(np.float32).tolist()
+    monkeypatch.setattr(H, "STRIP", 14)
+    check(H.whiten(table(spark, vectors)).collect(), vectors)
