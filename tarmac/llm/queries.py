@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, decontaminate, html_text, language, license_scan, line_quality, pseudo_likelihood, ranked_search, simhash_vp, token_store, url_rules, whitening
+from tarmac.llm import bpe, decontaminate, html_text, language, license_scan, line_quality, pseudo_likelihood, quality_neighbours, ranked_search, simhash_vp, token_store, url_rules, whitening
 from tarmac.session import scratch_path
 
 #: fixed values: verdicts and rules of the URL list
@@ -93,6 +93,14 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
 
+def op11_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the labels of two of three folds."""
+    docs = _table(spark, sf_dir, "documents")
+    model = quality_neighbours.train(docs, _table(spark, sf_dir, "labels"))
+    folds = docs.select(F.struct("doc_id", quality_neighbours.held_out().alias("held_out")).alias("row"), "text")
+    return quality_neighbours.score(folds, model, id_col="row").select("row.doc_id", "row.held_out", "score", "predicted")
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of every benchmark item."""
     return ranked_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -114,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_pseudo_likelihood": op9_pseudo_likelihood,
     "op10_html_text": op10_html_text,
+    "op11_quality_neighbours": op11_quality_neighbours,
     "op12_ranked_search": op12_ranked_search,
     "op13_whitening": op13_whitening,
 }
