@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import math
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import Bucketizer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +15,14 @@ from pyspark.sql import functions as F
 from tarmac.functions import columns as C
 from tarmac.operators.marts import operated
 from tarmac.schema import BASE_FEATURES, CATEGORICAL_FEATURES, OPTIONAL_FEATURES, TARGET
+from tarmac.session import stored
 
-#: partitions that a forest's rows are dealt into
-FOREST_PARTITIONS = 32
+#: bins of a numeric feature; trees that share a bootstrap draw and are fitted in one pass; passes at the same time
+BINS, GROUP, AT_ONCE = 32, 10, 4
+#: class weights are multiples of this, so that sums over up to 10**11 rows are exact in any order
+WEIGHT_STEP = 2.0**-16
+#: copies of a row up to which each is drawn by itself; beyond, their sum is drawn as a whole
+FEW_COPIES = 16
 
 #: features known before departure: no delay and no cause of it
 PRE_DEPARTURE = ["distance", "month", "day_of_week"]
@@ -70,12 +79,70 @@ def class_weights(spark: SparkSession, counts: dict, label: str = TARGET) -> Dat
 
 
 def model_inputs(features: list[str]) -> list[str]:
-    return [f"{c}_code" if c in CATEGORICAL_FEATURES else c for c in features]
+    return [f"{c}_code" if c in CATEGORICAL_FEATURES else f"{c}_bin" for c in features]
 
 
-def assemble(encoded: DataFrame, features: list[str]) -> DataFrame:
-    """Adds the ``features`` vector; codes keep their nominal meaning."""
-    return VectorAssembler(inputCols=model_inputs(features), outputCol="features").transform(encoded)
+def fit_bins(rows: DataFrame, features: list[str], bins: int = BINS) -> Bucketizer:
+    """Cuts of the numeric features into at most ``bins`` parts of similar size.
+
+    Cut points come from counts of values at three significant digits, whose number does not grow with the rows (minutes,
+    miles and months have a few thousand); the driver gets one row per feature and value. Being exact counts, they do not depend on partitions or row order,
+    and every part has at least half its share of the rows.
+    """
+    numeric = [c for c in features if c not in CATEGORICAL_FEATURES]
+    values = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.expr(f"double(format_string('%.2e', double({c})))").alias("value")) for c in numeric]))
+    counts: dict[str, list] = {c: [] for c in numeric}
+    for row in rows.select(values.alias("v")).groupBy("v.feature", "v.value").count().orderBy("feature", "value").collect():
+        counts[row["feature"]].append((row["value"], row["count"]))
+    return Bucketizer(inputCols=numeric, outputCols=[f"{c}_bin" for c in numeric], splitsArray=[_cuts(counts[c], bins) for c in numeric])
+
+
+def _cuts(counts: list[tuple[float, int]], bins: int) -> list[float]:
+    """Midpoints between neighbouring values, from minus to plus infinity."""
+    total, filled, left, cuts = sum(n for _, n in counts), 0, sum(n for _, n in counts), []
+    for (value, n), (following, _) in zip(counts, counts[1:]):
+        filled, left = filled + n, left - n
+        # a part is full at its share; a value that alone has a share ends a part that is half full, the last part is half full at least
+        full = total / 2 if n * bins >= total else total
+        if filled * bins >= full and left * bins >= total / 2:
+            cuts.append((value + following) / 2)
+            filled = 0
+    # one cut at least, as the splitter needs two parts
+    return [-math.inf, *(cuts or [counts[0][0] if counts else 0.0]), math.inf]
+
+
+def assemble(encoded: DataFrame, features: list[str], binner: Bucketizer) -> DataFrame:
+    """Adds binned numbers and the ``features`` vector; codes keep their nominal meaning."""
+    numeric = binner.getInputCols()
+    kept = binner.transform(encoded.withColumns({c: F.col(c).cast("double") for c in numeric}))
+    kept = kept.withColumns({c: F.col(c).cast(encoded.schema[c].dataType) for c in numeric})
+    return VectorAssembler(inputCols=model_inputs(features), outputCol="features").transform(kept)
+
+
+def _uniform(*parts: Column) -> Column:
+    """A number from 0 to 1 that depends on ``parts`` alone."""
+    return F.shiftrightunsigned(F.xxhash64(*parts), 11) / float(1 << 53)
+
+
+def _poisson(u: Column) -> Column:
+    """The Poisson count of mean one at the quantile ``u``."""
+    upto, below = 0.0, []
+    for k in range(14):
+        upto += math.exp(-1) / math.factorial(k)
+        below.append((u >= upto).cast("int"))
+    return sum(below[1:], below[0])
+
+
+def bootstrap_count(row: Column, copies: Column, draw: int, seed: int) -> Column:
+    """How often ``copies`` equal rows with the hash ``row`` are in a bootstrap draw: a Poisson count of that mean.
+
+    It depends on the row, the draw and the seed, so not on partitions, files or cores.
+    """
+    t, s = F.lit(draw), F.lit(seed)
+    each = F.aggregate(F.sequence(F.lit(1), F.least(copies, F.lit(FEW_COPIES)).cast("int")), F.lit(0), lambda n, i: n + _poisson(_uniform(row, t, s, i)))
+    normal = F.sqrt(-2 * F.log(1 - _uniform(row, t, s, F.lit("r")))) * F.cos(2 * math.pi * _uniform(row, t, s, F.lit("a")))
+    many = F.greatest(F.lit(0), F.round(copies + F.sqrt(copies.cast("double")) * normal).cast("long"))
+    return F.when(copies == 1, _poisson(_uniform(row, t, s, F.lit(1)))).when(copies <= FEW_COPIES, each).otherwise(many)
 
 
 def fit_forest(
@@ -86,30 +153,57 @@ def fit_forest(
     n_trees: int = 100,
     max_depth: int = 10,
     seed: int = 42,
-    partitions: int = FOREST_PARTITIONS,
+    group: int = GROUP,
 ) -> RandomForestClassificationModel:
     """A class-weighted random forest over assembled rows.
 
-    A nominal feature needs a bin per value, so ``maxBins`` follows the encoder. Spark draws the
-    bootstrap per partition, so rows are dealt into ``partitions`` by their values and sorted: the same rows
-    and seed give one forest whatever the cores, files or row order. ``partitions`` belongs
-    to the model like ``seed``; raise it with the number of rows.
+    A nominal feature needs a bin per value, so ``maxBins`` follows the encoder. Equal rows (of binned features and target) are counted
+    first, on the map side, and stored. Trees are fitted in groups to these rows, weighted by how often the group's bootstrap draws them
+    (``bootstrap_count``); the trees of a group differ by the features they may split on. ``group=1`` gives every tree a draw of its own, at the price of more passes.
+    Memory holds the rows of ``AT_ONCE`` groups. Weights are multiples of a power of two and add up exactly, so the same rows
+    and seed give the same forest however the rows are partitioned. One model is made of all trees.
     """
-    bins = max(32, max(len(labels) for labels in encoder.labelsArray) + 1)
-    forest = RandomForestClassifier(
-        labelCol=TARGET,
-        featuresCol="features",
-        weightCol="_weight",
-        numTrees=n_trees,
-        maxDepth=max_depth,
-        maxBins=bins,
-        featureSubsetStrategy="sqrt",
-        seed=seed,
-        maxMemoryInMB=1024,
-    )
-    values = [*model_inputs(features), TARGET]
-    dealt = train.repartition(partitions, *values).sortWithinPartitions(*values)
-    return forest.fit(dealt.select("features", TARGET, weight_column(weights).alias("_weight")))
+    spark = train.sparkSession
+    bins = max(BINS, max(len(labels) for labels in encoder.labelsArray) + 1)
+    inputs = model_inputs(features)
+    rows = train.groupBy(*inputs, TARGET).agg(F.count("*").alias("_copies")).withColumn("_row", F.xxhash64(*inputs, TARGET))
+    rows = stored(rows, "forest-rows")
+    # the metadata that tells nominal codes from numbers does not survive storing
+    rows = rows.withMetadata(inputs[0], train.schema[inputs[0]].metadata)
+    for c in inputs[1:]:
+        rows = rows.withMetadata(c, train.schema[c].metadata)
+    rows = VectorAssembler(inputCols=inputs, outputCol="features").transform(rows).select("features", TARGET, "_copies", "_row")
+    steps = {c: max(1, round(w / WEIGHT_STEP)) * WEIGHT_STEP for c, w in weights.items()}
+
+    def fit_group(start: int) -> RandomForestClassificationModel:
+        forest = RandomForestClassifier(
+            labelCol=TARGET,
+            featuresCol="features",
+            weightCol="_weight",
+            numTrees=min(group, n_trees - start),
+            bootstrap=False,
+            maxDepth=max_depth,
+            maxBins=bins,
+            featureSubsetStrategy="sqrt",
+            seed=seed + start,
+            maxMemoryInMB=1024,
+        )
+        drawn = rows.withColumn("_weight", bootstrap_count(F.col("_row"), F.col("_copies"), start, seed) * weight_column(steps))
+        return forest.fit(drawn.where("_weight > 0").select("features", TARGET, "_weight"))
+
+    with ThreadPoolExecutor(max_workers=AT_ONCE) as pool:
+        return _ensemble(spark, list(pool.map(fit_group, range(0, n_trees, group))))
+
+
+def _ensemble(spark: SparkSession, models: list[RandomForestClassificationModel]) -> RandomForestClassificationModel:
+    """One model of the trees of several; it averages their probabilities."""
+    jvm = spark.sparkContext._jvm.org.apache.spark.ml.classification
+    found = [tree for model in models for tree in model._java_obj.trees()]
+    trees = spark.sparkContext._gateway.new_array(jvm.DecisionTreeClassificationModel, len(found))
+    for i, tree in enumerate(found):
+        trees[i] = tree
+    whole = jvm.RandomForestClassificationModel(f"forest_{uuid.uuid4().hex[:12]}", trees, models[0].numFeatures, models[0].numClasses)
+    return RandomForestClassificationModel(whole).setFeaturesCol("features")._set(numTrees=len(found))
 
 
 def predict(model: RandomForestClassificationModel, rows: DataFrame, features: list[str]) -> DataFrame:

@@ -205,8 +205,15 @@ def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.confusion_matrix(_scored(spark, sf_dir), TARGET, "guess")
 
 
+#: one fit per session and data folder, shared by the queries about it; what it holds lies in the shared folder
+_forests: dict[tuple[str, str], Evaluation] = {}
+
+
 def _forest(spark: SparkSession, sf_dir: str) -> Evaluation:
-    return train_and_evaluate(T.flights(spark, sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _forests:
+        _forests[key] = train_and_evaluate(T.flights(spark, sf_dir))
+    return _forests[key]
 
 
 def delay_forest_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import RandomForestClassificationModel
-from pyspark.ml.feature import StringIndexerModel
+from pyspark.ml.feature import Bucketizer, StringIndexerModel
 from pyspark.sql import DataFrame
 
 from tarmac.operators import encoding, evaluation, sampling, training
@@ -21,6 +21,7 @@ class Evaluation:
 
     model: RandomForestClassificationModel
     encoder: StringIndexerModel
+    binner: Bucketizer
     predictions: DataFrame
     importance: DataFrame
     summary: DataFrame
@@ -69,14 +70,17 @@ def train_and_evaluate(
     else:
         encoder = encoding.fit_encoder(rows)
 
+    binner = training.fit_bins(train, features)
+
     def prepared(part: DataFrame) -> DataFrame:
-        return training.assemble(encoding.encode(part, encoder), features)
+        return training.assemble(encoding.encode(part, encoder), features, binner)
 
     weights = training.balanced_weights({c: n for c, (n, _) in split.sizes.items() if n})
     model = training.fit_forest(prepared(train), features, encoder, weights, n_trees, max_depth, seed)
     return Evaluation(
         model=model,
         encoder=encoder,
+        binner=binner,
         predictions=stored(training.predict(model, prepared(test), features), "predictions"),
         importance=training.feature_importance(spark, model, features),
         summary=training.split_summary(spark, split.sizes),
