@@ -33,6 +33,12 @@ def with_report_period(df: DataFrame, path: str = "path") -> DataFrame:
     )
 
 
+def months_from_report(file_name: Column, year: Column, month: Column) -> Column:
+    """How many months a year and month are after those of a report's name (before: negative); null if any is missing."""
+    own = [F.regexp_extract(F.concat(F.lit("/"), file_name), REPORT_PATH_PATTERN, i).cast("long") for i in (3, 4)]
+    return (year.cast("long") * 12 + month) - (own[0] * 12 + own[1])
+
+
 def previous_month(day: Column) -> Column:
     """First day of the month before ``day``: the newest complete month."""
     return F.add_months(F.trunc(day, "month"), -1)

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.functions import calendar
 from tarmac.functions import columns as C
 from tarmac.schema import (
     ADDED_COLUMNS,
@@ -96,6 +97,18 @@ def clean_reports(text: DataFrame) -> DataFrame:
     return add_route(fill_missing(parse_text_rows(text)))
 
 
+def check_reports(text: DataFrame, months: int) -> DataFrame:
+    """All-string report rows to flights with the flag ``bad``: true for a row that cannot be loaded.
+
+    A row that names a month ``months`` or more away from its report's own is bad too: its columns must have been
+    shifted. Bad rows lose their month, so that they make no partitions.
+    """
+    rows = add_route(fill_missing(parse_text_rows(text, bad="bad")))
+    away = F.abs(calendar.months_from_report(F.col("source_file"), F.col("year"), F.col("month"))) >= months
+    rows = rows.withColumn("bad", F.col("bad") | F.coalesce(away, F.lit(False)))
+    return rows.withColumns({c: F.when(~F.col("bad"), F.col(c)) for c in ("year", "month")}).select(*FLIGHTS_SCHEMA.names, "bad")
+
+
 def add_missing_columns(flights: DataFrame) -> DataFrame:
     """Brings a table written before some columns existed to the current schema."""
     types = {f.name: f.dataType for f in FLIGHTS_SCHEMA.fields}

@@ -8,14 +8,23 @@ from tarmac.plans.ingest import LoadResult, ingest
 from tarmac.plans.views import export_marts, register_views
 from tarmac.schema import PREZIP_ALIASES
 from tarmac.sources import archives
-from tarmac.sources.warehouse import Warehouse
+from tarmac.sources.warehouse import EXPORT, Entry, Warehouse
 
 
-def publish(warehouse: Warehouse, export_folder: str | None = None, overwrite: bool = True) -> None:
-    """Points tables and views at the current files, and exports the marts if a folder is given."""
+def publish(warehouse: Warehouse, export_folder: str | None = None, overwrite: bool = True, only_changes: bool = False) -> None:
+    """Points tables and views at the current files, and exports the marts if a folder is given.
+
+    ``only_changes`` exports only if rows or summaries changed since the last export to the folder, by whichever run.
+    """
     register_views(warehouse)
-    if export_folder:
-        export_marts(warehouse, export_folder, overwrite)
+    if not export_folder:
+        return
+    state = warehouse.state()
+    if only_changes and state.exports.get(export_folder) == state.changed:
+        return
+    export_marts(warehouse, export_folder, overwrite)
+    if overwrite:
+        warehouse.commit([Entry(EXPORT, place=export_folder)])
 
 
 def run(

@@ -126,6 +126,14 @@ LEDGER_SCHEMA = T.StructType([
 ])
 LEDGER_COLUMNS = ["file_name", "year", "month", "ingested_at", "n_rows", "status"]
 
+#: what a commit of a warehouse says, one row each; the columns of the load log hold its own rows, and names and months of the others
+COMMITS_SCHEMA = T.StructType([
+    T.StructField("version", T.LongType()),
+    T.StructField("kind", T.StringType()),
+    T.StructField("place", T.StringType()),
+    *LEDGER_SCHEMA.fields,
+])
+
 FEATURES_SCHEMA = T.StructType([
     T.StructField("year", T.IntegerType()),
     T.StructField("month", T.IntegerType()),

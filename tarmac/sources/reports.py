@@ -93,22 +93,31 @@ def read_headers(spark: SparkSession, reports: list[Report]) -> Headers:
                 yield batch.slice(0, 1)
                 return
 
-    before = {key: spark.conf.get(key) for key in _ONE_PART_PER_TASK}
-    try:
-        for key, value in _ONE_PART_PER_TASK.items():
-            spark.conf.set(key, value)
-        lines = spark.read.option("pathGlobFilter", PART_FILES).text([report.path for report in reports]).select("_metadata.file_path", "value")
-        rows = lines.mapInArrow(first_row, "file_path string, value string").collect()
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+    # settings of a session of its own disturb nobody
+    alone = spark.newSession()
+    for key, value in _ONE_PART_PER_TASK.items():
+        alone.conf.set(key, value)
+    lines = alone.read.option("pathGlobFilter", PART_FILES).text([report.path for report in reports]).select("_metadata.file_path", "value")
+    rows = lines.mapInArrow(first_row, "file_path string, value string").collect()
     return {row["file_path"]: tuple(next(csv.reader([row["value"].removeprefix("\ufeff")]), ())) for row in rows}
 
 
-def headers_of(report: Report, headers: Headers) -> Headers:
-    """The parts of one report."""
-    own = report.path.rstrip("/").rpartition(":")[2].lstrip("/")
-    return {path: h for path, h in headers.items() if (p := path.rpartition(":")[2].lstrip("/")) == own or p.startswith(own + "/")}
+def place(path: str) -> str:
+    """A path without its scheme, of which listings differ."""
+    return path.rpartition(":")[2].strip("/")
+
+
+def headers_by_report(reports: list[Report], headers: Headers) -> dict[Report, Headers]:
+    """The parts of each report: the file itself, or what lies below its folder."""
+    own = {place(report.path): report for report in reports}
+    out: dict[Report, Headers] = {report: {} for report in reports}
+    for path, header in headers.items():
+        at = place(path)
+        while at and at not in own:
+            at = at.rpartition("/")[0]
+        if at:
+            out[own[at]][path] = header
+    return out
 
 
 def missing_columns(header: tuple[str, ...], aliases: dict[str, str]) -> list[str]:
@@ -141,12 +150,9 @@ def read_text_rows(spark: SparkSession, headers: Headers, aliases: dict[str, str
     return clean.union_by_name(frames)
 
 
-def validate_rows(text: DataFrame) -> DataFrame:
-    """``(source_file, year, month, n_rows, n_bad)``: what each report adds to each month.
+def count_rows(checked: DataFrame) -> DataFrame:
+    """``(source_file, year, month, n_rows, n_bad)`` of rows with the flag ``bad``: what each report adds to each month.
 
-    Reads every report once; rows are counted on the map side, so the shuffle
-    holds a few rows per report.
+    Rows are counted on the map side, so the shuffle holds a few rows per report.
     """
-    typed = clean.parse_text_rows(text, bad="bad")
-    counts = [F.expr("count(*) AS n_rows"), F.expr("count_if(bad) AS n_bad")]
-    return typed.groupBy("source_file", "year", "month").agg(*counts)
+    return checked.groupBy("source_file", "year", "month").agg(F.expr("count(*) AS n_rows"), F.expr("count_if(bad) AS n_bad"))

@@ -165,21 +165,87 @@ def test_dry_run_writes_nothing(warehouse, landing):
     assert fingerprint(warehouse.flights()) == before and warehouse.load_log().count() == log
 
 
-@pytest.mark.parametrize("step", ["refresh_summary", "append_log"])
-def test_crash_before_the_log_does_not_duplicate(warehouse, landing, monkeypatch, step):
-    write_report(landing, 2025, 1, month_rows(3))
+def everything(warehouse):
+    return [fingerprint(table) for table in (warehouse.flights(), warehouse.summary(), warehouse.load_log())]
+
+
+@pytest.mark.parametrize("step", ["stage_rows", "stage_summary", "commit"])
+def test_a_crash_at_any_write_is_never_visible(warehouse, landing, monkeypatch, step):
+    """Rows, summary and log change together or not at all, on a first load and on a rerun; then the run is simply run again."""
+    real = getattr(type(warehouse), step)
 
-    def crash(self, *args):
+    def crash_before(self, *args):
         raise RuntimeError("lost the driver")
 
-    with monkeypatch.context() as patch:
-        patch.setattr(type(warehouse), step, crash)
-        with pytest.raises(RuntimeError):
-            ingest(warehouse, landing, JAN, JAN)
-    assert per_month(warehouse) == {JAN: 3} and warehouse.ledger().count() == 0
+    def crash_after(self, *args):
+        if step != "commit":
+            real(self, *args)
+        raise RuntimeError("lost the driver")
+
+    for n, crash in ((3, crash_before), (5, crash_after)):
+        write_report(landing, 2025, 1, [*month_rows(n), *month_rows(1, _month=2)])
+        before = everything(warehouse)
+        with monkeypatch.context() as patch:
+            patch.setattr(type(warehouse), step, crash)
+            with pytest.raises(RuntimeError):
+                ingest(warehouse, landing, JAN, JAN, rerun=True)
+        assert everything(warehouse) == before
+        ingest(warehouse, landing, JAN, JAN, rerun=True)
+        assert per_month(warehouse) == {JAN: n, FEB: 1} and warehouse.ledger().count() == 1
+        assert {r.month: r.n_flights for r in marts.monthly_delays(warehouse.summary()).collect()} == {1: n, 2: 1}
+
+
+def test_a_commit_without_its_file_counts_for_nothing(warehouse, landing, tmp_path):
+    """What a writer leaves that dies inside a commit: a folder without a finished file."""
+    write_report(landing, 2025, 1, month_rows(3))
     ingest(warehouse, landing, JAN, JAN)
-    assert per_month(warehouse) == {JAN: 3} and warehouse.ledger().count() == 1
-    assert marts.monthly_delays(warehouse.summary()).first().n_flights == 3
+    before = everything(warehouse)
+    (tmp_path / "warehouse" / "commits" / "1-dead" / "_temporary" / "0").mkdir(parents=True)
+    (tmp_path / "warehouse" / "commits" / "1-dead" / "_temporary" / "0" / "part-0.parquet").write_bytes(b"half")
+    assert everything(warehouse) == before
+
+
+def test_text_is_parsed_once(spark, warehouse, landing):
+    write_report(landing, 2025, 1, month_rows(3))
+    write_report(landing, 2025, 2, month_rows(4))
+    store = spark._jsparkSession.sharedState().statusStore()
+
+    def scans():
+        plans = store.executionsList()
+        return sum(plans.apply(i).physicalPlanDescription().count("Scan csv") > 0 for i in range(plans.size()))
+
+    before = scans()
+    ingest(warehouse, landing, JAN, FEB)
+    assert scans() == before + 1 and per_month(warehouse) == {JAN: 3, FEB: 4}
+
+
+def test_readers_keep_what_they_started_from(warehouse, landing):
+    write_report(landing, 2025, 1, month_rows(3))
+    ingest(warehouse, landing, JAN, JAN)
+    reader = warehouse.flights()
+    assert warehouse.unused() == []
+    write_report(landing, 2025, 1, month_rows(5))
+    ingest(warehouse, landing, JAN, JAN, rerun=True)
+    assert reader.count() == 3 and warehouse.flights().count() == 5
+    assert len(warehouse.unused()) == 2  # the old rows and their summary
+    warehouse.reset()
+    assert len(warehouse.unused()) == 4
+
+
+def test_rows_that_name_far_months_reject_the_report(warehouse, landing):
+    write_report(landing, 2025, 1, [raw_row(), raw_row(_year=1925)])
+    write_report(landing, 2025, 2, [raw_row(_year=2024, _month=3), raw_row(_year=2147483647, _month=2147483647)])
+    write_report(landing, 2025, 3, [raw_row(_year=2024, _month=4), raw_row(_year=2026, _month=2)])
+    result = statuses(ingest(warehouse, landing, JAN, MAR))
+    assert result == {"2025_01_Report.csv": ("failed", 0), "2025_02_Report.csv": ("failed", 0), "2025_03_Report.csv": ("success", 2)}
+    assert per_month(warehouse) == {(2024, 4): 1, (2026, 2): 1}
+
+
+def test_headers_go_to_their_reports():
+    reports = [R.Report("file:/a/2025_01_Report.csv", "2025_01_Report.csv", 2025, 1), R.Report("/a/2025_02_Report.csv/", "2025_02_Report.csv", 2025, 2)]
+    headers = {"file:///a/2025_01_Report.csv": ("X",), "file:/a/2025_02_Report.csv/p0.csv": ("Y",), "/a/2025_02_Report.csv/s/p1.csv": ("Z",), "/b/other.csv": ("W",)}
+    found = R.headers_by_report(reports, headers)
+    assert [sorted(found[r].values()) for r in reports] == [[("X",)], [("Y",), ("Z",)]]
 
 
 def test_rows_of_another_month_do_not_touch_that_month(warehouse, landing):
