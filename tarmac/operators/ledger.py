@@ -84,5 +84,10 @@ def log_rows(results: DataFrame, ingested_at: Column) -> DataFrame:
     )
 
 
+def time_text(at: Column) -> Column:
+    """A time of the log as text, to the second, in UTC whatever the session's zone."""
+    return F.date_format(F.to_utc_timestamp(at, F.current_timezone()), "yyyy-MM-dd HH:mm:ss")
+
+
 def file_row_counts(flights: DataFrame) -> DataFrame:
     return flights.groupBy("source_file").agg(F.count("*").alias("n_rows"))

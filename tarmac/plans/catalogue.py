@@ -9,8 +9,10 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Callable, Iterator
+from datetime import UTC, datetime
 
 import pandas as pd
+from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from tarmac.operators import clean, encoding, evaluation, features, ledger, mart
 from tarmac.plans import pipeline, views
 from tarmac.plans.ingest import ingest, load_reports
 from tarmac.plans.train import Evaluation, train_and_evaluate
-from tarmac.schema import ADDED_COLUMNS, FLIGHTS_SCHEMA, RAW_TO_CLEAN, TARGET
+from tarmac.schema import ADDED_COLUMNS, CAUSES, FLIGHTS_SCHEMA, RAW_TO_CLEAN, TARGET
 from tarmac.session import scratch_path, stored
 from tarmac.sources import archives, reports
 from tarmac.sources import tpch_flights as T
@@ -237,6 +239,62 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_forest(spark, sf_dir).importance)
 
 
+_season_models: dict[tuple[str, str], str] = {}
+
+
+def _season_exports(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of exports of a forest whose predictions are known: whether a flight leaves in the second half of the year.
+
+    It learns that in place of lateness from month and distance, is saved and loaded, and predicts the held-out flights.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _season_models:
+        return _season_models[key]
+    rows, used = _all_training_rows(spark, sf_dir), ["month", "distance"]
+    encoder, binner = encoding.fit_encoder(rows), training.fit_bins(rows, used)
+
+    def prepared(part: DataFrame) -> DataFrame:
+        return training.assemble(encoding.encode(part, encoder), used, binner)
+
+    seasons = rows.withColumn(TARGET, (F.col("month") >= 7).cast("int"))
+    path = scratch_path(spark, "forest")
+    training.fit_forest(prepared(seasons), used, encoder, {0: 1.0, 1: 1.0}, n_trees=4, max_depth=3, group=2).save(path)
+    model = RandomForestClassificationModel.load(path)
+    split = sampling.stratified_split(rows, TARGET, key=KEY)
+    result = Evaluation(
+        model=model, encoder=encoder, binner=binner, summary=training.split_summary(spark, split.sizes),
+        predictions=training.predict(model, prepared(split.test), training.available_features(rows)),
+        importance=training.feature_importance(spark, model, used),
+    )
+    folder = scratch_path(spark, "export")
+    result.export(folder)
+    _season_models[key] = folder
+    return folder
+
+
+def prediction_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exported predictions, read back."""
+    numbers = ", ".join(f"{c} double" for c in ["dep_delay", "day_of_week", *CAUSES])
+    schema = f"airline int, origin int, dest int, distance double, month int, {numbers.replace('day_of_week double', 'day_of_week int')}, "
+    schema += "actual_arr_del15 int, predicted_arr_del15 int, delay_probability double"
+    return rounded(spark.read.schema(schema).option("header", True).csv(f"{_season_exports(spark, sf_dir)}/delay_predictions"))
+
+
+def importance_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exported importances, read back, with their place in the file."""
+    found = spark.read.schema("feature string, importance double").option("header", True).csv(f"{_season_exports(spark, sf_dir)}/feature_importance")
+    return rounded(found.withColumn("place", F.monotonically_increasing_id() + 1))
+
+
+def encoder_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes learned from the flights of one year, saved, loaded, and given to those of the next."""
+    rows = training.training_rows(T.flights(spark, sf_dir).where("year in (1995, 1996)"), keep=(*KEY, "year")).select(*KEY, "year", "airline", "origin", "dest")
+    rows, path = stored(rows, "training-codes"), scratch_path(spark, "encoder")
+    encoding.save_encoder(encoding.fit_encoder(rows.where("year = 1995")), spark, path)
+    encoded = encoding.encode(rows.where("year = 1996"), encoding.load_encoder(spark, path)).drop("year")
+    return encoded.withColumns({f"{c}_code": F.col(f"{c}_code").cast("int") for c in ["airline", "origin", "dest"]})
+
+
 # --- loading ----------------------------------------------------------------
 
 def _table(warehouse: Warehouse) -> DataFrame:
@@ -365,6 +423,18 @@ def ledger_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.join(asked, "file_name").withColumn("newest_is_loaded", F.lit(ledger.is_loaded(current, newest)))
 
 
+def ledger_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports marked as loaded, and whether the log has the time of the run, in whole seconds and in UTC."""
+    warehouse, start = _new_warehouse(spark), datetime.now(UTC)
+    counts = T.flights(spark, sf_dir).groupBy("source_file", "year", "month").agg(F.count("*").alias("n_rows"))
+    warehouse.mark_loaded(counts.withColumnRenamed("source_file", "file_name").withColumn("status", F.lit("success")))
+    text, at = ledger.time_text(F.col("ingested_at")), F.col("ingested_at")
+    ends = [moment.strftime("%Y-%m-%d %H:%M:%S") for moment in (start, datetime.now(UTC))]
+    return warehouse.ledger().select(
+        "file_name", "n_rows", "status", (at == F.date_trunc("second", at)).alias("whole_seconds"), text.between(*ends).alias("within_run"),
+    )
+
+
 def ledger_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last ten reports of the log."""
     log = _as_date(ledger.current_ledger(load_events(spark, sf_dir)))
@@ -455,6 +525,10 @@ QUERIES: dict[str, Query] = {
     "delay_forest_predictions": delay_forest_predictions,
     "feature_importance": feature_importance,
     "forest_checks": forest_checks,
+    "prediction_export": prediction_export,
+    "importance_export": importance_export,
+    "encoder_reload": encoder_reload,
+    "ledger_time": ledger_time,
     "load_failures": load_failures,
     "rerun_replaces": rerun_replaces,
     "reset_then_load": reset_then_load,

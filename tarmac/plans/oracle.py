@@ -338,6 +338,36 @@ UNION ALL SELECT 'routes have both ends', routed = both_ends, routed FROM c""",
         _TRAINING,
         _SPLIT,
     ),
+    "prediction_export": _over_flights(
+        "SELECT airline_code AS airline, origin_code AS origin, dest_code AS dest, distance, month, dep_delay, day_of_week, "
+        + ", ".join(CAUSES)
+        + ", arr_del15 AS actual_arr_del15, CAST(month >= 7 AS INT) AS predicted_arr_del15, CAST(month >= 7 AS DOUBLE) AS delay_probability "
+        "FROM (SELECT *, "
+        + ", ".join(f"CAST(dense_rank() OVER (ORDER BY {c}) - 1 AS INT) AS {c}_code" for c in ["airline", "origin", "dest"])
+        + " FROM t) c WHERE row_key IN (SELECT row_key FROM split WHERE part = 'test')",
+        _TRAINING,
+        _SPLIT,
+    ),
+    "importance_export": _over_flights(
+        "SELECT feature, importance, place FROM (VALUES ('month', CAST(1 AS DOUBLE), CAST(1 AS BIGINT)), ('distance', CAST(0 AS DOUBLE), CAST(2 AS BIGINT))) "
+        "x(feature, importance, place) WHERE EXISTS (SELECT 1 FROM t WHERE month >= 7) AND EXISTS (SELECT 1 FROM t WHERE month < 7)",
+        _TRAINING,
+    ),
+    "encoder_reload": _over_flights(
+        "SELECT row_key, airline, origin, dest, "
+        + ", ".join(f"{c}_code" for c in ["airline", "origin", "dest"])
+        + " FROM t"
+        + "".join(
+            f" JOIN (SELECT {c}, CAST(dense_rank() OVER (ORDER BY {c}) - 1 AS INT) AS {c}_code FROM "
+            f"(SELECT DISTINCT {c} FROM t WHERE year = 1995) d_{c}) k_{c} USING ({c})"
+            for c in ["airline", "origin", "dest"]
+        )
+        + " WHERE year = 1996",
+        _TRAINING,
+    ),
+    "ledger_time": _over_flights(
+        "SELECT source_file AS file_name, count(*) AS n_rows, 'success' AS status, TRUE AS whole_seconds, TRUE AS within_run FROM flights GROUP BY source_file"
+    ),
     "load_failures": _over_flights(
         "SELECT source_file AS file_name, year, month, CASE WHEN bad THEN 0 ELSE n END AS n_rows, "
         "CASE WHEN bad THEN 'failed' ELSE 'success' END AS status FROM "

@@ -3,7 +3,7 @@ from flight_rows import make_flights
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import functions as F
 
-from tarmac.operators import encoding, training
+from tarmac.operators import encoding, ledger, training
 from tarmac.plans.train import train_and_evaluate
 from tarmac.schema import OPTIONAL_FEATURES
 from tarmac.sources import tpch_flights as T
@@ -105,3 +105,37 @@ def test_balanced_weights(spark):
     assert training.balanced_weights({0: 30, 1: 10}) == {0: 40 / 60, 1: 2.0}
     rows = training.class_weights(spark, {1: 10, 0: 30}).collect()
     assert [(r.arr_del15, r.n_rows) for r in rows] == [(0, 30), (1, 10)]
+
+
+def test_a_loaded_encoder_gives_the_same_codes_and_refuses_others(spark, tmp_path):
+    learned = make_flights(spark, [{"airline": a, "origin": o, "dest": "LAX"} for a, o in [("B", "SEA"), ("A", "JFK"), ("C", "JFK")]])
+    later = make_flights(spark, [{"airline": "C", "origin": "SEA", "dest": "LAX"}, {"airline": "A", "origin": "JFK", "dest": "LAX"}])
+    strange = make_flights(spark, [{"airline": "Z", "origin": "SEA", "dest": "LAX"}])
+    for on_unseen in ("error", "keep"):
+        path = str(tmp_path / on_unseen)
+        encoding.save_encoder(encoding.fit_encoder(learned, on_unseen=on_unseen), spark, path)
+        loaded = encoding.load_encoder(spark, path)
+        assert {(r.airline, r.airline_code, r.origin_code, r.dest_code) for r in encoding.encode(later, loaded).collect()} == {("C", 2, 1, 0), ("A", 0, 0, 0)}
+        if on_unseen == "keep":
+            assert encoding.encode(strange, loaded).first().airline_code == 3
+        else:
+            with pytest.raises(Exception, match="Unseen label"):
+                encoding.encode(strange, loaded).collect()
+    codes = spark.read.parquet(str(tmp_path / "error"))
+    codes.where("not (column = 'airline' and code = 1)").write.parquet(str(tmp_path / "gap"))
+    codes.where("column != 'dest'").write.parquet(str(tmp_path / "short"))
+    with pytest.raises(ValueError, match="gaps"):
+        encoding.load_encoder(spark, str(tmp_path / "gap"))
+    with pytest.raises(ValueError, match="no codes of dest"):
+        encoding.load_encoder(spark, str(tmp_path / "short"))
+
+
+def test_log_times_are_utc_in_any_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for name in ("Asia/Tokyo", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            found = spark.range(1).select(ledger.time_text(F.timestamp_seconds(F.lit(1_700_000_000))).alias("t")).first().t
+            assert found == "2023-11-14 22:13:20"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
