@@ -10,7 +10,7 @@ Features: the text in lower case, every run of bytes that spell no letter as one
 one to ``MAX_GRAM`` bytes of the whole text, counted in ``DIM`` hash buckets; square roots of their
 shares, so that a text's length does not matter.
 
-Training uses a bounded sample (``TRAIN_DOCS`` labelled texts expected, spread evenly over languages, whole
+Training uses a bounded sample (at most ``TRAIN_DOCS`` different labelled texts, spread evenly over languages, whole
 texts, chosen by a hash of the text); it runs in one task, which the bound keeps small. Prediction is
 one pass over all texts without a shuffle.
 
@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from tarmac.llm.rows import text_of, wrapped
 
-#: expected texts of the training sample
+#: different texts of the training sample, at most
 TRAIN_DOCS = 3000
 #: longest n-gram in bytes, hash buckets
 MAX_GRAM, DIM = 3, 1 << 13
@@ -87,20 +87,26 @@ def codewords(classes: int) -> np.ndarray:
 
 
 class Model:
-    """Languages, codewords, weights (bits by features), biases and bit weights."""
+    """Languages, codewords, weights (bits by features), biases and bit weights. Fitting overwrites ``x``."""
 
     def __init__(self, languages: list[str], x: np.ndarray, y: np.ndarray):
         self.languages, self.code = languages, codewords(len(languages))
+        #: texts learned from, by language
+        self.seen = {k: int((y == i).sum()) for i, k in enumerate(languages)}
         bits = self.code.shape[1]
         self.weights, self.bias = np.zeros((bits, DIM), np.float32), np.zeros(bits, np.float32)
         target = self.code[y].astype(np.float32)
         share = np.bincount(y, minlength=len(languages)) / max(1, len(y))
         each = (1 / np.maximum(share[y], 1e-9) / len(languages) / max(1, len(y))).astype(np.float32)
-        # full-batch AdaGrad: texts weigh the same in sum for every language
+        # full-batch AdaGrad: texts weigh the same in sum for every language; x is standardised in place, as it is the largest array here
         self.center = (each @ x).astype(np.float32) if len(x) else np.zeros(DIM, np.float32)
-        scale = np.sqrt((each @ ((x - self.center) ** 2)) + 1e-6) if len(x) else np.ones(DIM)
-        self.scale = scale.astype(np.float32)
-        z = (x - self.center) / self.scale / np.sqrt(np.float32(DIM))
+        x -= self.center
+        spread = np.zeros(DIM, np.float32)
+        for at in range(0, len(x), 256):
+            spread += each[at : at + 256] @ np.square(x[at : at + 256])
+        self.scale = np.sqrt(spread + 1e-6).astype(np.float32) if len(x) else np.ones(DIM, np.float32)
+        x /= self.scale * np.sqrt(np.float32(DIM))
+        z = x
         seen = np.full(self.weights.shape, 1e-8, np.float32)
         for _ in range(EPOCHS if len(languages) > 1 else 0):
             output = z @ self.weights.T + self.bias
@@ -131,23 +137,26 @@ class Model:
 
 
 def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", docs: int = TRAIN_DOCS) -> Model:
-    """Fits a model on about ``docs`` labelled texts."""
+    """Fits a model on at most ``docs`` different labelled texts."""
     usable = labelled.select(F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("string").alias("label")).where("text is not null and label is not null")
-    sizes = {r["label"]: r["count"] for r in usable.groupBy("label").count().collect()}
+    sizes = {r["label"]: r["count"] for r in usable.select("label", F.xxhash64("text").alias("key")).distinct().groupBy("label").count().collect()}
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((0, DIM), np.float32), np.zeros(0, int))
     share = docs / len(languages)
     quota = F.element_at(F.create_map(*[F.lit(v) for k in languages for v in (k, min(1.0, share / sizes[k]))]), F.col("label"))
     place = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    sample = usable.where(place < quota)
+    # copies meet on the map side; the quotas leave about as many as the limit takes
+    sample = usable.where(place < quota).distinct().orderBy(place / quota, "label", "text").limit(docs)
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["label", "text"])
-        found = [(features(t), languages.index(k)) for t, k in zip(rows["text"], rows["label"])]
-        found = [f for f in found if f[0] is not None]
-        x = np.stack([f for f, _ in found]) if found else np.zeros((0, DIM), np.float32)
-        model = Model(languages, x, np.array([k for _, k in found], int))
+        x, y = np.zeros((len(rows), DIM), np.float32), []
+        for text, label in zip(rows["text"], rows["label"]):
+            if (found := features(text)) is not None:
+                x[len(y)] = found
+                y.append(languages.index(label))
+        model = Model(languages, x[: len(y)], np.array(y, int))
         return pd.DataFrame({"model": [pickle.dumps(model)]})
 
     fitted = sample.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(fit, "model binary").first()

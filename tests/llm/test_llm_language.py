@@ -76,3 +76,14 @@ def test_long_text_equals_its_repetition():
 def test_held_out_fold(spark):
     df = spark.createDataFrame([(i,) for i in range(200)] + [(None,)], "doc_id bigint").withColumn("h", language.held_out())
     assert all(h == (i is not None and zlib.crc32(str(i).encode()) % 5 == 0) for i, h in df.collect())
+
+
+def test_the_sample_is_bounded_whatever_is_copied(spark, monkeypatch):
+    """One text makes up most rows; it counts once, and the sample keeps its bound."""
+    rows = [*labelled(60), *[(1000 + i, "le la les des que avec", "fr") for i in range(20_000)]]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.train(table, docs=90)
+    assert 1 < sum(model.seen.values()) <= 90 and set(model.seen) == set(WORDS)
+    assert max(model.seen.values()) < 50
+    whole = language.train(table)
+    assert sum(whole.seen.values()) == 181
