@@ -148,6 +148,11 @@ class Bpe:
             ids += [self.vocabulary.special[part]] if part in self.vocabulary.special else self._ids(part)
         return ids
 
+    def forget(self) -> None:
+        """Drops the pieces seen, which would stay in the memory of a worker that goes on with other work."""
+        self.words.clear()
+        self.spaced.clear()
+
     def decode_bytes(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.vocabulary.strings.__getitem__, ids))
 
@@ -200,12 +205,13 @@ def decode(ids: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str
     return kept.mapInArrow(run, f"`{id_col}` {kept.schema[0].dataType.simpleString()}, text string")
 
 
-def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", forget: bool = False) -> DataFrame:
     """Encodes every whole text and decodes its ids again, in one pass.
 
     Per row: ``id_col``, ``n_tokens``, ``ids_sha256`` (of the decimal ids joined by
     commas), ``decoded_sha256`` (of the decoded text in UTF-8) and ``restored``
-    (whether the decoding equals the text).
+    (whether the decoding equals the text). ``forget`` gives the memory of pieces seen back after each task, for
+    workers that go on with other work.
     """
     spec = _spec(docs, vocabulary)
     names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256", "restored"]
@@ -228,6 +234,8 @@ def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string()), pa.array(same, pa.bool_())],
                 names,
             )
+        if forget:
+            bpe.forget()
 
     kept = docs.select(id_col, F.col(text_col).cast("string"))
     schema = f"`{id_col}` {kept.schema[0].dataType.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string, restored boolean"
