@@ -41,7 +41,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.round_trip(docs, VOCABULARY)
+    return bpe.round_trip(docs, VOCABULARY, forget=True)
 
 
 STAGES = [
