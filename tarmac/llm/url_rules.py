@@ -4,14 +4,15 @@ A listed rule such as ``example.net/en/`` fits its host and all subdomains if th
 path; the longest fitting rule decides. For other URLs the association rules do:
 
 1. Every URL becomes a set of tokens: parts of its host, path and query, each marked with where it stands.
-2. Spark's FP-growth mines token combinations that are frequent among the URLs labelled bad, of up to ``most_tokens`` tokens, or of any length if that is None.
+2. Tokens that occur in the same labelled URLs become one. Spark's FP-growth mines token combinations that are frequent among the URLs labelled bad, of up to ``most_tokens`` tokens, or of any length if that is None.
 3. Combinations are pruned by support (bad URLs that have them) and by confidence (their share among all labelled
    URLs that have them). Of three tokens and more only those count that contain no shorter rule, which would block the same URLs.
 4. An inverted index from each combination's rarest token finds the candidates of a URL; one that has all
    tokens of a combination is blocked.
 
 Only DataFrame functions and Spark ML are used. URLs meet the index as distinct token sets, so repeated URLs cost one
-row there; all combinations come from FP-growth, so their number is bounded by the supports, not the corpus.
+row there. FP-growth returns every part of a frequent combination; parts that differ only by tokens that always occur together are one there, so copies of a
+long URL do not multiply. Tokens that many bad URLs share in many different ways still do.
 
 Rows: a null URL, or one without ``://``, has empty host, path and token set; no rule fits it and it is allowed. Null
 labels and labels of null ids are ignored, an id labelled more than once is bad if any of its labels is. Repeated rows are
@@ -79,17 +80,57 @@ def _matches(sets: DataFrame, combinations: DataFrame) -> DataFrame:
     return found.where(F.size(F.array_except("items", "tokens")) == 0).select("key", "items")
 
 
+def _token_classes(sets: DataFrame) -> DataFrame:
+    """``token`` and ``class``, the least of the tokens that occur in the same token sets, of all tokens of ``sets`` (``key``, ``tokens``, different ones).
+
+    Token sets are the same if their number and two sums of hashes are.
+    """
+    hashes = [F.sum(F.xxhash64("key", F.lit(i)).cast("decimal(38,0)")) for i in (0, 1)]
+    where = sets.select("key", F.explode("tokens").alias("token")).groupBy("token").agg(F.struct(F.count("*").alias("n"), *[h.alias(f"h{i}") for i, h in enumerate(hashes)]).alias("where"))
+    least = where.groupBy("where").agg(F.min("token").alias("class"))
+    return where.join(least, "where").select("token", "class")
+
+
+def _spelled(rules: DataFrame, classes: DataFrame, most_tokens: int | None) -> DataFrame:
+    """Rules between classes as rules between tokens: one token of each class, and pairs of tokens of one class."""
+    members = classes.groupBy("class").agg(F.array_sort(F.collect_list("token")).alias("members"))
+    lists = (
+        rules.withColumn("key", F.array_join("items", " ")).withColumn("class", F.explode("items")).join(members, "class")
+        .groupBy("key", "rarest", "bad_urls", "all_urls").agg(F.array_sort(F.collect_list(F.struct("class", "members")))["members"].alias("lists"))
+    )
+    product = lambda done, more: F.flatten(F.transform(done, lambda head: F.transform(more, lambda token: F.concat(head, F.array(token)))))
+    start = F.array(F.array().cast("array<string>"))
+    out = lists.withColumn("items", F.explode(F.aggregate("lists", start, product)))
+    if most_tokens is None or most_tokens > 1:
+        only = F.col("lists")[0]
+        pairs = F.flatten(F.transform(only, lambda a: F.transform(F.filter(only, lambda b: b > a), lambda b: F.array(a, b))))
+        out = out.unionByName(lists.where(F.size("lists") == 1).withColumn("items", F.explode(pairs)))
+    # the tokens of a class are equally rare
+    out = out.withColumn("items", F.array_sort("items")).join(classes.withColumnRenamed("class", "of"), F.expr("array_contains(items, token)") & (F.col("of") == F.col("rarest")))
+    return out.groupBy("items", "bad_urls", "all_urls").agg(F.min("token").alias("rarest")).select("items", "rarest", "bad_urls", "all_urls")
+
+
 def mine(
     labelled: DataFrame, support: float = SUPPORT, least_urls: int = LEAST_URLS, confidence: float = CONFIDENCE, most_tokens: int | None = MOST_TOKENS,
 ) -> DataFrame:
-    """Rules ``items``, ``rarest``, ``bad_urls``, ``all_urls`` from rows of ``tokens`` and ``bad``."""
-    sets = stored(labelled.select("tokens", "bad"), "url-labels")
-    bad = sets.where("bad and size(tokens) > 0")
+    """Rules ``items``, ``rarest``, ``bad_urls``, ``all_urls`` from rows of ``tokens`` and ``bad``.
+
+    Tokens that occur in the same URLs are mined as one, as every combination of them has the same URLs.
+    """
+    given = stored(labelled.select("tokens", "bad"), "url-labels")
+    bad = given.where("bad and size(tokens) > 0")
     n_bad = bad.count()
     least = max(least_urls, -int(-support * n_bad // 1))
-    empty = sets.sparkSession.createDataFrame([], "items array<string>, rarest string, bad_urls bigint, all_urls bigint")
+    empty = given.sparkSession.createDataFrame([], "items array<string>, rarest string, bad_urls bigint, all_urls bigint")
     if n_bad < least:
         return empty
+    distinct = given.groupBy("tokens").agg(F.count_if("bad").alias("n_bad"), F.count_if(~F.col("bad")).alias("n_good")).withColumn("key", F.array_join("tokens", " "))
+    distinct = stored(distinct, "url-sets")
+    classes = stored(_token_classes(distinct), "url-classes")
+    merged = distinct.select("key", "n_bad", "n_good", F.explode("tokens").alias("token")).join(classes, "token")
+    merged = merged.groupBy("key", "n_bad", "n_good").agg(F.array_sort(F.collect_set("class")).alias("tokens"))
+    sets = stored(merged.select("tokens", "n_bad", "n_good"), "url-class-sets")
+    bad = sets.where("n_bad > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n_bad"))).select("tokens")
     # just under the least count, as FP-growth rounds the product up again
     model = FPGrowth(itemsCol="tokens", minSupport=(least - 0.5) / n_bad).fit(bad)
     frequent = model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").alias("bad_urls"))
@@ -100,13 +141,13 @@ def mine(
         .groupBy("items", "bad_urls").agg(F.min(F.struct("n", "token"))["token"].alias("rarest"))
     )
     rarest = stored(rarest, "url-index")
-    counted = sets.groupBy("tokens").count().withColumn("key", F.array_join("tokens", " "))
+    counted = sets.groupBy("tokens").agg(F.sum(F.col("n_bad") + F.col("n_good")).alias("count")).withColumn("key", F.array_join("tokens", " "))
     have = _matches(counted, rarest).join(counted.select("key", "count"), "key").groupBy("items").agg(F.sum("count").alias("all_urls"))
     rules = rarest.join(have, "items").where(F.col("bad_urls") >= F.lit(confidence) * F.col("all_urls"))
     rules = stored(rules.select("items", "rarest", "bad_urls", "all_urls"), "url-rules").withColumn("key", F.array_join("items", " "))
     inside = _matches(rules.where("size(items) > 2").select("key", F.col("items").alias("tokens")), rules)
     implied = inside.where(F.array_join("items", " ") != F.col("key")).select("key").distinct()
-    return stored(rules.join(implied, "key", "left_anti").drop("key"), "url-minimal-rules")
+    return stored(_spelled(rules.join(implied, "key", "left_anti").drop("key"), classes, most_tokens), "url-minimal-rules")
 
 
 def judge(

@@ -97,3 +97,16 @@ def test_three_tokens_together(spark):
 def test_letters_of_all_scripts(spark):
     row = spark.createDataFrame([("http://Ä1.de/é/東京?ü=1&b=2",)], "u string").select(ur.tokens(F.col("u"))).first()
     assert set(row[0]) == {"h:ä1", "h:de", "p:é", "p:東京", "q:ü", "q:b"}
+
+
+@pytest.mark.parametrize("spoiled", [0, 30])
+def test_many_tokens_that_occur_together(spark, spoiled):
+    """Twelve bad URLs share 40 tokens, which good ones may have too: one class, not two to the fortieth combinations."""
+    long = "http://h.test/" + "/".join(f"t{i}" for i in range(38))
+    urls = [(i, f"{long}?x{i}=1", 0) for i in range(12)] + [(100 + i, f"http://g{i}.org/p", 1) for i in range(40)]
+    urls += [(200 + i, f"{long}?y{i}=1", 1) for i in range(spoiled)]
+    pages = spark.createDataFrame([u[:2] for u in urls], "page_id bigint, url string")
+    labels = spark.createDataFrame([(u[0], u[2], 0) for u in urls], "doc_id bigint, quality int, toxic int")
+    found = {r["page_id"]: (r["verdict"], r["n_mined"]) for r in ur.judge(pages, labels, [], most_tokens=None).collect()}
+    bad = ("allow", 0) if spoiled else ("block", 40 + 40 * 39 // 2)
+    assert all(found[i] == bad for i in range(12)) and all(found[100 + i] == ("allow", 0) for i in range(40))
