@@ -7,7 +7,7 @@ for the passages that stage 4 cuts.
 1. ``language_id``: documents without a language, or with an ambiguous one, go.
 2. ``quality_rules``: documents that fail the base rules or lose too much text by lines go.
 3. ``simhash_near_dedup``: of each component of near copies the row with the smallest doc_id stays (of rows
-   of equal id the first by text; rows with null ids stay only where a component has no other).
+   of equal id any one; rows with null ids stay only where a component has no other).
 4. ``benchmark_decontamination``: contaminated documents go, and benchmark passages are cut out of the others.
 5. ``bpe``: token counts and digests of what is left, one row per document.
 
