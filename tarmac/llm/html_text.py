@@ -5,7 +5,11 @@
 * article: inside an ``article`` element (without one: ``main`` or role main), outside of everything below;
 * furniture: inside menus, headers, footers, sidebars, notices, adverts, forms, reader comments or hidden
   elements, by tag, role or words of class and id; scripts and styles make no block at all;
-* open: the rest, such as the body of a page without an article element.
+* open: the rest, such as the body of a page without an article element, and parts of an article whose id alone
+  names furniture that may as well be a topic (``TOPICS``).
+
+Inside an article or ``main``, words say less: headings are never furniture by class or id, paragraphs, cells and elements inside a line only by a
+whole class name (inside a line: one that names adverts), as "notice-period" is no notice, and an id, often made from a heading, only as a whole and on containers. Formulas (``math``) are text without their annotations.
 
 ``extract`` pairs every page with the one of the same host whose path shares the longest prefix with its own: in
 the order of paths that is a neighbour. The lines of both pages are aligned by their longest common
@@ -47,14 +51,16 @@ ARTICLE, OPEN, FURNITURE = 2, 1, 0
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike "
-    "strong sub sup time tt u var".split()
+    "strong sub sup time tt u var "
+    "math semantics mrow mi mn mo ms mtext mspace msup msub msubsup mfrac msqrt mroot mover munder munderover mtable mtr mtd mstyle mpadded mphantom "
+    "mfenced menclose mmultiscripts mprescripts".split()
 )
 DROPPED = set(
-    "nav footer aside form script style head title template noscript iframe svg math object select button textarea "
-    "canvas audio video dialog menu applet frameset".split()
+    "nav footer aside form script style head title template noscript iframe svg object select button textarea "
+    "annotation annotation-xml canvas audio video dialog menu applet frameset".split()
 )
 #: dropped ones that stand inside a line of text and do not end its block
-INLINE_DROPPED = set("script style template noscript iframe svg math object select button textarea canvas audio video".split())
+INLINE_DROPPED = set("script style template noscript iframe svg object select button textarea canvas audio video annotation annotation-xml".split())
 RAW = set("script style textarea title noembed noframes xmp iframe".split())
 IN_HEAD = set("base link meta title style script noscript template".split())
 CLOSES_ITSELF = {
@@ -69,6 +75,14 @@ FURNITURE_WORDS = re.compile(
     "comments?|comment(list|form|box|area|section|thread)s?|disqus|share|sharing|sharebar|social|related|recommended|recommendations|"
     "newsletter.*|subscribe|subscription|popup|modal|overlay|widget|widgets|toolbar|pagination|pager|login|signup|search|searchform"
 )
+#: fixed values: those of them that name adverts, and those that, as the id of a part of an article, may be its topic
+ADVERT_WORDS = re.compile("ad|ads|adbox|adslot|adunit|adsense|advert.*|sponsor|sponsors|sponsored|promo|promos")
+TOPICS = set(
+    "promotion banner consent gdpr notice notices alert alerts share sharing social related recommended recommendations "
+    "subscription popup modal overlay widget widgets toolbar pagination pager login signup search navigation".split()
+)
+#: fixed values: elements of running text
+TEXT_ELEMENTS = set("p li dd dt td th caption figcaption figure blockquote pre table tr tbody thead summary address".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S
@@ -76,30 +90,51 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 
-def _furniture(name: str, attributes: str) -> tuple[bool, bool, bool, bool]:
-    """Whether an element is furniture, whether it is a header (whose headings may stay), whether it has role main, and
-    whether only a class word or being a form makes it furniture."""
+def _named(name: str, given: dict[str, str]) -> tuple[bool, bool]:
+    """Whether class and id words of an element inside an article make it furniture, and whether they may be its topic as well."""
+    if name in HEADINGS:
+        return False, False
+    classes = ["".join(re.findall(r"[a-z]+", c)) for c in given.get("class", "").lower().split()]
+    if name in INLINE:
+        return any(map(ADVERT_WORDS.fullmatch, classes)), False
+    if name in TEXT_ELEMENTS:
+        return any(map(FURNITURE_WORDS.fullmatch, classes)), False
+    words = re.findall(r"[a-z]+", given.get("class", "").lower())
+    if any(map(FURNITURE_WORDS.fullmatch, {*words, *map("".join, zip(words, words[1:]))})):
+        return True, False
+    ident = "".join(re.findall(r"[a-z]+", given.get("id", "").lower()))
+    return FURNITURE_WORDS.fullmatch(ident) is not None and ident not in TOPICS, ident in TOPICS
+
+
+def _furniture(name: str, attributes: str, inside: bool = False) -> tuple[bool, bool, bool, bool, bool]:
+    """Whether an element is furniture, whether it is a header (whose headings may stay), whether it has role main, whether
+    only a class word or being a form makes it furniture, and whether it is a part of an article (``inside``) that may be furniture or a topic."""
     if name == "header":
-        return True, True, False, False
+        return True, True, False, False, False
     if not attributes.strip(" /\t\r\n"):
-        return name in DROPPED, False, False, name == "form"
+        return name in DROPPED, False, False, name == "form", False
     given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
     if (name in DROPPED and name != "form") or "hidden" in given or given.get("aria-hidden") == "true":
-        return True, False, False, False
+        return True, False, False, False, False
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", given.get("style", ""), re.I):
-        return True, False, False, False
+        return True, False, False, False, False
     role = given.get("role", "").lower()
     if role in FURNITURE_ROLES:
-        return True, False, False, False
+        return True, False, False, False, False
     if name == "form":
-        return True, False, False, True
+        return True, False, False, True, False
     if name in ("html", "body"):
-        return False, False, False, False
-    named = re.findall(r"[a-z]+", f"{given.get('class', '')} {given.get('id', '')}".lower())
-    words = {*named, *map("".join, zip(named, named[1:]))}
-    if any(map(FURNITURE_WORDS.fullmatch, words)):
-        return True, False, role == "main", True
-    return ("header" in words and name not in HEADINGS), "header" in words, role == "main", False
+        return False, False, False, False, False
+    words = re.findall(r"[a-z]+", f"{given.get('class', '')} {given.get('id', '')}".lower())
+    # an article inside another or in main is judged as any wrapper
+    if inside and name != "article":
+        furniture, topic = _named(name, given)
+    else:
+        furniture, topic = any(map(FURNITURE_WORDS.fullmatch, {*words, *map("".join, zip(words, words[1:]))})), False
+    if furniture:
+        return True, False, role == "main", True, False
+    header = "header" in words and name not in HEADINGS and not (inside and name in INLINE | TEXT_ELEMENTS)
+    return header, header, role == "main", False, topic
 
 
 class _Reader:
@@ -107,21 +142,22 @@ class _Reader:
 
     An element's state is whether its text is furniture, whether only a header makes it so, whether it is in an
     article, whether it is in a main element, whether it is furniture inside a line, which says nothing at all, whether it is
-    furniture by more than class words or forms, and how many of those two are around it outside articles. With ``lenient``, an article or main element is
+    furniture by more than class words or forms, how many of those two are around it outside articles, and whether it is in a
+    part of an article that only differences can judge. With ``lenient``, an article or main element is
     not furniture because of such wrappers.
     """
 
     def __init__(self, lenient: bool):
         self.lenient = lenient
         self.names: list[str] = []
-        self.states: list[tuple[bool, bool, bool, bool, bool, bool, int]] = []
+        self.states: list[tuple[bool, bool, bool, bool, bool, bool, int, bool]] = []
         self.found: list[tuple[str, tuple, bool]] = []
         self.buffer: list[str] = []
         self.headings = 0
         self.begun: tuple = ()
 
-    def state(self) -> tuple[bool, bool, bool, bool, bool, bool, int]:
-        return self.states[-1] if self.states else (False, False, False, False, False, False, 0)
+    def state(self) -> tuple[bool, bool, bool, bool, bool, bool, int, bool]:
+        return self.states[-1] if self.states else (False, False, False, False, False, False, 0, False)
 
     def text(self, text: str) -> None:
         if not self.state()[4]:
@@ -165,7 +201,7 @@ class _Reader:
                 if self.names[place] in CLOSES_ITSELF.get(name, ()) or (name == "p" and self.names[place] not in INLINE):
                     break
         outer = self.state()
-        furniture, header, role_main, weak = _furniture(name, attributes)
+        furniture, header, role_main, weak, topic = _furniture(name, attributes, outer[2] or outer[3])
         opens = (name == "article" and not outer[2]) or ((name == "main" or role_main) and not outer[3])
         above = outer[0] and not (self.lenient and opens and not outer[5])
         by_header = outer[1] and not (furniture and not header) if above else furniture and header
@@ -173,6 +209,7 @@ class _Reader:
         self.states.append((
             above or furniture, by_header, outer[2] or name == "article", outer[3] or name == "main" or role_main, outer[4] or (furniture and inline),
             outer[5] or (furniture and not weak), outer[6] + (furniture and weak and not outer[2]),
+            outer[7] or topic,
         ))
         self.headings += name in HEADINGS
 
@@ -223,11 +260,11 @@ def _read(html: str, lenient: bool) -> _Reader:
 
 
 def _kinds(page: _Reader) -> list[int]:
-    inside = 2 if any(state[2] for _, state, _ in page.found) else 3
+    inside = 2 if any(state[2] and (state[1] or not state[0]) for _, state, _ in page.found) else 3
     kinds = []
     for _, state, in_heading in page.found:
         kept_heading = state[1] and in_heading and state[inside]
-        kinds.append(FURNITURE if state[0] and not kept_heading else ARTICLE if state[inside] else OPEN)
+        kinds.append(FURNITURE if state[0] and not kept_heading else ARTICLE if state[inside] and not state[7] else OPEN)
     return kinds
 
 

@@ -43,6 +43,33 @@ def test_article_blocks(html, article):
     assert [t for t, k in zip(texts, kinds) if k == ht.ARTICLE] == article
 
 
+@pytest.mark.parametrize("html,article", [
+    ("<article><h2 id='related-work'>Related work</h2><h2 class=search>Search</h2><p>x</p></article>", ["Related work", "Search", "x"]),
+    ("<article><p class='notice-period'>One month.</p><p>Take <span class='alert'>care</span> and <em id=ads>look</em>.</p><p class='ad'>buy</p></article>", ["One month.", "Take care and look."]),
+    ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> be.</p></article>", ["Let x=1 be."]),
+    ("<article><section id='related-work'><p>r</p></section><ul><li id=search-1>s</li></ul><table><tr><td class=header>h<td>i</table></article>", ["r", "s", "h", "i"]),
+    ("<article>a<section id='comments'><h2>Comments</h2><p>c</p></section><div id=sidebar>s</div><div class='related-posts'><h3>More</h3></div><ul class=share><li>s</ul></article>", ["a"]),
+    ("<main><h1 id=notice>Notice</h1><article class=comment>bad</article><p>a</p></main>", ["Notice", "a"]),
+    ("<article><h1>T</h1><p>a</p><section id=search><p>own or shared</p></section></article>", ["T", "a"]),
+])
+def test_words_inside_articles(html, article):
+    texts, kinds = ht.blocks(html)
+    assert [t for t, k in zip(texts, kinds) if k == ht.ARTICLE] == article
+
+
+def test_differences_judge_parts_of_articles_that_ids_suspect(spark):
+    def html(n, part):
+        return f"<body><nav>n</nav><article><h1>T {n}</h1><section id='search'><h2>Search {part}</h2><p>About {part}</p></section><p>end</p></article></body>"
+
+    rows = [(i, f"http://a.example/own/{i}", html(i, i)) for i in range(4)] + [(i, f"http://b.example/all/{i}", html(i, "here")) for i in range(4, 8)]
+    found = {r["page_id"]: r["text"] for r in ht.extract(pages(spark, rows)).collect()}
+    assert all(found[i] == f"T {i}\nSearch {i}\nAbout {i}\nend" for i in range(4))
+    assert all(found[i] == f"T {i}\nSearch here\nAbout here\nend" for i in range(4, 8)), "equal open lines are copies to each other"
+    rows.append((8, "http://b.example/all/z", html(8, "here").replace("</section>", "<p>more</p></section>")))
+    found = {r["page_id"]: r["text"] for r in ht.extract(pages(spark, rows)).collect()}
+    assert found[8] == "T 8\nmore\nend" and found[7] == "T 7\nend"
+
+
 @pytest.mark.parametrize("html", [None, "", "<", "<p", "</p></div>", "<!--", "<script>", "<a href='", "& &amp &#x110000; &#0;", "<p><b></i></p>" * 50])
 def test_broken_pages_do_not_fail(html):
     texts, kinds = ht.blocks(html)
