@@ -4,12 +4,12 @@ A pre-token's bytes form a doubly linked list of symbols. A heap holds every
 adjacent pair that the vocabulary can merge, lowest rank first, leftmost first.
 A merge unlinks the right symbol, puts the new symbol in place of the left one and
 pushes its two new neighbour pairs. Entries are never removed from the heap: one
-whose place no longer merges into the same symbol is stale and skipped.
+whose place no longer merges into the same symbol, by the rank that is kept for every place, is stale and skipped.
 
 Rows: a null text counts as the empty text (no ids, empty decoding). Repeated rows,
 null ids and clashing extra columns are passed on or ignored, never merged. An empty
 table gives an empty table. A text of any length is encoded whole; the table of
-already encoded pre-tokens is emptied once it holds ``CACHE_WORDS`` of them, which
+already encoded pieces forgets the oldest beyond ``CACHE_WORDS``, which
 changes the speed and no result.
 """
 
@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: pre-tokens, and pieces between spaces, kept encoded per task
+#: pieces between spaces (and a quarter as many pre-tokens) of either age kept encoded per worker
 CACHE_WORDS = 1 << 18
 
 #: fixed value: the published pre-token pattern of byte-level BPE
@@ -73,18 +73,24 @@ class Vocabulary:
 
 
 class Words(dict):
-    """Ids of the pieces seen lately; a missing one is made, and at ``CACHE_WORDS`` all are forgotten."""
+    """Ids of the pieces seen lately; a missing one is made. At ``room`` pieces all become the former ones, of which those that are seen again come back."""
 
-    def __init__(self, make):
+    def __init__(self, make, room: int):
         super().__init__()
-        self.make = make
+        self.make, self.room, self.former = make, room, {}
 
     def __missing__(self, piece: str) -> tuple[int, ...] | None:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[piece] = ids = self.make(piece)
+        if len(self) >= self.room:
+            self.former = self.copy()
+            super().clear()
+        ids = self.former.get(piece, False)
+        self[piece] = ids = self.make(piece) if ids is False else ids
         return ids
 
+    def clear(self) -> None:
+        super().clear()
+        self.former = {}
+
 
 class Bpe:
     """Encoder and decoder of one vocabulary."""
@@ -94,11 +100,14 @@ class Bpe:
         self.pre_tokens = regex.compile(PRE_TOKEN).findall
         longest_first = sorted(vocabulary.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if longest_first else None
-        self.words = Words(lambda word: tuple(self.merged(word.encode())))
-        self.spaced = Words(self._after_space)
+        self.words = Words(lambda word: tuple(self.merged(word.encode())), CACHE_WORDS // 4)
+        self.spaced = Words(self._after_space, CACHE_WORDS)
 
     def _after_space(self, piece: str) -> tuple[int, ...] | None:
         """The ids of a piece and the one space before it; None if their pre-tokens may reach beyond them."""
+        if piece.isascii() and piece.isalpha():
+            # one pre-token
+            return tuple(self.merged(b" " + piece.encode()))
         if not piece or piece[0].isspace() or piece[-1].isspace():
             return None
         return tuple(self._plain(" " + piece))
@@ -116,28 +125,39 @@ class Bpe:
         return self._plain(text)
 
     def merged(self, word: bytes) -> list[int]:
-        """The ids of one pre-token. Heap keys are ``rank * length + place``, so ties in rank go left to right."""
+        """The ids of one pre-token. Heap keys hold the rank above the place, so ties in rank go left to right."""
         rank_of, made_by = self.vocabulary.rank_of, self.vocabulary.made_by
         symbols = [self.vocabulary.first[b] for b in word]
         end = len(symbols)
+        shift = end.bit_length()
+        places = (1 << shift) - 1
+        # the rank of every symbol with the one after it; -1 where they do not merge
+        ranks = [rank_of(pair, -1) for pair in zip(symbols, symbols[1:])]
+        queue = [rank << shift | at for at, rank in enumerate(ranks) if rank >= 0]
+        if not queue:
+            return symbols
+        ranks.append(-1)
         before, after = list(range(-1, end - 1)), list(range(1, end + 1))
-        queue = [rank * end + at for at, pair in enumerate(zip(symbols, symbols[1:])) if (rank := rank_of(pair)) is not None]
         heapq.heapify(queue)
         while queue:
-            rank, at = divmod(heapq.heappop(queue), end)
-            gone, made = after[at], made_by[rank]
-            if symbols[at] < 0 or gone == end:
-                continue
-            now = rank_of((symbols[at], symbols[gone]))
-            if now != rank and (now is None or made_by[now] != made):
+            top = heapq.heappop(queue)
+            rank, at = top >> shift, top & places
+            made, now = made_by[rank], ranks[at]
+            if now != rank and (now < 0 or made_by[now] != made):
                 continue
-            symbols[at], symbols[gone], after[at] = made, -1, (right := after[gone])
+            gone = after[at]
+            symbols[at], symbols[gone], ranks[gone], after[at] = made, -1, -1, (right := after[gone])
             if right < end:
                 before[right] = at
-                if (rank := rank_of((made, symbols[right]))) is not None:
-                    heapq.heappush(queue, rank * end + at)
-            if (left := before[at]) >= 0 and (rank := rank_of((symbols[left], made))) is not None:
-                heapq.heappush(queue, rank * end + left)
+                ranks[at] = rank = rank_of((made, symbols[right]), -1)
+                if rank >= 0:
+                    heapq.heappush(queue, rank << shift | at)
+            else:
+                ranks[at] = -1
+            if (left := before[at]) >= 0:
+                ranks[left] = rank = rank_of((symbols[left], made), -1)
+                if rank >= 0:
+                    heapq.heappush(queue, rank << shift | left)
         return [s for s in symbols if s >= 0]
 
     def encode(self, text: str) -> list[int]:
