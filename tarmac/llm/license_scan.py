@@ -3,7 +3,9 @@
 A header is a line, a run of neighbouring lines (up to one without letters and digits) or a sentence of such a run, with a word that licences use (``CUE``).
 Its words' TF-IDF vector, with document frequencies over the
 templates, is compared with every template that shares a word with it; the best template of a file's headers is the file's
-own licence if the cosine reaches ``LEAST_COSINE``. Two rules go before the cosine: a reservation of all rights counts only where no licence is named, and a whole
+own licence if the cosine reaches ``LEAST_COSINE``. Words that decide go before the cosine (``NAMES``, ``VERSION``, ``DENIED``): a header must hold the licence's name, where the licence has one; if it names versions,
+the licence's must be among them; if it names none and the licence exists in several, the result is the name without a version, after any with one; a header that denies a
+licence ("is not released under") gives none. A reservation of all rights counts only where no licence is named, and a whole
 text that reaches ``LEAST_FULL`` beside the full text of a short licence (``FULL_TEXTS``) counts most. Whole texts are those of licence files, and in other files
 the runs from the first to the last one with a cue, if they hold a grant (``GRANT``). Long licences are known by their titles and headers. Files called LICENSE, LICENCE, COPYING or UNLICENSE (with any
 ending) pass theirs to the files of their directory and below that have none: the nearest directory
@@ -58,10 +60,52 @@ TEMPLATES = [
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License, CC BY 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "To the extent possible under law, the author has dedicated this work to the public domain under CC0 1.0."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License, version 2."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-only"),
+    ("GPL-2.0", "GNU General Public License, Version 2, June 1991"),
+    ("GPL-2.0", "Licensed under the GNU GPLv2 license."),
+    ("GPL-3.0", "Licensed under the GNU GPLv3 license."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-2.1", "SPDX-License-Identifier: LGPL-2.1-only"),
+    ("LGPL-2.1", "GNU Lesser General Public License, Version 2.1, February 1999"),
+    ("LGPL-3.0", "SPDX-License-Identifier: LGPL-3.0-only"),
+    ("AGPL-3.0", "SPDX-License-Identifier: AGPL-3.0-only"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, "
+     "You can obtain one at mozilla.org/MPL/2.0/."),
+    ("MPL-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1 (the License); you may not use this file except in compliance with the License."),
+    ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("MPL-1.1", "Mozilla Public License Version 1.1"),
+    ("EPL-1.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0."),
+    ("EPL-2.0", "SPDX-License-Identifier: EPL-2.0"),
+    ("EUPL-1.2", "Licensed under the European Union Public Licence, EUPL, Version 1.2."),
+    ("EUPL-1.2", "Licensed under the EUPL, Version 1.2 or later (the Licence); you may not use this work except in compliance with the Licence."),
+    ("EUPL-1.2", "SPDX-License-Identifier: EUPL-1.2"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0. See accompanying file LICENSE_1_0.txt or copy at boost.org/LICENSE_1_0.txt"),
+    ("BSL-1.0", "SPDX-License-Identifier: BSL-1.0"),
+    ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
+    ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("ISC", "Released under the ISC License."),
+    ("ISC", "SPDX-License-Identifier: ISC"),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License, CC BY SA 4.0."),
+    ("CC-BY-SA-3.0", "This work is licensed under a Creative Commons Attribution ShareAlike 3.0 Unported License, CC BY SA 3.0."),
+    ("CC-BY-3.0", "This work is licensed under a Creative Commons Attribution 3.0 Unported License, CC BY 3.0."),
     ("proprietary", "All rights reserved."),
     ("proprietary", "Copyright. All rights reserved."),
 ]
 
+#: fixed values: words that a licence's header has, and those that it has not, by the licence's name without version
+NAMES = [
+    ("Apache", "apache", None), ("GPL", "\\bgpl|general public", "affero|lesser|\\b[al]gpl|library general"), ("LGPL", "lgpl|lesser|library general", None),
+    ("AGPL", "agpl|affero", None), ("MPL", "mozilla|\\bmpl", None), ("EPL", "eclipse|\\bepl", None), ("EUPL", "european union|eupl", None), ("BSL", "boost|\\bbsl", None),
+    ("ISC", "\\bisc\\b", None), ("CC-BY", "creative commons|cc[ -]by", "share ?-?alike|non ?-?commercial|by[ -](sa|nc|nd)\\b"), ("CC-BY-SA", "share ?-?alike|by[ -]sa\\b", "non ?-?commercial|by[ -]nc"),
+    ("CC-BY-NC", "non ?-?commercial|by[ -]nc\\b", "share ?-?alike|by[ -]nc[ -](sa|nd)\\b"),
+]
+#: fixed values: how a header names a version, how it denies a licence
+VERSION = r"(?:\bversion|\bv\.?|licen[sc]e|apache|gpl(?:-?v)?|\bmpl|eupl|\bepl|\bbsl|attribution|alike|commercial|cc0|\bby(?:[ -][a-z]{2})*)[ ,.:-]*([0-9]{1,2}(?:\.[0-9]+)?)(?![0-9])"
+DENIED = r"\b(not|never|no longer|neither) (being |been |yet |be )?(released|licen[sc]ed|distributed|available|made available|covered|placed|provided) (under|by|in|with|as)\b"
+
 _BSD = (
         'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are '
         'met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. '
@@ -154,6 +198,33 @@ def score_headers(headers: DataFrame) -> DataFrame:
     )
 
 
+def _family(license: Column) -> Column:
+    return F.regexp_replace(license, r"-[0-9.]+$", "")
+
+
+def decided(named: DataFrame, headers: DataFrame) -> DataFrame:
+    """``key``, ``level``, ``license``, ``score`` of the scored headers (``key``, ``license``, ``score``) whose words allow the licence.
+
+    ``headers`` has their distinct ``key`` and ``text``. Levels: 1 a licence, 2 a licence of unknown version, 3 a reservation of all rights.
+    """
+    families = [n.rpartition("-")[0] for n in sorted({n for n, _ in TEMPLATES}) if n.rpartition("-")[2].replace(".", "").isdigit()]
+    several = sorted({f for f in families if families.count(f) > 1})
+    low, family, plain = F.lower("text"), _family(F.col("license")), r"(\.0)+$"
+    versions = F.transform(F.regexp_extract_all(low, F.lit(VERSION), 1), lambda v: F.regexp_replace(v, plain, ""))
+    version = F.regexp_replace(F.regexp_extract("license", r"-([0-9.]+)$", 1), plain, "")
+    is_named = F.lit(True)
+    for name, needed, barred in NAMES:
+        has = low.rlike(needed) & ~low.rlike(barred) if barred else low.rlike(needed)
+        is_named = is_named & ((family != name) | has)
+    unversioned = (F.size("versions") == 0) & family.isin(several)
+    both = named.join(headers, "key").where(~low.rlike(DENIED) & is_named).select("key", "license", "score", versions.alias("versions"))
+    both = both.where((version == "") | (F.size("versions") == 0) | F.array_contains("versions", version))
+    return both.select(
+        "key", F.when(F.col("license") == "proprietary", 3).when(unversioned, 2).otherwise(1).alias("level"),
+        F.when(unversioned, family).otherwise(F.col("license")).alias("license"), "score",
+    )
+
+
 def scan(files: DataFrame, id_col: str, path_col: str = "path", text_col: str = "text", least_cosine: float = LEAST_COSINE) -> DataFrame:
     """Per file ``id_col``, ``license``, ``score``, ``origin`` (own, inherited or null), ``from_dir`` (of an inherited licence)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -165,7 +236,7 @@ def scan(files: DataFrame, id_col: str, path_col: str = "path", text_col: str =
     slim = files.select(row, F.col(id_col).alias("id"), path, text.alias("text"), lines.alias("lines"), runs.alias("runs"))
     # the row number in the projection under it keeps Catalyst from computing the arrays anew for each use
     slim = slim.withColumn("cued", F.filter("runs", has_cue)).where("row >= 0")
-    sentences = F.filter(F.flatten(F.transform("cued", lambda t: F.split(t, r"(?<=[.!?]) (?=[^a-z])", -1))), has_cue)
+    sentences = F.filter(F.flatten(F.transform("cued", lambda t: F.split(t, r"(?<=[.!?])(?<!\b[vV]\.) (?=[^a-z])", -1))), has_cue)
     at = F.filter(F.transform("runs", lambda t, i: F.when(has_cue(t), i + 1)), lambda i: i.isNotNull())
     region = F.array_join(F.slice("runs", F.array_min(at), F.array_max(at) - F.array_min(at) + 1), " ")
     is_license = F.lower(F.substring_index("path", "/", -1)).rlike(LICENSE_FILE)
@@ -174,8 +245,9 @@ def scan(files: DataFrame, id_col: str, path_col: str = "path", text_col: str =
     slim = stored(slim.select("row", "id", "path", headers.alias("headers"), whole.alias("whole")), "license-headers")
     # texts meet the templates by their digests, once each
     lines = slim.where("size(headers) > 0").select("row", F.explode("headers").alias("text")).withColumn("key", F.md5("text"))
-    named = cosines(lines.select("key", "text").dropDuplicates(["key"]), TEMPLATES).where(F.col("score") >= least_cosine)
-    named = lines.select("row", "key").join(named, "key").select("row", F.when(F.col("license") == "proprietary", 2).otherwise(1).alias("level"), "license", "score")
+    distinct = lines.select("key", "text").dropDuplicates(["key"])
+    named = decided(cosines(distinct, TEMPLATES).where(F.col("score") >= least_cosine), distinct)
+    named = lines.select("row", "key").join(named, "key").select("row", "level", "license", "score")
     full = slim.where("whole is not null").select("row", F.col("whole").alias("text")).withColumn("key", F.md5("text"))
     like = cosines(full.select("key", "text").dropDuplicates(["key"]), FULL_TEXTS).where(F.col("score") >= LEAST_FULL)
     like = full.select("row", "key").join(like, "key").select("row", F.lit(0).alias("level"), "license", "score")

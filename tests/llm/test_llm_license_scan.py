@@ -82,3 +82,34 @@ AGPL = "This program is free software: you can redistribute it and/or modify\nit
 def test_headers_of_many_lines_and_whole_texts(spark, path, text, license):
     row = ls.scan(spark.createDataFrame([(1, path, text)], "id int, path string, text string"), "id").first()
     assert row["license"].startswith(license) and row["origin"] == "own"
+
+
+GPL2 = "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation; either version 2 of the License, or\n(at your option) any later version."
+WORDS_THAT_DECIDE = [
+    (GPL2, "GPL-2.0"),
+    (GPL2.replace("version 2", "version 3"), "GPL-3.0"),
+    (GPL2.replace("either version 2 of the License, or\n(at your option) any later version.", "see the License."), "GPL"),
+    ("# SPDX-License-Identifier: GPL-2.0-only", "GPL-2.0"),
+    ("# SPDX-License-Identifier: GPL-3.0-or-later", "GPL-3.0"),
+    ("// SPDX-License-Identifier: LGPL-2.1-or-later", "LGPL-2.1"),
+    ("GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991", "GPL-2.0"),
+    ("GNU LESSER GENERAL PUBLIC LICENSE\nVersion 2.1, February 1999", "LGPL-2.1"),
+    ("Licensed under the GNU GPLv2 license", "GPL-2.0"),
+    ("Licensed under the GNU GPLv3 license", "GPL-3.0"),
+    ("Licensed under the EUPL, Version 1.2 or later (the \"Licence\"); you may not use this work except in compliance with the Licence.", "EUPL-1.2"),
+    ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0\nwhich is available at https://www.eclipse.org/legal/epl-2.0/", "EPL-2.0"),
+    ("Distributed under the Boost Software License, Version 1.0.\n(See accompanying file LICENSE_1_0.txt or copy at https://www.boost.org/LICENSE_1_0.txt)", "BSL-1.0"),
+    ("This file is not released under the MIT License.", None),
+    ("Licensed under the Apache License, Version 1.1.", None),
+    ("Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+    ("Mozilla Public License Version 1.1", "MPL-1.1"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "CC-BY-4.0"),
+    ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"),
+]
+
+
+def test_words_that_decide(spark):
+    rows = [(i, f"d{i}/a.c", text) for i, (text, _) in enumerate(WORDS_THAT_DECIDE)]
+    found = {r["id"]: r["license"] for r in ls.scan(spark.createDataFrame(rows, "id int, path string, text string"), "id").collect()}
+    assert {t: found[i] for i, (t, want) in enumerate(WORDS_THAT_DECIDE) if found[i] != want} == {}
