@@ -43,8 +43,8 @@ BLOCK_TOKENS = 1 << 20
 ROUNDS, PAIRS, LEAST = 8, 4096, 8
 #: pieces of text kept encoded per task, pieces given to the library at once
 CACHE_PIECES, JOINED = 1 << 20, 16
-#: marks the piece that begins a text
-FIRST = "\0"
+#: marks the piece that begins a text; pieces between spaces hold none
+FIRST = " "
 
 MAGIC, VERSION = 0x52505231, 1
 
