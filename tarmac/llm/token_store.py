@@ -26,11 +26,12 @@ import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import chain, islice, repeat
 from itertools import compress as compress_list
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,8 +42,8 @@ from tokenizers import Tokenizer
 BLOCK_TOKENS = 1 << 20
 #: rounds of replacement, pairs replaced in a round, and the least count of a replaced pair
 ROUNDS, PAIRS, LEAST = 8, 4096, 8
-#: pieces of text kept encoded per task, pieces given to the library at once
-CACHE_PIECES, JOINED = 1 << 20, 16
+#: pieces of text kept encoded per worker, pieces given to the library at once, bytes of text encoded at once (or one text)
+CACHE_PIECES, JOINED, PORTION = 3 << 18, 16, 1 << 22
 #: marks the piece that begins a text; pieces between spaces hold none
 FIRST = " "
 
@@ -70,13 +71,27 @@ class Encoder:
         self.by_pieces = not any(" " in s for s in self.special)
         # in byte-level vocabularies every letter stands for a byte
         self.bytes = np.array([len(self.library.id_to_token(i) or "") for i in range(self.library.get_vocab_size())])
-        self._forget()
+        #: numbers pieces as they come
+        self.known: defaultdict[str, int] = defaultdict()
+        self.known.default_factory = self.known.__len__
+        #: piece k has ``ids[begin[k] :][: size[k]]``, unless it can't be encoded ``apart``; did it come ``again`` in a later call
+        self.begin, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.apart, self.again = np.zeros(0, bool), np.zeros(0, bool)
+
+    def _of(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces, one after the other, and how many each has."""
+        size = self.size[number]
+        return self.ids[np.repeat(self.begin[number] - np.cumsum(size) + size, size) + np.arange(size.sum())], size
 
     def _forget(self) -> None:
-        """``known`` numbers pieces as they come; piece k has ``ids[begin[k] :][: size[k]]``, unless it can't be encoded apart."""
-        self.known: defaultdict[str, int] = defaultdict()
+        """Keeps the pieces that came again since the last call, or none if they would fill half of the room."""
+        kept = np.flatnonzero(self.again)
+        kept = kept[: len(kept) * (2 * len(kept) < CACHE_PIECES)]
+        pieces = list(compress_list(self.known, np.isin(np.arange(len(self.known)), kept).tolist()))
+        self.known = defaultdict(None, zip(pieces, range(len(pieces))))
         self.known.default_factory = self.known.__len__
-        self.begin, self.size, self.ids, self.apart = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, bool)
+        self.ids, self.size = self._of(kept)
+        self.begin, self.apart, self.again = np.cumsum(self.size) - self.size, self.apart[kept], np.zeros(len(kept), bool)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.int32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -84,13 +99,16 @@ class Encoder:
     def _learn(self) -> None:
         """Encodes the pieces that were numbered since the last call: ``FIRST`` and the beginning of a text, or what follows a space."""
         pieces = list(islice(reversed(self.known), len(self.known) - len(self.apart)))[::-1]
-        first = np.array([p[:1] == FIRST for p in pieces], bool)
-        after = [bool(p) and not p[0].isspace() and not p[-1].isspace() and p[0] != FIRST for p in pieces]
-        begun = [p[1:] for p in pieces if p[:1] == FIRST]
+        # no white space at either end
+        bare = np.fromiter(map(str.__eq__, pieces, map(str.strip, pieces)), bool, len(pieces))
+        first = np.fromiter(map(str.startswith, pieces, repeat(FIRST)), bool, len(pieces))
+        after = bare & ~first & np.fromiter(map(bool, pieces), bool, len(pieces))
+        begun = [p[1:] for p in compress_list(pieces, first)]
         alone = list(compress_list(pieces, after))
         heads = self.whole(begun)
-        ids = np.concatenate([self.ids[:0], *self.whole(["".join(" " + p for p in alone[at : at + JOINED]) for at in range(0, len(alone), JOINED)])])
-        read, ends = np.cumsum(self.bytes[ids]), np.cumsum(np.fromiter((len(p.encode()) + 1 for p in alone), np.int64, len(alone)))
+        joined = [" " + " ".join(alone[at : at + JOINED]) for at in range(0, len(alone), JOINED)]
+        ids = np.concatenate([self.ids[:0], *self.whole(joined)])
+        read, ends = np.cumsum(self.bytes[ids]), np.cumsum(np.fromiter(map(len, map(str.encode, alone)), np.int64, len(alone)) + 1)
         stops = np.searchsorted(read, ends) + 1
         if len(ends) and (stops[-1] != len(ids) or not np.array_equal(read[stops - 1], ends)):
             raise ValueError("the library joined pieces of text")
@@ -100,7 +118,7 @@ class Encoder:
         begin[first] = len(self.ids) + len(ids) + np.cumsum(size[first]) - size[first]
         self.begin, self.size = np.concatenate([self.begin, begin]), np.concatenate([self.size, size])
         self.ids = np.concatenate([self.ids, ids, *heads])
-        self.apart = np.concatenate([self.apart, first | np.array(after, bool)])
+        self.apart, self.again = np.concatenate([self.apart, first | after]), np.concatenate([self.again, np.zeros(len(pieces), bool)])
 
     def _pieces(self, text: str) -> list[str] | None:
         if not self.by_pieces or any(s in text for s in self.special):
@@ -115,20 +133,31 @@ class Encoder:
         """The ids of every text."""
         if len(self.known) > CACHE_PIECES:
             self._forget()
+        before = len(self.known)
         split = [self._pieces(t) for t in texts]
         counts = np.array([len(pieces or ()) for pieces in split], np.int64)
         number = np.fromiter(map(self.known.__getitem__, chain.from_iterable(p for p in split if p)), np.int64, int(counts.sum()))
         self._learn()
+        self.again[number[number < before]] = True
         bad = np.concatenate([[0], np.cumsum(~self.apart[number])])
         ends = np.cumsum(counts)
         given = (counts == 0) | (bad[ends] > bad[ends - counts])
-        size = self.size[number]
-        ids = self.ids[np.repeat(self.begin[number] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+        ids, size = self._of(number)
         places = np.concatenate([[0], np.cumsum(size)])
         rest = iter(self.whole(list(compress_list(texts, given))))
         return [next(rest) if whole else ids[places[end - n] : places[end]] for whole, n, end in zip(given.tolist(), counts.tolist(), ends.tolist())]
 
 
+def portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in slices of at most ``PORTION`` bytes of text (the second column, without nulls), or of one row."""
+    ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = read = 0
+    while start < batch.num_rows:
+        stop = max(start + 1, int(np.searchsorted(ends, read + PORTION, "right")))
+        yield batch.slice(start, stop - start)
+        start, read = stop, int(ends[stop - 1])
+
+
 _encoders: dict[str, Encoder] = {}
 
 
@@ -164,18 +193,28 @@ def _from_run_start(at: np.ndarray, double: np.ndarray) -> np.ndarray:
     return keep
 
 
+def _often(seq: np.ndarray, top: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of neighbours seen ``least`` times or more, ascending, as ``left << 32 | right``, and their counts."""
+    used = np.flatnonzero(np.bincount(seq, minlength=top))
+    bits, kind = (16, np.uint32) if len(used) <= 1 << 16 else (32, np.uint64)  # half the width sorts in half the time
+    dense = np.zeros(top, kind)
+    dense[used] = np.arange(len(used))
+    symbols = dense[seq]
+    ordered = np.sort(symbols[:-1] << kind(bits) | symbols[1:])
+    starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    counts = np.diff(np.append(starts, len(ordered)))
+    often = counts >= least
+    found = ordered[starts[often]].astype(np.int64)
+    return used[found >> bits] << 32 | used[found & (1 << bits) - 1], counts[often]
+
+
 def compress(ids: np.ndarray, base: int, rounds: int = ROUNDS, pairs: int = PAIRS, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
     """The rules (rows of left, right; rule k makes symbol ``base + k``) and the remaining sequence."""
-    seq, rules, top = ids.astype(np.int64), [], base
+    seq, rules, top = ids.astype(np.int32), [], base
     for _ in range(rounds):
         if len(seq) < 2:
             break
-        keys = seq[:-1] << 32 | seq[1:]
-        ordered = np.sort(keys)
-        starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-        counts = np.diff(np.append(starts, len(ordered)))
-        often = counts >= least
-        found, counts = ordered[starts[often]], counts[often]
+        found, counts = _often(seq, top, least)
         best = np.lexsort((found, -counts))[:pairs]
         found = found[best]
         found = np.sort(found[_disjoint(found >> 32, found & 0xFFFFFFFF, top)])
@@ -296,8 +335,7 @@ def write_store(
 
         for batch in batches:
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(batch.schema[0].type), pa.list_(pa.int64()), pa.binary()]
-            for start in range(0, batch.num_rows, 256):
-                rows = batch.slice(start, 256)
+            for rows in portions(batch):
                 encoded = encoder.encode(rows.column(1).to_pylist())
                 for doc_id, ids in zip(rows.column(0).to_pylist(), encoded):
                     if parts and filled + len(ids) + 1 > block_tokens:

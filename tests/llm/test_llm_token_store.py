@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_rows import ODD_ROWS
@@ -66,3 +67,36 @@ def test_empty_table(spark, docs_of, vocabulary, tmp_path):
     path = str(tmp_path / "store")
     store.write_store(docs_of([]), path, vocabulary, end_id=2, shards=2)
     assert store.read_store(spark, path).count() == 0
+
+
+def test_forgetting_changes_no_ids(vocabulary, library, monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"word{i}" for i in rng.geometric(0.02, 60)) + f" only{n}" for n in range(60)]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    spec = open(vocabulary, encoding="utf-8").read()
+    for room in (1, 40, 150):
+        monkeypatch.setattr(store, "CACHE_PIECES", room)
+        encoder, sizes = store.Encoder(spec), []
+        for at in range(0, 60, 4):
+            assert [x.tolist() for x in encoder.encode(texts[at : at + 4])] == want[at : at + 4]
+            sizes.append(len(encoder.known))
+        assert max(sizes) <= room + 4 * 61 and any(b < a for a, b in zip(sizes, sizes[1:]))
+
+
+def test_portions_are_bounded_and_whole(monkeypatch):
+    monkeypatch.setattr(store, "PORTION", 10)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(["", "abc", "x" * 50, "", "é" * 5, "a", "b"])], ["id", "text"])
+    parts = [p.column(0).to_pylist() for p in store.portions(batch)]
+    assert sum(parts, []) == list(range(7))
+    assert all(len(p) == 1 or sum(len(x.encode()) for x in batch.take(pa.array(p)).column(1).to_pylist()) <= 10 for p in parts)
+    assert list(store.portions(batch.slice(0, 0))) == []
+
+
+def test_rules_do_not_depend_on_the_width_of_keys():
+    rng = np.random.default_rng(3)
+    few = rng.integers(0, 9, 4000)
+    many = np.concatenate([few + 70000, np.arange(70000)])
+    for seq, top in ((few, 9), (many, 70009)):
+        pairs, counts = np.unique(seq[:-1].astype(np.int64) << 32 | seq[1:], return_counts=True)
+        found, n = store._often(seq.astype(np.int32), top, 8)
+        assert np.array_equal(found, pairs[counts >= 8]) and np.array_equal(n, counts[counts >= 8])
