@@ -15,10 +15,14 @@ from pyspark.sql import functions as F
 from tarmac.functions import columns as C
 from tarmac.operators.marts import operated
 from tarmac.schema import BASE_FEATURES, CATEGORICAL_FEATURES, OPTIONAL_FEATURES, TARGET
-from tarmac.session import stored
+from tarmac.session import scratch_path
 
 #: bins of a numeric feature; trees that share a bootstrap draw and are fitted in one pass; passes at the same time
 BINS, GROUP, AT_ONCE = 32, 10, 4
+#: different rows that passes at the same time may hold in memory, at about 450 bytes each, unless one pass alone has more
+ROWS_AT_ONCE = 30_000_000
+#: bytes of stored rows in one task of a fit, which holds some 20 times as many in memory
+TASK_BYTES = 8 << 20
 #: class weights are multiples of this, so that sums over up to 10**11 rows are exact in any order
 WEIGHT_STEP = 2.0**-16
 #: copies of a row up to which each is drawn by itself; beyond, their sum is drawn as a whole
@@ -125,15 +129,15 @@ def _uniform(*parts: Column) -> Column:
 
 
 def _poisson(u: Column) -> Column:
-    """The Poisson count of mean one at the quantile ``u``."""
-    upto, below = 0.0, []
+    """The Poisson count of mean one at the quantile ``u``, which is computed about twice: cases end at the first that holds."""
+    upto, count = 0.0, F
     for k in range(14):
         upto += math.exp(-1) / math.factorial(k)
-        below.append((u >= upto).cast("int"))
-    return sum(below[1:], below[0])
+        count = count.when(u < upto, F.lit(k))
+    return count.otherwise(F.lit(14))
 
 
-def bootstrap_count(row: Column, copies: Column, draw: int, seed: int) -> Column:
+def bootstrap_count(row: Column, copies: Column, draw: int | Column, seed: int) -> Column:
     """How often ``copies`` equal rows with the hash ``row`` are in a bootstrap draw: a Poisson count of that mean.
 
     It depends on the row, the draw and the seed, so not on partitions, files or cores.
@@ -158,21 +162,24 @@ def fit_forest(
     """A class-weighted random forest over assembled rows.
 
     A nominal feature needs a bin per value, so ``maxBins`` follows the encoder. Equal rows (of binned features and target) are counted
-    first, on the map side, and stored. Trees are fitted in groups to these rows, weighted by how often the group's bootstrap draws them
+    first, on the map side, and stored with their counts in all draws, since a fit reads its rows three times. Trees are fitted in groups to these rows, weighted by how often the group's bootstrap draws them
     (``bootstrap_count``); the trees of a group differ by the features they may split on. ``group=1`` gives every tree a draw of its own, at the price of more passes.
-    Memory holds the rows of ``AT_ONCE`` groups. Weights are multiples of a power of two and add up exactly, so the same rows
+    Memory holds the rows of at most ``AT_ONCE`` groups, and of fewer where they have more than ``ROWS_AT_ONCE``. Weights are multiples of a power of two and add up exactly, so the same rows
     and seed give the same forest however the rows are partitioned. One model is made of all trees.
     """
     spark = train.sparkSession
     bins = max(BINS, max(len(labels) for labels in encoder.labelsArray) + 1)
     inputs = model_inputs(features)
+    starts = range(0, n_trees, group)
     rows = train.groupBy(*inputs, TARGET).agg(F.count("*").alias("_copies")).withColumn("_row", F.xxhash64(*inputs, TARGET))
-    rows = stored(rows, "forest-rows")
+    draws = F.transform(F.array(*map(F.lit, starts)), lambda draw: bootstrap_count(F.col("_row"), F.col("_copies"), draw, seed).cast("long"))
+    rows = rows.select(*inputs, TARGET, draws.alias("_draws")).select(*inputs, TARGET, *[F.col("_draws")[i].alias(f"_draw{start}") for i, start in enumerate(starts)])
+    rows = _in_small_tasks(rows, "forest-rows")
+    at_once = max(1, min(AT_ONCE, ROWS_AT_ONCE // max(1, rows.count())))
     # the metadata that tells nominal codes from numbers does not survive storing
     rows = rows.withMetadata(inputs[0], train.schema[inputs[0]].metadata)
     for c in inputs[1:]:
         rows = rows.withMetadata(c, train.schema[c].metadata)
-    rows = VectorAssembler(inputCols=inputs, outputCol="features").transform(rows).select("features", TARGET, "_copies", "_row")
     steps = {c: max(1, round(w / WEIGHT_STEP)) * WEIGHT_STEP for c, w in weights.items()}
 
     def fit_group(start: int) -> RandomForestClassificationModel:
@@ -187,12 +194,25 @@ def fit_forest(
             featureSubsetStrategy="sqrt",
             seed=seed + start,
             maxMemoryInMB=1024,
+            # else every row walks down every tree from its root on each level
+            cacheNodeIds=True,
         )
-        drawn = rows.withColumn("_weight", bootstrap_count(F.col("_row"), F.col("_copies"), start, seed) * weight_column(steps))
-        return forest.fit(drawn.where("_weight > 0").select("features", TARGET, "_weight"))
-
-    with ThreadPoolExecutor(max_workers=AT_ONCE) as pool:
-        return _ensemble(spark, list(pool.map(fit_group, range(0, n_trees, group))))
+        drawn = rows.withColumn("_weight", F.col(f"_draw{start}") * weight_column(steps)).where("_weight > 0")
+        return forest.fit(VectorAssembler(inputCols=inputs, outputCol="features").transform(drawn).select("features", TARGET, "_weight"))
+
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return _ensemble(spark, list(pool.map(fit_group, starts)))
+
+
+def _in_small_tasks(df: DataFrame, name: str) -> DataFrame:
+    """``df`` stored and read back by tasks of ``TASK_BYTES``, for rows that take far more memory than bytes in files."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("parquet.block.size", TASK_BYTES).parquet(path)
+    # settings of a session of its own disturb nobody
+    alone, opening = df.sparkSession.newSession(), "spark.sql.files.openCostInBytes"
+    alone.conf.set("spark.sql.files.maxPartitionBytes", TASK_BYTES)
+    alone.conf.set(opening, df.sparkSession.conf.get(opening))
+    return alone.read.schema(df.schema).parquet(path)
 
 
 def _ensemble(spark: SparkSession, models: list[RandomForestClassificationModel]) -> RandomForestClassificationModel:

@@ -77,3 +77,30 @@ def test_a_saved_forest_is_the_same(rows, tmp_path):
     model.save(str(tmp_path / "forest"))
     again = RandomForestClassificationModel.load(str(tmp_path / "forest"))
     assert [t.toDebugString.split("\n", 1)[1] for t in again.trees] == [t.toDebugString.split("\n", 1)[1] for t in model.trees]
+
+
+def test_counts_of_a_draw_are_the_steps_of_the_distribution(spark):
+    upto = [sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) for k in range(14)]
+    given = [0.0, 0.2, 0.37, 0.5, 0.9, 0.99, 0.9999, 1 - 2**-53]
+    found = spark.createDataFrame([(u,) for u in given], "u double").select(training._poisson(F.col("u"))).collect()
+    assert [row[0] for row in found] == [sum(u >= x for x in upto) for u in given]
+
+
+@pytest.mark.parametrize("most", [1, training.ROWS_AT_ONCE])
+def test_many_rows_are_fitted_one_group_at_a_time(rows, monkeypatch, most):
+    running, seen = [], []
+
+    class Watched(training.RandomForestClassifier):
+        def fit(self, dataset):
+            running.append(self)
+            seen.append((len(running), sorted(dataset.columns), self.getCacheNodeIds()))
+            try:
+                return super().fit(dataset)
+            finally:
+                running.remove(self)
+
+    monkeypatch.setattr(training, "RandomForestClassifier", Watched)
+    monkeypatch.setattr(training, "ROWS_AT_ONCE", most)
+    model, _ = fitted(rows, n_trees=3, group=1)
+    assert len(model.trees) == 3 and len(seen) == 3 and all(cached for _, _, cached in seen)
+    assert (max(n for n, _, _ in seen) == 1) == (most == 1)
