@@ -147,3 +147,10 @@ def test_copies_without_article_keep_their_text(spark, partitions):
     assert found[20] == "Own text 2" and found[40] == "Shared top line"
     assert found[50] == found[51] == "Shared top line\nOwn text 3\nShared bottom"
     assert all(found[i] in ("Own text 2", "Own text 2\nShared bottom") for i in range(20, 26))
+
+
+@pytest.mark.parametrize("texts", [[], ["a"], ["one line", "ü " * 900, "𝒳", "one line"]])
+def test_blocks_travel_compressed(texts):
+    data = ht._packed(texts)
+    assert ht._unpacked(data, bytes([ht.OPEN] * len(texts))) == texts and len(data) < 200
+    assert not any("\n" in t for t in ht.blocks("<article><pre>a\n\nb\r\nc</pre><p>d&#10;e f\x85g</article>")[0])
