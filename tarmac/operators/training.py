@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tarmac.functions import columns as C
 from tarmac.operators.marts import operated
 from tarmac.schema import BASE_FEATURES, CATEGORICAL_FEATURES, OPTIONAL_FEATURES, TARGET
-from tarmac.session import scratch_path
+from tarmac.session import scratch_path, session_beside
 
 #: bins of a numeric feature; trees that share a bootstrap draw and are fitted in one pass; passes at the same time
 BINS, GROUP, AT_ONCE = 32, 10, 4
@@ -208,11 +208,8 @@ def _in_small_tasks(df: DataFrame, name: str) -> DataFrame:
     """``df`` stored and read back by tasks of ``TASK_BYTES``, for rows that take far more memory than bytes in files."""
     path = scratch_path(df.sparkSession, name)
     df.write.option("parquet.block.size", TASK_BYTES).parquet(path)
-    # settings of a session of its own disturb nobody
-    alone, opening = df.sparkSession.newSession(), "spark.sql.files.openCostInBytes"
-    alone.conf.set("spark.sql.files.maxPartitionBytes", TASK_BYTES)
-    alone.conf.set(opening, df.sparkSession.conf.get(opening))
-    return alone.read.schema(df.schema).parquet(path)
+    reading = session_beside(df.sparkSession, **{"spark.sql.files.maxPartitionBytes": str(TASK_BYTES)})
+    return reading.read.schema(df.schema).parquet(path)
 
 
 def _ensemble(spark: SparkSession, models: list[RandomForestClassificationModel]) -> RandomForestClassificationModel:

@@ -92,3 +92,10 @@ def test_frames_are_appended_by_name(spark):
     rows = clean.union_by_name([a, b, c]).orderBy("n").collect()
     assert [(r.n, r.s) for r in rows] == [(1, "x"), (2, "y"), (3, None)]
     assert clean.union_by_name([a, b]).where(F.col("s") == "y").first().n == 2
+
+
+def test_plain_numbers_skip_the_pattern_without_changing_its_verdict(spark):
+    texts = ["1", "-1.50", "+.5", "1.", ".", "+", "1.2.3", "1-2", "--1", "+-1", " 7 ", "\x017", "1e2", "5d", "0x1p3", "inf", "\u0665"]
+    found = spark.createDataFrame([(t,) for t in texts], "distance string")
+    plain = found.selectExpr(f"ltrim('{clean.PLAIN}', distance) = '' AS plain", f"distance RLIKE '{clean.NUMBER}' AS number", f"{clean._parsed('distance')} AS parsed").collect()
+    assert [r.parsed is not None for r in plain] == [r.number for r in plain] and sum(r.plain for r in plain) == 10

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from flight_rows import month_rows, raw_row, write_report
+from flight_rows import make_flights, month_rows, raw_row, write_report
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -11,6 +11,7 @@ from tarmac.plans import pipeline
 from tarmac.plans import ingest as load
 from tarmac.plans.ingest import ingest
 from tarmac.schema import FLIGHTS_SCHEMA, RAW_TO_CLEAN
+from tarmac.session import OPEN_FILES, writing_session
 from tarmac.sources import reports as R
 
 JAN, FEB, MAR = (2025, 1), (2025, 2), (2025, 3)
@@ -343,3 +344,28 @@ def test_newest_log_row_wins(spark):
     todo = spark.createDataFrame([("a",), ("b",), ("c",)], "file_name string")
     assert {r.file_name for r in ledger.pending(todo, ledger.current_ledger(log)).collect()} == {"a", "c"}
     assert {r.file_name for r in ledger.already_loaded(todo, ledger.current_ledger(log)).collect()} == {"b"}
+
+
+def test_appended_rows_are_brought_together_by_month(warehouse, spark, tmp_path):
+    rows = [{"month": m, "flight_number": i, "source_file": f"2025_{m:02d}_Report.csv"} for i in range(40) for m in (1, 2, 3)]
+    warehouse.append_flights(make_flights(spark, rows).repartition(8))
+    assert len(list((tmp_path / "warehouse").glob("loads/**/*.parquet"))) == 3 and per_month(warehouse) == {(2025, m): 40 for m in (1, 2, 3)}
+
+
+def test_reports_are_written_without_sorting_them_by_month(warehouse, landing, spark):
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    beside = writing_session(spark)
+    assert beside.conf.get(key) == str(OPEN_FILES) and spark.conf.get(key) == before
+    assert beside.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+    # one file whose rows alternate between months
+    rows = [raw_row(_month=1 + i % 12, OP_CARRIER_FL_NUM=str(i)) for i in range(96)]
+    write_report(landing, 2025, 6, rows)
+    assert statuses(ingest(warehouse, landing, JAN, (2025, 12)))["2025_06_Report.csv"] == ("success", 96)
+    assert per_month(warehouse) == {(2025, m): 8 for m in range(1, 13)}
+
+
+def test_parts_in_folders_keep_their_report(warehouse, landing):
+    for part, n in (("a", 2), ("b", 3)):
+        write_report(f"{landing}/x_Report.csv_old/2025_01_Report.csv/{part}", 2025, 1, month_rows(n), name="part.csv")
+    assert statuses(ingest(warehouse, landing, JAN, JAN)) == {"2025_01_Report.csv": ("success", 5)}
