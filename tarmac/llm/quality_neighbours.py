@@ -93,22 +93,37 @@ def terms(raw: bytes) -> np.ndarray:
     return out
 
 
-def weighted(x: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """Rows of term weights times inverse document frequency, each kind of term at length one."""
-    x = x * idf
+def packed(x: np.ndarray) -> bytes:
+    """A text's term weights without the zeros, which are most of them."""
+    has = np.flatnonzero(x).astype(np.uint16)
+    return has.tobytes() + x[has].tobytes()
+
+
+def unpacked(cells: pd.Series) -> np.ndarray:
+    """Rows of term weights."""
+    out = np.zeros((len(cells), DIM), np.float32)
+    for row, cell in zip(out, cells):
+        n = len(cell) // 6
+        row[np.frombuffer(cell, np.uint16, n)] = np.frombuffer(cell[2 * n :], np.float32)
+    return out
+
+
+def weighted(x: np.ndarray, idf: np.ndarray, into: np.ndarray | None = None) -> np.ndarray:
+    """Rows of term weights times inverse document frequency, each kind of term at length one; in place of ``x`` if that is ``into``."""
+    x = np.multiply(x, idf, out=into)
     for part in (slice(WORDS), slice(WORDS, WORDS + SHAPES), slice(WORDS + SHAPES, DIM)):
         x[:, part] /= np.maximum(np.linalg.norm(x[:, part], axis=1, keepdims=True), 1e-12)
     return x
 
 
 class Model:
-    """Document frequencies, latent space, and labelled vectors in it."""
+    """Document frequencies, latent space, and labelled vectors in it; ``x`` is overwritten, as it is the largest of what one task holds."""
 
     def __init__(self, idf: np.ndarray, x: np.ndarray, labels: np.ndarray, votes: np.ndarray | None = None):
         self.idf, self.labels = idf, labels.astype(np.float32)
         self.votes = np.ones(len(labels)) if votes is None else votes
         self.prior = float((labels * self.votes).sum() / self.votes.sum()) if len(labels) else 0.5
-        x = weighted(x, idf)
+        x = weighted(x, idf, into=x)
         # right singular vectors by way of the smaller square matrix
         values, left = np.linalg.eigh((x @ x.T).astype(float))
         strong = np.argsort(-values)[:LATENT]
@@ -185,14 +200,14 @@ def train(
 
     def vector(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [terms(cell.as_py()).tobytes() for cell in batch.column(1).cast(pa.binary())]
+            x = [packed(terms(cell.as_py())) for cell in batch.column(1).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(x, pa.binary())], names=["key", "label", "x"])
 
     picked = usable.select("key", "text").join(wanted, "key").select("key", "text", "label").mapInArrow(vector, "key bigint, label double, x binary").dropDuplicates(["key"])
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("key")
-        x = np.stack([np.frombuffer(cell, np.float32) for cell in rows["x"]])
+        x = unpacked(rows["x"])
         return pd.DataFrame({"model": [pickle.dumps(Model(idf, x, y := rows["label"].to_numpy(), np.array([votes[v >= 0.5] for v in y])))]})
 
     fitted = picked.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(fit, "model binary").first()

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from llm_rows import ODD_ROWS
 from pyspark.sql import functions as F
@@ -100,3 +101,16 @@ def test_long_texts_in_pieces_count_alike(monkeypatch):
     for piece in (1, 2, 7, 100):
         monkeypatch.setattr(Q, "PIECE", piece)
         assert (Q._shapes(raw) == whole).all()
+
+
+def test_term_weights_travel_without_zeros():
+    given = [Q.terms(t.encode()) for t in [*GOOD, *BAD, "", "one"]]
+    cells = [Q.packed(x) for x in given]
+    assert (Q.unpacked(pd.Series(cells)) == np.stack(given)).all() and max(map(len, cells)) < Q.DIM
+
+
+def test_a_fit_holds_its_vectors_once():
+    x = np.stack([Q.terms(t.encode()) for t in [*GOOD, *BAD]])
+    want = Q.weighted(x.copy(), idf := np.linspace(1, 2, Q.DIM, dtype=np.float32))
+    Q.Model(idf, x, np.arange(len(x)) % 2)
+    assert (x == want).all()
