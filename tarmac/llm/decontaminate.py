@@ -39,8 +39,8 @@ from tarmac.session import stored
 WINDOW, PORTION_WORDS = 13, 1 << 20
 #: a document is contaminated if hit words are at least this share (as a fraction) of its words
 COVERAGE = (1, 20)
-#: states whose items a task remembers
-CACHE_STATES = 4096
+#: states whose items a task remembers, rows matched at once
+CACHE_STATES, ROWS = 4096, 1024
 
 _KEPT = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
@@ -229,22 +229,26 @@ def _portions(items: DataFrame, id_col: str, text_col: str, window: int, portion
 
 def matched(
     docs: DataFrame, items: DataFrame, item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, portion_words: int = PORTION_WORDS,
+    cut_below: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """``docs``, of which ``text`` is a string, with ``n_words``, ``spans`` (merged hit spans, as start, stop, start, ...) and ``items``."""
+    """``docs``, of which ``text`` is a string, with ``n_words``, ``spans`` (merged hit spans, as start, stop, start, ...) and ``items``.
+
+    With a coverage ``cut_below`` the pass of the last portion also drops contaminated rows and cuts the spans out of the others' texts.
+    """
     frame = docs.withColumns({"n_words": F.lit(0).cast("long"), "spans": F.array().cast("array<bigint>"), "items": F.array().cast("array<string>")})
     for packed, last in _portions(items, item_id, item_text, window, portion_words):
-        frame = _pass(frame, docs.sparkSession.sparkContext.broadcast(packed))
+        frame = _pass(frame, docs.sparkSession.sparkContext.broadcast(packed), cut_below if last else None)
         if not last:
             frame = stored(frame, "decontamination")
     return frame
 
 
-def _pass(frame: DataFrame, shared) -> DataFrame:
-    """Adds the hits of one portion to those of earlier ones."""
+def _pass(frame: DataFrame, shared, cut_below: tuple[int, int] | None) -> DataFrame:
+    """Adds the hits of one portion to those of earlier ones; with a coverage, drops and cuts by them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton, cache = _automaton(shared.value)
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             names = batch.schema.names
             sizes, spans, items = [], [], []
             text, *before = (batch.column(names.index(c)) for c in ("text", "spans", "items"))
@@ -255,11 +259,23 @@ def _pass(frame: DataFrame, shared) -> DataFrame:
                 spans.append(merged(old_spans, found))
                 items.append(sorted({*old_items, *(automaton.names[i] for i in hit)} - {None}))
             new = [pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-3], *new], names=names)
+            done = pa.RecordBatch.from_arrays([*batch.columns[:-3], *new], names=names)
+            if cut_below and any(spans):
+                at = names.index("text")
+                kept = [not _covered(n, s, cut_below) for n, s in zip(sizes, spans)]
+                rest = [cell.as_py() if not (keep and s) else cut(cell.as_py(), s) for cell, s, keep in zip(text, spans, kept)]
+                done = done.set_column(at, "text", pa.array(rest, text.type)).filter(pa.array(kept, pa.bool_()))
+            yield done
 
     return frame.mapInArrow(run, frame.schema)
 
 
+def _covered(n_words: int, spans: list[int], coverage: tuple[int, int]) -> bool:
+    """Whether a document of hit spans is contaminated, as in ``_measured``."""
+    n_hit = sum(spans[1::2]) - sum(spans[::2])
+    return n_hit > 0 and n_hit * coverage[1] >= n_words * coverage[0]
+
+
 def merged(old: list[int], found: list[tuple[int, int]]) -> list[int]:
     """Spans of two sorted lists, overlapping ones united, flat."""
     if not old or not found:
@@ -312,17 +328,11 @@ def decontaminate(
     window: int = WINDOW, coverage: tuple[int, int] = COVERAGE, cut_spans: bool = True, portion_words: int = PORTION_WORDS,
 ) -> DataFrame:
     """``docs`` without contaminated rows; hits below the coverage limit are cut out of the others if ``cut_spans``."""
-    frame = wrapped(docs, text=text_of(text_col))
-    found = _measured(matched(frame, items, item_id, item_text, window, portion_words), coverage).where("not contaminated")
     if not cut_spans:
-        return found.select("doc.*")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, spans = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            new = pa.array([t if t is None else cut(t, s) for t, s in zip(texts, spans)], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), new, batch.column(2)], names=["doc", "text", "spans"])
-
-    found = found.select("doc", "text", "spans")
-    done = found.mapInArrow(run, found.schema)
+        frame = wrapped(docs, text=text_of(text_col))
+        return _measured(matched(frame, items, item_id, item_text, window, portion_words), coverage).where("not contaminated").select("doc.*")
+    # the text that comes back is the cut one, so a row carries no other
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col] or [F.lit(0).alias("none")]
+    frame = docs.select(F.struct(*others).alias("doc"), text_of(text_col).alias("text"))
+    done = matched(frame, items, item_id, item_text, window, portion_words, cut_below=coverage)
     return done.select(*[F.col("text").alias(c) if c == text_col else F.col(f"doc.`{c}`") for c in docs.columns])

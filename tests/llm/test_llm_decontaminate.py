@@ -83,3 +83,18 @@ def test_empty_tables(spark, docs_of):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert {r["n_hit"] for r in dec.report(docs_of(ODD_ROWS), none).collect()} == {0}
     assert dec.report(docs_of([]), spark.createDataFrame([(1, "a b c")], "item_id bigint, text string")).count() == 0
+
+
+@pytest.mark.parametrize("portion_words", [dec.PORTION_WORDS, 20])
+def test_decontamination_is_one_pass_per_portion(spark, docs_of, portion_words):
+    docs, items = table()
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    frame = docs_of(docs)
+    done = dec.decontaminate(frame, bench, portion_words=portion_words)
+    # a second Python worker per task, and a second copy of every text, took too much of an executor's memory
+    assert done._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    judged = [(r["doc_id"], t, r["contaminated"], [x for s in r["spans"] for x in (s["start"], s["stop"])])
+              for r, (_, t) in zip(dec.report(frame.coalesce(1), bench, portion_words=portion_words).collect(), docs)]
+    want = [(i, t if t is None else dec.cut(t, spans)) for i, t, contaminated, spans in judged if not contaminated]
+    key = lambda r: str(r)
+    assert sorted(((r["doc_id"], r["text"]) for r in done.collect()), key=key) == sorted(want, key=key)
