@@ -9,7 +9,8 @@ they have; every word has its own count, so no word gets the probability of anot
 1. Counts of all words over all documents, summed within tasks before they are shuffled. Buckets in order
    of frequency are cut into classes of equal mass. A word that the corpus lacks shares half a count with all such words of its bucket.
 2. Training: all different texts (``SHARE`` = 1; a larger one trains on those whose hash falls in one of so many parts). They are dealt by
-   hash to trainers of about ``TRAINER_BYTES`` each; every trainer starts a round from the common weights, and the results are averaged in
+   hash to trainers of about ``TRAINER_BYTES`` each, and taken apart once, into the counts and the buckets that all rounds read. Every trainer starts a
+   round from the common weights, and the results are averaged in
    groups of ``AVERAGED`` until one is left. Weights depend neither on the number of cores nor on the order of rows.
 3. Scoring: one pass over all documents, in pieces of bounded size, so a long text needs no more memory. Counts of
    the most frequent words, ``FREQUENT`` at most, are broadcast. Where the corpus has more, the other words of each document, none of which
@@ -22,10 +23,10 @@ training, but as often as they occur in the counts. Without any training text th
 from __future__ import annotations
 
 import pickle
-from collections import Counter
-from collections.abc import Callable, Iterator
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterable, Iterator
 from hashlib import md5
-from itertools import repeat
+from itertools import chain, count, islice
 from zlib import crc32
 
 import numpy as np
@@ -56,6 +57,46 @@ def _buckets(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(crc32, words), np.int64, len(words)) & (BUCKETS - 1)
 
 
+class Words:
+    """Numbers words as they come, after some that it starts with, and knows each one's bucket; ``COUNTED`` more words make it ``full``."""
+
+    def __init__(self, start: Iterable[bytes] = ()):
+        self.known: defaultdict[bytes, int] = defaultdict(None, zip(start, count()))
+        self.known.default_factory = self.known.__len__
+        self.buckets = _buckets(list(self.known))
+        self.room = len(self.known) + COUNTED
+
+    def numbers(self, docs: list[list[bytes]]) -> tuple[np.ndarray, list[bytes]]:
+        """The numbers of all words, one document after the other, and the words that are new."""
+        words = np.fromiter(map(self.known.__getitem__, chain.from_iterable(docs)), np.int64, sum(map(len, docs)))
+        new = list(islice(reversed(self.known), len(self.known) - len(self.buckets)))[::-1]
+        self.buckets = np.concatenate([self.buckets, _buckets(new)])
+        return words, new
+
+    def full(self) -> bool:
+        return len(self.known) >= self.room
+
+
+class Tally(Words):
+    """Counts the words too."""
+
+    def __init__(self):
+        super().__init__()
+        self.n = np.zeros(0, np.int64)
+
+    def add(self, docs: list[list[bytes]], copies: list[int]) -> np.ndarray:
+        """Counts every document so many times; the buckets of all words."""
+        words, new = self.numbers(docs)
+        self.n = np.concatenate([self.n, np.zeros(len(new), np.int64)])
+        often = None if set(copies) <= {1} else np.repeat(copies, list(map(len, docs)))
+        self.n += np.bincount(words, often, len(self.n)).astype(np.int64)
+        return self.buckets[words]
+
+    def columns(self) -> list[pa.Array]:
+        """Keys, buckets and counts of the words."""
+        return [pa.array(map(_key, self.known), pa.binary()), pa.array(self.buckets), pa.array(self.n)]
+
+
 def _key(word: bytes) -> bytes:
     """The word itself, or its digest if it is long; 0xff occurs in no text."""
     return word if len(word) <= KEY_BYTES else b"\xff" + md5(word).digest()
@@ -99,84 +140,156 @@ class Network:
     def _around(self, ids: np.ndarray, places: np.ndarray) -> np.ndarray:
         return np.stack([ids[places + k] for k in (*range(-SIDE, 0), *range(1, SIDE + 1))], 1)
 
+    def _output(self) -> tuple[np.ndarray, bool]:
+        """Output weights with the bias as the last row, and whether no logit can come near the limits of ``exp``, as |hidden| < 1."""
+        joint = np.concatenate([self.weights["out"], self.weights["bias"][None]])
+        return joint, _bounded(joint)
+
     def log_probabilities(self, ids: np.ndarray, places: np.ndarray) -> np.ndarray:
         w = self.weights
-        scaled = [w["embed"] * scale for scale in w["scale"]]
+        joint, bounded = self._output()
         found = np.empty(len(places))
-        wide = np.empty((min(PIECE, len(places)), CLASSES), np.float32)
+        most = min(PIECE, len(places))
+        wide, near, hidden = np.empty((most, CLASSES), np.float32), np.empty((most, 2 * SIDE, WIDTH), np.float32), np.ones((most, WIDTH + 1), np.float32)
+        every, rows = np.ones(CLASSES, np.float32), np.arange(most)
         for at in range(0, len(places), PIECE):
             some = places[at : at + PIECE]
-            hidden = w["hidden"] + sum(table[column] for table, column in zip(scaled, self._around(ids, some).T))
-            logits = np.matmul(np.tanh(hidden), w["out"], out=wide[: len(some)])
-            logits += w["bias"]
-            logits -= logits.max()
+            n = len(some)
+            seen = np.take(w["embed"], self._around(ids, some), 0, out=near[:n], mode="clip")
+            np.tanh(np.einsum("nkw,kw->nw", seen, w["scale"]) + w["hidden"], out=hidden[:n, :WIDTH])
+            logits = np.matmul(hidden[:n], joint, out=wide[:n])
+            if not bounded:
+                logits -= logits.max(1, keepdims=True)
             own = ids[some]
-            right = logits[np.arange(len(some)), self.class_of[own]]
-            found[at : at + PIECE] = right - np.log(np.exp(logits, out=logits).sum(1) + 1e-30) + self.inside[own]
+            right = logits[rows[:n], self.class_of[own]]
+            found[at : at + PIECE] = right - np.log(np.exp(logits, out=logits) @ every) + self.inside[own]
         return found
 
     def train(self, docs: list[np.ndarray], seed: int, batch: int = BATCH) -> int:
         """One pass of AdaGrad over all tokens in shuffled batches; returns their number."""
         ids, places = joined(docs)
         np.random.default_rng(seed).shuffle(places)
+        # 16 bits hold all ids, and numpy sorts those by radix
+        windows = np.lib.stride_tricks.sliding_window_view(ids.astype(np.uint16), 2 * SIDE + 1)[places - SIDE]
+        arounds, classes = np.delete(windows, SIDE, 1), self.class_of[windows[:, SIDE]]
         w = self.weights
-        memory = {k: np.full(v.shape if k != "embed" else (len(v), 1), 0.1, np.float32) for k, v in w.items()}
+        w["joint"] = self._output()[0]
+        memory = {k: np.full(v.shape if k != "embed" else len(v), 0.1, np.float32) for k, v in w.items()}
         # memory that all batches share
         wide, near, moved = (np.empty((batch, *shape), np.float32) for shape in ((CLASSES,), (2 * SIDE, WIDTH), (2 * SIDE, WIDTH)))
+        inner, every, rows = np.ones((batch, WIDTH + 1), np.float32), np.ones(CLASSES, np.float32), np.arange(batch)
         for at in range(0, len(places), batch):
-            some = places[at : at + batch]
-            n = len(some)
-            around = self._around(ids, some)
+            around = arounds[at : at + batch]
+            n = len(around)
             seen = np.take(w["embed"], around, 0, out=near[:n], mode="clip")
-            hidden = np.tanh(np.einsum("nkw,kw->nw", seen, w["scale"]) + w["hidden"])
-            slope = np.matmul(hidden, w["out"], out=wide[:n])
-            slope += w["bias"]
-            slope -= slope.max(1, keepdims=True)
+            hidden = np.tanh(np.einsum("nkw,kw->nw", seen, w["scale"]) + w["hidden"], out=inner[:n, :WIDTH])
+            slope = np.matmul(inner[:n], w["joint"], out=wide[:n])
+            if not _bounded(w["joint"]):
+                slope -= slope.max(1, keepdims=True)
             np.exp(slope, out=slope)
-            slope /= slope.sum(1, keepdims=True)
-            slope[np.arange(n), self.class_of[ids[some]]] -= 1
-            back = (slope @ w["out"].T) * (1 - hidden * hidden)
-            grads = {"out": hidden.T @ slope / n, "bias": slope.mean(0), "hidden": back.mean(0), "scale": np.einsum("nkw,nw->kw", seen, back) / n}
+            # probabilities times their sum; the small factors beside them are divided by it instead
+            total = (slope @ every)[:, None]
+            slope[rows[:n], classes[at : at + batch]] -= total[:, 0]
+            back = (slope @ w["joint"][:WIDTH].T) * ((1 - hidden * hidden) / total)
+            grads = {"joint": (inner[:n] / (total * n)).T @ slope, "hidden": inner[:n, WIDTH] @ back / n, "scale": np.einsum("nkw,nw->kw", seen, back) / n}
+            np.multiply(back[:, None], w["scale"], out=moved[:n])
             for name, grad in grads.items():
                 memory[name] += grad * grad
                 w[name] -= STEP * grad / np.sqrt(memory[name])
-            # 16 bits hold all ids, and numpy sorts those by radix
-            order = np.argsort(around.ravel().astype(np.uint16), kind="stable")
-            sorted_ids = around.ravel()[order]
-            starts = np.flatnonzero(np.concatenate(([True], sorted_ids[1:] != sorted_ids[:-1])))
-            to = sorted_ids[starts]
-            np.multiply(back[:, None], w["scale"], out=moved[:n])
-            sums = np.add.reduceat(np.take(moved[:n].reshape(-1, WIDTH), order, 0, out=near[:n].reshape(-1, WIDTH), mode="clip"), starts)
-            real = to < BUCKETS
-            to, sums = to[real], sums[real]
-            memory["embed"][to] += (sums * sums).mean(1, keepdims=True)
-            w["embed"][to] -= STEP * sums / np.sqrt(memory["embed"][to])
+            to, sums = _summed(around.ravel(), moved[:n].reshape(-1, WIDTH), near[:n].reshape(-1, WIDTH))
+            kept = memory["embed"][to] + np.einsum("nw,nw->n", sums, sums) / np.float32(WIDTH)
+            memory["embed"][to] = kept
+            sums *= (np.float32(STEP) / np.sqrt(kept))[:, None]
+            w["embed"][to] = np.subtract(np.take(w["embed"], to, 0), sums, out=sums)
+        joint = w.pop("joint")
+        w["out"], w["bias"] = joint[:WIDTH].copy(), joint[WIDTH].copy()
         return len(places)
 
 
+def _bounded(joint: np.ndarray) -> bool:
+    return bool(np.abs(joint).sum(0).max() < 60)
+
+
+def _summed(ids: np.ndarray, rows: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids other than pads, each once, and the sums of their rows; ``room`` is as large as ``rows``."""
+    order = np.argsort(ids, kind="stable")
+    ordered = ids[order]
+    first = np.concatenate(([True], ordered[1:] != ordered[:-1]))
+    # rows of ids that occur once are their own sums
+    once = first & np.append(first[1:], True)
+    again, alone = np.flatnonzero(~once & (ordered < BUCKETS)), np.flatnonzero(once & (ordered < BUCKETS))
+    starts = np.flatnonzero(first[again])
+    sorted_rows = np.take(rows, order[np.concatenate([again, alone])], 0, out=room[: len(again) + len(alone)], mode="clip")
+    sums = sorted_rows[len(again) :]
+    if len(again):
+        # two floats make a complex number, which halves the number of columns
+        sums = np.concatenate([np.add.reduceat(sorted_rows[: len(again)].view(np.complex64), starts).view(np.float32), sums])
+    return np.concatenate([ordered[again[starts]], ordered[alone]]), sums
+
+
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``word`` (its key), ``bucket`` and ``n``: how often each word occurs in all documents."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = Tally()
+        for batch in batches:
+            texts = batch.column(0).cast(pa.binary())
+            for at in range(0, batch.num_rows, 64):
+                docs = [words_of(cell.as_py()) for cell in texts.slice(at, 64)]
+                tally.add(docs, [1] * len(docs))
+                if tally.full():
+                    yield pa.RecordBatch.from_arrays(tally.columns(), ["word", "bucket", "n"])
+                    tally = Tally()
+        yield pa.RecordBatch.from_arrays(tally.columns(), ["word", "bucket", "n"])
 
-        def out() -> pa.RecordBatch:
-            words, n = list(seen), list(seen.values())
-            seen.clear()
-            columns = [pa.array(map(_key, words), pa.binary()), pa.array(_buckets(words)), pa.array(n, pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, ["word", "bucket", "n"])
+    parts = docs.select(F.col(text_col).cast("string")).mapInArrow(counted, "word binary, bucket bigint, n bigint")
+    return _added(parts)
 
-        for batch in batches:
-            for cell in batch.column(0).cast(pa.binary()):
-                seen.update(words_of(cell.as_py()))
-                if len(seen) >= COUNTED:
-                    yield out()
-        yield out()
 
-    parts = docs.select(F.col(text_col).cast("string")).mapInArrow(count, "word binary, bucket bigint, n bigint")
+def _added(parts: DataFrame) -> DataFrame:
     return parts.groupBy("word", "bucket").agg(F.sum("n").alias("n"))
 
 
+def taken_apart(texts: DataFrame) -> DataFrame:
+    """Of different texts with ``trainer``, ``learn`` and ``copies``: a row of ``ids`` (buckets, pads between texts) per trainer, and rows of ``word_counts``.
+
+    The texts of a trainer lie together, in their order; ids are those of texts to ``learn`` from.
+    """
+    names = ["trainer", "ids", "word", "bucket", "n"]
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+
+    def row(columns: dict[int, pa.Array]) -> pa.RecordBatch:
+        n = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_arrays([columns[i] if i in columns else pa.nulls(n, kind) for i, kind in enumerate(kinds)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pad = np.full(SIDE, BUCKETS, "<u2")
+        tally, now, ids = Tally(), None, []
+        for batch in batches:
+            cells = batch.column(3).cast(pa.binary())
+            for at in range(0, batch.num_rows, 64):
+                trainers, learn, copies = (batch.column(i).slice(at, 64).to_pylist() for i in range(3))
+                docs = [words_of(cell.as_py()) for cell in cells.slice(at, 64)]
+                buckets = tally.add(docs, copies).astype("<u2")
+                end = 0
+                for trainer, learned, words in zip(trainers, learn, docs):
+                    if ids and trainer != now:
+                        yield row({0: pa.array([now], pa.int64()), 1: pa.array([np.concatenate(ids).tobytes()], pa.binary())})
+                        ids = []
+                    now, end = trainer, end + len(words)
+                    if learned:
+                        ids += [buckets[end - len(words) : end], pad]
+                if tally.full():
+                    yield row(dict(zip((2, 3, 4), tally.columns())))
+                    tally = Tally()
+        if ids:
+            yield row({0: pa.array([now], pa.int64()), 1: pa.array([np.concatenate(ids).tobytes()], pa.binary())})
+        yield row(dict(zip((2, 3, 4), tally.columns())))
+
+    ordered = texts.repartition("trainer").sortWithinPartitions("trainer", "text").select("trainer", "learn", "copies", "text")
+    return ordered.mapInArrow(run, "trainer bigint, ids binary, word binary, bucket bigint, n bigint")
+
+
 def _by_bucket(words: DataFrame) -> np.ndarray:
     counts = np.zeros(BUCKETS, np.int64)
     for bucket, n in words.groupBy("bucket").agg(F.sum("n")).collect():
@@ -210,17 +323,24 @@ def frequent_words(words: DataFrame, most: int) -> tuple[dict[bytes, float], boo
 
 def fit(docs: DataFrame, text_col: str = "text", share: int = SHARE, rounds: int = ROUNDS, trainer_bytes: int = TRAINER_BYTES, batch: int = BATCH) -> Network:
     """A network trained on one of ``share`` different texts, with the counts of all documents."""
-    words = stored(word_counts(docs, text_col), "lm-words")
+    text = F.col(text_col).cast("string").alias("text")
+    learn = F.pmod(F.xxhash64("text", F.lit("share")), F.lit(share)) == 0
+    given = docs.select(text).where("text is not null")
+    # texts are told apart by two hashes here: this is their size alone, and texts themselves needn't be stored for it
+    marks = given.where(learn).select(F.xxhash64("text"), F.hash("text"), F.octet_length("text").alias("size")).distinct()
+    size = marks.agg(F.sum("size")).first()[0] or 0
+    trainers = max(1, -(-size // trainer_bytes))
+    texts = given.groupBy("text").agg(F.count("*").alias("copies")).withColumn("learn", learn)
+    dealt = texts.withColumn("trainer", F.pmod(F.xxhash64("text", F.lit("trainer")), F.lit(trainers)))
+    apart = stored(taken_apart(dealt), "lm-apart")
+    words = stored(_added(apart.where("word is not null").select("word", "bucket", "n")), "lm-words")
     network = Network(_by_bucket(words))
     network.words = words
-    text = F.col(text_col).cast("string").alias("text")
-    chosen = docs.select(text).where(F.col("text").isNotNull() & (F.pmod(F.xxhash64("text", F.lit("share")), F.lit(share)) == 0)).distinct()
-    chosen = stored(chosen, "lm-texts")
-    size = chosen.agg(F.sum(F.octet_length("text"))).first()[0]
     if not size:
         return network
-    trainers = -(-size // trainer_bytes)
-    dealt = chosen.withColumn("trainer", F.pmod(F.xxhash64("text", F.lit("trainer")), F.lit(trainers)))
+    # a number of partitions of their own, as the work is far more than the bytes tell
+    parts = min(trainers, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = apart.where("ids is not null").select("trainer", "ids").repartition(parts, "trainer")
     for round_ in range(rounds):
         shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(network))
 
@@ -239,7 +359,7 @@ def trainer(shared, round_: int, batch: int) -> Callable[[pd.DataFrame], pd.Data
     def work(texts: pd.DataFrame) -> pd.DataFrame:
         own: Network = pickle.loads(shared.value)
         number = int(texts["trainer"].iloc[0])
-        tokens = own.train([token_ids(t.encode()) for t in sorted(texts["text"])], seed=1000 * number + round_, batch=batch)
+        tokens = own.train([np.frombuffer(ids, "<u2") for ids in texts["ids"]], seed=1000 * number + round_, batch=batch)
         return pd.DataFrame({"trainer": [number], "tokens": [tokens], "weights": [pickle.dumps(own.weights)]})
 
     return work
@@ -266,29 +386,30 @@ def score(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network, table = state.get("network") or state.setdefault("network", pickle.loads(shared.value))
+        frequent = np.fromiter(table.values(), np.float64, len(table))
+        known, counts = Words(table), frequent
         for batch in batches:
             sizes, sums, rare, times = [], [], [], []
             texts = batch.column(2).cast(pa.binary())
             for at in range(0, batch.num_rows, 64):
+                if known.full():
+                    known, counts = Words(table), frequent
                 words = [words_of(cell.as_py()) for cell in texts.slice(at, 64)]
-                ids, places = joined([_buckets(w) for w in words])
+                number, new = known.numbers(words)
+                counts = np.concatenate([counts, np.fromiter((table.get(_key(w), np.nan) if len(w) > KEY_BYTES else np.nan for w in new), np.float64, len(new))])
+                cuts = np.cumsum([len(w) for w in words])
+                ids, places = joined(np.split(known.buckets[number], cuts[:-1]))
                 logs = network.log_probabilities(ids, places)
                 # a word's share of its bucket, or the share of all words that the corpus lacks
-                own = np.fromiter((x for w in words for x in map(table.get, w, repeat(np.nan))), np.float64, len(places))
+                own = counts[number]
                 missing = np.isnan(own)
-                for i in {i for i, w in enumerate(words) for x in w if len(x) > KEY_BYTES}:
-                    start = sum(map(len, words[:i]))
-                    for j, x in enumerate(words[i], start):
-                        if len(x) > KEY_BYTES and (n := table.get(_key(x))) is not None:
-                            own[j], missing[j] = n, False
                 own[missing] = np.log(0.5) if whole else 0
                 logs += own - network.log_counts[ids[places]]
-                ends = np.cumsum([len(w) for w in words])
                 total = np.concatenate(([0.0], np.cumsum(logs)))
                 sizes += [len(w) for w in words]
-                sums += (total[ends] - total[ends - np.array(sizes[at:])]).tolist()
+                sums += (total[cuts] - total[cuts - np.array(sizes[at:])]).tolist()
                 if not whole:
-                    for w, end in zip(words, ends):
+                    for w, end in zip(words, cuts):
                         left = Counter(_key(w[j]) for j in np.flatnonzero(missing[end - len(w) : end]))
                         rare.append(list(left))
                         times.append(list(left.values()))

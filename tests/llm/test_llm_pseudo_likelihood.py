@@ -1,5 +1,8 @@
+import copy
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm_rows import ODD_ROWS
 from tarmac.llm import pseudo_likelihood as pl
@@ -106,3 +109,40 @@ def test_words_of_one_bucket_have_their_own_counts(spark, most):
         assert found[t]["log_likelihood"] == pytest.approx(want, abs=1e-3)
     assert found[seldom]["log_likelihood"] < -np.log(9) and found[None]["mean_log"] is None
     assert pl.score(docs.union(docs), network, most=most).count() == 2 * len(texts)
+
+
+def test_texts_are_taken_apart_once(spark, docs_of):
+    rows = [(i % 50, t) for i, t in enumerate([*sentences(30), *sentences(10), "x" * 100, "", " ", None, "aa1 aa1"])]
+    docs = docs_of(rows).repartition(3)
+    network = pl.fit(docs, rounds=1, trainer_bytes=2_000)
+    want = {(r["word"], r["bucket"]): r["n"] for r in pl.word_counts(docs).collect()}
+    assert {(r["word"], r["bucket"]): r["n"] for r in network.words.collect()} == want
+    # every different text once, whatever trainer it went to; trainers have theirs in the order of texts
+    texts = docs.where("text is not null").groupBy("text").agg(F.count("*").alias("copies"))
+    texts = texts.withColumns({"learn": ~F.col("text").startswith("aa3"), "trainer": F.length("text") % 3})
+    found = [r for r in pl.taken_apart(texts).collect() if r["ids"] is not None]
+    assert len({r["trainer"] for r in found}) == len(found)
+    for row in found:
+        own = sorted(r["text"] for r in texts.collect() if r["learn"] and r["trainer"] == row["trainer"])
+        assert np.array_equal(np.frombuffer(row["ids"], "<u2"), np.concatenate([np.append(pl.token_ids(t.encode()), [pl.BUCKETS] * pl.SIDE) for t in own]))
+
+
+def test_large_weights_do_not_overflow(network):
+    ids, places = pl.joined([pl.token_ids(b"aa1 bb2 aa3 bb4 aa5")])
+    wild = copy.deepcopy(network)
+    wild.weights["bias"] = wild.weights["bias"] + np.float32(500)
+    assert wild.log_probabilities(ids, places) == pytest.approx(network.log_probabilities(ids, places), abs=1e-3)
+    assert np.isfinite(wild.log_probabilities(ids, places)).all()
+    wild.train([pl.token_ids(b"aa1 bb2 aa3 bb4 aa5")] * 30, 1)
+    assert all(np.isfinite(v).all() for v in wild.weights.values())
+
+
+def test_sums_of_rows_by_id():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 50, 4096):
+        ids = np.minimum(rng.zipf(1.3, n), pl.BUCKETS).astype(np.uint16)
+        rows = rng.normal(0, 1, (n, pl.WIDTH)).astype(np.float32)
+        to, sums = pl._summed(ids, rows, np.empty_like(rows))
+        assert sorted(to.tolist()) == sorted(set(ids.tolist()) - {pl.BUCKETS})
+        for i, total in zip(to, sums):
+            assert total == pytest.approx(rows[ids == i].sum(0), abs=1e-3)
