@@ -26,7 +26,7 @@ import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain, islice, repeat
+from itertools import islice, repeat
 from itertools import compress as compress_list
 
 import numpy as np
@@ -43,7 +43,7 @@ BLOCK_TOKENS = 1 << 20
 #: rounds of replacement, pairs replaced in a round, and the least count of a replaced pair
 ROUNDS, PAIRS, LEAST = 8, 4096, 8
 #: pieces of text kept encoded per worker, pieces given to the library at once, bytes of text encoded at once (or one text)
-CACHE_PIECES, JOINED, PORTION = 3 << 18, 16, 1 << 22
+CACHE_PIECES, JOINED, PORTION = 3 << 18, 64, 1 << 23
 #: marks the piece that begins a text; pieces between spaces hold none
 FIRST = " "
 
@@ -81,7 +81,7 @@ class Encoder:
     def _of(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of pieces, one after the other, and how many each has."""
         size = self.size[number]
-        return self.ids[np.repeat(self.begin[number] - np.cumsum(size) + size, size) + np.arange(size.sum())], size
+        return np.take(self.ids, np.repeat(self.begin[number] - np.cumsum(size) + size, size) + np.arange(size.sum())), size
 
     def _forget(self) -> None:
         """Keeps the pieces that came again since the last call, or none if they would fill half of the room."""
@@ -120,32 +120,45 @@ class Encoder:
         self.ids = np.concatenate([self.ids, ids, *heads])
         self.apart, self.again = np.concatenate([self.apart, first | after]), np.concatenate([self.again, np.zeros(len(pieces), bool)])
 
-    def _pieces(self, text: str) -> list[str] | None:
+    def _begin(self, text: str) -> str | None:
+        """What comes before the first space; None if the text must be given to the library whole."""
         if not self.by_pieces or any(s in text for s in self.special):
             return None
-        pieces = text.split(" ")
-        if len(pieces) > 1 and pieces[0][-1:].isspace():
-            return None
-        pieces[0] = FIRST + pieces[0]
-        return pieces
+        at = text.find(" ")
+        return text if at < 0 else None if text[:at][-1:].isspace() else text[:at]
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, given: list[str] | pa.Array) -> list[np.ndarray]:
         """The ids of every text."""
         if len(self.known) > CACHE_PIECES:
             self._forget()
         before = len(self.known)
-        split = [self._pieces(t) for t in texts]
-        counts = np.array([len(pieces or ()) for pieces in split], np.int64)
-        number = np.fromiter(map(self.known.__getitem__, chain.from_iterable(p for p in split if p)), np.int64, int(counts.sum()))
+        cells = given if isinstance(given, pa.Array) else pa.array(given, pa.string())
+        texts = cells.to_pylist()
+        begun = [self._begin(t) for t in texts]
+        split = np.array([b is not None for b in begun], bool)
+        # Arrow splits texts and tells their pieces apart, so that few of them become Python's
+        lists = pc.split_pattern(cells.filter(pa.array(split, pa.bool_())), " ")
+        counts = np.zeros(len(texts), np.int64)
+        counts[split] = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(counts)
+        number = np.empty(int(counts.sum()), np.int64)
+        first = np.zeros(len(number), bool)
+        first[(ends - counts)[split]] = True
+        rest = pc.list_flatten(lists).filter(pa.array(~first, pa.bool_())).dictionary_encode()
+        # by way of numpy, which makes strings faster
+        named = rest.dictionary.to_numpy(zero_copy_only=False).tolist()
+        number[first] = np.fromiter((self.known[FIRST + b] for b in begun if b is not None), np.int64, int(split.sum()))
+        each = np.fromiter(map(self.known.__getitem__, named), np.int64, len(named))
+        number[~first] = np.take(each, rest.indices.to_numpy())
         self._learn()
-        self.again[number[number < before]] = True
+        self.again[each[each < before]] = True
+        self.again[(begins := number[first])[begins < before]] = True
         bad = np.concatenate([[0], np.cumsum(~self.apart[number])])
-        ends = np.cumsum(counts)
-        given = (counts == 0) | (bad[ends] > bad[ends - counts])
+        whole = ~split | (bad[ends] > bad[ends - counts])
         ids, size = self._of(number)
         places = np.concatenate([[0], np.cumsum(size)])
-        rest = iter(self.whole(list(compress_list(texts, given))))
-        return [next(rest) if whole else ids[places[end - n] : places[end]] for whole, n, end in zip(given.tolist(), counts.tolist(), ends.tolist())]
+        alone = iter(self.whole(list(compress_list(texts, whole))))
+        return [next(alone) if w else ids[places[end - n] : places[end]] for w, n, end in zip(whole.tolist(), counts.tolist(), ends.tolist())]
 
 
 def portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -199,7 +212,7 @@ def _often(seq: np.ndarray, top: int, least: int) -> tuple[np.ndarray, np.ndarra
     bits, kind = (16, np.uint32) if len(used) <= 1 << 16 else (32, np.uint64)  # half the width sorts in half the time
     dense = np.zeros(top, kind)
     dense[used] = np.arange(len(used))
-    symbols = dense[seq]
+    symbols = np.take(dense, seq)
     ordered = np.sort(symbols[:-1] << kind(bits) | symbols[1:])
     starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
     counts = np.diff(np.append(starts, len(ordered)))
@@ -226,7 +239,7 @@ def compress(ids: np.ndarray, base: int, rounds: int = ROUNDS, pairs: int = PAIR
         row[lefts], column[rights] = np.arange(1, len(lefts) + 1) * (len(rights) + 1), np.arange(1, len(rights) + 1)
         table = np.zeros((len(lefts) + 1) * (len(rights) + 1), np.int32)
         table[row[found >> 32] + column[found & 0xFFFFFFFF]] = np.arange(1, len(found) + 1)
-        hit = table[row[seq[:-1]] + column[seq[1:]]]
+        hit = np.take(table, np.take(row, seq[:-1]) + np.take(column, seq[1:]))
         at = np.flatnonzero(hit)
         rule = hit[at] - 1
         double = seq[at] == seq[at + 1]
@@ -336,7 +349,7 @@ def write_store(
         for batch in batches:
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(batch.schema[0].type), pa.list_(pa.int64()), pa.binary()]
             for rows in portions(batch):
-                encoded = encoder.encode(rows.column(1).to_pylist())
+                encoded = encoder.encode(rows.column(1))
                 for doc_id, ids in zip(rows.column(0).to_pylist(), encoded):
                     if parts and filled + len(ids) + 1 > block_tokens:
                         yield closed()

@@ -100,3 +100,15 @@ def test_rules_do_not_depend_on_the_width_of_keys():
         pairs, counts = np.unique(seq[:-1].astype(np.int64) << 32 | seq[1:], return_counts=True)
         found, n = store._often(seq.astype(np.int32), top, 8)
         assert np.array_equal(found, pairs[counts >= 8]) and np.array_equal(n, counts[counts >= 8])
+
+
+def test_encoder_takes_columns(vocabulary, library):
+    rng = np.random.default_rng(7)
+    odd = ["", " ", "  ", "a", "\n", "　", "é", "a\n", "\tb", "東京", "<|endoftext|>", "don't", "12,5", "\0", "🙂"]
+    texts = ["".join(rng.choice([*odd, *[" "] * 12], rng.integers(0, 12))) for _ in range(400)] + ["x" * 2000, "word " * 500, "", " "]
+    encoder = store.Encoder(open(vocabulary, encoding="utf-8").read())
+    column = pa.array(texts)
+    for at in range(0, len(texts), 37):
+        got = encoder.encode(column.slice(at, 37))
+        assert [x.tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids for t in texts[at : at + 37]]
+    assert encoder.encode(column.slice(0, 0)) == []
