@@ -42,8 +42,8 @@ from tokenizers import Tokenizer
 BLOCK_TOKENS = 1 << 20
 #: rounds of replacement, pairs replaced in a round, and the least count of a replaced pair
 ROUNDS, PAIRS, LEAST = 8, 4096, 8
-#: pieces of text kept encoded per worker, pieces given to the library at once, bytes of text encoded at once (or one text)
-CACHE_PIECES, JOINED, PORTION = 3 << 18, 64, 1 << 23
+#: pieces of text kept encoded per worker, pieces in one text for the library, texts in one call of it, bytes of text encoded at once (or one text)
+CACHE_PIECES, JOINED, CALLED, PORTION = 3 << 18, 64, 256, 1 << 22
 #: marks the piece that begins a text; pieces between spaces hold none
 FIRST = " "
 
@@ -94,7 +94,9 @@ class Encoder:
         self.begin, self.apart, self.again = np.cumsum(self.size) - self.size, self.apart[kept], np.zeros(len(kept), bool)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.int32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        # a few at a time: the library's results take far more memory than the ids
+        few = (self.library.encode_batch_fast(texts[at : at + CALLED], add_special_tokens=False) for at in range(0, len(texts), CALLED))
+        return [np.array(e.ids, np.int32) for found in few for e in found]
 
     def _learn(self) -> None:
         """Encodes the pieces that were numbered since the last call: ``FIRST`` and the beginning of a text, or what follows a space."""
