@@ -22,12 +22,13 @@ own. Other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import islice, repeat
 from itertools import compress as compress_list
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +45,6 @@ BLOCK_TOKENS = 1 << 20
 ROUNDS, PAIRS, LEAST = 8, 4096, 8
 #: pieces of text kept encoded per worker, pieces in one text for the library, texts in one call of it, bytes of text encoded at once (or one text)
 CACHE_PIECES, JOINED, CALLED, PORTION = 3 << 18, 64, 256, 1 << 22
-#: marks the piece that begins a text; pieces between spaces hold none
-FIRST = " "
 
 MAGIC, VERSION = 0x52505231, 1
 
@@ -53,13 +52,58 @@ MAGIC, VERSION = 0x52505231, 1
 # --- encoding -----------------------------------------------------------------------------------------------------
 
 
+#: kinds of bytes: letters and digits, other visible ASCII, the apostrophe, a space, a line feed, the end of a character beyond Latin-1; 0 is anything else
+WORD, MARK, APOSTROPHE, SPACE, LINE, TAIL = range(1, 7)
+_KINDS = bytes(
+    WORD if chr(b).isalnum() and b < 128 or b == 0xC3 else APOSTROPHE if b == 0x27 else SPACE if b == 0x20 else LINE if b == 0x0A
+    else MARK if 0x20 < b < 0x7F else TAIL if 0x80 <= b < 0xC0 else 0
+    for b in range(256)
+)
+#: by 8 times the kind of a byte plus that of the next: 1 if a pre-token begins there, 2 if so unless the last character is white space, 3 if so unless there is more white space
+_BEGINS = bytearray(256)
+for _kind in (WORD, MARK, APOSTROPHE):
+    _BEGINS[8 * _kind + SPACE] = _BEGINS[8 * _kind + LINE] = 1
+    _BEGINS[8 * LINE + _kind] = 3
+_BEGINS[8 * WORD + MARK] = _BEGINS[8 * MARK + WORD] = 1
+_BEGINS[8 * TAIL + SPACE] = _BEGINS[8 * TAIL + LINE] = 2
+#: white space beyond ASCII, as the last three bytes of UTF-8 (two for 0x85 and 0xA0)
+_WIDE = np.array([int.from_bytes(chr(c).encode(), "big") for c in range(0x80, 0x3001) if chr(c).isspace() or c == 0x180E])
+
+
+def _pieces(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where the pieces of the texts that begin at ``starts`` begin: at pre-tokens of byte-level BPE, though not at every one.
+
+    Such a pre-token is a contraction, or letters, digits or other marks with a space before them, or white space that ends
+    before the space of the next one. So one begins at white space after something else, after a single line feed, and
+    between a mark and a letter or digit, unless the mark is an apostrophe. Where a character isn't known to be one or the other, nothing is cut.
+    """
+    kinds = np.frombuffer(bytearray(data.tobytes().translate(_KINDS)), np.uint8)
+    # of the letters beyond ASCII those of Latin-1 are known: 0xC3 and another byte, but for the signs of multiplication and division
+    latin = np.flatnonzero(data == 0xC3) + 1
+    sign = (data[latin] == 0x97) | (data[latin] == 0xB7)
+    kinds[latin] = np.where(sign, 0, WORD)
+    kinds[latin[sign] - 1] = 0
+    begins = np.zeros(len(data), np.uint8)
+    begins[1:] = np.frombuffer((kinds[:-1] * np.uint8(8) + kinds[1:]).tobytes().translate(bytes(_BEGINS)), np.uint8)
+    begins[starts] = 1
+    found = np.flatnonzero(begins != 0)
+    sort = begins[found]
+    keep = sort == 1
+    after = np.flatnonzero(sort == 2)
+    last = data[np.maximum(found[after, None] - [3, 2, 1], 0)].astype(np.int64) @ [1 << 16, 1 << 8, 1]
+    keep[after] = ~(np.isin(last, _WIDE) | np.isin(last & 0xFFFF, _WIDE[_WIDE < 1 << 16]))
+    # a line feed alone: it was itself cut from a character that is no white space, or begins a text
+    line = np.flatnonzero(sort == 3)
+    keep[line] = begins[found[line] - 1] == 1
+    return np.compress(keep, found)
+
+
 class Encoder:
-    """The ``tokenizers`` library over whole texts, asked once for each piece between single spaces.
+    """The ``tokenizers`` library over whole texts, asked once for each piece (see ``_pieces``).
 
-    A space between two other characters always begins a pre-token of byte-level BPE,
-    so a piece with the space before it can be encoded apart, and many such pieces in one text.
-    The ids of one piece are told from the next by the bytes they stand for. Texts with special
-    tokens, or with other white space beside such a space, are given to the library whole.
+    Pieces begin at pre-tokens, so each can be encoded apart, and many in one text, if white space
+    keeps them apart there. The ids of one piece are told from the next by the bytes they stand for.
+    Texts with special tokens are given to the library whole, as are all texts if its pre-tokens are others.
     """
 
     def __init__(self, spec: str):
@@ -68,15 +112,18 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.by_pieces = not any(" " in s for s in self.special)
+        parts = json.loads(spec)
+        first = parts.get("pre_tokenizer") or {}
+        usual = first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first.get("add_prefix_space", True)
+        self.by_pieces = usual and not parts.get("normalizer") and not any(c.isspace() for s in self.special for c in s)
         # in byte-level vocabularies every letter stands for a byte
         self.bytes = np.array([len(self.library.id_to_token(i) or "") for i in range(self.library.get_vocab_size())])
         #: numbers pieces as they come
         self.known: defaultdict[str, int] = defaultdict()
         self.known.default_factory = self.known.__len__
-        #: piece k has ``ids[begin[k] :][: size[k]]``, unless it can't be encoded ``apart``; did it come ``again`` in a later call
+        #: piece k has ``ids[begin[k] :][: size[k]]``; did it come ``again`` in a later call
         self.begin, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self.apart, self.again = np.zeros(0, bool), np.zeros(0, bool)
+        self.again = np.zeros(0, bool)
 
     def _of(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of pieces, one after the other, and how many each has."""
@@ -91,76 +138,67 @@ class Encoder:
         self.known = defaultdict(None, zip(pieces, range(len(pieces))))
         self.known.default_factory = self.known.__len__
         self.ids, self.size = self._of(kept)
-        self.begin, self.apart, self.again = np.cumsum(self.size) - self.size, self.apart[kept], np.zeros(len(kept), bool)
+        self.begin, self.again = np.cumsum(self.size) - self.size, np.zeros(len(kept), bool)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         # a few at a time: the library's results take far more memory than the ids
         few = (self.library.encode_batch_fast(texts[at : at + CALLED], add_special_tokens=False) for at in range(0, len(texts), CALLED))
         return [np.array(e.ids, np.int32) for found in few for e in found]
 
-    def _learn(self) -> None:
-        """Encodes the pieces that were numbered since the last call: ``FIRST`` and the beginning of a text, or what follows a space."""
-        pieces = list(islice(reversed(self.known), len(self.known) - len(self.apart)))[::-1]
-        # no white space at either end
-        bare = np.fromiter(map(str.__eq__, pieces, map(str.strip, pieces)), bool, len(pieces))
-        first = np.fromiter(map(str.startswith, pieces, repeat(FIRST)), bool, len(pieces))
-        after = bare & ~first & np.fromiter(map(bool, pieces), bool, len(pieces))
-        begun = [p[1:] for p in compress_list(pieces, first)]
-        alone = list(compress_list(pieces, after))
-        heads = self.whole(begun)
-        joined = [" " + " ".join(alone[at : at + JOINED]) for at in range(0, len(alone), JOINED)]
-        ids = np.concatenate([self.ids[:0], *self.whole(joined)])
-        read, ends = np.cumsum(self.bytes[ids]), np.cumsum(np.fromiter(map(len, map(str.encode, alone)), np.int64, len(alone)) + 1)
-        stops = np.searchsorted(read, ends) + 1
-        if len(ends) and (stops[-1] != len(ids) or not np.array_equal(read[stops - 1], ends)):
-            raise ValueError("the library joined pieces of text")
-        begin, size = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
-        size[after], size[first] = np.diff(stops, prepend=0), [len(h) for h in heads]
-        begin[after] = len(self.ids) + stops - size[after]
-        begin[first] = len(self.ids) + len(ids) + np.cumsum(size[first]) - size[first]
+    def _learn(self, pieces: list[str], length: np.ndarray) -> None:
+        """Encodes new pieces, of which these are the bytes."""
+        chars = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        bare = np.fromiter(map(len, map(str.strip, pieces)), np.int64, len(pieces))
+        spaced = np.fromiter(map(str.startswith, pieces, repeat(" ")), bool, len(pieces)) & (chars == bare + 1) & (bare > 0)
+        closed = (chars == bare) & (bare > 0)
+        begin, size, ids, ahead = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64), [self.ids], len(self.ids)
+        # those that begin with their only space follow one another as they are, those without any follow a line feed each
+        for some, mark in ((spaced, ""), (closed, "\n")):
+            named = list(compress_list(pieces, some))
+            joined = [mark + mark.join(named[at : at + JOINED]) for at in range(0, len(named), JOINED)]
+            got = np.concatenate([self.ids[:0], *self.whole(joined)])
+            read, ends = np.cumsum(self.bytes[got]), np.cumsum(length[some] + len(mark))
+            stops = np.searchsorted(read, ends) + 1
+            starts = stops - np.diff(stops, prepend=0)
+            if len(ends) and (stops[-1] != len(got) or not np.array_equal(read[stops - 1], ends) or mark and (self.bytes[got[starts]] != 1).any()):
+                raise ValueError("the library joined pieces of text")
+            begin[some], size[some] = ahead + starts + len(mark), stops - starts - len(mark)
+            ids, ahead = [*ids, got], ahead + len(got)
+        others = ~(spaced | closed)
+        alone = self.whole(list(compress_list(pieces, others)))
+        size[others] = [len(x) for x in alone]
+        begin[others] = ahead + np.cumsum(size[others]) - size[others]
         self.begin, self.size = np.concatenate([self.begin, begin]), np.concatenate([self.size, size])
-        self.ids = np.concatenate([self.ids, ids, *heads])
-        self.apart, self.again = np.concatenate([self.apart, first | after]), np.concatenate([self.again, np.zeros(len(pieces), bool)])
-
-    def _begin(self, text: str) -> str | None:
-        """What comes before the first space; None if the text must be given to the library whole."""
-        if not self.by_pieces or any(s in text for s in self.special):
-            return None
-        at = text.find(" ")
-        return text if at < 0 else None if text[:at][-1:].isspace() else text[:at]
+        self.ids, self.again = np.concatenate([*ids, *alone]), np.concatenate([self.again, np.zeros(len(pieces), bool)])
 
     def encode(self, given: list[str] | pa.Array) -> list[np.ndarray]:
         """The ids of every text."""
         if len(self.known) > CACHE_PIECES:
             self._forget()
         before = len(self.known)
-        cells = given if isinstance(given, pa.Array) else pa.array(given, pa.string())
-        texts = cells.to_pylist()
-        begun = [self._begin(t) for t in texts]
-        split = np.array([b is not None for b in begun], bool)
-        # Arrow splits texts and tells their pieces apart, so that few of them become Python's
-        lists = pc.split_pattern(cells.filter(pa.array(split, pa.bool_())), " ")
-        counts = np.zeros(len(texts), np.int64)
-        counts[split] = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-        ends = np.cumsum(counts)
-        number = np.empty(int(counts.sum()), np.int64)
-        first = np.zeros(len(number), bool)
-        first[(ends - counts)[split]] = True
-        rest = pc.list_flatten(lists).filter(pa.array(~first, pa.bool_())).dictionary_encode()
+        cells = given.cast(pa.string()) if isinstance(given, pa.Array) else pa.array(given, pa.string())
+        whole = np.full(len(cells), not self.by_pieces)
+        for special in self.special:
+            whole |= pc.match_substring(cells, special).to_numpy(zero_copy_only=False)
+        apart = cells.filter(pa.array(~whole)) if whole.any() else cells
+        places = np.frombuffer(apart.buffers()[1] or bytes(4), np.int32)[apart.offset : apart.offset + len(apart) + 1] if len(apart) else np.zeros(1, np.int32)
+        data = np.frombuffer(apart.buffers()[2] or b"", np.uint8)[places[0] : places[-1]] if len(apart) else np.zeros(0, np.uint8)
+        places = places - places[0]
+        # Arrow tells pieces apart, so that few of them become Python's
+        found = _pieces(data, places[:-1][np.diff(places) > 0])
+        cuts = pa.py_buffer(np.append(found, len(data)).astype(np.int32))
+        coded = pa.StringArray.from_buffers(len(found), cuts, pa.py_buffer(data)).dictionary_encode()
         # by way of numpy, which makes strings faster
-        named = rest.dictionary.to_numpy(zero_copy_only=False).tolist()
-        number[first] = np.fromiter((self.known[FIRST + b] for b in begun if b is not None), np.int64, int(split.sum()))
+        named = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         each = np.fromiter(map(self.known.__getitem__, named), np.int64, len(named))
-        number[~first] = np.take(each, rest.indices.to_numpy())
-        self._learn()
-        self.again[each[each < before]] = True
-        self.again[(begins := number[first])[begins < before]] = True
-        bad = np.concatenate([[0], np.cumsum(~self.apart[number])])
-        whole = ~split | (bad[ends] > bad[ends - counts])
-        ids, size = self._of(number)
-        places = np.concatenate([[0], np.cumsum(size)])
-        alone = iter(self.whole(list(compress_list(texts, whole))))
-        return [next(alone) if w else ids[places[end - n] : places[end]] for w, n, end in zip(whole.tolist(), counts.tolist(), ends.tolist())]
+        new = each >= before
+        self._learn(list(compress_list(named, new.tolist())), pc.binary_length(coded.dictionary).to_numpy(zero_copy_only=False)[new].astype(np.int64))
+        self.again[each[~new]] = True
+        ids, size = self._of(np.take(each, coded.indices.to_numpy()))
+        ends = np.concatenate([[0], np.cumsum(size)])[np.searchsorted(found, places)].tolist()
+        parts = map(ids.__getitem__, map(slice, ends, ends[1:]))
+        alone = iter(self.whole(cells.filter(pa.array(whole)).to_pylist()))
+        return [next(alone) if w else next(parts) for w in whole.tolist()]
 
 
 def portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -219,8 +257,8 @@ def _often(seq: np.ndarray, top: int, least: int) -> tuple[np.ndarray, np.ndarra
     starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
     counts = np.diff(np.append(starts, len(ordered)))
     often = counts >= least
-    found = ordered[starts[often]].astype(np.int64)
-    return used[found >> bits] << 32 | used[found & (1 << bits) - 1], counts[often]
+    found = ordered[np.compress(often, starts)].astype(np.int64)
+    return used[found >> bits] << 32 | used[found & (1 << bits) - 1], np.compress(often, counts)
 
 
 def compress(ids: np.ndarray, base: int, rounds: int = ROUNDS, pairs: int = PAIRS, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
@@ -242,16 +280,17 @@ def compress(ids: np.ndarray, base: int, rounds: int = ROUNDS, pairs: int = PAIR
         table = np.zeros((len(lefts) + 1) * (len(rights) + 1), np.int32)
         table[row[found >> 32] + column[found & 0xFFFFFFFF]] = np.arange(1, len(found) + 1)
         hit = np.take(table, np.take(row, seq[:-1]) + np.take(column, seq[1:]))
-        at = np.flatnonzero(hit)
+        # of truth values numpy makes places far faster than of numbers, and compress is faster than a mask
+        at = np.flatnonzero(hit != 0)
         rule = hit[at] - 1
         double = seq[at] == seq[at + 1]
         if double.any():
             first = _from_run_start(at, double)
-            at, rule = at[first], rule[first]
+            at, rule = np.compress(first, at), np.compress(first, rule)
         seq[at] = top + rule
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        seq = seq[keep]
+        seq = np.compress(keep, seq)
         rules.append(np.stack([found >> 32, found & 0xFFFFFFFF], 1))
         top += len(found)
     return np.concatenate(rules) if rules else np.zeros((0, 2), np.int64), seq
@@ -296,10 +335,9 @@ class Block:
         self.rules = words[6 : 6 + 2 * n_rules].reshape(-1, 2)
         self.lengths = words[6 + 2 * n_rules : 6 + 3 * n_rules]
         self.seq = words[6 + 3 * n_rules :]
-        widths = np.ones(n_seq, np.int64)
-        made = self.seq >= self.base
-        widths[made] = self.lengths[self.seq[made] - self.base]
-        self.ends = np.cumsum(widths)
+        #: how many ids each symbol stands for
+        self.width = np.concatenate([np.ones(self.base, np.int64), self.lengths])
+        self.ends = np.cumsum(np.take(self.width, self.seq))
 
     def ids(self, start: int = 0, stop: int | None = None) -> np.ndarray:
         """Ids ``start`` to ``stop``; only the symbols that overlap them are expanded."""
@@ -311,11 +349,11 @@ class Block:
         seq = self.seq[first : last + 1]
         # symbol s stands for flat[begin[s] :][: width[s]]: ids for themselves, then all rules' expansions
         flat = np.concatenate([np.arange(self.base), expand(np.arange(self.base, self.base + len(self.rules)), self.rules, self.base)])
-        width = np.concatenate([np.ones(self.base, np.int64), self.lengths])
-        begin = np.cumsum(width) - width
-        sizes = width[seq]
-        shift = np.repeat(begin[seq] - np.cumsum(sizes) + sizes, sizes)
-        return flat[shift + np.arange(len(shift))][start - before : stop - before]
+        begin = np.cumsum(self.width) - self.width
+        sizes = np.take(self.width, seq)
+        shift = np.repeat(np.take(begin, seq) - np.cumsum(sizes) + sizes, sizes)
+        shift += np.arange(len(shift))
+        return np.take(flat, shift)[start - before : stop - before]
 
 
 # --- store --------------------------------------------------------------------------------------------------------

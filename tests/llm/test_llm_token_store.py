@@ -112,3 +112,26 @@ def test_encoder_takes_columns(vocabulary, library):
         got = encoder.encode(column.slice(at, 37))
         assert [x.tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids for t in texts[at : at + 37]]
     assert encoder.encode(column.slice(0, 0)) == []
+
+
+def test_words_are_known_whatever_follows_them(vocabulary, library):
+    words = [f"{a}{b}ing" for a in "bdfklm" for b in ("é", "oo", "ü", "ara")]
+    texts = [f"so {w}{mark}{next_}" for w in words for mark in (".", ",", "!?", "%%%", ")", "\n", ".\n", "") for next_ in ("", " end", "\nend")]
+    encoder = store.Encoder(open(vocabulary, encoding="utf-8").read())
+    assert [x.tolist() for x in encoder.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(encoder.known) < 2 * len(words)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_pieces_begin_at_pre_tokens(vocabulary, library, seed):
+    rng = np.random.default_rng(seed)
+    odd = ["'s", "'", "\t", "\r", "\x1c", "\x7f", "\0", "\x85", "\xa0", "ß", "×", "÷", "²", "ª", "Ⅷ", "é", "…", "–", "🙂", "東", "ы", "ế", " ", "​", "᠎", "　", "<|end"]
+    letters = [*"abcST '  \n\n..,!?%_-012()", *odd]
+    texts = ["".join(rng.choice(letters, rng.integers(0, 30))) for _ in range(3000)] + ["x.<|endoftext|>.y"]
+    encoder = store.Encoder(open(vocabulary, encoding="utf-8").read())
+    for at in range(0, len(texts), 500):
+        got = encoder.encode(pa.array(texts).slice(at, 500))
+        assert [x.tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids for t in texts[at : at + 500]]
+    starts = {at for _, (at, _) in library.pre_tokenizer.pre_tokenize_str("a.\nb 's c12")}
+    found = store._pieces(np.frombuffer(b"a.\nb 's c12", np.uint8), np.array([0])).tolist()
+    assert found == [0, 1, 2, 3, 4, 7] and starts.issuperset(found)
