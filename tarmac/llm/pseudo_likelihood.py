@@ -23,19 +23,18 @@ training, but as often as they occur in the counts. Without any training text th
 from __future__ import annotations
 
 import pickle
-from collections import Counter, defaultdict
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from hashlib import md5
-from itertools import chain, count, islice
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.decontaminate import words_of
+from tarmac.llm.decontaminate import _KEPT, words_of
 from tarmac.session import stored
 
 #: hash buckets of words (a power of two), classes, width of the hidden layer, tokens to each side
@@ -45,8 +44,8 @@ SHARE, TRAINER_BYTES, AVERAGED, ROUNDS = 1, 4 << 20, 16, 2
 BATCH, STEP = 1024, 0.15
 #: places scored at once
 PIECE = 2048
-#: words whose counts are broadcast at most, bytes of a word that stands for itself, words a task counts before it passes them on
-FREQUENT, KEY_BYTES, COUNTED = 1 << 17, 32, 1 << 17
+#: words whose counts are broadcast at most, bytes of a word that stands for itself, bytes of text taken apart at once (or one text)
+FREQUENT, KEY_BYTES, PORTION = 1 << 17, 32, 1 << 23
 
 
 def token_ids(text: bytes | None) -> np.ndarray:
@@ -57,44 +56,46 @@ def _buckets(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(crc32, words), np.int64, len(words)) & (BUCKETS - 1)
 
 
-class Words:
-    """Numbers words as they come, after some that it starts with, and knows each one's bucket; ``COUNTED`` more words make it ``full``."""
+def portions(texts: pa.Array) -> Iterator[slice]:
+    """Slices of at most ``PORTION`` bytes of text, or of one text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = read = 0
+    while start < len(texts):
+        stop = max(start + 1, int(np.searchsorted(ends, read + PORTION, "right")))
+        yield slice(start, stop)
+        start, read = stop, int(ends[stop - 1])
 
-    def __init__(self, start: Iterable[bytes] = ()):
-        self.known: defaultdict[bytes, int] = defaultdict(None, zip(start, count()))
-        self.known.default_factory = self.known.__len__
-        self.buckets = _buckets(list(self.known))
-        self.room = len(self.known) + COUNTED
 
-    def numbers(self, docs: list[list[bytes]]) -> tuple[np.ndarray, list[bytes]]:
-        """The numbers of all words, one document after the other, and the words that are new."""
-        words = np.fromiter(map(self.known.__getitem__, chain.from_iterable(docs)), np.int64, sum(map(len, docs)))
-        new = list(islice(reversed(self.known), len(self.known) - len(self.buckets)))[::-1]
-        self.buckets = np.concatenate([self.buckets, _buckets(new)])
-        return words, new
+def words_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The different words (``words_of``) of texts, which of them each word is, one text after the other, and how many each text has.
 
-    def full(self) -> bool:
-        return len(self.known) >= self.room
-
-
-class Tally(Words):
-    """Counts the words too."""
-
-    def __init__(self):
-        super().__init__()
-        self.n = np.zeros(0, np.int64)
-
-    def add(self, docs: list[list[bytes]], copies: list[int]) -> np.ndarray:
-        """Counts every document so many times; the buckets of all words."""
-        words, new = self.numbers(docs)
-        self.n = np.concatenate([self.n, np.zeros(len(new), np.int64)])
-        often = None if set(copies) <= {1} else np.repeat(copies, list(map(len, docs)))
-        self.n += np.bincount(words, often, len(self.n)).astype(np.int64)
-        return self.buckets[words]
-
-    def columns(self) -> list[pa.Array]:
-        """Keys, buckets and counts of the words."""
-        return [pa.array(map(_key, self.known), pa.binary()), pa.array(self.buckets), pa.array(self.n)]
+    Arrow tells the words apart, so that none becomes Python's here.
+    """
+    cells = pa.concat_arrays([pc.fill_null(texts.cast(pa.binary()), b"")])
+    places = np.frombuffer(cells.buffers()[1] or bytes(4), np.int32)[cells.offset : cells.offset + len(cells) + 1] if len(cells) else np.zeros(1, np.int32)
+    data = np.frombuffer(memoryview(cells.buffers()[2] or b"")[places[0] : places[-1]].tobytes().translate(_KEPT), np.uint8)
+    places = places - places[0]
+    inside = data != ord(" ")
+    # a word begins after a space or at the beginning of a text, and ends before a space or at the end of a text
+    begins, goes_on = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1]
+    goes_on[:-1] &= inside[1:]
+    goes_on[-1:] = False
+    edges = places[1:-1][(places[1:-1] > 0) & (places[1:-1] < len(data))]
+    begins[edges] = inside[edges]
+    goes_on[edges - 1] = False
+    first = np.flatnonzero(begins)
+    length = np.flatnonzero(inside & ~goes_on) + 1 - first
+    ends = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(np.compress(inside, data))]).dictionary_encode()
+    return words.dictionary, words.indices.to_numpy(), np.diff(np.searchsorted(first, places))
+
+
+def counted(words: pa.Array, number: np.ndarray, copies: np.ndarray | None = None) -> tuple[np.ndarray, list[pa.Array]]:
+    """The buckets of different words, and their keys, buckets and counts, where the words in a place have so many copies."""
+    buckets = _buckets(words.to_numpy(zero_copy_only=False).tolist())
+    often = np.bincount(number, copies, len(words)).astype(np.int64)
+    return buckets, [_keys(words), pa.array(buckets), pa.array(often)]
 
 
 def _key(word: bytes) -> bytes:
@@ -102,6 +103,12 @@ def _key(word: bytes) -> bytes:
     return word if len(word) <= KEY_BYTES else b"\xff" + md5(word).digest()
 
 
+def _keys(words: pa.Array) -> pa.Array:
+    long = pc.greater(pc.binary_length(words), KEY_BYTES)
+    digests = pa.array([_key(w.as_py()) for w in words.filter(long)], pa.binary())
+    return pc.replace_with_mask(words, long, digests) if len(digests) else words
+
+
 def joined(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """All ids with ``SIDE`` pads (``BUCKETS``) before, between and after documents, and the places of real tokens."""
     pad = np.full(SIDE, BUCKETS, np.int64)
@@ -230,19 +237,13 @@ def _summed(ids: np.ndarray, rows: np.ndarray, room: np.ndarray) -> tuple[np.nda
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``word`` (its key), ``bucket`` and ``n``: how often each word occurs in all documents."""
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = Tally()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0).cast(pa.binary())
-            for at in range(0, batch.num_rows, 64):
-                docs = [words_of(cell.as_py()) for cell in texts.slice(at, 64)]
-                tally.add(docs, [1] * len(docs))
-                if tally.full():
-                    yield pa.RecordBatch.from_arrays(tally.columns(), ["word", "bucket", "n"])
-                    tally = Tally()
-        yield pa.RecordBatch.from_arrays(tally.columns(), ["word", "bucket", "n"])
-
-    parts = docs.select(F.col(text_col).cast("string")).mapInArrow(counted, "word binary, bucket bigint, n bigint")
+            for rows in portions(batch.column(0)):
+                words, number, _ = words_in(batch.column(0)[rows])
+                yield pa.RecordBatch.from_arrays(counted(words, number)[1], ["word", "bucket", "n"])
+
+    parts = docs.select(F.col(text_col).cast("string")).mapInArrow(run, "word binary, bucket bigint, n bigint")
     return _added(parts)
 
 
@@ -264,27 +265,24 @@ def taken_apart(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pad = np.full(SIDE, BUCKETS, "<u2")
-        tally, now, ids = Tally(), None, []
+        now, ids = None, []
         for batch in batches:
-            cells = batch.column(3).cast(pa.binary())
-            for at in range(0, batch.num_rows, 64):
-                trainers, learn, copies = (batch.column(i).slice(at, 64).to_pylist() for i in range(3))
-                docs = [words_of(cell.as_py()) for cell in cells.slice(at, 64)]
-                buckets = tally.add(docs, copies).astype("<u2")
-                end = 0
-                for trainer, learned, words in zip(trainers, learn, docs):
+            for rows in portions(batch.column(3)):
+                trainers, learn, copies = (batch.column(i)[rows].to_pylist() for i in range(3))
+                words, number, sizes = words_in(batch.column(3)[rows])
+                often = None if set(copies) <= {1} else np.repeat(copies, sizes)
+                buckets, columns = counted(words, number, often)
+                yield row(dict(zip((2, 3, 4), columns)))
+                found, end = np.take(buckets.astype("<u2"), number), 0
+                for trainer, learned, size in zip(trainers, learn, sizes.tolist()):
                     if ids and trainer != now:
                         yield row({0: pa.array([now], pa.int64()), 1: pa.array([np.concatenate(ids).tobytes()], pa.binary())})
                         ids = []
-                    now, end = trainer, end + len(words)
+                    now, end = trainer, end + size
                     if learned:
-                        ids += [buckets[end - len(words) : end], pad]
-                if tally.full():
-                    yield row(dict(zip((2, 3, 4), tally.columns())))
-                    tally = Tally()
+                        ids += [found[end - size : end], pad]
         if ids:
             yield row({0: pa.array([now], pa.int64()), 1: pa.array([np.concatenate(ids).tobytes()], pa.binary())})
-        yield row(dict(zip((2, 3, 4), tally.columns())))
 
     ordered = texts.repartition("trainer").sortWithinPartitions("trainer", "text").select("trainer", "learn", "copies", "text")
     return ordered.mapInArrow(run, "trainer bigint, ids binary, word binary, bucket bigint, n bigint")
@@ -386,37 +384,29 @@ def score(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network, table = state.get("network") or state.setdefault("network", pickle.loads(shared.value))
-        frequent = np.fromiter(table.values(), np.float64, len(table))
-        known, counts = Words(table), frequent
+        # in places of its own, so that those that are not frequent have the last
+        frequent, logs_of = pa.array(list(table), pa.binary()), np.append(np.fromiter(table.values(), np.float64, len(table)), np.nan)
         for batch in batches:
-            sizes, sums, rare, times = [], [], [], []
-            texts = batch.column(2).cast(pa.binary())
-            for at in range(0, batch.num_rows, 64):
-                if known.full():
-                    known, counts = Words(table), frequent
-                words = [words_of(cell.as_py()) for cell in texts.slice(at, 64)]
-                number, new = known.numbers(words)
-                counts = np.concatenate([counts, np.fromiter((table.get(_key(w), np.nan) if len(w) > KEY_BYTES else np.nan for w in new), np.float64, len(new))])
-                cuts = np.cumsum([len(w) for w in words])
-                ids, places = joined(np.split(known.buckets[number], cuts[:-1]))
+            for rows in portions(batch.column(2)):
+                words, number, sizes = words_in(batch.column(2)[rows])
+                keys, cuts = _keys(words), np.cumsum(sizes)
+                ids, places = joined(np.split(np.take(_buckets(words.to_numpy(zero_copy_only=False).tolist()), number), cuts[:-1]))
                 logs = network.log_probabilities(ids, places)
                 # a word's share of its bucket, or the share of all words that the corpus lacks
-                own = counts[number]
-                missing = np.isnan(own)
+                at = pc.fill_null(pc.index_in(keys, value_set=frequent), -1).to_numpy(zero_copy_only=False)
+                own = np.take(np.take(logs_of, at, mode="wrap"), number)
+                missing = np.flatnonzero(np.isnan(own))
                 own[missing] = np.log(0.5) if whole else 0
                 logs += own - network.log_counts[ids[places]]
                 total = np.concatenate(([0.0], np.cumsum(logs)))
-                sizes += [len(w) for w in words]
-                sums += (total[cuts] - total[cuts - np.array(sizes[at:])]).tolist()
+                columns = [batch.column(0)[rows], batch.column(1)[rows], pa.array(sizes, pa.int64()), pa.array(total[cuts] - total[cuts - sizes], pa.float64())]
                 if not whole:
-                    for w, end in zip(words, cuts):
-                        left = Counter(_key(w[j]) for j in np.flatnonzero(missing[end - len(w) : end]))
-                        rare.append(list(left))
-                        times.append(list(left.values()))
-            columns = [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())]
-            if not whole:
-                columns += [pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names)
+                    # each missing word of a text once, texts in their order
+                    text = np.repeat(np.arange(len(sizes)), sizes)[missing]
+                    pairs, times = np.unique(text * len(words) + number[missing], return_counts=True)
+                    ends = pa.array(np.searchsorted(pairs, np.arange(len(sizes) + 1) * len(words)), pa.int32())
+                    columns += [pa.ListArray.from_arrays(ends, keys.take(pa.array(pairs % max(1, len(words))))), pa.ListArray.from_arrays(ends, pa.array(times, pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     kept = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     shape = f"row bigint, id {kept.schema['id'].dataType.simpleString()}, n_tokens bigint, log_likelihood double"

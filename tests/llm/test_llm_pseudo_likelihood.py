@@ -1,11 +1,13 @@
 import copy
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from llm_rows import ODD_ROWS
 from tarmac.llm import pseudo_likelihood as pl
+from tarmac.llm.decontaminate import words_of
 
 
 def sentences(n, seed=0):
@@ -146,3 +148,18 @@ def test_sums_of_rows_by_id():
         assert sorted(to.tolist()) == sorted(set(ids.tolist()) - {pl.BUCKETS})
         for i, total in zip(to, sums):
             assert total == pytest.approx(rows[ids == i].sum(0), abs=1e-3)
+
+
+def test_words_are_told_apart_at_once(monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [None if n == 3 else "".join(rng.choice([*"abAZ  .,\n-09'", "é", "　", "東"], rng.integers(0, 9))) for n in range(400)]
+    for some in ([], [""], [None, " "], texts):
+        column = pa.array(["zz y", *some, "q"], pa.string()).slice(1, len(some))
+        words, number, sizes = pl.words_in(column)
+        want = [words_of(None if t is None else t.encode()) for t in some]
+        assert sizes.tolist() == [len(w) for w in want]
+        assert [words[i].as_py() for i in number.tolist()] == [w for ws in want for w in ws]
+        assert len(words) == len(set(words.to_pylist()))
+    monkeypatch.setattr(pl, "PORTION", 10)
+    parts = list(pl.portions(pa.array(["", "abc", None, "x" * 50, "", "é" * 5, "a", "b"])))
+    assert [(p.start, p.stop) for p in parts] == [(0, 3), (3, 4), (4, 6), (6, 8)] and list(pl.portions(pa.array([], pa.string()))) == []
