@@ -44,8 +44,8 @@ SHARE, TRAINER_BYTES, AVERAGED, ROUNDS = 1, 4 << 20, 16, 2
 BATCH, STEP = 1024, 0.15
 #: places scored at once
 PIECE = 2048
-#: words whose counts are broadcast at most, bytes of a word that stands for itself, bytes of text taken apart at once (or one text)
-FREQUENT, KEY_BYTES, PORTION = 1 << 17, 32, 1 << 23
+#: words whose counts are broadcast at most, bytes of a word that stands for itself, bytes of text taken apart at once (or one text), and scored at once
+FREQUENT, KEY_BYTES, PORTION, SCORED = 1 << 17, 32, 1 << 23, 1 << 21
 
 
 def token_ids(text: bytes | None) -> np.ndarray:
@@ -56,12 +56,12 @@ def _buckets(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(crc32, words), np.int64, len(words)) & (BUCKETS - 1)
 
 
-def portions(texts: pa.Array) -> Iterator[slice]:
-    """Slices of at most ``PORTION`` bytes of text, or of one text."""
+def portions(texts: pa.Array, most: int) -> Iterator[slice]:
+    """Slices of at most so many bytes of text, or of one text."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     start = read = 0
     while start < len(texts):
-        stop = max(start + 1, int(np.searchsorted(ends, read + PORTION, "right")))
+        stop = max(start + 1, int(np.searchsorted(ends, read + most, "right")))
         yield slice(start, stop)
         start, read = stop, int(ends[stop - 1])
 
@@ -239,7 +239,7 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in portions(batch.column(0)):
+            for rows in portions(batch.column(0), PORTION):
                 words, number, _ = words_in(batch.column(0)[rows])
                 yield pa.RecordBatch.from_arrays(counted(words, number)[1], ["word", "bucket", "n"])
 
@@ -267,7 +267,7 @@ def taken_apart(texts: DataFrame) -> DataFrame:
         pad = np.full(SIDE, BUCKETS, "<u2")
         now, ids = None, []
         for batch in batches:
-            for rows in portions(batch.column(3)):
+            for rows in portions(batch.column(3), PORTION):
                 trainers, learn, copies = (batch.column(i)[rows].to_pylist() for i in range(3))
                 words, number, sizes = words_in(batch.column(3)[rows])
                 often = None if set(copies) <= {1} else np.repeat(copies, sizes)
@@ -387,7 +387,7 @@ def score(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: s
         # in places of its own, so that those that are not frequent have the last
         frequent, logs_of = pa.array(list(table), pa.binary()), np.append(np.fromiter(table.values(), np.float64, len(table)), np.nan)
         for batch in batches:
-            for rows in portions(batch.column(2)):
+            for rows in portions(batch.column(2), SCORED):
                 words, number, sizes = words_in(batch.column(2)[rows])
                 keys, cuts = _keys(words), np.cumsum(sizes)
                 ids, places = joined(np.split(np.take(_buckets(words.to_numpy(zero_copy_only=False).tolist()), number), cuts[:-1]))

@@ -150,7 +150,7 @@ def test_sums_of_rows_by_id():
             assert total == pytest.approx(rows[ids == i].sum(0), abs=1e-3)
 
 
-def test_words_are_told_apart_at_once(monkeypatch):
+def test_words_are_told_apart_at_once():
     rng = np.random.default_rng(4)
     texts = [None if n == 3 else "".join(rng.choice([*"abAZ  .,\n-09'", "é", "　", "東"], rng.integers(0, 9))) for n in range(400)]
     for some in ([], [""], [None, " "], texts):
@@ -160,6 +160,5 @@ def test_words_are_told_apart_at_once(monkeypatch):
         assert sizes.tolist() == [len(w) for w in want]
         assert [words[i].as_py() for i in number.tolist()] == [w for ws in want for w in ws]
         assert len(words) == len(set(words.to_pylist()))
-    monkeypatch.setattr(pl, "PORTION", 10)
-    parts = list(pl.portions(pa.array(["", "abc", None, "x" * 50, "", "é" * 5, "a", "b"])))
-    assert [(p.start, p.stop) for p in parts] == [(0, 3), (3, 4), (4, 6), (6, 8)] and list(pl.portions(pa.array([], pa.string()))) == []
+    parts = list(pl.portions(pa.array(["", "abc", None, "x" * 50, "", "é" * 5, "a", "b"]), 10))
+    assert [(p.start, p.stop) for p in parts] == [(0, 3), (3, 4), (4, 6), (6, 8)] and list(pl.portions(pa.array([], pa.string()), 10)) == []
