@@ -130,22 +130,20 @@ def read_text_rows(spark: SparkSession, headers: Headers, aliases: dict[str, str
 
     CSV columns are bound by position, so parts are read in groups of equal
     headers, each with its own schema, and appended by name. ``_overflow`` is
-    the first field beyond the header, if a row has one.
+    the first field beyond the header, if a row has one. Parts of a group
+    also have their report's name at the same place of their paths.
     """
     aliases = aliases or {}
-    groups: dict[tuple[str, ...], list[str]] = {}
+    groups: dict[tuple[tuple[str, ...], int | None], list[str]] = {}
     for path, header in headers.items():
-        groups.setdefault(header, []).append(path)
+        groups.setdefault((header, calendar.report_name_place(path)), []).append(path)
 
     frames = []
-    for header, paths in groups.items():
+    for (header, name_place), paths in groups.items():
         names = [aliases.get(name, name) for name in header]
         schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_overflow"]])
         raw = spark.read.schema(schema).options(**CSV_OPTIONS).csv(paths)
-        # the name is read off once per part, not once per row
-        names_of = spark.createDataFrame([(path,) for path in paths], "_part string").withColumn("_name", calendar.report_name_of(F.col("_part")))
-        raw = raw.withColumn("_path", F.col("_metadata.file_path")).join(F.broadcast(names_of), F.expr("_path = _part"), "left")
-        raw = raw.withColumn("source_file", F.coalesce("_name", calendar.report_name_of(F.col("_path"))))
+        raw = raw.withColumn("source_file", calendar.report_name_of(F.col("_metadata.file_path"), name_place))
         frames.append(clean.select_report_columns(raw, "source_file", "_overflow"))
     if not frames:
         text = [T.StructField(c, T.StringType()) for c in [*REPORT_SCHEMA.names, "source_file", "_overflow"]]
