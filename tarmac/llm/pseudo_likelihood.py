@@ -39,10 +39,12 @@ from tarmac.session import stored
 
 #: hash buckets of words (a power of two), classes, width of the hidden layer, tokens to each side
 BUCKETS, CLASSES, WIDTH, SIDE = 1 << 14, 256, 32, 2
+#: places in a row that are trained on together
+RUN = 16
 #: one of so many texts is trained on (1: every text); bytes of text per trainer; trainers averaged at once; rounds
 SHARE, TRAINER_BYTES, AVERAGED, ROUNDS = 1, 4 << 20, 16, 2
 BATCH, STEP = 1024, 0.15
-#: places scored at once
+#: places scored at once, pads between them included
 PIECE = 2048
 #: words whose counts are broadcast at most, bytes of a word that stands for itself, bytes of text taken apart at once (or one text), and scored at once
 FREQUENT, KEY_BYTES, PORTION, SCORED = 1 << 17, 32, 1 << 23, 1 << 21
@@ -144,75 +146,123 @@ class Network:
             "bias": np.log(np.maximum(mass, 1e-3) / mass.sum()).astype(np.float32),
         }
 
-    def _around(self, ids: np.ndarray, places: np.ndarray) -> np.ndarray:
-        return np.stack([ids[places + k] for k in (*range(-SIDE, 0), *range(1, SIDE + 1))], 1)
-
     def _output(self) -> tuple[np.ndarray, bool]:
         """Output weights with the bias as the last row, and whether no logit can come near the limits of ``exp``, as |hidden| < 1."""
         joint = np.concatenate([self.weights["out"], self.weights["bias"][None]])
         return joint, _bounded(joint)
 
     def log_probabilities(self, ids: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Of the tokens in ``places``, which ascend; a row of embeddings is read once for all windows of a piece that it is in."""
         w = self.weights
         joint, bounded = self._output()
         found = np.empty(len(places))
-        most = min(PIECE, len(places))
-        wide, near, hidden = np.empty((most, CLASSES), np.float32), np.empty((most, 2 * SIDE, WIDTH), np.float32), np.ones((most, WIDTH + 1), np.float32)
-        every, rows = np.ones(CLASSES, np.float32), np.arange(most)
-        for at in range(0, len(places), PIECE):
-            some = places[at : at + PIECE]
-            n = len(some)
-            seen = np.take(w["embed"], self._around(ids, some), 0, out=near[:n], mode="clip")
-            np.tanh(np.einsum("nkw,kw->nw", seen, w["scale"]) + w["hidden"], out=hidden[:n, :WIDTH])
+        near, sums, part = (np.empty((PIECE + more, WIDTH), np.float32) for more in (2 * SIDE, 0, 0))
+        wide, hidden = np.empty((PIECE, CLASSES), np.float32), np.ones((PIECE, WIDTH + 1), np.float32)
+        every, rows, scales = np.ones(CLASSES, np.float32), np.arange(PIECE), np.repeat(w["scale"][:, None], PIECE, 1)
+        at = 0
+        while at < len(places):
+            low = places[at]
+            end = int(np.searchsorted(places, low + PIECE))
+            some = places[at:end] - low
+            n, reach = len(some), some[-1] + 1
+            seen = np.take(w["embed"], ids[low - SIDE : low + reach + SIDE], 0, out=near[: reach + 2 * SIDE], mode="clip")
+            inner = np.multiply(seen[:reach], scales[0, :reach], out=sums[:reach])
+            for k in range(1, 2 * SIDE):
+                away = k + (k >= SIDE)
+                inner += np.multiply(seen[away : away + reach], scales[k, :reach], out=part[:reach])
+            inner = np.add(inner if n == reach else np.take(inner, some, 0), w["hidden"], out=hidden[:n, :WIDTH])
+            np.tanh(inner, out=inner)
             logits = np.matmul(hidden[:n], joint, out=wide[:n])
             if not bounded:
                 logits -= logits.max(1, keepdims=True)
-            own = ids[some]
+            own = ids[places[at:end]]
             right = logits[rows[:n], self.class_of[own]]
-            found[at : at + PIECE] = right - np.log(np.exp(logits, out=logits) @ every) + self.inside[own]
+            found[at:end] = right - np.log(np.exp(logits, out=logits) @ every) + self.inside[own]
+            at = end
         return found
 
     def train(self, docs: list[np.ndarray], seed: int, batch: int = BATCH) -> int:
-        """One pass of AdaGrad over all tokens in shuffled batches; returns their number."""
+        """One pass of AdaGrad over all tokens in batches of shuffled runs of ``RUN`` places; returns their number.
+
+        The windows of a run overlap, so its rows of embeddings are read, and their gradients summed, once for all its places.
+        """
         ids, places = joined(docs)
-        np.random.default_rng(seed).shuffle(places)
+        run = min(RUN, batch)
+        runs = max(0, -(-(len(ids) - 2 * SIDE) // run))
         # 16 bits hold all ids, and numpy sorts those by radix
-        windows = np.lib.stride_tricks.sliding_window_view(ids.astype(np.uint16), 2 * SIDE + 1)[places - SIDE]
-        arounds, classes = np.delete(windows, SIDE, 1), self.class_of[windows[:, SIDE]]
+        padded = np.full(runs * run + 2 * SIDE, BUCKETS, np.uint16)
+        padded[: len(ids)] = ids[: len(padded)]
+        windows = np.lib.stride_tricks.sliding_window_view(padded, run + 2 * SIDE)[::run]
+        windows = windows[np.random.default_rng(seed).permutation(runs)]
+        class_of, taken = np.append(self.class_of, 0), np.unique(self.class_of)
         w = self.weights
-        w["joint"] = self._output()[0]
         memory = {k: np.full(v.shape if k != "embed" else len(v), 0.1, np.float32) for k, v in w.items()}
         # memory that all batches share
-        wide, near, moved = (np.empty((batch, *shape), np.float32) for shape in ((CLASSES,), (2 * SIDE, WIDTH), (2 * SIDE, WIDTH)))
-        inner, every, rows = np.ones((batch, WIDTH + 1), np.float32), np.ones(CLASSES, np.float32), np.arange(batch)
-        for at in range(0, len(places), batch):
-            around = arounds[at : at + batch]
-            n = len(around)
-            seen = np.take(w["embed"], around, 0, out=near[:n], mode="clip")
-            hidden = np.tanh(np.einsum("nkw,kw->nw", seen, w["scale"]) + w["hidden"], out=inner[:n, :WIDTH])
-            slope = np.matmul(inner[:n], w["joint"], out=wide[:n])
-            if not _bounded(w["joint"]):
+        step = max(1, batch // run)
+        most = step * run
+        near, moved, room = (np.empty((most + 2 * SIDE * step, WIDTH), np.float32) for _ in range(3))
+        inner, part, other = (np.empty((most, WIDTH), np.float32) for _ in range(3))
+        wide, every, ones, rows = np.empty((most, CLASSES), np.float32), np.ones(CLASSES, np.float32), np.ones(most, np.float32), np.arange(most)
+        for at in range(0, runs, step):
+            # the first place of all runs, then the second: what lies so many places away is then one slice for all of them
+            window = windows[at : at + step].T.ravel()
+            m = len(window) // (run + 2 * SIDE)
+            n = m * run
+            around = [slice(k * m, k * m + n) for k in range(2 * SIDE + 1) if k != SIDE]
+            own = window[SIDE * m : SIDE * m + n]
+            real = own != BUCKETS
+            count = np.float32(max(1, np.count_nonzero(real)))
+            scales = np.repeat(w["scale"][:, None], m, 1).reshape(2 * SIDE, m * WIDTH)
+            seen = np.take(w["embed"], window, 0, out=near[: len(window)], mode="clip")
+            hidden = _scaled(seen[around[0]], scales[0], inner[:n])
+            for k in range(1, 2 * SIDE):
+                hidden += _scaled(seen[around[k]], scales[k], part[:n])
+            hidden += w["hidden"]
+            np.tanh(hidden, out=hidden)
+            slope = np.matmul(hidden, w["out"], out=wide[:n])
+            # the bias is a factor of each class, unless a total over the factor of a token's class could exceed e^86, as |hidden| < 1
+            if np.abs(w["out"]).sum(0).max() + max(w["bias"].max(), -w["bias"][taken].min()) < 40:
+                lift = np.exp(w["bias"])
+            else:
+                lift = every
+                slope += w["bias"]
                 slope -= slope.max(1, keepdims=True)
             np.exp(slope, out=slope)
-            # probabilities times their sum; the small factors beside them are divided by it instead
-            total = (slope @ every)[:, None]
-            slope[rows[:n], classes[at : at + batch]] -= total[:, 0]
-            back = (slope @ w["joint"][:WIDTH].T) * ((1 - hidden * hidden) / total)
-            grads = {"joint": (inner[:n] / (total * n)).T @ slope, "hidden": inner[:n, WIDTH] @ back / n, "scale": np.einsum("nkw,nw->kw", seen, back) / n}
-            np.multiply(back[:, None], w["scale"], out=moved[:n])
+            # probabilities times their sum, without the factors; the small arrays beside them are divided and multiplied instead
+            total, classes = slope @ lift, class_of[own]
+            slope[rows[:n], classes] -= total / lift[classes]
+            back = np.matmul(slope, (w["out"] * lift).T, out=part[:n])
+            share = real / (total * count)
+            shared = np.multiply(hidden, share[:, None], out=other[:n])
+            grads = {"out": (slope.T @ shared).T * lift, "bias": (share @ slope) * lift}
+            # (1 - hidden * hidden) * share
+            shared *= hidden
+            back *= np.subtract(share[:, None], shared, out=shared)
+            grads["hidden"] = ones[:n] @ back
+            grads["scale"] = np.stack([ones[:n] @ np.multiply(seen[some], back, out=other[:n]) for some in around])
+            _scaled(back, scales[0], moved[:n])
+            moved[n : len(window)] = 0
+            for k in range(1, 2 * SIDE):
+                moved[around[k]] += _scaled(back, scales[k], other[:n])
             for name, grad in grads.items():
                 memory[name] += grad * grad
                 w[name] -= STEP * grad / np.sqrt(memory[name])
-            to, sums = _summed(around.ravel(), moved[:n].reshape(-1, WIDTH), near[:n].reshape(-1, WIDTH))
+            to, sums = _summed(window, moved[: len(window)], room[: len(window)])
+            # embeddings move by the sum over places, not the mean
+            sums *= count
             kept = memory["embed"][to] + np.einsum("nw,nw->n", sums, sums) / np.float32(WIDTH)
             memory["embed"][to] = kept
             sums *= (np.float32(STEP) / np.sqrt(kept))[:, None]
             w["embed"][to] = np.subtract(np.take(w["embed"], to, 0), sums, out=sums)
-        joint = w.pop("joint")
-        w["out"], w["bias"] = joint[:WIDTH].copy(), joint[WIDTH].copy()
         return len(places)
 
 
+def _scaled(rows: np.ndarray, scale: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """Rows times a scale that is repeated for as many rows as it holds."""
+    np.multiply(rows.reshape(-1, len(scale)), scale, out=out.reshape(-1, len(scale)))
+    return out
+
+
 def _bounded(joint: np.ndarray) -> bool:
     return bool(np.abs(joint).sum(0).max() < 60)
 
@@ -343,7 +393,7 @@ def fit(docs: DataFrame, text_col: str = "text", share: int = SHARE, rounds: int
         shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(network))
 
         shape = "trainer bigint, tokens bigint, weights binary"
-        found, left = stored(dealt.groupBy("trainer").applyInPandas(trainer(shared, round_, batch), shape), "lm-weights"), trainers
+        found, left = dealt.groupBy("trainer").applyInPandas(trainer(shared, round_, batch), shape), trainers
         while left > 1:
             found = found.withColumn("trainer", F.floor(F.col("trainer") / AVERAGED)).groupBy("trainer").applyInPandas(averaged, shape)
             found, left = stored(found, "lm-weights"), -(-left // AVERAGED)
