@@ -10,7 +10,7 @@ they have; every word has its own count, so no word gets the probability of anot
    of frequency are cut into classes of equal mass. A word that the corpus lacks shares half a count with all such words of its bucket.
 2. Training: all different texts (``SHARE`` = 1; a larger one trains on those whose hash falls in one of so many parts). They are dealt by
    hash to trainers of about ``TRAINER_BYTES`` each, and taken apart once, into the counts and the buckets that all rounds read. Every trainer starts a
-   round from the common weights, and the results are averaged in
+   round from the common weights and goes through all its tokens, in shuffled runs of ``RUN`` places, and the results are averaged in
    groups of ``AVERAGED`` until one is left. Weights depend neither on the number of cores nor on the order of rows.
 3. Scoring: one pass over all documents, in pieces of bounded size, so a long text needs no more memory. Counts of
    the most frequent words, ``FREQUENT`` at most, are broadcast. Where the corpus has more, the other words of each document, none of which
@@ -39,8 +39,8 @@ from tarmac.session import stored
 
 #: hash buckets of words (a power of two), classes, width of the hidden layer, tokens to each side
 BUCKETS, CLASSES, WIDTH, SIDE = 1 << 14, 256, 32, 2
-#: places in a row that are trained on together
-RUN = 16
+#: places in a row that are trained on together; weights without rows of their own for each id
+RUN, DENSE = 16, ("out", "bias", "hidden", "scale")
 #: one of so many texts is trained on (1: every text); bytes of text per trainer; trainers averaged at once; rounds
 SHARE, TRAINER_BYTES, AVERAGED, ROUNDS = 1, 4 << 20, 16, 2
 BATCH, STEP = 1024, 0.15
@@ -188,7 +188,7 @@ class Network:
         """
         ids, places = joined(docs)
         run = min(RUN, batch)
-        runs = max(0, -(-(len(ids) - 2 * SIDE) // run))
+        runs = max(1, -(-(len(ids) - 2 * SIDE) // run))
         # 16 bits hold all ids, and numpy sorts those by radix
         padded = np.full(runs * run + 2 * SIDE, BUCKETS, np.uint16)
         padded[: len(ids)] = ids[: len(padded)]
@@ -196,13 +196,17 @@ class Network:
         windows = windows[np.random.default_rng(seed).permutation(runs)]
         class_of, taken = np.append(self.class_of, 0), np.unique(self.class_of)
         w = self.weights
-        memory = {k: np.full(v.shape if k != "embed" else len(v), 0.1, np.float32) for k, v in w.items()}
+        # all but the embeddings lie in one array and move at once
+        dense = np.concatenate([w[k].ravel() for k in DENSE])
+        w.update({k: part.reshape(w[k].shape) for k, part in zip(DENSE, np.split(dense, np.cumsum([w[k].size for k in DENSE])[:-1]))})
+        memory, dense_memory = np.full(len(w["embed"]), 0.1, np.float32), np.full(len(dense), 0.1, np.float32)
         # memory that all batches share
         step = max(1, batch // run)
         most = step * run
         near, moved, room = (np.empty((most + 2 * SIDE * step, WIDTH), np.float32) for _ in range(3))
         inner, part, other = (np.empty((most, WIDTH), np.float32) for _ in range(3))
-        wide, every, ones, rows = np.empty((most, CLASSES), np.float32), np.ones(CLASSES, np.float32), np.ones(most, np.float32), np.arange(most)
+        wide, parts = np.empty((most, CLASSES), np.float32), np.empty((run, CLASSES, WIDTH), np.float32)
+        every, ones, rows = np.ones(CLASSES, np.float32), np.ones(most, np.float32), np.arange(most)
         for at in range(0, runs, step):
             # the first place of all runs, then the second: what lies so many places away is then one slice for all of them
             window = windows[at : at + step].T.ravel()
@@ -234,26 +238,28 @@ class Network:
             back = np.matmul(slope, (w["out"] * lift).T, out=part[:n])
             share = real / (total * count)
             shared = np.multiply(hidden, share[:, None], out=other[:n])
-            grads = {"out": (slope.T @ shared).T * lift, "bias": (share @ slope) * lift}
+            # many small products and their sum: such a flat one is slower as a whole
+            outer = np.matmul(slope.reshape(run, m, CLASSES).transpose(0, 2, 1), shared.reshape(run, m, WIDTH), out=parts).sum(0)
+            grads = [(outer.T * lift).ravel(), (share @ slope) * lift]
             # (1 - hidden * hidden) * share
             shared *= hidden
             back *= np.subtract(share[:, None], shared, out=shared)
-            grads["hidden"] = ones[:n] @ back
-            grads["scale"] = np.stack([ones[:n] @ np.multiply(seen[some], back, out=other[:n]) for some in around])
+            grads += [ones[:n] @ back, *(ones[:n] @ np.multiply(seen[some], back, out=other[:n]) for some in around)]
             _scaled(back, scales[0], moved[:n])
             moved[n : len(window)] = 0
             for k in range(1, 2 * SIDE):
                 moved[around[k]] += _scaled(back, scales[k], other[:n])
-            for name, grad in grads.items():
-                memory[name] += grad * grad
-                w[name] -= STEP * grad / np.sqrt(memory[name])
+            grad = np.concatenate(grads)
+            dense_memory += grad * grad
+            dense -= STEP * grad / np.sqrt(dense_memory)
             to, sums = _summed(window, moved[: len(window)], room[: len(window)])
             # embeddings move by the sum over places, not the mean
             sums *= count
-            kept = memory["embed"][to] + np.einsum("nw,nw->n", sums, sums) / np.float32(WIDTH)
-            memory["embed"][to] = kept
+            kept = memory[to] + np.einsum("nw,nw->n", sums, sums) / np.float32(WIDTH)
+            memory[to] = kept
             sums *= (np.float32(STEP) / np.sqrt(kept))[:, None]
             w["embed"][to] = np.subtract(np.take(w["embed"], to, 0), sums, out=sums)
+        w.update({k: w[k].copy() for k in DENSE})
         return len(places)
 
 

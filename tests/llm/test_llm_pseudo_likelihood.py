@@ -162,3 +162,80 @@ def test_words_are_told_apart_at_once():
         assert len(words) == len(set(words.to_pylist()))
     parts = list(pl.portions(pa.array(["", "abc", None, "x" * 50, "", "é" * 5, "a", "b"]), 10))
     assert [(p.start, p.stop) for p in parts] == [(0, 3), (3, 4), (4, 6), (6, 8)] and list(pl.portions(pa.array([], pa.string()), 10)) == []
+
+
+def odd_docs():
+    """Buckets of texts of all lengths, none and one among them."""
+    rng = np.random.default_rng(6)
+    return [pl.token_ids(" ".join(f"w{k}" for k in rng.zipf(1.5, n) % 90).encode()) for n in (40, 0, 1, 0, 0, 2, 300, 1, 1, 17, 16, 90)]
+
+
+def plain_hidden(w, ids, at):
+    around = [k for k in range(-pl.SIDE, pl.SIDE + 1) if k]
+    rows = np.stack([w["embed"][ids[at + k]] for k in around]).astype(np.float64)
+    return around, rows, np.tanh((rows * w["scale"]).sum(0) + w["hidden"])
+
+
+def plain_training(network, docs, seed, batch):
+    """One place after the other; returns the weights."""
+    w = {k: v.astype(np.float64) for k, v in network.weights.items()}
+    memory = {k: np.full(v.shape if k != "embed" else len(v), 0.1) for k, v in w.items()}
+    ids, places = pl.joined(docs)
+    run = min(pl.RUN, batch)
+    order = np.random.default_rng(seed).permutation(-(-(len(ids) - 2 * pl.SIDE) // run))
+    for some in np.split(order, range(batch // run, len(order), batch // run)):
+        own = [p for p in places if (p - pl.SIDE) // run in some]
+        grads, rows_of = {k: np.zeros_like(v) for k, v in w.items() if k != "embed"}, {}
+        for p in own:
+            around, rows, hidden = plain_hidden(w, ids, p)
+            logits = hidden @ w["out"] + w["bias"]
+            slope = np.exp(logits - logits.max())
+            slope /= slope.sum()
+            slope[network.class_of[ids[p]]] -= 1
+            back = (w["out"] @ slope) * (1 - hidden**2)
+            for name, grad in {"out": np.outer(hidden, slope), "bias": slope, "hidden": back, "scale": rows * back}.items():
+                grads[name] += grad / len(own)
+            for k, scale in zip(around, w["scale"]):
+                if ids[p + k] != pl.BUCKETS:
+                    rows_of[ids[p + k]] = rows_of.get(ids[p + k], 0) + back * scale
+        for name, grad in grads.items():
+            memory[name] += grad**2
+            w[name] -= pl.STEP * grad / np.sqrt(memory[name])
+        for i, total in rows_of.items():
+            memory["embed"][i] += (total**2).mean()
+            w["embed"][i] -= pl.STEP * total / np.sqrt(memory["embed"][i])
+    return w
+
+
+@pytest.mark.parametrize("batch, bias", [(64, 0), (32, 500), (5, 0), (4096, 0)])
+def test_training_in_runs_equals_training_place_by_place(batch, bias):
+    docs = odd_docs()
+    network = pl.Network(np.bincount(np.concatenate(docs), minlength=pl.BUCKETS))
+    network.weights["out"] = np.random.default_rng(7).normal(0, 0.2, network.weights["out"].shape).astype(np.float32)
+    network.weights["bias"] += np.float32(bias) * (np.arange(pl.CLASSES) % 2).astype(np.float32)
+    want = plain_training(network, docs, 3, batch)
+    assert network.train(docs, 3, batch) == sum(map(len, docs))
+    for name, found in network.weights.items():
+        assert found.dtype == np.float32 and found == pytest.approx(want[name], abs=2e-4), name
+    assert network.train([], 1) == network.train([np.zeros(0, np.int64)] * 40, 1) == 0
+
+
+def test_a_run_reads_each_row_once(network, monkeypatch):
+    summed, seen = pl._summed, []
+    monkeypatch.setattr(pl, "_summed", lambda ids, *rest: seen.append(len(ids)) or summed(ids, *rest))
+    tokens = copy.deepcopy(network).train([pl.token_ids(t.encode()) for t in sentences(50)], 1)
+    # four neighbours of every place, but windows overlap
+    assert tokens <= sum(seen) < 1.5 * tokens
+
+
+@pytest.mark.parametrize("piece", [1, 7, 2048])
+def test_scores_of_pieces_equal_those_of_single_places(network, monkeypatch, piece):
+    monkeypatch.setattr(pl, "PIECE", piece)
+    ids, places = pl.joined([*odd_docs(), *[np.zeros(0, np.int64)] * 20, *odd_docs()])
+    want = []
+    for p in places:
+        logits = plain_hidden(network.weights, ids, p)[2] @ network.weights["out"] + network.weights["bias"]
+        want.append(logits[network.class_of[ids[p]]] - np.log(np.exp(logits).sum()) + network.inside[ids[p]])
+    assert network.log_probabilities(ids, places) == pytest.approx(np.array(want), abs=1e-4)
+    assert network.log_probabilities(ids, places[5::9]) == pytest.approx(np.array(want[5::9]), abs=1e-4)
+    assert len(network.log_probabilities(ids, places[:0])) == 0
