@@ -48,7 +48,11 @@ def with_report_period(df: DataFrame, path: str = "path") -> DataFrame:
 
 def months_from_report(file_name: Column, year: Column, month: Column) -> Column:
     """How many months a year and month are after those of a report's name (before: negative); null if any is missing."""
-    own = [F.regexp_extract(F.concat(F.lit("/"), file_name), REPORT_PATH_PATTERN, i).cast("long") for i in (3, 4)]
+    usual = (F.substring(file_name, 5, 1) == "_") & (F.substring(file_name, 8, 12) == "_Report.csv")
+    own = [
+        F.when(usual, F.substring(file_name, at, n)).otherwise(F.regexp_extract(F.concat(F.lit("/"), file_name), REPORT_PATH_PATTERN, i)).cast("long")
+        for i, at, n in ((3, 1, 4), (4, 6, 2))
+    ]
     return (year.cast("long") * 12 + month) - (own[0] * 12 + own[1])
 
 

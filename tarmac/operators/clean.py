@@ -46,9 +46,14 @@ def _present(name: str) -> str:
     return f"CASE WHEN {name} NOT IN ({tokens}) THEN {name} END"
 
 
-def _parsed(name: str) -> str:
-    """The number that a present text spells, NULL if it spells none. Ints go through double: ``'1.00'`` is 1."""
-    number = f"CASE WHEN ltrim('{PLAIN}', {name}) = '' OR {name} RLIKE '{NUMBER}' THEN try_cast({name} AS double) END"
+def _parsed(name: str, text: str | None = None, plain: str | None = None) -> str:
+    """The number that a text (the column's own, if none is given) spells, NULL if it spells none. Ints go through double: ``'1.00'`` is 1.
+
+    ``plain`` may name a flag that is only true where the text is made of ``PLAIN`` alone.
+    """
+    text = text or name
+    plain = f"{plain} AND {text} != ''" if plain else f"ltrim('{PLAIN}', {text}) = ''"
+    number = f"CASE WHEN {plain} OR {text} RLIKE '{NUMBER}' THEN try_cast({text} AS double) END"
     return f"try_cast({number} AS int)" if name in INT_COLUMNS else number
 
 
@@ -58,18 +63,20 @@ def parse_text_rows(text: DataFrame, bad: str | None = None) -> DataFrame:
     ``bad`` names a flag to add: true where a row cannot be loaded, so that its whole report
     is rejected. That is a flag which must be present but is not, a number that does not
     parse, or (column ``_overflow`` of the report reader) more fields than the header
-    has. Present texts, numbers and the flag are three projections, each field being looked
-    at once in each.
+    has. Texts and one look at all numbers of a row, numbers, and the flag are three projections, each of which the JVM
+    still compiles; no token spells a number, so the list of tokens is searched only for fields that are none.
     """
     others = [c for c in text.columns if c not in REPORT_SCHEMA.names]
-    present = text.selectExpr(*others, *[f"{_present(c)} AS {c}" for c in REPORT_SCHEMA.names])
     texts = [c for c in REPORT_SCHEMA.names if c not in NUMERIC]
-    typed = present.selectExpr(*others, *texts, *[f"{_parsed(c)} AS {c}" for c in NUMERIC], *[f"{c} IS NOT NULL AS _given_{c}" for c in NUMERIC if bad])
+    fields = {c: f"_text_{c}" for c in NUMERIC}
+    plain = f"concat_ws('', {', '.join(NUMERIC)}) NOT RLIKE '[^{PLAIN}]' AS _plain"
+    present = text.selectExpr(*others, *[f"{_present(c)} AS {c}" for c in texts], *[f"{c} AS {field}" for c, field in fields.items()], plain)
+    typed = present.selectExpr(*others, *texts, *fields.values(), *[f"{_parsed(c, field, '_plain')} AS {c}" for c, field in fields.items()])
     columns = [*others, *REPORT_SCHEMA.names]
     if bad is None:
         return typed.select(columns)
     missing_flag = [f"{c} IS NULL" for c in REQUIRED_FLAGS]
-    unparsable = [f"(_given_{c} AND {c} IS NULL)" for c in NUMERIC]
+    unparsable = [f"({c} IS NULL AND {_present(field)} IS NOT NULL)" for c, field in fields.items()]
     return typed.selectExpr(*columns, f"{' OR '.join([*missing_flag, *unparsable, '_overflow IS NOT NULL'])} AS {bad}")
 
 

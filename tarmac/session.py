@@ -32,6 +32,9 @@ CLUSTER_CONF = {
 #: files of a partitioned write that a task keeps open; with rows of more partitions it sorts the rest
 OPEN_FILES = 32
 
+#: bytes of the largest method that the JVM compiles by default; code of a stage with a larger one would be interpreted, for every row
+COMPILED_BYTES = 8000
+
 _own_dirs: dict[str, str] = {}
 
 
@@ -83,8 +86,11 @@ def session_beside(spark: SparkSession, **settings: str) -> SparkSession:
 
 
 def writing_session(spark: SparkSession) -> SparkSession:
-    """A session whose tasks keep the files of up to ``OPEN_FILES`` partitions open, where Spark would sort all rows by partition first."""
-    return session_beside(spark, **{"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES)})
+    """A session whose tasks keep the files of up to ``OPEN_FILES`` partitions open, where Spark would sort all rows by partition first.
+
+    Stages whose code the JVM would not compile as one run as code in pieces, whatever options the JVM was started with.
+    """
+    return session_beside(spark, **{"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES), "spark.sql.codegen.hugeMethodLimit": str(COMPILED_BYTES)})
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -131,7 +131,8 @@ def read_text_rows(spark: SparkSession, headers: Headers, aliases: dict[str, str
     CSV columns are bound by position, so parts are read in groups of equal
     headers, each with its own schema, and appended by name. ``_overflow`` is
     the first field beyond the header, if a row has one. Parts of a group
-    also have their report's name at the same place of their paths.
+    also have their report's name at the same place of their paths. A last column that nobody reads makes the reader
+    pick fields by position; else every row without an overflow would be one with too few fields, an exception each.
     """
     aliases = aliases or {}
     groups: dict[tuple[tuple[str, ...], int | None], list[str]] = {}
@@ -141,7 +142,7 @@ def read_text_rows(spark: SparkSession, headers: Headers, aliases: dict[str, str
     frames = []
     for (header, name_place), paths in groups.items():
         names = [aliases.get(name, name) for name in header]
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_overflow"]])
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_overflow", "_unread"]])
         raw = spark.read.schema(schema).options(**CSV_OPTIONS).csv(paths)
         raw = raw.withColumn("source_file", calendar.report_name_of(F.col("_metadata.file_path"), name_place))
         frames.append(clean.select_report_columns(raw, "source_file", "_overflow"))

@@ -36,3 +36,10 @@ def test_names_are_read_off_files_and_folders(spark):
         ("file:/a/2025_01_Report.csv", "2025_01_Report.csv", 2025, 1),
         ("s3://b/c/file_name=2024_12_Report.csv", "2024_12_Report.csv", 2024, 12),
     ]
+
+
+def test_months_from_a_report_by_its_name(spark):
+    names = [("2025_01_Report.csv", 2025, 3), ("2024_12_Report.csv", 2025, 1), ("a/2025_01_Report.csv/part", 2024, 12), ("2025_01_Report.csv", None, 1)]
+    rows = spark.createDataFrame(names, "file_name string, year int, month int")
+    away = calendar.months_from_report(F.col("file_name"), F.col("year"), F.col("month"))
+    assert [r.away for r in rows.select(away.alias("away")).collect()] == [2, 1, -1, None]

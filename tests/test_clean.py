@@ -99,3 +99,20 @@ def test_plain_numbers_skip_the_pattern_without_changing_its_verdict(spark):
     found = spark.createDataFrame([(t,) for t in texts], "distance string")
     plain = found.selectExpr(f"ltrim('{clean.PLAIN}', distance) = '' AS plain", f"distance RLIKE '{clean.NUMBER}' AS number", f"{clean._parsed('distance')} AS parsed").collect()
     assert [r.parsed is not None for r in plain] == [r.number for r in plain] and sum(r.plain for r in plain) == 10
+
+
+def test_one_odd_field_changes_no_other(spark):
+    """Numbers are looked at together; a row with an odd one is read field by field, with the same results."""
+    odd = ["", "NA", "1e2", " 7 ", "5d", "1,2", ",", "\n", "-1.#IND"]
+    rows = [raw_row()] + [raw_row(DISTANCE=text) for text in odd] + [raw_row(DISTANCE=None), raw_row(LATE_AIRCRAFT_DELAY="")]
+    parsed = clean.parse_text_rows(text_rows(spark, rows), bad="bad").collect()
+    assert [r.distance for r in parsed] == [2475.0, None, None, 100.0, 7.0, None, None, None, None, None, None, 2475.0]
+    assert [r.bad for r in parsed] == [False, False, False, False, False, True, True, True, True, False, False, False]
+    assert {(r.year, r.arr_delay, r.nas_delay, r.cancelled) for r in parsed} == {(2025, 20.0, 0.0, 0)} and parsed[-1].late_aircraft_delay is None
+    assert [f for f in clean.parse_text_rows(text_rows(spark, rows)).columns if f.startswith("_")] == ["_overflow"]
+
+
+def test_the_numbers_of_a_row_are_matched_once(spark):
+    """Each field had its own walk over its characters."""
+    plan = clean.parse_text_rows(text_rows(spark, [raw_row()]), bad="bad")._jdf.queryExecution().optimizedPlan().toString()
+    assert "ltrim" not in plan and "trimleading" not in plan.lower() and plan.count("concat_ws") == 1

@@ -11,7 +11,7 @@ from tarmac.plans import pipeline
 from tarmac.plans import ingest as load
 from tarmac.plans.ingest import ingest
 from tarmac.schema import FLIGHTS_SCHEMA, RAW_TO_CLEAN
-from tarmac.session import OPEN_FILES, writing_session
+from tarmac.session import COMPILED_BYTES, OPEN_FILES, writing_session
 from tarmac.sources import reports as R
 
 JAN, FEB, MAR = (2025, 1), (2025, 2), (2025, 3)
@@ -369,3 +369,23 @@ def test_parts_in_folders_keep_their_report(warehouse, landing):
     for part, n in (("a", 2), ("b", 3)):
         write_report(f"{landing}/x_Report.csv_old/2025_01_Report.csv", 2025, 1, month_rows(n), name=f"{part}.csv")
     assert statuses(ingest(warehouse, landing, JAN, JAN)) == {"2025_01_Report.csv": ("success", 5)}
+
+
+def test_code_that_the_jvm_would_interpret_is_run_in_pieces(spark):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    assert writing_session(spark).conf.get(key) == str(COMPILED_BYTES) and spark.conf.get(key) == before and int(before) > COMPILED_BYTES
+
+
+def test_rows_of_other_lengths_than_the_header(spark, warehouse, landing):
+    """A row with too few fields ends in nulls, one with too many names the first of them."""
+    path = write_report(landing, 2025, 1, month_rows(3))
+    with open(path) as f:
+        lines = f.read().splitlines()
+    with open(path, "w") as f:
+        f.write("\n".join([lines[0], lines[1].rsplit(",", 2)[0], lines[2] + ",", lines[3] + ",stray,more"]) + "\n")
+    rows = R.read_text_rows(spark, R.read_headers(spark, R.collect_reports(R.list_reports(spark, landing)))).orderBy("flight_number").collect()
+    assert [(r.nas_delay, r.security_delay, r.late_aircraft_delay, r._overflow) for r in rows] == [
+        ("0.00", None, None, None), ("0.00", "0.00", "0.00", None), ("0.00", "0.00", "0.00", "stray"),
+    ]
+    assert "_unread" not in rows[0] and statuses(ingest(warehouse, landing, JAN, JAN)) == {"2025_01_Report.csv": ("failed", 0)}
