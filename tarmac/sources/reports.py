@@ -7,10 +7,9 @@ months, lists of parts by the number of files; rows never reach the driver.
 from __future__ import annotations
 
 import csv
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,27 +78,24 @@ def collect_reports(reports: DataFrame) -> list[Report]:
 _ONE_PART_PER_TASK = {"spark.sql.files.maxPartitionBytes": "1p", "spark.sql.files.openCostInBytes": "1p"}
 
 
+def first_lines(spark: SparkSession, reports: list[Report]) -> DataFrame:
+    """``(file_path, value)``: the first line of every part. A task has one part, so it is the line whose number in its task, the lower 33 bits of its id, is 0."""
+    # settings of a session of its own disturb nobody
+    alone = spark.newSession()
+    for key, value in _ONE_PART_PER_TASK.items():
+        alone.conf.set(key, value)
+    lines = alone.read.option("pathGlobFilter", PART_FILES).text([report.path for report in reports])
+    return lines.where(F.monotonically_increasing_id() % (1 << 33) == 0).select("_metadata.file_path", "value")
+
+
 def read_headers(spark: SparkSession, reports: list[Report]) -> Headers:
-    """The first line of every part, split into names; one job, of which a task reads the beginning of one part.
+    """The first line of every part, split into names; one job, of which a task looks for the beginning of one part.
 
     The driver holds one header per part. Empty parts have none.
     """
     if not reports:
         return {}
-
-    def first_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.slice(0, 1)
-                return
-
-    # settings of a session of its own disturb nobody
-    alone = spark.newSession()
-    for key, value in _ONE_PART_PER_TASK.items():
-        alone.conf.set(key, value)
-    lines = alone.read.option("pathGlobFilter", PART_FILES).text([report.path for report in reports]).select("_metadata.file_path", "value")
-    rows = lines.mapInArrow(first_row, "file_path string, value string").collect()
-    return {row["file_path"]: tuple(next(csv.reader([row["value"].removeprefix("\ufeff")]), ())) for row in rows}
+    return {row["file_path"]: tuple(next(csv.reader([row["value"].removeprefix("\ufeff")]), ())) for row in first_lines(spark, reports).collect()}
 
 
 def place(path: str) -> str:

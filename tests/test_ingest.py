@@ -389,3 +389,17 @@ def test_rows_of_other_lengths_than_the_header(spark, warehouse, landing):
         ("0.00", None, None, None), ("0.00", "0.00", "0.00", None), ("0.00", "0.00", "0.00", "stray"),
     ]
     assert "_unread" not in rows[0] and statuses(ingest(warehouse, landing, JAN, JAN)) == {"2025_01_Report.csv": ("failed", 0)}
+
+
+def test_headers_are_read_without_python_workers(spark, landing):
+    """A worker was started for each part, and was sent all of its lines."""
+    for part, n in (("a", 30_000), ("b", 2)):
+        write_report(f"{landing}/2025_01_Report.csv", 2025, 1, month_rows(n), [*RAW_TO_CLEAN, part], name=f"{part}.csv")
+    open(f"{landing}/2025_01_Report.csv/c.csv", "w").close()
+    with open(f"{landing}/2025_01_Report.csv/d.csv", "w") as out:
+        out.write("\ufeff" + '"x, y",z\n')
+    reports = R.collect_reports(R.list_reports(spark, landing))
+    assert "MapInArrow" not in R.first_lines(spark, reports)._jdf.queryExecution().executedPlan().toString()
+    assert {path[-5:]: header for path, header in R.read_headers(spark, reports).items()} == {
+        "a.csv": (*RAW_TO_CLEAN, "a"), "b.csv": (*RAW_TO_CLEAN, "b"), "d.csv": ("x, y", "z"),
+    }
